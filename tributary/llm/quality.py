@@ -147,13 +147,16 @@ def judge(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_l
 
 def cleaned(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that stay, without their lines above the limit, in the columns of ``docs``."""
-    verdicts = judge(docs, host, max_docs, min_left).filter("kept").select(*[F.col(c).alias(f"__{c}") for c in [*KEY, "host", "removed_lines"]]).dropDuplicates([f"__{k}" for k in [*KEY, "host"]])
-    inner = keyed(docs).withColumn("own_host", F.coalesce(F.col(host), F.lit("")))
-    same = inner["own_host"] == verdicts["__host"]
-    for k in KEY:
-        same &= inner[k].eqNullSafe(verdicts[f"__{k}"])
+    judged = judge(docs, host, max_docs, min_left).filter("kept").select(*KEY, "host", "removed_lines").dropDuplicates([*KEY, "host"])
+    verdicts = judged.select(*[F.col(c).alias(f"__v_{c}") for c in judged.columns])
+    text = F.coalesce("text", F.lit(""))
+    own = {"__doc_id": F.col("doc_id"), "__text_key": F.xxhash64(text), "__text_bytes": F.octet_length(text), "__host": F.coalesce(F.col(host), F.lit(""))}
+    inner = docs.withColumns(own)
+    same = F.lit(True)
+    for k in [*KEY, "host"]:
+        same &= F.col(f"__{k}").eqNullSafe(F.col(f"__v_{k}"))
     at = docs.columns.index("text")
-    joined = inner.join(verdicts, same).select(*[inner[c] for c in docs.columns], "__removed_lines")
+    joined = inner.join(verdicts, same).select(*[F.col(f"`{c}`") for c in docs.columns], "__v_removed_lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, packing, quality, sharding, simhash
+from . import byte_bpe, exact_dedup, packing, pii, quality, sharding, simhash
 
-MODULES = (exact_dedup, sharding, packing, simhash, quality, byte_bpe)
+MODULES = (exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe)
 
 
 def queries() -> dict:
