@@ -155,12 +155,12 @@ def cleaned(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min
     same = F.lit(True)
     for k in [*KEY, "host"]:
         same &= F.col(f"__{k}").eqNullSafe(F.col(f"__v_{k}"))
-    at = docs.columns.index("text")
+    at, width = docs.columns.index("text"), len(docs.columns)
     joined = inner.join(verdicts, same).select(*[F.col(f"`{c}`") for c in docs.columns], "__v_removed_lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [without(t, set(gone)) if gone else t for t, gone in zip(batch.column(at).to_pylist(), batch.column(len(docs.columns)).to_pylist(), strict=True)]
+            out = [without(t, set(gone)) if gone else t for t, gone in zip(batch.column(at).to_pylist(), batch.column(width).to_pylist(), strict=True)]
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
