@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, packing, pii, quality, sharding, simhash
+from . import byte_bpe, exact_dedup, packing, pii, quality, sharding, simhash, url_filter
 
-MODULES = (exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe)
+MODULES = (url_filter, exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe)
 
 
 def queries() -> dict:
