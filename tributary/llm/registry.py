@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, packing, pii, quality, sharding, simhash, url_filter
+from . import byte_bpe, exact_dedup, language_id, packing, pii, quality, sharding, simhash, url_filter
 
-MODULES = (url_filter, exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe)
+MODULES = (language_id, url_filter, exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe)
 
 
 def queries() -> dict:
