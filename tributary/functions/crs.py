@@ -23,10 +23,12 @@ def _series(rows: list[list[float]]) -> list[float]:
     return [sum(c * N ** (j + 1 + k) for k, c in enumerate(row)) for j, row in enumerate(rows)]
 
 
-#: Coefficients of the forward and inverse series.
+#: Coefficients of the forward and inverse series, and of the latitude from the conformal latitude.
 FORWARD = _series([[1 / 2, -2 / 3, 5 / 16, 41 / 180, -127 / 288, 7891 / 37800], [13 / 48, -3 / 5, 557 / 1440, 281 / 630, -1983433 / 1935360], [61 / 240, -103 / 140, 15061 / 26880, 167603 / 181440], [49561 / 161280, -179 / 168, 6601661 / 7257600], [34729 / 80640, -3418889 / 1995840], [212378941 / 319334400]])
 INVERSE = _series([[1 / 2, -2 / 3, 37 / 96, -1 / 360, -81 / 512, 96199 / 604800], [1 / 48, 1 / 15, -437 / 1440, 46 / 105, -1118711 / 3870720], [17 / 480, -37 / 840, -209 / 4480, 5569 / 90720], [4397 / 161280, -11 / 504, -830251 / 7257600], [4583 / 161280, -108847 / 3991680], [20648693 / 638668800]])
 
+LATITUDE = _series([[2, -2 / 3, -2, 116 / 45, 26 / 45, -2854 / 675], [7 / 3, -8 / 5, -227 / 45, 2704 / 315, 2323 / 945], [56 / 15, -136 / 35, -1262 / 105, 73814 / 2835], [4279 / 630, -332 / 35, -399572 / 14175], [4174 / 315, -144838 / 6237], [601676 / 22275]])
+
 
 def geographic_to_utm(lon: Column, lat: Column, meridian: float = 105.0) -> tuple[Column, Column]:
     """(easting, northing) of degrees."""
@@ -48,10 +50,8 @@ def utm_to_geographic(east: Column, north: Column, meridian: float = 105.0) -> t
     for j, b in enumerate(INVERSE, 1):
         y = y - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
         x = x - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    conformal = F.sin(y) / F.sqrt(F.sinh(x) * F.sinh(x) + F.cos(y) * F.cos(y))
-    tau = conformal
-    for _ in range(3):  # Newton steps for the tangent of the latitude
-        sigma = F.sinh(E * F.atanh(E * tau / F.sqrt(1 + tau * tau)))
-        got = tau * F.sqrt(1 + sigma * sigma) - sigma * F.sqrt(1 + tau * tau)
-        tau = tau + (conformal - got) / F.sqrt(1 + got * got) * (1 + (1 - E * E) * tau * tau) / ((1 - E * E) * F.sqrt(1 + tau * tau))
-    return meridian + F.degrees(F.atan2(F.sinh(x), F.cos(y))), F.degrees(F.atan(tau))
+    chi = F.asin(F.sin(y) / F.cosh(x))
+    lat = chi
+    for j, d in enumerate(LATITUDE, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    return meridian + F.degrees(F.atan2(F.sinh(x), F.cos(y))), F.degrees(lat)

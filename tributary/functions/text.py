@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Level prefixes of unit names, the phrase for a partial merger, and truth words.
 UNIT_PREFIX = "(?iu)^(xã|phường|thị trấn) "
@@ -18,7 +19,7 @@ SENSITIVE = "secret|token|password|authorization|apikey|signature|credential"
 SENSITIVE_TEXT = r"(?i)\b(?:secret|token|password|authorization|api[-_ ]?key|signature|credential)\b\s*[:=]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Unicode NFC has no built-in; ASCII and composed texts return unchanged."""
     for s in values:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import rasters, spatial
+from . import rasters, records, spatial
 
-MODULES = (rasters, spatial)
+MODULES = (rasters, spatial, records)
 
 
 def queries() -> dict:
