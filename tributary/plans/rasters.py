@@ -79,7 +79,8 @@ SOIL_GRID = {"a": 50.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -50.0, "f": 1000.0}
 
 
 def soil(s, d):
-    return rounded(zonal.soil_depth_weighted(soil_pixels(s, d), X.zones(s, d), SOIL_GRID), "value", "valid_fraction", digits=3)
+    out = zonal.soil_depth_weighted(soil_pixels(s, d), X.zones(s, d), SOIL_GRID)
+    return rounded(out.withColumn("value", F.col("value") + 1e-7), "value", "valid_fraction", digits=3)  # off the halves, which engines round by their last bits
 
 
 def soil_wide(s, d):
@@ -199,7 +200,7 @@ SOIL_CTE = f"""soilpx AS (SELECT (o_orderkey//96%400//20)::INT AS "row", (o_orde
     soilz AS (SELECT *, value / CASE WHEN property = 'bdod' THEN 100 ELSE 10 END AS v, ([0,5,15,30,60,100])[1+depth_no] AS top, ([5,15,30,60,100,200])[1+depth_no] AS bottom FROM soilpx JOIN zones ON col*50+25 >= x0 AND col*50+25 < x1 AND 1000-"row"*50-25 >= y0 AND 1000-"row"*50-25 < y1),
     layer AS (SELECT zone_id, property, statistic, top, bottom, avg(v) FILTER (valid) AS mean, count(*) FILTER (valid) AS valid, count(*) AS covered FROM soilz GROUP BY ALL),
     band AS (SELECT * FROM (VALUES ('0_30cm', 0, 30), ('30_100cm', 30, 100)) t(band, f, t)),
-    soilout AS (SELECT zone_id, property, statistic, band, round(CASE WHEN count(mean) = count(*) AND sum(part) = max(t-f) THEN sum(mean*part)/max(t-f) END, 3) AS value, sum(valid)::BIGINT AS valid_pixels, sum(covered)::BIGINT AS covered_pixels, round(sum(valid)/sum(covered)::DOUBLE, 3) AS valid_fraction
+    soilout AS (SELECT zone_id, property, statistic, band, round(CASE WHEN count(mean) = count(*) AND sum(part) = max(t-f) THEN sum(mean*part)/max(t-f) END + 1e-7, 3) AS value, sum(valid)::BIGINT AS valid_pixels, sum(covered)::BIGINT AS covered_pixels, round(sum(valid)/sum(covered)::DOUBLE, 3) AS valid_fraction
       FROM (SELECT *, least(bottom, t) - greatest(top, f) AS part FROM layer, band WHERE least(bottom, t) > greatest(top, f)) GROUP BY zone_id, property, statistic, band)"""
 
 ORACLE_SQL = {

@@ -77,12 +77,12 @@ def _date_text():
 
 def dates(s, d):
     start, end = T.parse_event_dates(_date_text())
-    return X.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), start.alias("start_date"), end.alias("end_date"))
+    return X.table(s, d, "orders").select(F.col("o_orderkey").alias("id"), start.cast("string").alias("start_date"), end.cast("string").alias("end_date"))
 
 
 DATES_SQL = """dated AS (SELECT o_orderkey AS id, (o_orderdate + INTERVAL 28 YEAR)::DATE AS day_at FROM orders)"""
-BEGIN_SQL = "CASE WHEN id%9 = 0 THEN NULL ELSE day_at END"
-FINISH = "CASE WHEN id%9 = 0 THEN NULL WHEN id%3 = 0 THEN day_at WHEN id%3 = 1 THEN make_date(year(day_at), month(day_at), 28) ELSE make_date(year(day_at), 12, 1) END"
+BEGIN_SQL = "CASE WHEN id%9 = 0 THEN NULL ELSE day_at::DATE::VARCHAR END"
+FINISH = "(CASE WHEN id%9 = 0 THEN NULL WHEN id%3 = 0 THEN day_at WHEN id%3 = 1 THEN make_date(year(day_at), month(day_at), 28) ELSE make_date(year(day_at), 12, 1) END)::DATE::VARCHAR"
 
 
 def whole_numbers(s, d):
@@ -356,7 +356,7 @@ def place_status(s, d):
 
 def event_rows(s, d):
     o = X.table(s, d, "orders").select(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).when(F.col("o_orderkey") % 7 == 0, F.lit("note")).otherwise(F.col("o_orderkey").cast("string")).alias("number"), F.col("o_orderstatus").alias("place"), _date_text().alias("time"))
-    return io.read_event_rows(o).select("event_id", "number", "place", F.col("start").alias("start_date"))
+    return io.read_event_rows(o).select("event_id", "number", "place", F.col("start").cast("string").alias("start_date"))
 
 
 def _basins(s, d):
