@@ -15,7 +15,9 @@ each by itself. An empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,47 +28,153 @@ from .common import materialise, table
 
 LENGTH, CLOSING = 2048, 1
 DIMENSIONS, GRID_BITS, SEED = 3, 16, 7
-CACHE, CHUNK = 300_000, 1_000_000
+CACHE, CHUNK = 200_000, 500_000
+#: Signs, letters whose lower case is their own and that no following sign changes, signs.
+PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-/:-@\[-`{-~]*)").fullmatch
 UNCLEAR = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizer
 
 
+NEVER = np.iinfo(np.int32).max
+
+
+def byte_signs() -> list[str]:
+    """The sign of each byte in byte-level vocabularies: itself where printable, else the next free code point from 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class WordTokenizer:
-    """Ids of whole texts through a cache of the ids of words; the tokenizer must drop white space and never join across it."""
+    """Ids of whole texts through caches of the ids of words and of their lower-cased letters.
+
+    The tokenizer must lower-case, drop white space, never join across it, and split letters from other signs. Only runs of letters not
+    seen before are merged, many side by side, by the merges of the tokenizer's file. Words of any other form go through the tokenizer itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.vocabulary = self.tokenizer.get_vocab_size()
-        self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words, joined by spaces; the tokens of each are found by their offsets."""
-        texts, parts = [], []
-        for at in range(0, len(words), 2000):
-            parts.append(words[at : at + 2000])
-            texts.append(" ".join(parts[-1]))
-        for part, e in zip(parts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.kind)
-            begins = np.array([a for a, _ in e.offsets], np.int64) if len(ids) else np.zeros(0, np.int64)
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(begins, ends).tolist()
-            raw, had, width = ids.tobytes(), 0, self.kind.itemsize
-            for w, cut in zip(part, cuts, strict=True):
-                self.cache[w] = raw[had * width : cut * width]
-                had = cut
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = max(vocabulary.values()) + 1
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        with open(path) as f:
+            merges = json.load(f)["model"]["merges"]
+        keys, self.made = [], np.zeros(len(merges), np.int32)
+        for rank, pair in enumerate(merges):
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            keys.append(vocabulary[a] << 32 | vocabulary[b])
+            self.made[rank] = vocabulary[a + b]
+        keys = np.array(keys, np.int64)
+        self.ranks = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.ranks]
+        signs = byte_signs()
+        self.inner = np.array([vocabulary[c] for c in signs], np.int32)
+        self.last = np.array([vocabulary[c + "</w>"] for c in signs], np.int32)
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {"": b""}
+
+    def _direct(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        want = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        return np.where(self.keys[at] == want, self.ranks[at], NEVER)
+
+    def _merged(self, runs: list[bytes], width: int) -> list[bytes]:
+        """Merge many runs of 1 to ``width`` bytes side by side: each round performs one merge, the leftmost of lowest rank, in every row left."""
+        count = len(runs)
+        lengths = np.fromiter(map(len, runs), np.int64, count)
+        column = np.arange(width)
+        inside = column < lengths[:, None]
+        raw = np.zeros((count, width), np.uint8)
+        raw[inside] = np.frombuffer(b"".join(runs), np.uint8)
+        token = np.where(column + 1 == lengths[:, None], self.last[raw], self.inner[raw])
+        pairs = column + 1 < lengths[:, None]
+        rank = np.full((count, width), NEVER, np.int32)
+        rank[:, :-1][pairs[:, :-1]] = self._pair_ranks(token[:, :-1][pairs[:, :-1]], token[:, 1:][pairs[:, :-1]])
+        after = np.tile(column + 1, (count, 1)).astype(np.int16)
+        before = np.tile(column - 1, (count, 1)).astype(np.int16)
+        live, at, size = inside.copy(), np.arange(count), lengths
+        final = token.copy()
+        while True:
+            i = rank.argmin(axis=1)
+            rows = np.arange(len(at))
+            best = rank[rows, i]
+            going = best != NEVER
+            if not going.all():
+                final[at[~going]] = token[~going]
+                if not going.any():
+                    break
+                token, rank, after, before, at, i, best, size = (x[going] for x in (token, rank, after, before, at, i, best, size))
+                rows = np.arange(len(at))
+            j = after[rows, i]
+            k = after[rows, j]
+            new = self.made[best]
+            token[rows, i] = new
+            live[at, j] = False
+            rank[rows, j] = NEVER
+            after[rows, i] = k
+            more = k < size
+            before[rows[more], k[more]] = i[more]
+            fresh = np.full(len(at), NEVER, np.int32)
+            fresh[more] = self._pair_ranks(new[more], token[rows[more], k[more]])
+            rank[rows, i] = fresh
+            p = before[rows, i]
+            has = p >= 0
+            rank[rows[has], p[has]] = self._pair_ranks(token[rows[has], p[has]], new[has])
+        ids = final[live].astype(self.kind).tobytes()
+        widths = live.sum(axis=1) * self.kind.itemsize
+        ends = np.cumsum(widths).tolist()
+        return [ids[e - n : e] for e, n in zip(ends, widths.tolist(), strict=True)]
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Ids of runs of letters or of signs, each a word by itself."""
+        groups: dict[int, tuple[list[str], list[bytes]]] = {}
+        long = []
+        for w in runs:
+            b = w.encode()
+            if len(b) > 64:
+                long.append(w)
+            else:
+                names, data = groups.setdefault(max(2, 1 << (len(b) - 1).bit_length()), ([], []))
+                names.append(w)
+                data.append(b)
+        for width, (names, data) in groups.items():
+            for at in range(0, len(names), 8192):
+                self.runs.update(zip(names[at : at + 8192], self._merged(data[at : at + 8192], width), strict=True))
+        if long:
+            self.runs.update(zip(long, self._direct(long), strict=True))
+
+    def _learn(self, words: set[str]) -> None:
+        plain, odd = [], []
+        for w in words:
+            if m := PLAIN(w):
+                plain.append((w, m[1], m[2].lower(), m[3]))
+            else:
+                odd.append(w)
+        self._learn_runs(list({r for _, *runs in plain for r in runs} - self.runs.keys()))
+        runs = self.runs
+        self.words.update((w, runs[a] + runs[b] + runs[c]) for w, a, b, c in plain)
+        self.words.update(zip(odd, self._direct(odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
+        if len(self.runs) > CACHE:
+            self.runs = {"": b""}
         split = [None if any(c in t for c in UNCLEAR) else t.split() for t in texts]
-        self._learn(list(set().union(*(ws for ws in split if ws)) - self.cache.keys()))
-        get, out = self.cache.__getitem__, []
-        for t, ws in zip(texts, split, strict=True):
-            out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() if ws is None else b"".join(map(get, ws)))
-        return out
+        self._learn(set().union(*(ws for ws in split if ws)) - self.words.keys())
+        get = self.words.__getitem__
+        return [self._direct([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One tokenizer, with its caches, for all tasks of a worker."""
+    return WordTokenizer(path)
 
 
 def hilbert(grid: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
@@ -101,8 +209,8 @@ def tokens(docs: DataFrame, path: str, closing: int = CLOSING) -> DataFrame:
     """(doc_id, ids binary, n_tokens, place) of each row; ids end with ``closing``. Little-endian, two bytes each if the vocabulary allows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
-        axes = np.random.default_rng(SEED).standard_normal((max(tokenizer.vocabulary, closing + 1), DIMENSIONS)).astype(np.float32)
+        tokenizer = tokenizer_of(path)
+        axes = np.random.default_rng(SEED).standard_normal((max(tokenizer.size, closing + 1), DIMENSIONS)).astype(np.float32)
         end = np.array([closing], tokenizer.kind).tobytes()
         for batch in batches:
             at, texts = 0, [t or "" for t in batch.column(1).to_pylist()]
