@@ -175,3 +175,22 @@ def null_if_empty(col: Column) -> Column:
 
 def part_numbers(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("part_index", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+
+
+def study_areas(basins: DataFrame, edges: DataFrame, core: DataFrame, country: DataFrame, hops: int = 1, distance: float = 10_000.0, cell: float = geometry.CELL) -> DataFrame:
+    """(area, basin_id): membership of basins (basin_id, next_down) in the four areas.
+
+    core: basins that meet the core; hydrological: those and ``hops`` steps upstream; environmental: within ``distance`` of the core; exposure: of these, those that meet the country. An empty area is an error.
+    """
+    meets = geometry.semi_intersects(edges, core, cell).select(F.col("feature_id").alias("basin_id"))
+    near = geometry.polygons_within(edges, core, distance, cell).select(F.col("feature_id").alias("basin_id"))
+    inside = geometry.semi_intersects(edges, country, cell).select(F.col("feature_id").alias("basin_id"))
+    areas = {"core": meets, "hydrological": select_with_upstream(basins, meets, hops).select("basin_id"), "environmental": near, "exposure": near.join(inside, "basin_id", "left_semi")}
+    out = None
+    for name, ids in areas.items():
+        part = ids.select(F.lit(name).alias("area"), "basin_id")
+        out = part if out is None else out.unionByName(part)
+    found = {r["area"] for r in out.groupBy("area").count().collect()}  # four rows
+    if missing := [a for a in areas if a not in found]:
+        raise ValueError(f"empty areas: {missing}")
+    return out

@@ -290,3 +290,36 @@ def flag_invalid_geometry(edges: DataFrame, cell: float = CELL) -> DataFrame:
     crossing = pair.filter(F.expr(f"{side('p', 'q', 'r')} * {side('p', 'q', 's')} < 0 AND {side('r', 's', 'p')} * {side('r', 's', 'q')} < 0")).select("feature_id").distinct().withColumn("self_crossing", F.lit(True))
     out = shape.join(crossing, "feature_id", "left").withColumn("self_crossing", F.coalesce("self_crossing", F.lit(False)))
     return out.withColumn("valid", F.expr("closed AND enough_points AND NOT self_crossing"))
+
+
+def polygons_within(layer: DataFrame, area: DataFrame, distance: float, cell: float = CELL) -> DataFrame:
+    """(feature_id) of polygons that meet an area or come within ``distance`` of it. The distance of two disjoint polygons is that of a vertex of one to an edge of the other."""
+
+    def near(corners: DataFrame, other: DataFrame) -> DataFrame:
+        spots = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)})
+        wide = binned(segments(other).select(F.col("feature_id").alias("other_id"), "x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax"), cell, pad=distance + EPS)
+        return spots.join(wide, ["bx", "by"]).filter(F.expr(DISTANCE2) <= distance * distance + EPS)
+
+    vertex = lambda edges: edges.select("feature_id", F.col("x1").alias("px"), F.col("y1").alias("py")).distinct()
+    one = near(vertex(layer), area).select("feature_id")
+    two = near(vertex(area), layer).select(F.col("other_id").alias("feature_id"))
+    return one.union(two).union(semi_intersects(layer, area, cell)).distinct()
+
+
+def footprint_ratio(box: tuple[float, float, float, float], area: DataFrame, cell: float = CELL) -> DataFrame:
+    """(feature_id, ratio): the share of each area that lies within a raster's box (xmin, ymin, xmax, ymax)."""
+    x0, y0, x1, y1 = box
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    edge = [F.struct(F.lit(i).alias("seq"), *[F.lit(float(v)).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), (*a, *b), strict=True)]) for i, (a, b) in enumerate(zip(corners, corners[1:] + corners[:1], strict=True))]
+    frame = area.sparkSession.range(1).select(F.lit(0).cast("long").alias("feature_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"), F.inline(F.array(*edge)))
+    found = overlay_area(area, frame, cell).select(F.col("zone_id").alias("feature_id"), F.col("zone_fraction").alias("ratio"))
+    return area.select("feature_id").distinct().join(found, "feature_id", "left").fillna(0.0, ["ratio"])
+
+
+def validate_layer(attributes: DataFrame, edges: DataFrame, required: list[str], crs: str | None, expected_crs: str, cell: float = CELL) -> DataFrame:
+    """One row: non_empty, columns_ok, crs_ok, geometry_present, geometry_valid, passed; ``attributes`` has feature_id."""
+    have = edges.select("feature_id").distinct().withColumn("__geometry", F.lit(True))
+    bad = flag_invalid_geometry(edges, cell).filter("NOT valid").select("feature_id").withColumn("__bad", F.lit(True))
+    rows = attributes.select("feature_id").join(have, "feature_id", "left").join(bad, "feature_id", "left")
+    checks = {"non_empty": F.count(F.lit(1)) > 0, "columns_ok": F.lit(set(required) <= set(attributes.columns)), "crs_ok": F.lit(crs == expected_crs), "geometry_present": F.count_if(F.col("__geometry").isNull()) == 0, "geometry_valid": F.count("__bad") == 0}
+    return rows.agg(*[c.alias(n) for n, c in checks.items()]).withColumn("passed", F.expr(" AND ".join(checks)))

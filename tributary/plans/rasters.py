@@ -85,7 +85,7 @@ def soil(s, d):
 
 def soil_wide(s, d):
     out = zonal.soil_wide(zonal.soil_depth_weighted(soil_pixels(s, d), X.zones(s, d), SOIL_GRID), PROPERTIES, STATISTICS)
-    return out.select("zone_id", F.lit(len(out.columns)).alias("columns"), *[F.round(f"{p}_mean_0_30cm_value", 5).alias(p) for p in PROPERTIES])
+    return out.select("zone_id", F.lit(len(out.columns)).alias("columns"), *[F.round(F.col(f"{p}_mean_0_30cm_value") + 1e-7, 3).alias(p) for p in PROPERTIES])
 
 
 def cube_gaps(s, d):
@@ -239,4 +239,5 @@ ORACLE_SQL = {
     "raster_info": sql("pixels", "SELECT raster_id, max(\"row\")+1 AS height, max(col)+1 AS width, count(*) AS pixels, count(*) FILTER (valid) AS valid_pixels, 0.0::DOUBLE AS xmin, (1000-(max(\"row\")+1)*10)::DOUBLE AS ymin, (max(col)+1)*10.0::DOUBLE AS xmax, 1000.0::DOUBLE AS ymax, 'EPSG:32648' AS crs FROM pixels GROUP BY raster_id"),
     "validate_raster": sql("pixels", 'SELECT raster_id, true AS dtype_ok, true AS resolution_ok, true AS mask_ok, 1000-(max("row")+1)*10 < 900 AS footprint_ok, 1000-(max("row")+1)*10 < 900 AS passed FROM pixels GROUP BY raster_id'),
     "scale_soil": sql("zones", f", {SOIL_CTE} SELECT property, round(sum(value / CASE WHEN property = 'bdod' THEN 100 ELSE 10 END), 3) AS total FROM soilpx GROUP BY property"),
+    "soil_wide": sql("zones", f", {SOIL_CTE} SELECT zone_id, 129::INT AS columns, " + ", ".join(f"max(value) FILTER (property = '{p}' AND statistic = 'mean' AND band = '0_30cm') AS {p}" for p in PROPERTIES) + " FROM soilout GROUP BY zone_id"),
 }

@@ -507,7 +507,47 @@ def scanned(s, d):
     return files.agg((F.count(F.lit(1)) > 0).alias("found"), F.min(F.length("checksum")).alias("digits"), F.count("format").alias("known"))
 
 
+def canonical(s, d):
+    a = X.assets(s, d).withColumns({"source": F.when(F.col("asset_id") == 5, "only").otherwise(F.col("source")), "status": F.lit("validated")})
+    return catalog.canonical_asset(a, "only").select("asset_id", "canonical_id", "source")
+
+
+def runs(s, d):
+    e = X.table(s, d, "events").select(F.col("user_id").cast("string").alias("run_id"), F.lit("running").alias("status")).distinct()
+    one = e.filter("run_id = '7'").withColumn("status", F.lit("completed"))
+    return catalog.record_run(e, one)
+
+
+def layer_written(s, d):
+    """Zones moved into the UTM zone, published in degrees, read back and projected again."""
+    path = _place(s)
+    at = {"x1": F.col("x1") + 400_000, "x2": F.col("x2") + 400_000, "y1": F.col("y1") + 2_300_000, "y2": F.col("y2") + 2_300_000}
+    io.write_layer(X.zones(s, d).withColumns(at), path)
+    back = io.read_layer(s, path, ["feature_id", "x1"])
+    a, b = crs.geographic_to_utm(F.col("x1"), F.col("y1")), crs.geographic_to_utm(F.col("x2"), F.col("y2"))
+    m = geometry.measure(back.withColumns({"x1": a[0] - 400_000, "y1": a[1] - 2_300_000, "x2": b[0] - 400_000, "y2": b[1] - 2_300_000}))
+    return rounded(m.select("feature_id", "area", "length"), "area", "length", digits=2)
+
+
+def report_written(s, d):
+    path = _place(s)
+    docs = X.table(s, d, "documents")
+    rows = docs.select(F.concat(F.lit("doc."), F.col("doc_id").cast("string")).alias("check_id"), (F.col("doc_id") % 2 == 0).alias("passed"), F.lit("info").alias("severity"), F.lit("https://u:p@h/x").alias("expected"), F.lit("").alias("actual"), F.lit("Bearer abc").alias("message"), F.array(F.col("source")).alias("asset_ids"))
+    io.write_report(rows, path)
+    return s.read.json(f"{path}/json").groupBy("expected", "message", "passed").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unit_index(s, d):
+    """An index in JSON files, lists and objects, read back."""
+    path = _place(s)
+    item = F.to_json(F.struct(F.col("p_partkey").alias("magoc"), F.col("p_partkey").cast("string").alias("ma"), F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("malk")))
+    X.table(s, d, "part").groupBy((F.col("p_partkey") % 8).alias("g")).agg(F.array_join(F.collect_list(item), ",").alias("x")).repartition(8, "g").select(F.when(F.col("g") % 2 == 0, F.concat(F.lit("["), "x", F.lit("]"))).otherwise(F.concat(F.lit('{"rows":['), "x", F.lit("]}"))).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    good, _ = io.read_unit_index(s, path)
+    return good.groupBy("code").agg(F.count(F.lit(1)).alias("aliases"))
+
+
 QUERIES = {
+    "canonical_asset": canonical, "record_run": runs, "write_layer": layer_written, "write_report": report_written, "read_unit_index": unit_index,
     "normalize_unit_name": unit_names, "strip_unit_prefix": stripped, "normalize_label": labels, "classify_unit": classified, "explode_predecessors": predecessors, "rejected_predecessors": rejected_predecessors,
     "parse_local_number": numbers, "parse_event_dates": dates, "integral_or_null": whole_numbers, "zfill5": codes, "depth_limits": depths, "osm_identity": identities, "osm_tags": tags, "truthy_tag": truthy,
     "select_roads": lambda s, d: _ids(osm.select_roads(features(s, d))), "select_bridges": lambda s, d: _ids(osm.select_bridges(features(s, d))), "select_facilities": lambda s, d: _ids(osm.select_facilities(features(s, d))),
@@ -591,4 +631,19 @@ ORACLE_SQL = {
     "read_layer": sql("assets", "SELECT source, count(*) AS n, sum(size_bytes)::BIGINT AS bytes FROM assets GROUP BY source"),
     "read_pixels": sql("pixels", 'SELECT raster_id, count(*) AS n, sum(value) AS total, sum("row"*col)::BIGINT AS places FROM pixels WHERE valid GROUP BY raster_id'),
     "read_geojson_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
+    "gate_mappings": "SELECT * FROM (VALUES ('mapping.points.columns', true, 'fatal'), ('mapping.points.zone_keys', true, 'fatal'), ('mapping.points.boundary_cases', false, 'warning'), ('mapping.units.columns', false, 'fatal'), ('mapping.units.zone_keys', true, 'fatal'), ('mapping.units.coverage', true, 'fatal')) t(check_id, passed, severity)",
+    "gate_hierarchy": """WITH p AS (SELECT count(*) FILTER (n_nationkey%5 = 2 OR n_nationkey//5 = 2) AS n FROM nation) SELECT 'hierarchy.one_parent' AS check_id, n = 0 AS passed, 'fatal' AS severity, n::VARCHAR AS actual FROM p
+        UNION ALL SELECT * FROM (VALUES ('hierarchy.unique_ids', true, 'fatal', '0'), ('hierarchy.code_prefix', true, 'fatal', '0'), ('hierarchy.topology', true, 'fatal', '0'), ('hierarchy.scope_exits', true, 'warning', '0')) t(a, b, c, d)""",
+    "build_crosswalk": """WITH old AS (SELECT p_partkey AS k, p_partkey%8//2 + 4*(p_partkey//16) AS unit, lower(p_name) || ' ' || p_partkey%40 AS normal, (SELECT string_agg(upper(w[1]) || w[2:], ' ') FROM (SELECT unnest(string_split(p_name, ' ')) AS w)) || ' ' || p_partkey%40 AS plain FROM part WHERE p_partkey < 64),
+        listed AS (SELECT unit, (row_number() OVER (PARTITION BY unit ORDER BY k) - 1)::INT AS position, normal, plain FROM old UNION ALL SELECT DISTINCT unit, 4, 'nowhere', 'Nowhere' FROM old WHERE unit%4 = 1),
+        found AS (SELECT l.unit, l.position, l.normal, l.plain, count(o.k) AS candidates, count(o.k) FILTER (o.unit = l.unit) AS n, min(o.k::VARCHAR) AS only_id, min(o.k::VARCHAR) FILTER (o.unit = l.unit) AS best FROM listed l LEFT JOIN old o ON o.normal = l.normal GROUP BY ALL),
+        named AS (SELECT f.*, (SELECT g.normal FROM listed g WHERE g.unit = f.unit AND g.position = 0) AS unit_name FROM found f)
+        SELECT lpad(unit::VARCHAR, 5, '0') AS source_code, position, CASE WHEN n = 1 THEN best WHEN candidates = 1 THEN only_id END AS old_admin_id, CASE WHEN n = 1 THEN 'Xã ' || plain ELSE plain END AS old_admin_name,
+          CASE WHEN n = 1 THEN lpad(unit::VARCHAR, 5, '0') END AS current_commune_code, CASE WHEN n = 1 THEN CASE WHEN normal = unit_name THEN 'unchanged' ELSE 'merged' END END AS relationship_type,
+          CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS match_status, candidates::INT AS candidates FROM named""",
+    "canonical_asset": "SELECT doc_id AS asset_id, doc_id AS canonical_id, 'only' AS source FROM documents WHERE doc_id = 5",
+    "record_run": "SELECT DISTINCT user_id::VARCHAR AS run_id, CASE WHEN user_id = 7 THEN 'completed' ELSE 'running' END AS status FROM events",
+    "write_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
+    "write_report": "SELECT 'https://[REDACTED]@h/x' AS expected, 'Bearer [REDACTED]' AS message, doc_id%2 = 0 AS passed, count(*) AS n FROM documents GROUP BY doc_id%2 = 0",
+    "read_unit_index": "SELECT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, CASE WHEN p_partkey >= 10000 THEN 2 ELSE 3 END::BIGINT AS aliases FROM part",
 }

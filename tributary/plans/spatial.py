@@ -150,7 +150,23 @@ def degree_cells(s, d):
     return osm.cell_ids(box)
 
 
+def study_areas(s, d):
+    basins = X.table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("basin_id"), F.when(F.col("n_nationkey") < 5, 0).otherwise(F.col("n_nationkey") - 5).cast("long").alias("next_down"))
+    one = lambda *c: X.boxes(X.table(s, d, "nation").filter("n_nationkey = 0").select(F.lit(0).cast("long").alias("feature_id")), "feature_id", *map(F.lit, c))
+    return admin.study_areas(basins, X.zones(s, d), one(450, 450, 550, 550), one(-10, -10, 390, 1010), 1, 60.0)
+
+
+def footprints(s, d):
+    return rounded(geometry.footprint_ratio((100.0, 100.0, 650.0, 900.0), X.zones(s, d)), "ratio")
+
+
+def layer_checks(s, d):
+    names = X.table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("feature_id"), "n_name")
+    return geometry.validate_layer(names, X.zones_tilted(s, d).filter("feature_id != 7"), ["feature_id", "n_name"], "EPSG:32648", "EPSG:32648")
+
+
 QUERIES = {
+    "study_areas": study_areas, "footprint_ratio": footprints, "validate_layer": layer_checks,
     "join_points_zones": points_zones, "join_points_zones_tilted": points_zones_tilted, "point_stats": point_stats, "measure": measures, "layer_bounds": layer_bounds,
     "interior_point": interior_points, "overlay_length": lines_zones, "overlay_length_wkt": lines_zones_wkt, "clip_points": clipped_points, "clip_lines": clipped_lines, "clip_polygons": clipped_zones,
     "overlay_area": zones_units, "overlay_area_tilted": tilted_overlap_total, "fraction_totals": fraction_totals, "semi_intersects": zones_meeting_core, "within_distance": points_near_core, "dissolve": dissolved_regions,
@@ -189,4 +205,9 @@ ORACLE_SQL = {
     "scope_exits": sql("topology", "SELECT t.basin_id, t.next_down, t.next_down != 0 AND d.basin_id IS NULL AS scope_exit FROM topology t LEFT JOIN topology d ON d.basin_id = t.next_down AND d.basin_id%3 != 0 WHERE t.basin_id%3 != 0"),
     "cell_ids": """SELECT DISTINCT (CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END) || lpad(abs(lat)::VARCHAR, 2, '0') || '_' || (CASE WHEN lon >= 0 THEN 'E' ELSE 'W' END) || lpad(abs(lon)::VARCHAR, 3, '0') AS cell_id
         FROM (SELECT lat, unnest(range(floor(x0)::BIGINT, ceil(x1)::BIGINT)) AS lon FROM (SELECT x0, x1, unnest(range(floor(y0)::BIGINT, ceil(y1)::BIGINT)) AS lat FROM (SELECT p_partkey%7-3.5 AS x0, p_partkey%5-2.25 AS y0, p_partkey%7-3.5+p_size%3 AS x1, p_partkey%5-2.25+p_size%2+0.5 AS y1 FROM part)))""",
+    "study_areas": sql("zones", """, z AS (SELECT *, x0 <= 550 AND x1 >= 450 AND y0 <= 550 AND y1 >= 450 AS meets, power(greatest(450-x1, 0, x0-550), 2) + power(greatest(450-y1, 0, y0-550), 2) <= 3600 AS near, x0 <= 390 AS inside FROM zones)
+        SELECT 'core' AS area, zone_id AS basin_id FROM z WHERE meets UNION ALL SELECT 'environmental', zone_id FROM z WHERE near UNION ALL SELECT 'exposure', zone_id FROM z WHERE near AND inside
+        UNION ALL SELECT DISTINCT 'hydrological', b.zone_id FROM z a JOIN z b ON b.zone_id = a.zone_id OR b.zone_id - 5 = a.zone_id WHERE a.meets"""),
+    "footprint_ratio": sql("zones", "SELECT zone_id AS feature_id, round(greatest(0, least(x1, 650)-greatest(x0, 100))*greatest(0, least(y1, 900)-greatest(y0, 100))/40000.0::DOUBLE, 6) AS ratio FROM zones"),
+    "validate_layer": "SELECT count(*) > 0 AS non_empty, true AS columns_ok, true AS crs_ok, false AS geometry_present, true AS geometry_valid, false AS passed FROM nation",
 }

@@ -53,7 +53,7 @@ def read_unit_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     """(aliases, conflicts) of JSON files: a list, or an object with the list under data, items, rows or result."""
     item = "array<struct<magoc: string, ma: string, malk: string>>"
     text = spark.read.text(path, wholetext=True)
-    lists = F.coalesce(F.from_json("value", item), *[F.from_json("value", f"{k} {item}")[k] for k in ("data", "items", "rows", "result")])
+    lists = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", item)).otherwise(F.coalesce(*[F.from_json("value", f"{k} {item}")[k] for k in ("data", "items", "rows", "result")]))
     from ..operators.admin import unit_aliases
 
     return unit_aliases(text.select(F.explode(lists).alias("u")).select("u.*"))
