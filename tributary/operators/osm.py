@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import truthy_tag
 
 #: Tag values of the selections.
-AMENITIES = ("hospital", "clinic", "doctors", "pharmacy", "school", "kindergarten", "college", "university", "townhall", "community_centre")
-PLACES = ("city", "town", "village", "hamlet", "isolated_dwelling")
+AMENITIES = ("hospital", "clinic", "school", "kindergarten", "college", "university", "fire_station", "police", "townhall", "shelter")
+PLACES = ("city", "town", "village", "hamlet", "locality")
 NATURAL_WATER = ("water", "bay")
 
 

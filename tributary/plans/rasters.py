@@ -11,7 +11,7 @@ from .spatial import BOX_CLIP, INSIDE, ZONE_BOXES, rounded
 
 GRID = X.grid()
 TIED = X.grid(tied=True)
-PROPERTIES = ["bdod", "cfvo", "clay", "nitrogen", "phh2o", "sand", "silt", "soc"]
+PROPERTIES = ["clay", "sand", "silt", "bdod", "cfvo", "wv0010", "wv0033", "wv1500"]
 DEPTHS = ["0-5cm", "5-15cm", "15-30cm", "30-60cm", "60-100cm", "100-200cm"]
 STATISTICS = ["mean", "uncertainty"]
 LIMITS = [(0, 5), (5, 15), (15, 30), (30, 60), (60, 100), (100, 200)]

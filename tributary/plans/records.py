@@ -355,8 +355,8 @@ def place_status(s, d):
 
 
 def event_rows(s, d):
-    o = X.table(s, d, "orders").select(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).when(F.col("o_orderkey") % 7 == 0, F.lit("note")).otherwise(F.col("o_orderkey").cast("string")).alias("number"), F.col("o_orderstatus").alias("place"), _date_text().alias("time"))
-    return io.read_event_rows(o).select("event_id", "number", "place", F.col("start").cast("string").alias("start_date"))
+    o = X.table(s, d, "orders").select(F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).when(F.col("o_orderkey") % 7 == 0, F.lit("note")).otherwise(F.col("o_orderkey").cast("string")).alias("STT"), F.col("o_orderstatus").alias("Xã/Địa điểm cụ thể"), _date_text().alias("Ngày xảy ra"))
+    return io.read_event_rows(o).select("event_id", F.col("source_row_number").alias("number"), F.col("original_place_text").alias("place"), F.col("event_date_start").cast("string").alias("start_date"))
 
 
 def _basins(s, d):

@@ -11,9 +11,21 @@ from ..functions import text as T
 from ..operators import catalog, raster
 
 #: Columns of event rows by their meaning, and file signatures.
-EVENT_COLUMNS = {"number": "number", "province": "province", "place": "place", "district": "district", "time": "date_text", "type": "event_type", "deaths": "deaths", "missing": "missing", "injured": "injured", "damage": "damage", "source": "source"}
+EVENT_COLUMNS = {
+    "STT": "source_row_number",
+    "Năm": "event_year",
+    "Huyện/Khu vực huyện": "original_district_text",
+    "Xã/Địa điểm cụ thể": "original_place_text",
+    "Ngày xảy ra": "original_date_text",
+    "Thời gian/Giờ xảy ra": "original_time_text",
+    "Loại sự kiện": "event_type",
+    "Mô tả ngắn": "description",
+    "Nguồn tin": "source_name",
+    "Link minh chứng": "evidence_url",
+    "Ghi chú": "notes",
+}
 SIGNATURES = {"shapefile": ["0000270A"], "tiff": ["49492A00", "49492B00", "4D4D002A", "4D4D002B"], "zip": ["504B0304", "504B0506"], "gzip": ["1F8B"], "pdf": ["25504446"]}
-EXCLUDED = r"(^|/)(outputs|\.venv|venv|__pycache__)/|\.(part|partial|tmp)$"
+EXCLUDED = r"^(raw|harmonized|derived|catalog|qa)/|^Data/venv/|\.partial(/|$)"
 WHOLE_FILE_LIMIT = 2_000_000_000
 POINT = "array<double>"
 
@@ -60,12 +72,12 @@ def read_unit_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 
 def read_event_rows(rows: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
-    """Numbered rows only, columns renamed, event_id ``historical-flood:<n>``, dates parsed."""
+    """Numbered rows only, columns renamed, with event_id ``historical-flood:<n>``, event_date_start and event_date_end."""
     names = EVENT_COLUMNS if columns is None else columns
-    out = rows.select(*[F.col(a).alias(b) for a, b in names.items() if a in rows.columns])
-    out = out.withColumn("number", T.integral_or_null(F.col("number").try_cast("double"))).filter("number IS NOT NULL")
-    start, end = T.parse_event_dates(F.col("date_text"))
-    return out.withColumns({"event_id": F.concat(F.lit("historical-flood:"), F.col("number").cast("string")), "start": start, "end": end})
+    out = rows.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items() if a in rows.columns])
+    out = out.withColumn("source_row_number", T.integral_or_null(F.col("source_row_number").try_cast("double"))).filter("source_row_number IS NOT NULL")
+    start, end = T.parse_event_dates(F.col("original_date_text"))
+    return out.withColumns({"event_id": F.concat(F.lit("historical-flood:"), F.col("source_row_number").cast("string")), "event_date_start": start, "event_date_end": end})
 
 
 def scan_assets(spark: SparkSession, root: str, glob: str = "*", content: bool = True) -> DataFrame:
@@ -73,7 +85,9 @@ def scan_assets(spark: SparkSession, root: str, glob: str = "*", content: bool =
 
     Contents above the size a binary row may hold are not read; their checksum is null.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).filter(~F.col("path").rlike(EXCLUDED))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    inner = F.substring_index("path", root.split(":", 1)[-1].rstrip("/") + "/", -1)
+    files = files.filter(~inner.rlike(EXCLUDED))
     base = [F.col("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")]
     if not content:
         return files.select(*base, F.lit(None).cast("string").alias("checksum"), F.lit(None).cast("string").alias("head"))
