@@ -31,6 +31,9 @@ DIMENSIONS, GRID_BITS, SEED = 3, 16, 7
 CACHE, CHUNK = 200_000, 500_000
 #: Signs, letters whose lower case is their own and that no following sign changes, signs.
 PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-/:-@\[-`{-~]*)").fullmatch
+#: Texts of such letters, signs and white space only are cut into runs as a whole.
+PURE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f \n!-&(-/:-@\[-`{-~]*").fullmatch
+SIGNS = re.compile(r"[!-&(-/:-@\[-`{-~]+").sub
 UNCLEAR = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizer
 
 
@@ -165,10 +168,12 @@ class WordTokenizer:
             self.words.clear()
         if len(self.runs) > CACHE:
             self.runs = {"": b""}
-        split = [None if any(c in t for c in UNCLEAR) else t.split() for t in texts]
+        pure = [SIGNS(r" \g<0> ", t.lower()).split() if PURE(t) else None for t in texts]
+        self._learn_runs(list(set().union(*(rs for rs in pure if rs)) - self.runs.keys()))
+        split = [t.split() if rs is None and not any(c in t for c in UNCLEAR) else None for t, rs in zip(texts, pure, strict=True)]
         self._learn(set().union(*(ws for ws in split if ws)) - self.words.keys())
-        get = self.words.__getitem__
-        return [self._direct([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split, strict=True)]
+        runs, words = self.runs.__getitem__, self.words.__getitem__
+        return [b"".join(map(runs, rs)) if rs is not None else b"".join(map(words, ws)) if ws is not None else self._direct([t])[0] for t, rs, ws in zip(texts, pure, split, strict=True)]
 
 
 @lru_cache(maxsize=1)
