@@ -2,43 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: dict[str, str] = {}
+from ..sources.scratch import materialise, shared_dir
+
+__all__ = ["materialise", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is ``spark.checkpoint.dir`` of the session. Where that is unset, a temporary folder serves in
-    local mode, and anything else is an error: a machine-local folder would lose rows on a cluster.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _LOCAL[app] = tempfile.mkdtemp(prefix="tributary-")
-    return _LOCAL[app]
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    The result doesn't depend on any executor that is lost later, and several branches may read it
-    without computing it again.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
