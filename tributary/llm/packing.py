@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from .common import materialise, table
 
 LENGTH, CLOSING = 2048, 1
 DIMENSIONS, GRID_BITS, SEED = 3, 16, 7
-CACHE, CHUNK = 200_000, 500_000
+CACHE, CHUNK = 400_000, 500_000
 #: Signs, letters whose lower case is their own and that no following sign changes, signs.
 PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-/:-@\[-`{-~]*)").fullmatch
 #: Texts of such letters, signs and white space only are cut into runs as a whole.
@@ -169,11 +170,24 @@ class WordTokenizer:
         if len(self.runs) > CACHE:
             self.runs = {"": b""}
         pure = [SIGNS(r" \g<0> ", t.lower()).split() if PURE(t) else None for t in texts]
-        self._learn_runs(list(set().union(*(rs for rs in pure if rs)) - self.runs.keys()))
+        found = [None if rs is None else list(map(self.runs.get, rs)) for rs in pure]  # one look-up a run; those not found are filled in below
+        gaps = [rs is not None and None in got for rs, got in zip(pure, found, strict=True)]
+        self._learn_runs(list({r for rs, got, gap in zip(pure, found, gaps, strict=True) if gap for r, v in zip(rs, got, strict=True) if v is None}))
         split = [t.split() if rs is None and not any(c in t for c in UNCLEAR) else None for t, rs in zip(texts, pure, strict=True)]
-        self._learn(set().union(*(ws for ws in split if ws)) - self.words.keys())
-        runs, words = self.runs.__getitem__, self.words.__getitem__
-        return [b"".join(map(runs, rs)) if rs is not None else b"".join(map(words, ws)) if ws is not None else self._direct([t])[0] for t, rs, ws in zip(texts, pure, split, strict=True)]
+        self._learn(missing((ws for ws in split if ws), self.words))
+        runs, words, out = self.runs, self.words.__getitem__, []
+        for t, rs, got, gap, ws in zip(texts, pure, found, gaps, split, strict=True):
+            if gap:
+                got = [runs[r] if v is None else v for r, v in zip(rs, got, strict=True)]
+            out.append(b"".join(got) if rs is not None else b"".join(map(words, ws)) if ws is not None else self._direct([t])[0])
+        return out
+
+
+def missing(lists: Iterable[list[str]], known: dict[str, bytes]) -> set[str]:
+    out: set[str] = set()
+    for words in lists:
+        out.update(filterfalse(known.__contains__, words))
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -215,7 +229,7 @@ def tokens(docs: DataFrame, path: str, closing: int = CLOSING) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
-        axes = np.random.default_rng(SEED).standard_normal((max(tokenizer.size, closing + 1), DIMENSIONS)).astype(np.float32)
+        axes = np.random.default_rng(SEED).standard_normal((DIMENSIONS, max(tokenizer.size, closing + 1))).astype(np.float32)
         end = np.array([closing], tokenizer.kind).tobytes()
         for batch in batches:
             at, texts = 0, [t or "" for t in batch.column(1).to_pylist()]
@@ -226,7 +240,7 @@ def tokens(docs: DataFrame, path: str, closing: int = CLOSING) -> DataFrame:
                     to += 1
                 ids = [x + end for x in tokenizer.encode(texts[at:to])]
                 lines = [np.frombuffer(x, tokenizer.kind) for x in ids]
-                spot = np.array([axes[x].sum(axis=0, dtype=np.float64) for x in lines])
+                spot = np.array([[axis[x].sum(dtype=np.float64) for axis in axes] for x in lines])
                 spot /= np.linalg.norm(spot, axis=1, keepdims=True)
                 place = hilbert(np.clip((spot + 1) / 2 * (1 << GRID_BITS), 0, (1 << GRID_BITS) - 1).astype(np.int64))
                 counts = pa.array([len(x) for x in lines], pa.int64())
