@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Land-cover classes of the reference product.
+#: Codes and names of land-cover classes.
 CLASSES = {10: "tree_cover", 20: "shrubland", 30: "grassland", 40: "cropland", 50: "built_up", 60: "bare_sparse", 70: "snow_ice", 80: "permanent_water", 90: "herbaceous_wetland", 95: "mangroves", 100: "moss_lichen"}
 CODES = [0, *CLASSES]
 SIDE = 100  # pixels of a raster's side

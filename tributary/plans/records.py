@@ -646,4 +646,13 @@ ORACLE_SQL = {
     "write_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
     "write_report": "SELECT 'https://[REDACTED]@h/x' AS expected, 'Bearer [REDACTED]' AS message, doc_id%2 = 0 AS passed, count(*) AS n FROM documents GROUP BY doc_id%2 = 0",
     "read_unit_index": "SELECT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, CASE WHEN p_partkey >= 10000 THEN 2 ELSE 3 END::BIGINT AS aliases FROM part",
+    "resolve_places": """WITH old AS (SELECT p_partkey AS k, p_partkey%8//2 + 4*(p_partkey//16) AS unit, lower(p_name) || ' ' || p_partkey%40 AS name FROM part WHERE p_partkey < 64),
+        cur AS (SELECT unit, min_by(name, k) AS name FROM old GROUP BY unit), per_unit AS (SELECT name, unit, count(*) AS n FROM old GROUP BY name, unit),
+        lookup AS (SELECT 'current' AS regime, name, list_sort(list(DISTINCT lpad(unit::VARCHAR, 5, '0'))) AS codes, false AS unsure FROM cur GROUP BY name
+          UNION ALL SELECT 'historical', name, coalesce(list_sort(list(DISTINCT lpad(unit::VARCHAR, 5, '0')) FILTER (n = 1)), []), bool_or(n > 1) FROM per_unit GROUP BY name),
+        ev AS (SELECT doc_id AS k, CASE WHEN doc_id%9 = 0 THEN NULL WHEN doc_id%2 = 0 THEN 'historical' ELSE 'current' END AS regime, cur.name AS cn, old.name AS o FROM documents JOIN cur ON cur.unit = doc_id%16 JOIN old ON old.k = doc_id*7%64),
+        hits AS (SELECT DISTINCT ev.k, l.name, l.codes, l.unsure FROM ev JOIN lookup l ON l.regime = ev.regime AND (l.name = cn OR l.name = o) WHERE ev.k%5 != 0 AND (ev.regime = 'historical' OR NOT (ev.k%4 = 0 AND l.name = cn))),
+        sums AS (SELECT k, string_agg(name, '|' ORDER BY name) AS names, array_to_string(list_sort(list_distinct(flatten(list(codes)))), ',') AS codes, bool_and(len(codes) = 1 AND NOT unsure) AS sure, bool_or(unsure) AS unsure FROM hits GROUP BY k)
+        SELECT ev.k::VARCHAR AS event_id, regime, coalesce(names, '') AS names, coalesce(codes, '') AS codes, CASE WHEN sure THEN 'matched' WHEN codes != '' OR unsure THEN 'ambiguous' ELSE 'unresolved' END AS match_status,
+          CASE WHEN sure THEN 1.0 WHEN codes != '' OR unsure THEN 0.5 ELSE 0.0 END::DOUBLE AS match_confidence FROM ev LEFT JOIN sums ON sums.k = ev.k""",
 }
