@@ -131,15 +131,12 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
-def test_sharding(spark):
+def test_sharding(spark, tmp_path):
     rows = [(i, "x" * (i * 37 % 900)) for i in range(3000)] + [(5, "x"), (5, "x"), (None, "y"), (None, None)]
     rows_df = sharding.slotted(docs(spark, rows), 512)
     weights = sharding.slot_weights(rows_df)
     to = sharding.plan(weights, 10)
-    path = None
-    from tributary.llm.common import shared_dir
-
-    path = f"{shared_dir(spark)}/maps-test"
+    path = str(tmp_path / "maps")
     sharding.store_map(spark, path, 1, to, weights)
     got = sharding.place(rows_df, sharding.load_map(spark, path)).collect()
     load, places = defaultdict(int), defaultdict(list)
