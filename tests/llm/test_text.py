@@ -104,6 +104,30 @@ def test_quality_rejects_depleted_documents(spark):
     assert quality.judge(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_quality_counts_documents_not_copies(spark):
+    own = lambda i, n=30: " ".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest()[:8].translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(n))
+    template = [own(f"menu{k}", 15) for k in range(6)]
+    rows = [(f"t{n}", 1000 * n + i, "\n".join([*template[:3], own(f"page{n}-{i}", n), *template[3:]])) for n in (6, 10, 15) for i in range(40)]  # 6 to 14 in a hundred words are own
+    shared = own("shared")
+    rows += [("big", 20_000 + i, f"{shared}\n{own(i)}") for i in range(200)] + [("big", 30_000 + i, f"{shared}\n{own('copied')}") for i in range(900)]
+    base = [own(f"line{k}", 12).split() for k in range(10)]
+    rng = random.Random(5)
+    near = [[list(line) for line in base] for _ in range(300)]
+    for i, copy in enumerate(near):  # a word in twenty is another
+        for k in rng.sample(range(120), 6):
+            copy[k // 12][k % 12] = own(f"swap{i}-{k}", 1)
+    rows += [("near", 40_000 + i, "\n".join(map(" ".join, copy))) for i, copy in enumerate(near)]
+    tail = own("tail", 40).split()
+    rows += [("tail", 50_000 + i, "\n".join([own("head", 40), " ".join([*tail[: i % 40], own(f"one{i}", 1), *tail[i % 40 + 1 :]])])) for i in range(200)]
+    df = spark.createDataFrame([(i, t, h) for h, i, t in rows], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert len(got) == len(rows)
+    for n in (6, 10, 15):
+        assert all(not got[1000 * n + i].kept and got[1000 * n + i].words_left == n for i in range(40))
+    assert all(got[20_000 + i].words_left == 30 for i in range(200)) and all(got[30_000 + i].words_left == 30 for i in range(900))
+    assert all(got[40_000 + i].words_left == 120 for i in range(300)) and all(got[50_000 + i].words_left == 80 for i in range(200))
+
+
 BASE = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
 
