@@ -82,6 +82,16 @@ def test_cycle_is_found(spark):
     assert {(r.root_id, r.node_id, r.state) for r in c.filter("state = 'missing'").collect()} == {(3, 4, "missing")}
 
 
+def test_deep_lineage_is_whole(spark):
+    n = 70
+    e = spark.createDataFrame([(i, i + 1) for i in range(n)], "asset_id long, depends_on long").coalesce(1)
+    ids = spark.range(n).withColumnRenamed("id", "asset_id").coalesce(1)
+    c = catalog.lineage_closure(e, ids.filter("asset_id = 0"), ids.limit(0), ids)
+    assert c.count() == n + 1 and [r.node_id for r in c.filter("state = 'missing'").collect()] == [n]
+    with pytest.raises(RuntimeError):
+        catalog.lineage_closure(e, ids.filter("asset_id = 0"), ids.limit(0), ids, depth=2)
+
+
 def test_write_replaces_whole_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in (5, 3):

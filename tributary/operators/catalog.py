@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
 #: States and their legal successors.
 LEGAL = {
     "discovered": ("fetching", "validated", "failed"),
@@ -111,19 +113,22 @@ def match_identity(catalog: DataFrame, remote: DataFrame) -> DataFrame:
     return remote.alias("r").join(catalog.alias("c"), same).select("r.*", F.col("c.asset_id").alias("catalog_id"))
 
 
-def lineage_closure(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: DataFrame, depth: int = 64) -> DataFrame:
+def lineage_closure(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: DataFrame, depth: int = 10_000) -> DataFrame:
     """(root_id, node_id, state) of all nodes below each root; state: raw, inner, missing or childless.
 
     Edges (asset_id, depends_on). A round joins the frontier with the edges; nodes seen before end a path, so cycles end; a node that is its own root again is cyclic.
+    Rounds go on until the frontier is empty; more than ``depth`` levels are an error. Each round is written to the shared folder.
     """
     seen = roots.select(F.col("asset_id").alias("root_id"), F.col("asset_id").alias("node_id")).distinct()
-    front = seen
-    for _ in range(depth):
+    front = seen = materialise(seen, "lineage")
+    for _ in range(depth + 1):
         step = front.join(edges.withColumnRenamed("asset_id", "node_id"), "node_id").select("root_id", F.col("depends_on").alias("node_id")).distinct()
-        front = step.join(seen, ["root_id", "node_id"], "left_anti").checkpoint() if seen.sparkSession.sparkContext.getCheckpointDir() else step.join(seen, ["root_id", "node_id"], "left_anti")
+        front = materialise(step.join(seen, ["root_id", "node_id"], "left_anti"), "front")
         if front.isEmpty():
             break
-        seen = seen.unionByName(front)
+        seen = materialise(seen.unionByName(front), "lineage")
+    else:
+        raise RuntimeError(f"lineage is deeper than {depth} levels")
     flag = lambda df, key, name: df.select(F.col(key).alias("node_id")).distinct().withColumn(name, F.lit(True))
     out = seen.join(flag(known, "asset_id", "known"), "node_id", "left").join(flag(raw, "asset_id", "raw"), "node_id", "left").join(flag(edges, "asset_id", "parent"), "node_id", "left")
     state = F.when(F.col("known").isNull(), "missing").when(F.col("raw").isNotNull(), "raw").when(F.col("parent").isNull(), "childless").otherwise("inner")
