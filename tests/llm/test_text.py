@@ -4,8 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
-import pytest
 import public_tokenizers
+import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.test_dedup import docs
@@ -20,7 +20,6 @@ def random_texts(n, size, seed=0, alphabet=WEIRD):
 
 
 def test_byte_bpe_equals_the_library():
-    tiktoken = pytest.importorskip("tiktoken")
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     own = byte_bpe.BytePairEncoder(ranks, public_tokenizers.PATTERN)
@@ -30,11 +29,22 @@ def test_byte_bpe_equals_the_library():
         assert own.decode(ids).decode() == t
 
 
-def test_word_tokenizer_equals_the_library():
+def joined(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])[:-1]
+
+
+def test_word_tokenizer_equals_the_library(monkeypatch):
     own = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    texts = random_texts(600, 150, 1) + random_texts(400, 100, 3, "abÀé !?., \n_-") + ["", "don't 'tis \"it's\" (x), dogs' ...", "ñandú, À… ª º µ", "q" * 200]
-    for t, ids in zip(texts, own.encode(texts), strict=True):
-        assert np.frombuffer(ids, own.kind).tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids
+    texts = random_texts(600, 150, 1) + random_texts(400, 100, 3, "abÀé !?., \n_-7") + random_texts(600, 60, 5, WEIRD + "àÀ×÷ßĀāįĮİŁ²½'sT12") + ["", "don't 'tis \"it's\" (x), dogs' ...", "ñandú, À… ª º µ", "q" * 200, ""]
+    for some in (texts, texts[::-1], [""], [" "]):  # the second time from the cache
+        ids, counts = own.encode(*joined(some))
+        for t, got in zip(some, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert got.tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids
+    monkeypatch.setattr(packing, "CHUNK", 100)  # a long text is worked off in pieces
+    for t in [" ".join(random_texts(50, 30, 7)), "q" * 300 + " end", " " * 250]:
+        ids, counts = packing.encoded(own, *joined([t]))
+        assert ids.tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
 
 
 def test_hilbert_visits_neighbours():
@@ -89,43 +99,62 @@ def test_quality_counts():
     assert quality.measure(None)[:5] == (0, 0, 0, 0, 0)
 
 
-def test_quality_rejects_depleted_documents(spark):
-    common = "this boilerplate line is found on every page of the host and says nothing at all to anyone"
-    own = lambda i, n=30: " ".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest()[:8] for k in range(n))
-    rows = [(i, f"{common}\n{own(i)}") for i in range(60)] + [(100, f"{common}\nab cd ef gh")] + [(200 + i, own("same")) for i in range(80)]
-    near = [(400 + i, f"{own('near', 40)}\n{own('tail', 40)} {i}") for i in range(80)]
-    got = {r.doc_id: r for r in quality.judge(docs(spark, rows + near + [(900, None)])).collect()}
-    assert all(got[i].kept and got[i].words_left == 30 for i in range(60))
-    assert not got[100].base_failed and not got[100].kept
-    assert all(got[i].kept for i in range(200, 280)) and all(got[i].kept for i in range(400, 480))
-    assert got[900].base_failed and not got[900].kept
-    out = {r.doc_id: r.text for r in quality.cleaned(docs(spark, rows)).collect()}
-    assert out[3] == own(3) and 100 not in out
-    assert quality.judge(docs(spark, rows).limit(0)).count() == 0
-
-
-def test_quality_counts_documents_not_copies(spark):
-    own = lambda i, n=30: " ".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest()[:8].translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(n))
-    template = [own(f"menu{k}", 15) for k in range(6)]
-    rows = [(f"t{n}", 1000 * n + i, "\n".join([*template[:3], own(f"page{n}-{i}", n), *template[3:]])) for n in (6, 10, 15) for i in range(40)]  # 6 to 14 in a hundred words are own
-    shared = own("shared")
-    rows += [("big", 20_000 + i, f"{shared}\n{own(i)}") for i in range(200)] + [("big", 30_000 + i, f"{shared}\n{own('copied')}") for i in range(900)]
-    base = [own(f"line{k}", 12).split() for k in range(10)]
-    rng = random.Random(5)
-    near = [[list(line) for line in base] for _ in range(300)]
-    for i, copy in enumerate(near):  # a word in twenty is another
-        for k in rng.sample(range(120), 6):
-            copy[k // 12][k % 12] = own(f"swap{i}-{k}", 1)
-    rows += [("near", 40_000 + i, "\n".join(map(" ".join, copy))) for i, copy in enumerate(near)]
-    tail = own("tail", 40).split()
-    rows += [("tail", 50_000 + i, "\n".join([own("head", 40), " ".join([*tail[: i % 40], own(f"one{i}", 1), *tail[i % 40 + 1 :]])])) for i in range(200)]
-    df = spark.createDataFrame([(i, t, h) for h, i, t in rows], "doc_id long, text string, source string")
-    got = {r.doc_id: r for r in quality.judge(df).collect()}
-    assert len(got) == len(rows)
-    for n in (6, 10, 15):
-        assert all(not got[1000 * n + i].kept and got[1000 * n + i].words_left == n for i in range(40))
-    assert all(got[20_000 + i].words_left == 30 for i in range(200)) and all(got[30_000 + i].words_left == 30 for i in range(900))
-    assert all(got[40_000 + i].words_left == 120 for i in range(300)) and all(got[50_000 + i].words_left == 80 for i in range(200))
+def normal(line):
+    return re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), " ".join(re.findall(r"[^\x20\x09-\x0D]+", line))))
+
+
+def brute_quality(rows, max_docs, min_left):
+    """{(doc_id, text, host): (words_left, kept, text without frequent lines)} by plain counting over distinct texts."""
+    held = Counter()
+    for t, h in {(t or "", h or "") for _, t, h in rows}:
+        held.update((h, line) for line in {normal(x) for x in t.split("\n")} - {""})
+    out = {}
+    for i, t, h in rows:
+        lines = [x for x in (t or "").split("\n") if held[h or "", normal(x)] <= max_docs or not normal(x)]
+        n, *_, again = brute_counts(t or "")
+        left = sum(len(normal(x).split()) for x in lines)
+        out[i, t, h] = (left, n >= 20 and 100 * again <= 30 * n and left >= min_left * n, "\n".join(lines))
+    return out
+
+
+def words(i, n):
+    return " ".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest()[:8] for k in range(n))
+
+
+def check_quality(spark, rows, max_docs=quality.MAX_DOCS, min_left=quality.MIN_LEFT):
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("e") for c in ("host", "removed_lines", "v_host", "c0", "a.b", "text_key")})
+    want = brute_quality(rows, max_docs, min_left)
+    got = quality.judge(df, "source", max_docs, min_left).collect()
+    assert Counter((r.doc_id, r.host, r.words_left, r.kept) for r in got) == Counter((i, h or "", *want[i, t, h][:2]) for i, t, h in rows)
+    out = quality.cleaned(df, "source", max_docs, min_left)
+    assert out.columns == df.columns
+    kept = out.collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in kept) == Counter((i, want[i, t, h][2], h) for i, t, h in rows if want[i, t, h][1])
+    assert all(r.host == r.v_host == r["a.b"] == r.c0 == "e" for r in kept)
+    return {r.doc_id: r for r in got}
+
+
+def test_line_frequency_equals_plain_counting(spark):
+    rng = random.Random(6)
+    lines = [words(f"line{k}", rng.randint(1, 12)) for k in range(12)] + ["", " ", "A  b\tC", "a b c", "page 12", "Page 77 "]
+    rows = [(rng.randint(0, 300), "\n".join([words(rng.randint(0, 60), rng.randint(0, 30)), *rng.choices(lines, k=rng.randint(0, 6))]), rng.choice(["h1", "h2", "", None])) for _ in range(500)]
+    rows += rows[:40] + [(900, None, "h1"), (901, "", None), (None, rows[3][1], "h1"), (902, "\n".join(words(k, 3) for k in range(20_000)), "h1")]
+    for max_docs, min_left in ((5, 0.2), (20, 0.5), (0, 0.1)):
+        check_quality(spark, rows, max_docs, min_left)
+    empty = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert quality.judge(empty).count() == 0 and quality.cleaned(empty).count() == 0
+
+
+def test_pages_of_shared_lines_are_depleted(spark):
+    """Pages of two shared lines with 4 to 30 words of their own, a line shared by one large group of copies and by many pages, and a line at the limit."""
+    rows = [(1000 * n + i, "\n".join([words(f"menu{n}", shared), words(f"{n}-{i}", n), words(f"foot{n}", shared)]), f"t{n}") for n, shared in ((4, 30), (6, 60), (10, 40), (30, 30)) for i in range(200)]
+    shared = words("shared", 15)
+    rows += [(50_000 + i, f"{shared}\n{words(i, 30)}", "big") for i in range(60)] + [(60_000 + i, f"{shared}\n{words('copied', 30)}", "big") for i in range(900)]
+    rows += [(70_000 + i, f"{shared}\n{words(i, 30)}", "few") for i in range(quality.MAX_DOCS)]
+    got = check_quality(spark, rows)
+    for n in (4, 6, 10, 30):
+        assert all(got[1000 * n + i].words_left == n and got[1000 * n + i].kept == (n == 30) for i in range(200))
+    assert all(got[i].words_left == 30 for i in (*range(50_000, 50_060), *range(60_000, 60_900))) and all(got[70_000 + i].words_left == 45 for i in range(quality.MAX_DOCS))
 
 
 BASE = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
@@ -148,7 +177,7 @@ def test_base_spans(spark):
     parts = ["1", "2", "55", "4111111111111111", "a", "b.c", "@", "@x.y", ".", "-", " ", "+1", "+", "é", "😀", "\n", "(", ")", "1.2.3.4", "300.1.1.1", "_", "%", "00001.2.3.4", "+1 (555) 010-9999"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 50))) for _ in range(600)] + ["", None, "a@b.c_d@e.f@g.h", "9" * 3000, "a." * 3000 + "@", "x@" + "a." * 3000 + "b"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.s] for r in pii.with_spans(df).select("doc_id", pii.of_kind(F.col("__found"), *pii.PATTERNS).alias("s")).collect()}
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found if s.kind in pii.PATTERNS] for r in pii.spans(df).collect()}
     for i, t in enumerate(texts):
         assert got[i] == [(k, m.start(), m.end()) for k, p in BASE for m in re.finditer(p, t or "") if valid(k, m[0])]
 
