@@ -1,20 +1,15 @@
 """Quality rules: base counts of each document, and line frequency across documents.
 
-One pass over the texts makes the base counts and, per document, its distinct normalised lines as 64-bit hashes, each with
-a sketch: its ``SKETCH`` smallest hashes of three-word runs (of words, in lines of 2 to 5 words). Per host, a line that more
-than ``max_docs`` different texts hold is common; a common line is above the limit if more than ``max_docs`` distinct documents
-hold it. What makes a document distinct is its own text, the lines that aren't common: one that shares a sketch value
-with a common line is an altered copy of it, the others are new. With more new words than altered ones a document stands
-for itself, named by the most frequent sketch value of its longest new line, so altered copies of that line have few names. With fewer it is a near copy, and
-all near copies with a line count once. Without own text it is named by its whole normalised text, so copies count once. Lines
-above the limit are removed, and a document that has under ``min_left`` of its words left is rejected.
-
-Normalised: white space collapsed, A-Z lower-cased, digits replaced by 0. Counting never meets in one task: hot lines are
-first grouped by (host, line, name) and combined in the mappers. One-word lines are neither new nor altered. A word that is
-changed alters three runs at most, so of four values the smallest common one is always among both sketches.
+One pass over the texts makes the base counts and, per document, its distinct normalised lines as 64-bit hashes. Per host, the documents
+that hold a line are counted; a line that more than ``max_docs`` distinct documents hold is above the limit. A document is a distinct whole text, so
+exact copies count once. Lines above the limit are removed, and a document that has under ``min_left`` of its words left is rejected.
+
+Normalised: white space collapsed, A-Z lower-cased, digits replaced by 0. Counting never meets in one task: lines are first made
+distinct by (host, line, text), then counted per (host, line) with a partial count in the mappers.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host counts as the empty host.
-Rows with equal id and text are judged alike. Extra columns are ignored by ``judge`` and carried along by ``cleaned``.
+Rows with equal id and text are judged alike. A line held by just ``max_docs`` documents stays. A long text is one row with one entry a distinct
+line; it is read line by line and never cut. An empty table gives an empty result. Extra columns are ignored by ``judge`` and carried along by ``cleaned``, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,17 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, numbered, restored, table
 
 MAX_DOCS, MIN_LEFT = 20, 0.2
 RUN = 8
-SKETCH = 4
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MEASURED = ", ".join(f"{c} long" for c in BASE) + ", digest long, lines array<struct<h: long, n: long, sketch: array<int>>>"
+MEASURED = ", ".join(f"{c} long" for c in BASE) + ", lines array<struct<h: long, n: long>>"
 SPACE = bytes(range(9, 14)) + b" "
 DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 SYMBOLS = "#*$%&|<>"
-MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def repeated_words(ids: np.ndarray, run: int = RUN) -> int:
@@ -60,8 +53,14 @@ def repeated_words(ids: np.ndarray, run: int = RUN) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+def line_hash(words: list[bytes]) -> int:
+    """The signed hash of a normalised line."""
+    h = xxhash.xxh3_64_intdigest(b" ".join(words).lower().translate(DIGITS))
+    return h - (1 << 64) if h >> 63 else h
+
+
 def measure(text: str | None) -> tuple:
-    """The base counts and the distinct lines of one text."""
+    """The base counts and the distinct lines of one text, with their words."""
     text = text or ""
     by_line = [(line, line.encode().split()) for line in text.split("\n")]
     by_line = [(line, words) for line, words in by_line if words]
@@ -69,51 +68,22 @@ def measure(text: str | None) -> tuple:
     n = len(words)
     symbols = sum(map(text.count, SYMBOLS))
     if not n:
-        return 0, 0, symbols, 0, 0, 0, []
-    number = {}
+        return 0, 0, symbols, 0, 0, []
+    number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
     chars = len(text) - sum(map(text.count, SPACE.decode()))
     dup_lines = len(by_line) - len({line for line, _ in by_line})
-
-    plain = [b" ".join(ws).lower().translate(DIGITS) for _, ws in by_line]
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    merged: dict[int, list] = {}
-    for (_, ws), line, least in zip(by_line, plain, sketches([line.split() for line in plain]), strict=True):
-        merged.setdefault(xxhash.xxh3_64_intdigest(line), [0, least])[0] += len(ws)
-    lines = [{"h": signed(h), "n": c, "sketch": least} for h, (c, least) in merged.items()]
-    return n, chars, symbols, dup_lines, repeated_words(ids), signed(xxhash.xxh3_64_intdigest(b"\n".join(plain))), lines
-
-
-def sketches(by_line: list[list[bytes]]) -> list[list[int]]:
-    """Per line its smallest hashes of runs of three words, of single words in lines of 2 to 5 words, none in one of one word."""
-    number: dict[bytes, int] = {}
-    counts = np.array([len(ws) for ws in by_line])
-    n = int(counts.sum())
-    ids = np.fromiter((number.setdefault(w, len(number)) for ws in by_line for w in ws), np.int64, n)
-    word_hash = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))[ids]
-    starts = np.cumsum(counts) - counts
-    of = np.repeat(np.arange(len(counts)), counts)
-    left = (starts + counts)[of] - np.arange(n)  # words of the line from here on
-    long = counts[of] > 5
-    runs = word_hash * MIX[0]
-    for k in (1, 2):
-        runs[:-k] += np.where(long[:-k] & (left[:-k] > k), word_hash[k:] * MIX[k], 0)
-    runs ^= runs >> np.uint64(29)
-    runs *= MIX[1]
-    whole = np.flatnonzero((left >= np.where(long, 3, 1)) & (counts[of] > 1))
-    runs, of = (runs[whole] >> np.uint64(32)).astype(np.uint32), of[whole]
-    order = np.lexsort((runs, of))
-    runs, of = runs[order], of[order]
-    first = np.searchsorted(of, np.arange(len(counts) + 1))
-    values = runs.view(np.int32).tolist()
-    return [values[a : min(b, a + SKETCH)] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    merged: dict[int, int] = {}
+    for _, ws in by_line:
+        h = line_hash(ws)
+        merged[h] = merged.get(h, 0) + len(ws)
+    return n, chars, symbols, dup_lines, repeated_words(ids), [{"h": h, "n": c} for h, c in merged.items()]
 
 
 def _measured(docs: DataFrame, host: str) -> DataFrame:
     schema = "doc_id long, text_key long, text_bytes int, host string, " + MEASURED
-    line = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int32()))]))
-    kinds = [pa.int64()] * (len(BASE) + 1) + [line]
-    names = ["doc_id", "text_key", "text_bytes", "host", *BASE, "digest", "lines"]
+    kinds = [pa.int64()] * len(BASE) + [pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))]
+    names = ["doc_id", "text_key", "text_bytes", "host", *BASE, "lines"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -135,48 +105,18 @@ def keyed(docs: DataFrame) -> DataFrame:
 KEY = ["doc_id", "text_key", "text_bytes"]
 
 
-def common_lines(found: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """(row, host, digest, h, n, sketch) of the lines that more than ``max_docs`` different texts of a host hold."""
-    lines = found.select("row", "host", "digest", F.explode("lines").alias("line")).select("row", "host", "digest", "line.*")
-    texts = lines.select("host", "h", "digest").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("texts"))
-    return lines.join(materialise(texts.filter(F.col("texts") > max_docs).select("host", "h"), "repeated"), ["host", "h"])
-
-
-def own_text(found: DataFrame, hits: DataFrame) -> DataFrame:
-    """(row, new, altered, name) of rows with common lines (``hits``): words of new and of altered lines, and a name where new ones prevail."""
-    key = F.xxhash64("host", "value")
-    common = hits.groupBy("row").agg(F.collect_list("h").alias("common"))
-    own = F.filter("lines", lambda x: ~F.array_contains("common", x["h"]) & (F.size(x["sketch"]) > 0))
-    rest = materialise(found.select("row", "host", "lines").join(common, "row").select("row", "host", F.transform(own, lambda x: F.struct(x["n"].alias("n"), x["sketch"].alias("sketch"))).alias("own")), "rest")
-    of_common = materialise(hits.select("host", F.explode("sketch").alias("value")).select(key.alias("key")).distinct(), "of_common")
-    each = rest.select("row", "host", F.posexplode("own").alias("at", "line")).select("row", "at", "host", F.explode("line.sketch").alias("value")).select("row", "at", key.alias("key"))
-    found_again = each.join(of_common, "key", "left_semi").groupBy("row").agg(F.collect_set("at").alias("again"))
-    again = F.coalesce("again", F.array().cast("array<int>"))
-    new = F.filter("own", lambda x, i: ~F.array_contains(again, i))
-    words = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + x["n"])
-    judged = rest.join(found_again, "row", "left").select("row", "host", words(new).alias("new"), (words("own") - words(new)).alias("altered"), F.array_max(new)["sketch"].alias("sketch"))
-    judged = materialise(judged, "own")
-    values = judged.filter("new > altered").select("row", "host", F.explode("sketch").alias("value")).select("row", key.alias("key"))
-    held = materialise(values.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "held")
-    names = values.join(held, "key", "left").groupBy("row").agg(F.max(F.struct(F.coalesce("rows", F.lit(1)), "key"))["key"].alias("name"))
-    return judged.select("row", "new", "altered").join(names, "row", "left")
-
-
-def frequent_lines(found: DataFrame, hits: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """(host, h) of the lines above the limit."""
-    kind = F.when(F.col("name").isNotNull(), 1).when(F.coalesce(F.col("new") + F.col("altered"), F.lit(0)) > 0, 2).otherwise(0)
-    name = F.when(kind == 0, F.col("digest")).when(kind == 1, F.col("name")).otherwise(F.lit(0))
-    named = hits.select("row", "host", "h", "digest").join(own_text(found, hits), "row", "left").select("host", "h", kind.alias("kind"), name.alias("name"))
-    return named.distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > max_docs).select("host", "h")
+def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, h) of the lines that more than ``max_docs`` distinct texts of a host hold, from (host, h, text_key)."""
+    return lines.select("host", "h", "text_key").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > max_docs).select("host", "h")
 
 
 def judge(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """Per row: its key, the base counts, base_failed, the words left, the hashes of removed lines, and kept."""
     found = materialise(_measured(docs, host).withColumn("row", F.monotonically_increasing_id()), "measured")
-    hits = materialise(common_lines(found, max_docs), "common")
-    high = materialise(frequent_lines(found, hits, max_docs), "frequent")
-    removed = hits.select("row", "host", "h", "n").join(high, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_removed"), F.collect_list("h").alias("removed_lines"))
-    out = found.drop("lines", "digest").join(removed, "row", "left").withColumn("words_left", F.col("n_words") - F.coalesce("n_removed", F.lit(0)))
+    lines = found.select("row", "host", "text_key", F.explode("lines").alias("line")).select("row", "host", "text_key", "line.h", "line.n")
+    high = materialise(frequent_lines(lines, max_docs), "frequent")
+    removed = lines.join(high, ["host", "h"]).groupBy("row").agg(F.sum("n").alias("n_removed"), F.collect_list("h").alias("removed_lines"))
+    out = found.drop("lines").join(removed, "row", "left").withColumn("words_left", F.col("n_words") - F.coalesce("n_removed", F.lit(0)))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     depleted = F.col("words_left") < F.lit(min_left) * F.col("n_words")
     return out.select(*KEY, "host", *BASE, failed.alias("base_failed"), "words_left", "removed_lines", (~failed & ~depleted).alias("kept"))
@@ -185,15 +125,16 @@ def judge(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_l
 def cleaned(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that stay, without their lines above the limit, in the columns of ``docs``."""
     judged = judge(docs, host, max_docs, min_left).filter("kept").select(*KEY, "host", "removed_lines").dropDuplicates([*KEY, "host"])
-    verdicts = judged.select(*[F.col(c).alias(f"__v_{c}") for c in judged.columns])
-    text = F.coalesce("text", F.lit(""))
-    own = {"__doc_id": F.col("doc_id"), "__text_key": F.xxhash64(text), "__text_bytes": F.octet_length(text), "__host": F.coalesce(F.col(host), F.lit(""))}
-    inner = docs.withColumns(own)
+    verdicts = judged.select(*[F.col(c).alias(f"v_{c}") for c in judged.columns])
+    place = {c: F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text", host)}
+    text = F.coalesce(place["text"], F.lit(""))
+    own = {"doc_id": place["doc_id"], "text_key": F.xxhash64(text), "text_bytes": F.octet_length(text), "host": F.coalesce(place[host], F.lit(""))}
     same = F.lit(True)
-    for k in [*KEY, "host"]:
-        same &= F.col(f"__{k}").eqNullSafe(F.col(f"__v_{k}"))
+    for k, value in own.items():
+        same &= value.eqNullSafe(F.col(f"v_{k}"))
+    inner = numbered(docs)
+    joined = inner.join(verdicts, same).select(*inner.columns, "v_removed_lines")
     at, width = docs.columns.index("text"), len(docs.columns)
-    joined = inner.join(verdicts, same).select(*[F.col(f"`{c}`") for c in docs.columns], "__v_removed_lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,18 +143,13 @@ def cleaned(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    return joined.mapInArrow(run, docs.schema)
+    return restored(joined.mapInArrow(run, inner.schema), docs)
 
 
 def without(text: str, gone: set[int]) -> str:
-    """The text without the lines whose signed hashes are in ``gone``."""
-    keep = []
-    for line in text.split("\n"):
-        words = line.encode().split()
-        h = xxhash.xxh3_64_intdigest(b" ".join(words).lower().translate(DIGITS))
-        if not words or (h - (1 << 64) if h >> 63 else h) not in gone:
-            keep.append(line)
-    return "\n".join(keep)
+    """The text without the lines whose hashes are in ``gone``."""
+    by_line = ((line, line.encode().split()) for line in text.split("\n"))
+    return "\n".join(line for line, words in by_line if not words or line_hash(words) not in gone)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
