@@ -24,9 +24,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back, so no later step depends on a lost executor."""
+def materialise(df: DataFrame, label: str, replaces: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back, so no later step depends on a lost executor.
+
+    ``replaces`` is a table made here that nothing reads any more once the new one is written; its files are deleted.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if replaces is not None:
+        _drop(replaces)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def _drop(made: DataFrame) -> None:
+    spark = made.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(made.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
