@@ -8,10 +8,10 @@ make two texts equal:
 3. by (digest, text): at most ``salts`` winners of each text meet in one place.
 
 No list of members is ever built; rows find their class by an equi-join of ids and digests, which adaptive
-execution splits where a digest is hot.
+execution splits where a digest is hot. Only where the row that stays is repeated, its repetitions are numbered, per salt first.
 
 Defined results: a null text counts as empty. A null id ranks below all others. Rows with equal text and
-equal id are repetitions of one row: all count in ``group_size``, exactly one is kept. An empty table
+equal id are repetitions of one row: all count in ``group_size``, exactly one is kept. Long texts are compared whole. An empty table
 gives an empty result. Extra columns are ignored by ``annotate`` and carried along by ``keep_one``,
 whatever their names.
 """
@@ -50,17 +50,24 @@ def annotate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, salts
         found.groupBy("digest").agg(F.count(F.lit(1)).alias("contents"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")),
         "classes",
     )
-    one = classes.filter("contents = 1").drop("contents")
-    repeats = Window.partitionBy("digest", "doc_id").orderBy("doc_id")
-    ids = keyed.select("doc_id", "digest").withColumn("nth", F.row_number().over(repeats))
-    parts = ids.join(one, "digest")
+    parts = keyed.select("doc_id", "digest").join(classes.filter("contents = 1").drop("contents"), "digest").withColumn("text", F.lit(None).cast("string"))
     shared = classes.filter("contents > 1")
     if not shared.isEmpty():
         both = keyed.join(shared.select("digest"), "digest", "left_semi")
-        nth = F.row_number().over(Window.partitionBy("digest", "text", "doc_id").orderBy("doc_id"))
-        parts = parts.unionByName(both.withColumn("nth", nth).join(found, ["digest", "text"]).drop("text"))
-    kept = (F.col("doc_id").eqNullSafe(F.col("keep_id"))) & (F.col("nth") == 1)
-    return parts.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest")
+        parts = parts.unionByName(both.join(found, ["digest", "text"]))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    out = parts.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest", "text")
+    repeated = materialise(parts.filter(kept).groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("digest").alias("d"), F.col("text").alias("t")), "repeated")
+    if repeated.isEmpty():
+        return out.drop("text")
+    again = F.col("kept") & (F.col("digest") == F.col("d")) & F.col("text").eqNullSafe(F.col("t"))
+    salted = out.join(repeated, again, "left_semi").withColumn("salt", F.spark_partition_id() % salts)
+    first = salted.withColumn("nth", F.row_number().over(Window.partitionBy("digest", "text", "salt").orderBy("doc_id")))
+    least = F.row_number().over(Window.partitionBy("digest", "text").orderBy("salt"))  # a row a salt at most
+    winner = first.filter("nth = 1").withColumn("nth", least).withColumn("kept", F.col("nth") == 1)
+    rest = first.filter("nth > 1").withColumn("kept", F.lit(False))
+    names = ["doc_id", "keep_id", "group_size", "kept", "digest"]
+    return out.join(repeated, again, "left_anti").select(names).unionByName(winner.select(names)).unionByName(rest.select(names))
 
 
 def keep_one(docs: DataFrame, salts: int = SALTS) -> DataFrame:

@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
 Every round is two groupings and two equi-joins; the smallest label of a component spreads in a number of rounds that
-grows with the logarithm of its diameter. Each round is written to the shared folder, so the plan doesn't grow and a lost executor
+grows with the logarithm of its diameter. Each round is written to the shared folder in place of the last, so the plan doesn't grow and a lost executor
 costs one round at most. Edges and components never pass through the driver: only a count and a checksum do.
 """
 
@@ -37,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = None
     for _ in range(ROUNDS):
-        now = materialise(_small_star(_large_star(now)), "stars")
+        now = materialise(_small_star(_large_star(now)), "stars", replaces=now)
         new = mark(now)
         if new == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
