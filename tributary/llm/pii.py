@@ -1,26 +1,29 @@
 """Personal data: patterns, and information-theoretic sanitisation of the terms around them. DataFrame functions only.
 
 Protected entities are the matches of the patterns below. Over all lines of the corpus the operator counts how often each
-term (a run of three or more letters) stands in a line with an entity of each kind. With p(c) the share of lines that hold kind c, the information of
+term (a run of three or more letters) stands in a line, and in a line beside an entity of each kind. With p(c) the share of lines that hold kind c, the information of
 a kind is IC(c) = -log p(c), and what a term tells about it is PMI(t; c) = log(p(t, c) / (p(t) p(c))). A term discloses the kind where
 ``PMI >= disclosure * IC``, that is where seeing the term gives away nearly all of what the redaction hides; it also must stand beside ``support`` different entities, so
-copies of one line prove nothing. Disclosing terms are generalised, or removed, in the lines that hold such an entity.
+copies of one line prove nothing; a line counts by the least of its entities of the kind. Disclosing terms are generalised, or removed, in the lines that hold such an entity.
 
-Positions are in code points. They follow from the pieces between matches: the first match starts after the first piece, and so on. The patterns use possessive
-quantifiers and start only where a run starts or the last match ended, so they find what their plain forms find, in linear time.
+No pattern crosses a line, so texts are cut into lines first. Positions are in code points: those of a match are running sums of the lengths of the pieces
+between matches, those of a line running sums of the lengths of lines, both in windows, so the work grows with the text and not with its square. The patterns use possessive
+quantifiers and start only where a run starts or the last match ended, so they find what their plain forms find, in linear time. Only terms that
+stand beside ``support`` entities are counted over all lines.
 
-Defined results: a null text counts as empty and stays null when sanitised. Rows with equal id and text have equal spans. An empty
-table gives an empty result. Extra columns are ignored by ``spans`` and carried along by ``sanitised``.
+Defined results: a null text counts as empty and stays null when sanitised. Rows with equal id and text have equal spans. Ties: spans that overlap are one mark, of the kind
+that starts first, then ends first. A long text is one row, its lines and spans are rows of their own until they are put together. An empty
+table gives an empty result. Extra columns are ignored by ``spans`` and carried along by ``sanitised``, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, numbered, restored, table
 
 LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -34,6 +37,8 @@ KINDS = [*PATTERNS, *SECRETS]
 TERM = r"\p{L}{3,}+"
 DISCLOSURE, SUPPORT = 0.8, 5
 SPAN = "array<struct<kind: string, start: int, end: int>>"
+BLOCK = 4096
+BROADCAST_TERMS = 100_000
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -45,6 +50,7 @@ def _valid(kind: str, match: Column) -> Column:
     if kind == "card":
         def value(i: Column) -> Column:
             d = F.ascii(F.substring(digits, i, F.lit(1))) - 48
+
             twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
             return F.when((F.length(digits) - i) % 2 == 1, twice).otherwise(d)
 
@@ -53,147 +59,186 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _any_valid(kind: str, matches: Column) -> Column:
-    return F.exists(matches, lambda m: _valid(kind, m))
-
-
-def of_kind(found: Column, *kinds: str) -> Column:
-    return F.filter(found, lambda s: s["kind"].isin(*kinds))
+def _possible(text: Column) -> dict[str, Column]:
+    """Per kind, whether ``text`` holds the signs without which its pattern can't match."""
+    digit = text.rlike("[0-9]")
+    secret = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":")) | F.contains(text, F.lit("AKIA"))
+    return {"email": F.contains(text, F.lit("@")), "ip": digit & F.contains(text, F.lit(".")), "card": digit, "phone": digit & F.contains(text, F.lit("+")), "secret": secret}
 
 
-def _located(text: Column, matches: Column, pattern: str, kind: str) -> Column:
-    """The valid ones of ``matches`` as spans."""
-    gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), lambda g: F.length(g))
-    both = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+KEY = ["doc_id", "text_key", "text_bytes"]
+LINE = ["rid", "line_no"]
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["match"])
-        span = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(_valid(kind, x["match"]), F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    return F.when(F.size(matches) > 0, F.aggregate(both, zero, step, lambda acc: acc["spans"])).otherwise(F.array().cast(SPAN))
+def _keys(doc_id: Column, text: Column) -> list[Column]:
+    text = F.coalesce(text, F.lit(""))
+    return [doc_id.alias("doc_id"), F.xxhash64(text).alias("text_key"), F.octet_length(text).alias("text_bytes")]
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """Add (__content, __found): the text, empty for null, and the spans of all kinds, by kind and start."""
-    every = PATTERNS | SECRETS
-    out = docs.withColumn("__content", F.coalesce("text", F.lit("")))
-    out = out.withColumns({f"__m_{k}": F.regexp_extract_all("__content", F.lit(p), F.lit(0)) for k, p in every.items()})
-    out = out.withColumns({f"__s_{k}": _located(F.col("__content"), F.col(f"__m_{k}"), p, k) for k, p in every.items()})
-    plain = F.flatten(F.array(*[F.col(f"__s_{k}") for k in PATTERNS]))
-    clear = F.filter("__s_secret", lambda s: ~F.exists(plain, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return out.withColumn("__found", F.concat(plain, clear)).drop(*[f"__{x}_{k}" for k in every for x in "ms"])
-
+def _places(pieces: DataFrame) -> DataFrame:
+    """Add (start, end) in the line to (rid, line_no, kind, pos, gap, match): ``gap`` code points stand between a match and the one before it."""
+    so_far = Window.partitionBy(*LINE, "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.length("match")).over(so_far).cast("int")
+    return pieces.withColumn("end", end).withColumn("start", F.col("end") - F.length("match")).drop("pos", "gap")
 
-KEY = ["doc_id", "__text_key", "__text_bytes"]
 
+def _pieces(line: Column, matches: Column, pattern: str) -> Column:
+    """Array of (gap, match): the matches of a line and the code points before each."""
+    gaps = F.transform(F.slice(F.split(line, pattern, -1), F.lit(1), F.size(matches)), lambda g: F.length(g))
+    return F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumns({"__text_key": F.xxhash64(text), "__text_bytes": F.octet_length(text)})
 
+def _free(rows: DataFrame, taken: Column) -> DataFrame:
+    """The rows (rid, line_no, start, end, ...) that ``taken`` holds for, and those that overlap none of them."""
+    at = F.when(taken, F.col("start")).otherwise(F.col("end") - 1)  # a taken row that starts before another's end comes before it
+    before = Window.partitionBy(*LINE).orderBy(at, F.when(taken, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("reach", F.max(F.when(taken, F.col("end"))).over(before)).filter(taken | (F.coalesce("reach", F.lit(0)) <= F.col("start"))).drop("reach")
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, n, n_<kind>...): lines with the term, and those of them with an entity of each kind; the term '' stands in every line.
 
-    Terms never seen beside an entity are dropped after counting, and entities themselves are no terms.
-    """
+def marked_lines(docs: DataFrame) -> DataFrame:
+    """(key..., rid, line_no, at, line, m_<kind>...) of the lines with a match of a pattern; the line starts at code point ``at``."""
     every = PATTERNS | SECRETS
-    lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line")).filter(F.col("line") != "")
-    lines = lines.withColumns({f"__m_{k}": F.regexp_extract_all("line", F.lit(p), F.lit(0)) for k, p in every.items()})
-    has = {k: _any_valid(k, F.col(f"__m_{k}")).cast("int") for k in every}
-    bare = F.col("line")
-    for k, p in every.items():
-        bare = F.when(F.size(f"__m_{k}") > 0, F.regexp_replace(bare, p, " ")).otherwise(bare)
-    terms = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.lower(bare), F.lit(TERM), F.lit(0))))
-    rows = lines.select(F.explode(terms).alias("term"), *[c.alias(k) for k, c in has.items()])
-    counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(f"n_{k}") for k in every])
-    return counts.filter(sum((F.col(f"n_{k}") for k in KINDS), F.lit(0)) > 0)
-
-
-def _beside(found: DataFrame) -> DataFrame:
-    """(key..., kind, entity, term, start, end) of each term in a line with an entity, from (key..., content, found)."""
-    span = found.filter(F.size("__found") > 0).select(*KEY, "__content", "__found", F.explode("__found").alias("s"))
-    head = F.substring_index(F.substring(F.col("__content"), F.lit(1), F.col("s.start")), "\n", -1)
-    entity = F.substring(F.col("__content"), F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
-    tail = F.substring_index(F.substring(F.col("__content"), F.col("s.end") + 1, F.length("__content")), "\n", 1)
-    line = span.select(*KEY, "__found", F.col("s.kind").alias("kind"), entity.alias("entity"), F.concat(head, entity, tail).alias("line"), (F.col("s.start") - F.length(head)).alias("offset"))
-    line = line.withColumn("words", F.regexp_extract_all("line", F.lit(TERM), F.lit(0)))
-    term = line.select(*KEY, "__found", "kind", "entity", "offset", F.explode(_located(F.col("line"), F.col("words"), TERM, "term")).alias("t"), "line")
-    start, end = F.col("offset") + F.col("t.start"), F.col("offset") + F.col("t.end")
-    word = F.lower(F.substring(F.col("line"), F.col("t.start") + 1, F.col("t.end") - F.col("t.start")))
-    term = term.select(*KEY, "__found", "kind", "entity", word.alias("term"), start.alias("start"), end.alias("end"))
-    return term.filter(~F.exists("__found", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))).drop("__found")
-
-
-def disclosing(beside: DataFrame, counts: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(term, kind) of the terms that disclose a kind; ``counts`` from ``term_counts``."""
-    total = counts.filter("term = ''").first()
-    if total is None:
-        return beside.select("term", "kind").limit(0)
-    share = {k: total[f"n_{k}"] / total["n"] for k in KINDS if 0 < total[f"n_{k}"] < total["n"]}
-    told = [
-        F.struct(F.lit(k).alias("kind"), (F.log(F.col(f"n_{k}") / F.col("n")) - math.log(p) >= disclosure * -math.log(p)).alias("high"))
-        for k, p in share.items()
-    ]
-    if not told:
-        return beside.select("term", "kind").limit(0)
-    rows = counts.filter("term != ''").select("term", F.explode(F.array(*told)).alias("x")).filter("x.high").select("term", "x.kind")
-    seen = beside.select("term", "kind", "entity").distinct().groupBy("term", "kind").agg(F.count(F.lit(1)).alias("entities")).filter(F.col("entities") >= support)
-    return rows.join(seen.select("term", "kind"), ["term", "kind"])
-
-
-def term_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(key..., terms): spans of the disclosing terms of each row that has some."""
-    beside = materialise(_beside(with_spans(_keyed(docs.select("doc_id", "text")))), "beside")
-    told = disclosing(beside, materialise(term_counts(docs), "terms"), disclosure, support)
-    hit = beside.join(told, ["term", "kind"]).select(*KEY, "start", "end").distinct()
-    span = F.struct(F.lit("term").alias("kind"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
-    return hit.groupBy(*[F.col(k).alias(f"__r_{k}") for k in KEY]).agg(F.array_sort(F.collect_list(span)).alias("__terms"))
-
-
-def _joined(docs: DataFrame, extra: DataFrame) -> DataFrame:
+    content = F.coalesce("text", F.lit(""))
+    rows = docs.select(*_keys(F.col("doc_id"), F.col("text")), content.alias("content"), F.monotonically_increasing_id().alias("rid"))
+    any_of = lambda parts: F.array_max(F.array(*parts))
+    lines = rows.filter(any_of(_possible(F.col("content")).values())).select(*KEY, "rid", F.posexplode(F.split("content", "\n", -1)).alias("line_no", "line"))
+    none = F.array().cast("array<string>")
+    possible = _possible(F.col("line"))
+    lines = lines.withColumns({f"m_{k}": F.when(possible[k], F.regexp_extract_all("line", F.lit(p), F.lit(0))).otherwise(none) for k, p in every.items()})
+    some = any_of([F.size(f"m_{k}") > 0 for k in every])
+    lines = lines.withColumn("width", F.length("line") + 1).withColumn("line", F.when(some, F.col("line")))
+    so_far = Window.partitionBy("rid").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("at", F.sum("width").over(so_far).cast("int") - F.col("width")).drop("width").filter(F.col("line").isNotNull())
+
+
+def entities(marked: DataFrame) -> DataFrame:
+    """(key..., rid, line_no, at, kind, start, end, match) of the entities: valid matches of the patterns, and secrets that overlap none of them; places in the line."""
+    every = PATTERNS | SECRETS
+    none = F.array().cast("array<struct<gap: int, match: string>>")
+
+    def named(kind: str) -> Column:
+        found = F.when(F.size(f"m_{kind}") > 0, _pieces(F.col("line"), F.col(f"m_{kind}"), every[kind])).otherwise(none)
+        return F.transform(found, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x["gap"].alias("gap"), x["match"].alias("match")))
+
+    parts = F.flatten(F.array(*map(named, every)))
+    placed = _places(marked.select(*KEY, *LINE, "at", F.explode(parts).alias("p")).select(*KEY, *LINE, "at", "p.*"))
+    valid = F.lit(False)
+    for k in every:
+        valid = F.when(F.col("kind") == k, _valid(k, F.col("match"))).otherwise(valid)
+    return _free(placed.filter(valid), F.col("kind") != "secret")
+
+
+def terms_beside(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """(key..., rid, line_no, term, start, end) of the terms in lines with an entity that overlap none; places in the text."""
+    with_entity = marked.join(found.select(*LINE).distinct(), LINE, "left_semi")
+    parts = _pieces(F.col("line"), F.regexp_extract_all("line", F.lit(TERM), F.lit(0)), TERM)
+    terms = _places(with_entity.select(*KEY, *LINE, "at", F.lit("term").alias("kind"), F.posexplode(parts).alias("pos", "p")).select(*KEY, *LINE, "at", "kind", "pos", "p.gap", "p.match"))
+    both = terms.unionByName(found.select(terms.columns))
+    free = _free(both, F.col("kind") != "term").filter("kind = 'term'")
+    return free.select(*KEY, *LINE, F.lower("match").alias("term"), (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end"))
+
+
+def line_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n): the lines of ``docs`` in which each of ``terms`` (term, distinct) stands; the term '' stands in every line that isn't empty."""
+    wanted = terms.select("term").unionByName(terms.sparkSession.createDataFrame([("",)], "term string"))
+    lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line")).filter("line != ''")
+    each = lines.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.lower("line"), F.lit(TERM), F.lit(0))))).alias("term"))
+    if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:  # a checked size; beyond it counts are made first and joined then
+        return each.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(wanted, "term", "left_semi")
+
+
+def disclosing(docs: DataFrame, found: DataFrame, beside: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """(term, kind) of the terms that disclose a kind; ``found`` from ``entities``, ``beside`` from ``terms_beside``."""
+    kinds = materialise(found.groupBy(*LINE, "kind").agg(F.min("match").alias("entity")), "kinds")
+    pairs = beside.select(*LINE, "term").distinct().join(kinds, LINE)
+    seen = pairs.groupBy("term", "kind").agg(F.count(F.lit(1)).alias("both"), F.count_distinct("entity").alias("entities")).filter(F.col("entities") >= support)
+    seen = materialise(seen.select("term", "kind", "both"), "seen")
+    counts = materialise(line_counts(docs, seen.select("term").distinct()), "counts")
+    total = counts.filter("term = ''").select("n").first()
+    held = {r["kind"]: r["n"] for r in kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a kind
+    share = {k: n / total["n"] for k, n in held.items() if total and n < total["n"]}
+    told = F.lit(False)
+    for k, p in share.items():
+        told = F.when(F.col("kind") == k, F.log(F.col("both") / F.col("n")) - math.log(p) >= disclosure * -math.log(p)).otherwise(told)
+    return seen.join(counts, "term").filter(told).select("term", "kind")
+
+
+def span_rows(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """(key..., rid, kind, start, end) of the entities and disclosing terms (kind ``term``) of ``docs`` (doc_id, text, ...); repeated rows have a rid each."""
+    narrow = docs.select("doc_id", "text")
+    marked = materialise(marked_lines(narrow), "marked")
+    found = materialise(entities(marked), "entities")
+    beside = materialise(terms_beside(marked, found), "beside")
+    told = disclosing(narrow, found, beside, disclosure, support)
+    kinds = found.select(*LINE, "kind").distinct()
+    hits = beside.join(told, "term").join(kinds, [*LINE, "kind"]).select(*KEY, "rid", F.lit("term").alias("kind"), "start", "end").distinct()
+    return found.select(*KEY, "rid", "kind", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")).unionByName(hits)
+
+
+def _with(keyed: DataFrame, extra: DataFrame) -> DataFrame:
+    """``keyed`` (key..., ...) with the other columns of ``extra`` (key..., ...), null where it has no row."""
+    right = extra.select(*[F.col(c).alias(f"r_{c}" if c in KEY else c) for c in extra.columns])
     same = F.lit(True)
     for k in KEY:
-        same &= F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    return docs.join(extra, same, "left").withColumn("__terms", F.coalesce("__terms", F.array().cast(SPAN)))
+        same &= F.col(k).eqNullSafe(F.col(f"r_{k}"))
+    return keyed.join(right, same, "left").drop(*[f"r_{k}" for k in KEY])
 
 
 def spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(doc_id, found, terms) of each row of ``docs`` (doc_id, text, ...)."""
-    narrow = with_spans(_keyed(docs.select("doc_id", "text"))).select(*KEY, "__found")
-    return _joined(narrow, term_spans(docs, disclosure, support)).select("doc_id", F.col("__found").alias("found"), F.col("__terms").alias("terms"))
+    """(doc_id, found, terms) of each row of ``docs`` (doc_id, text, ...): entities by kind and start, disclosing terms by start."""
+    order = F.lit(0)
+    for i, k in enumerate(KINDS):
+        order = F.when(F.col("kind") == k, i).otherwise(order)
+    rows = span_rows(docs, disclosure, support)
+    listed = lambda test: F.array_sort(F.collect_list(F.when(test, F.struct(order.alias("nth"), "start", "end", "kind"))))
+    each = rows.groupBy(*KEY, "rid").agg(listed(F.col("kind") != "term").alias("found"), listed(F.col("kind") == "term").alias("terms")).drop("rid").dropDuplicates(KEY)
+    plain = lambda c: F.coalesce(F.transform(c, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))), F.array().cast(SPAN)).alias(c)
+    return _with(docs.select(*_keys(F.col("doc_id"), F.col("text"))), each).select("doc_id", plain("found"), plain("terms"))
 
 
 def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` of a text that lies in blocks of ``BLOCK``."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    head = F.substring(F.get(blocks, first), start - first * BLOCK + 1, F.least(end - start, F.lit(BLOCK)))
+    whole = F.concat(head, F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substring(F.get(blocks, last), F.lit(1), end - last * BLOCK))
+    return F.when(end <= start, F.lit("")).when(first == last, head).otherwise(whole)
+
+
 def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, generalise: bool = True) -> DataFrame:
     """``docs`` with entities replaced by their kind, and disclosing terms by ``<term>``, or by nothing."""
-    extra = term_spans(docs, disclosure, support)
-    rows = _joined(_keyed(with_spans(docs)), extra)
-    order = F.array_sort(F.transform(F.concat("__found", "__terms"), lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc: Column, s: Column) -> Column:
+    rows = span_rows(docs, disclosure, support)
+    order = Window.partitionBy("rid").orderBy("start", "end", "kind")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.withColumn("fresh", (F.col("start") >= F.coalesce(reach, F.lit(0))).cast("int"))
+    islands = starts.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = islands.groupBy(*KEY, "rid", "island").agg(F.min(F.struct("start", "end", "kind"))["kind"].alias("kind"), F.min("start").alias("start"), F.max("end").alias("end"))
+    marks = merged.groupBy(*KEY, "rid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("marks")).drop("rid").dropDuplicates(KEY)
+    inner = numbered(docs)
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    joined = _with(inner.select("*", *_keys(doc_id, text)), marks).withColumn("blocks", F.when(F.col("marks").isNotNull(), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    blocks, found = F.col("blocks"), F.col("marks")
+
+    def piece(s: Column, i: Column) -> Column:
         name = F.concat(F.lit("<"), s["kind"], F.lit(">"))
         mark = name if generalise else F.when(s["kind"] == "term", F.lit("")).otherwise(name)
-        piece = F.array(F.substring(F.col("__content"), acc["at"] + 1, s["start"] - acc["at"]), mark)
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], F.concat(acc["parts"], piece)).otherwise(acc["parts"]).alias("parts"))
+        return F.concat(_cut(blocks, F.when(i > 0, F.get(found, i - 1)["end"]).otherwise(F.lit(0)), s["start"]), mark)
 
-    end = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col("__content"), acc["at"] + 1, F.length("__content")))
-    text = F.when(F.size(order) > 0, F.aggregate(order, zero, step, end)).otherwise(F.col("text"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    last = F.element_at(found, -1)["end"]
+    tail = _cut(blocks, last, F.length(text))
+    new = F.when(found.isNotNull(), F.concat(F.array_join(F.transform(found, piece), ""), tail)).otherwise(text)
+    return restored(joined.select(*[new.alias(c) if i == docs.columns.index("text") else F.col(c) for i, c in enumerate(inner.columns)]), docs)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spans(table(spark, sf_dir, "documents"))
-    base = of_kind(F.col("found"), *PATTERNS)
-    counts = [F.size(of_kind(F.col("found"), k)).cast("long").alias(f"n_{k}") for k in PATTERNS]
-    return rows.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.concat("found", "terms")).alias("spans"))
+    of_kind = lambda *kinds: F.filter("found", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in PATTERNS]
+    return rows.select("doc_id", *counts, F.sha2(written(of_kind(*PATTERNS)), 256).alias("base_sha256"), written(F.concat("found", "terms")).alias("spans"))
 
 
 QUERIES = {"op9_pii": op9_pii}
