@@ -137,3 +137,29 @@ def test_utm(spark):
     assert rows[0].e == pytest.approx(500000, abs=1e-6) and rows[0].n == pytest.approx(0.9996 * arc, abs=1e-3)
     for r in rows:
         assert r.lon == pytest.approx(r.lon2, abs=1e-11) and r.lat == pytest.approx(r.lat2, abs=1e-11)
+
+
+def test_union_of_overlapping_features(spark):
+    """Three boxes that overlap all at once, one inside another, one apart, and a copy of one."""
+    layer = box_layer(spark, [(1, 0.0, 0.0, 10.0, 10.0), (2, 5.0, 5.0, 15.0, 15.0), (3, 4.0, 4.0, 12.0, 12.0), (4, 6.0, 6.0, 7.0, 7.0), (5, 100.0, 0.0, 110.0, 10.0), (6, 0.0, 0.0, 10.0, 10.0), (7, 110.0, 0.0, 120.0, 10.0)])
+    cells = {(x, y) for x0, y0, x1, y1 in ((0, 0, 10, 10), (5, 5, 15, 15), (4, 4, 12, 12)) for x in range(x0, x1) for y in range(y0, y1)}
+    one = G.measure(G.dissolve(layer, cell=7.0)).first()
+    assert one.area == pytest.approx(len(cells) + 200)
+    frame = box_layer(spark, [(1, 0.0, 0.0, 20.0, 20.0)])
+    total = 100 + 100 + 64 + 1 + 100 + 100 + 100
+    got = G.gap_overlap(layer, frame, cell=3.0).first()
+    assert got.overlap_percent == pytest.approx((total - len(cells) - 200) / 4) and got.gap_percent == pytest.approx((400 - len(cells)) / 4)
+    by = spark.createDataFrame([(1, 8), (2, 9), (5, 8), (7, 8)], "feature_id long, group long")
+    areas = {r.feature_id: r.area for r in G.measure(G.dissolve(layer, by)).collect()}
+    assert areas[8] == pytest.approx(300) and areas[9] == pytest.approx(100)
+
+
+def test_overlays_do_not_depend_on_the_cell(spark):
+    zones = ring_layer(spark, [(1, HOLED), (2, [[(10, 0), (30, 5), (25, 30), (8, 22)]])])
+    lines = line_layer(spark, [(i, 0, 0, -5.0 + i, -3.0, 30.0 - 2 * i, 28.0) for i in range(12)] + [(50, 0, 0, 4.0, 4.0, 6.0, 6.0), (51, 0, 0, 1.0, 1.0, 2.0, 2.0), (52, 0, 0, 0.0, 0.0, 10.0, 0.0)])
+    want = None
+    for cell in (0.7, 3.0, 100.0):
+        got = {(r.line_id, r.zone_id): (round(r.intersection_length_km, 9), r.boundary_case) for r in G.overlay_length(zones, lines, cell=cell).collect()}
+        want = want or got
+        assert got == want
+    assert (50, 1) not in want and want[(51, 1)] == (round(math.sqrt(2) / 1000, 9), False) and want[(52, 1)] == (0.01, True)

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from tests.test_geometry import box_layer
 from tributary.functions import text as T
-from tributary.operators import admin, catalog, profile
+from tributary.operators import admin, catalog, gates, profile
+from tributary.plans.fixtures import boxes
 from tributary.sources import io
 
 
@@ -75,11 +76,17 @@ def test_second_plan_only_reuses(spark):
 
 
 def test_cycle_is_found(spark):
-    e = spark.createDataFrame([(1, 2), (2, 1), (3, 4)], "asset_id long, depends_on long")
-    ids = spark.createDataFrame([(1,), (2,), (3,)], "asset_id long")
-    c = catalog.lineage_closure(e, ids, ids.limit(0), ids)
-    assert {r.root_id for r in catalog.cyclic(e, c).collect()} == {1, 2}
-    assert {(r.root_id, r.node_id, r.state) for r in c.filter("state = 'missing'").collect()} == {(3, 4, "missing")}
+    """A cycle, a node above it, one below it, a second cycle that the first leads to, and a path between them."""
+    e = spark.createDataFrame([(1, 2), (2, 1), (3, 4), (5, 1), (2, 6), (6, 7), (7, 8), (8, 7), (8, 9), (10, 10)], "asset_id long, depends_on long")
+    ids = spark.createDataFrame([(i,) for i in (1, 2, 3, 5, 6, 7, 8, 9, 10)], "asset_id long")
+    c = catalog.lineage_closure(e, ids, ids.filter("asset_id = 9"), ids).collect()
+    states = {(r.node_id, r.state) for r in c}
+    assert states == {(1, "cyclic"), (2, "cyclic"), (3, "inner"), (4, "missing"), (5, "inner"), (6, "inner"), (7, "cyclic"), (8, "cyclic"), (9, "raw"), (10, "cyclic")}
+    assert {r.node_id for r in c if r.root_id == 5} == {5, 1, 2, 6, 7, 8, 9}
+    assets = ids.select("asset_id", *[F.lit("x").alias(f) for f in ("source", "version", "checksum", "path")], F.lit(1).alias("size_bytes"))
+    closure = catalog.lineage_closure(e, ids, ids.filter("asset_id = 9"), ids)
+    judged = lambda df: {r.check_id: r.passed for r in gates.gate_provenance(assets, df, 100).collect()}
+    assert not judged(closure.filter("state != 'missing'"))["provenance.lineage"] and judged(closure.filter("state IN ('inner', 'raw')"))["provenance.lineage"]
 
 
 def test_deep_lineage_is_whole(spark):
@@ -92,6 +99,65 @@ def test_deep_lineage_is_whole(spark):
         catalog.lineage_closure(e, ids.filter("asset_id = 0"), ids.limit(0), ids, depth=2)
 
 
+def test_transitions_protect_fields(spark):
+    rows = [(1, "failed", "fetching", {"note": "x"}), (2, "failed", "fetching", {"status": "derived"}), (3, "failed", "fetching", None), (4, "failed", "derived", None), (5, "failed", "fetching", {"asset_id": "9"})]
+    got = catalog.check_transitions(spark.createDataFrame(rows, "asset_id long, from_status string, to_status string, updates map<string, string>"))
+    assert {r.asset_id for r in got.collect()} == {2, 4, 5}
+
+
+def test_fingerprint_ignores_order_and_copies(spark):
+    make = lambda sums: catalog.fingerprint(spark.createDataFrame([("g", s) for s in sums] + [("h", None)], "g string, checksum string"), "g", "{}", "v")
+    one, other, less = (dict(make(x).collect()) for x in (["abc1", "abc2", "def"], ["def", "abc2", "abc1", "abc2"], ["abc1", "def"]))
+    assert one == other and one["g"] != less["g"] and one["h"] == less["h"]
+
+
+def test_mapping_gate(spark):
+    zones = spark.createDataFrame([(1,), (2,)], "HYBAS_ID long")
+    units = spark.createDataFrame([("a",), ("b",)], "current_commune_code string")
+    rivers = spark.createDataFrame([(7,)], "HYRIV_ID long")
+    products = {k: gates.PRODUCTS[k] for k in ("commune", "river")}
+    table = lambda rows, schema, name: spark.createDataFrame(rows, schema).select("*", *[F.lit(None).cast("boolean").alias(c) if c == "boundary_case" else F.lit("[]").alias(c) for c in gates.PRODUCTS[name][1] if c not in schema])
+    commune = lambda rows: table(rows, "HYBAS_ID long, current_commune_code string, commune_fraction double", "commune")
+    river = lambda rows: table(rows, "HYBAS_ID long, HYRIV_ID long", "river")
+
+    def failed(maps, entities):
+        return {r.check_id for r in gates.gate_mappings(maps, entities, zones, units, products=products).collect() if not r.passed}
+
+    entities = {"commune": units, "river": rivers}
+    whole = [(1, "a", 0.4), (2, "a", 0.6), (2, "b", 1.0)]
+    assert failed({"commune": commune(whole), "river": river([(1, 7)])}, entities) == set()
+    assert failed({"commune": commune(whole[1:]), "river": river([(3, 7), (1, 8)])}, entities) == {"mapping.commune.coverage", "mapping.river.keys.HYBAS_ID", "mapping.river.keys.HYRIV_ID"}
+    assert failed({"commune": commune([*whole, (1, " ", 0.0), (None, "a", 0.0)])}, entities) == {"mapping.river.columns", "mapping.commune.keys.HYBAS_ID", "mapping.commune.keys.current_commune_code"}
+    assert failed({"river": river([(1, 7)])}, {"commune": units}) == {"mapping.commune.columns", "mapping.commune.coverage", "mapping.river.keys.HYRIV_ID"}
+
+
+def test_failing_gate_is_one_fatal_row(spark):
+    text = spark.createDataFrame([("x",)], "t string")
+    good = lambda: gates.no_rows(text.limit(0), "good")
+    rows = gates.run_gates(spark, {"good": good, "run": lambda: gates.no_rows(text.filter(F.col("t").cast("int") > 0), "cast"), "plan": lambda: text.select("nowhere")}).collect()
+    assert [(r.check_id, r.passed) for r in rows] == [("gate.plan", False), ("gate.run", False), ("good", True)] and len({r.report_id for r in rows}) == 1
+
+
+def test_raster_gate_by_footprint(spark):
+    area = boxes(spark.range(1), "id", *[F.lit(v) for v in (0, 0, 100, 100)])
+    grid = {"a": 10.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -10.0, "f": 100.0}
+    pixels = spark.range(100).select(F.lit(0).alias("raster_id"), (F.col("id") / 10).cast("int").alias("row"), (F.col("id") % 10).cast("int").alias("col"), (F.col("id") != 5).alias("valid"))
+    got = lambda **r: {r.check_id: r.passed for r in gates.gate_rasters(r).collect()}
+    assert got(pop=(pixels, area, grid, True)) == {"raster.pop.coverage": True, "raster.pop.nodata": False}
+    assert got(pop=(pixels.filter("row < 8"), area, grid, True))["raster.pop.coverage"] is False
+    assert got(dem=(pixels.withColumn("valid", F.col("row") > 0), area, grid, False))["raster.dem.coverage"] is False
+    assert got(dem=(None, area, grid, False)) == {"raster.dem.coverage": False}
+
+
+def test_interrupted_publication_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.write_table(spark.range(3).withColumnRenamed("id", "asset_id"), path, ["asset_id"])
+    (tmp_path / "t").rename(tmp_path / "t.previous")  # as after a crash between the two moves
+    assert io.read_catalog(spark, path).count() == 3
+    io.write_table(spark.range(2).withColumnRenamed("id", "asset_id"), path, ["asset_id"])
+    assert io.read_catalog(spark, path).count() == 2 and not (tmp_path / "t.previous").exists()
+
+
 def test_write_replaces_whole_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     for n in (5, 3):

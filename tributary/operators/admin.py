@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.scratch import materialise
 from . import geometry
 
 VIABLE = 0.95
@@ -22,8 +23,8 @@ def filter_province(units: DataFrame, name: str, column: str = "province") -> Da
 
 
 def unit_aliases(index: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(aliases, conflicts) of an index (magoc, ma, malk): both forms name a five-digit code; an alias of two codes is a conflict."""
-    pairs = index.select(T.zfill5(F.col("ma")).alias("code"), F.explode(F.array(F.col("ma").cast("string"), F.col("malk").cast("string"), T.zfill5(F.col("ma")))).alias("alias")).filter("alias IS NOT NULL").distinct()
+    """(aliases, conflicts) of an index (magoc, ma, malk): the five-digit code and ``malk`` name a code; an alias of two codes is a conflict. Rows without ``ma`` are left out."""
+    pairs = index.filter("ma IS NOT NULL").select(T.zfill5(F.col("ma")).alias("code"), F.explode(F.array(F.col("malk").cast("string"), T.zfill5(F.col("ma")))).alias("alias")).filter("alias IS NOT NULL").distinct()
     bad = pairs.groupBy("alias").agg(F.count(F.lit(1)).alias("codes")).filter("codes > 1")
     return pairs.join(bad, "alias", "left_anti"), bad
 
@@ -92,22 +93,24 @@ def place_grams(events: DataFrame, place: str, longest: int) -> DataFrame:
 def resolve_places(events: DataFrame, current: DataFrame, crosswalk: DataFrame, composed: bool = False) -> DataFrame:
     """Events (event_id, place, start date) against the units valid on their day.
 
-    Names are runs of words of the place text, found by equi-join; names with other signs than words and single spaces are compared by containment.
+    Names are runs of words of the place text, found by equi-join; names with other signs than words and single spaces are found by their first word and then compared by containment.
     """
     now = current.select(T.normalize_unit_name(F.col("name"), composed).alias("gram"), T.zfill5(F.col("code")).alias("code"), F.lit(False).alias("unsure"), F.lit("current").alias("regime"))
     then = crosswalk.filter(F.col("match_status").isin("matched", "ambiguous")).filter("current_commune_code IS NOT NULL OR match_status = 'ambiguous'").select(
         T.normalize_unit_name(F.col("old_admin_name"), composed).alias("gram"), T.zfill5(F.col("current_commune_code")).alias("code"), (F.col("match_status") == "ambiguous").alias("unsure"), F.lit("historical").alias("regime"))
-    lookup = now.unionByName(then).groupBy("regime", "gram").agg(F.array_sort(F.collect_set("code")).alias("codes"), F.max("unsure").alias("unsure"))
+    lookup = materialise(now.unionByName(then).groupBy("regime", "gram").agg(F.array_sort(F.collect_set("code")).alias("codes"), F.max("unsure").alias("unsure")), "lookup")
     longest = lookup.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 1
     reform = F.lit(REFORM).cast("date")
     dated = events.withColumn("regime", F.when(F.col("start") < reform, "historical").when(F.col("start").isNotNull(), "current"))
     plain = lookup.filter(F.col("gram").rlike(r"(?U)^[\w]+( [\w]+)*$"))
     grams = place_grams(dated.filter("regime IS NOT NULL AND place IS NOT NULL"), "place", longest).join(dated.select("event_id", "regime"), "event_id")
     hits = grams.join(plain, ["regime", "gram"]).filter("regime = 'historical' OR NOT former").select("event_id", "gram", "codes", "unsure")
-    odd = lookup.exceptAll(plain)
+    first = F.regexp_extract("gram", r"(?U)(\w+)", 1)  # a whole word wherever the name stands; empty for a name of signs only
+    odd = materialise(lookup.filter(~F.col("gram").rlike(r"(?U)^[\w]+( [\w]+)*$")).withColumn("word", first), "odd")
     if not odd.isEmpty():
         folded = F.regexp_replace(F.lower(T.collapse(F.col("place"))), T.UNIT_PREFIX, "")
-        near = dated.withColumn("folded", folded).join(F.broadcast(odd) if odd.count() <= 10_000 else odd, "regime")
+        words = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all("folded", F.lit(r"(?U)(\w+)"), F.lit(1))))
+        near = dated.select("event_id", "regime", folded.alias("folded")).filter("regime IS NOT NULL AND folded IS NOT NULL").withColumn("word", F.explode(words)).join(odd, ["regime", "word"])
         quoted = F.concat(F.lit(r"(?U)(?<![\w])\Q"), "gram", F.lit(r"\E(?![\w])"))
         extra = near.filter(F.regexp_like("folded", quoted)).filter(F.expr("regime = 'historical'") | ~F.col("folded").contains(F.concat("gram", F.lit(FORMER)))).select("event_id", "gram", "codes", "unsure")
         hits = hits.unionByName(extra)

@@ -45,7 +45,7 @@ def check_ids(df: DataFrame, key: str) -> DataFrame:
 
 
 def mark_duplicates(assets: DataFrame) -> DataFrame:
-    """Add canonical_id: the first path of each identity. A window's groups are files with equal content; their rows hold no content."""
+    """Add canonical_id: the first path of each identity, found by one aggregate and joined back."""
     first = assets.groupBy(*IDENTITY).agg(F.min_by("asset_id", F.struct("path", "asset_id")).alias("canonical_id"))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"f.{c}")) for c in IDENTITY]
     out = assets.alias("a").join(first.alias("f"), same).select("a.*", "canonical_id")
@@ -53,9 +53,10 @@ def mark_duplicates(assets: DataFrame) -> DataFrame:
 
 
 def upsert_latest(catalog: DataFrame, updates: DataFrame, key: str = "asset_id") -> DataFrame:
-    """Updates replace rows of equal key; of several updates the one with the highest ``sequence`` holds."""
+    """Updates replace rows of equal key; of several updates the one with the highest ``sequence`` holds, of equal ones the one with the greatest columns."""
     both = catalog.withColumn("sequence", F.lit(-1).cast("long")).unionByName(updates.withColumn("sequence", F.col("sequence").cast("long")))
-    return both.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("sequence")))).filter("nth = 1").drop("nth", "sequence")
+    last = both.groupBy(key).agg(F.max(F.struct("sequence", *[c for c in catalog.columns if c != key])).alias("row"))
+    return last.select(*[key if c == key else F.col(f"row.{c}").alias(c) for c in catalog.columns])
 
 
 def record_run(runs: DataFrame, run: DataFrame) -> DataFrame:
@@ -66,9 +67,17 @@ def transition_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(a, b) for a, bs in LEGAL.items() for b in bs], "from_status string, to_status string")
 
 
+#: Fields that a transition may not set.
+PROTECTED = ("asset_id", "status")
+
+
 def check_transitions(requests: DataFrame) -> DataFrame:
-    """Requests (asset_id, from_status, to_status, ...) that aren't legal."""
-    return requests.join(F.broadcast(transition_table(requests)), ["from_status", "to_status"], "left_anti")
+    """Requests (asset_id, from_status, to_status, ...) that aren't legal, or whose ``updates``, a map if there is one, set a protected field."""
+    illegal = requests.join(F.broadcast(transition_table(requests).withColumn("legal", F.lit(True))), ["from_status", "to_status"], "left")
+    bad = F.col("legal").isNull()
+    if "updates" in requests.columns:
+        bad |= F.coalesce(F.arrays_overlap(F.map_keys("updates"), F.array(*map(F.lit, PROTECTED))), F.lit(False))
+    return illegal.filter(bad).drop("legal")
 
 
 def inventory_report(assets: DataFrame) -> DataFrame:
@@ -85,9 +94,14 @@ def bundle_checksum(members: DataFrame) -> DataFrame:
 
 
 def fingerprint(rows: DataFrame, group: str, config: str, version: str) -> DataFrame:
-    """(group, fingerprint): sha256 of sorted checksums, configuration and version; the order of rows doesn't matter."""
-    sums = rows.groupBy(group).agg(F.array_sort(F.collect_set("checksum")).alias("checksums"))
-    return sums.select(group, F.sha2(F.concat_ws("\n", F.array_join("checksums", ","), F.lit(config), F.lit(version)), 256).alias("fingerprint"))
+    """(group, fingerprint): sha256 of the distinct checksums, configuration and version; the order of rows doesn't matter.
+
+    Sorted checksums are digested per first three digits, in 4096 buckets, then the sorted digests of the buckets, so no task gets a whole group.
+    """
+    bucket = rows.filter("checksum IS NOT NULL").select(group, F.substring("checksum", 1, 3).alias("bucket"), "checksum").groupBy(group, "bucket").agg(F.sha2(F.array_join(F.array_sort(F.collect_set("checksum")), ","), 256).alias("digest"))
+    sums = rows.select(group).distinct().join(bucket.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("bucket", "digest"))).alias("digests")), group, "left")
+    joined = F.coalesce(F.array_join(F.transform("digests", lambda d: d["digest"]), ","), F.lit(""))
+    return sums.select(group, F.sha2(F.concat_ws("\n", joined, F.lit(config), F.lit(version)), 256).alias("fingerprint"))
 
 
 def find_reusable(catalog: DataFrame, wanted: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -114,30 +128,52 @@ def match_identity(catalog: DataFrame, remote: DataFrame) -> DataFrame:
 
 
 def lineage_closure(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: DataFrame, depth: int = 10_000) -> DataFrame:
-    """(root_id, node_id, state) of all nodes below each root; state: raw, inner, missing or childless.
+    """(root_id, node_id, state) of all nodes below each root; state: missing, cyclic (the node depends on itself), raw, childless or inner, the first that holds.
 
-    Edges (asset_id, depends_on). A round joins the frontier with the edges; nodes seen before end a path, so cycles end; a node that is its own root again is cyclic.
+    Edges (asset_id, depends_on). A round joins the frontier with the edges; nodes seen before end a path, so cycles end.
     Rounds go on until the frontier is empty; more than ``depth`` levels are an error. Each round is written to the shared folder.
     """
-    seen = roots.select(F.col("asset_id").alias("root_id"), F.col("asset_id").alias("node_id")).distinct()
-    front = seen = materialise(seen, "lineage")
+    edges = materialise(edges.select("asset_id", "depends_on").filter("depends_on IS NOT NULL").distinct(), "lineage-edges")
+    seen = _reached(edges, roots, depth)
+    flag = lambda df, key, name: df.select(F.col(key).alias("node_id")).distinct().withColumn(name, F.lit(True))
+    out = seen.join(flag(known, "asset_id", "known"), "node_id", "left").join(flag(raw, "asset_id", "raw"), "node_id", "left").join(flag(edges, "asset_id", "parent"), "node_id", "left")
+    out = out.join(flag(cyclic(edges.join(seen.select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi"), depth), "asset_id", "cyclic"), "node_id", "left")
+    state = F.when(F.col("known").isNull(), "missing").when(F.col("cyclic"), "cyclic").when(F.col("raw").isNotNull(), "raw").when(F.col("parent").isNull(), "childless").otherwise("inner")
+    return out.select("root_id", "node_id", state.alias("state"))
+
+
+def _reached(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
+    """(root_id, node_id): each root and all nodes below it."""
+    front = seen = materialise(roots.select(F.col("asset_id").alias("root_id"), F.col("asset_id").alias("node_id")).distinct(), "lineage")
     for _ in range(depth + 1):
         step = front.join(edges.withColumnRenamed("asset_id", "node_id"), "node_id").select("root_id", F.col("depends_on").alias("node_id")).distinct()
         front = materialise(step.join(seen, ["root_id", "node_id"], "left_anti"), "front")
         if front.isEmpty():
+            return seen
+        seen = seen.unionByName(front)
+    raise RuntimeError(f"lineage is deeper than {depth} levels")
+
+
+def cyclic(edges: DataFrame, depth: int = 10_000) -> DataFrame:
+    """(asset_id) of the nodes that depend on themselves.
+
+    Nodes without edges out, or without edges in, are peeled off until none is left to peel; only what remains, cycles and paths between them, is followed node by node.
+    """
+    left = materialise(edges, "cycles")
+    n = left.count()
+    for _ in range(depth + 1):
+        inner = left.join(left.select(F.col("asset_id").alias("depends_on")).distinct(), "depends_on", "left_semi").select("asset_id", "depends_on")
+        inner = inner.join(left.select(F.col("depends_on").alias("asset_id")).distinct(), "asset_id", "left_semi")
+        left = materialise(inner, "cycles", replaces=left)
+        n, before = left.count(), n
+        if n in (0, before):
             break
-        seen = materialise(seen.unionByName(front), "lineage")
     else:
         raise RuntimeError(f"lineage is deeper than {depth} levels")
-    flag = lambda df, key, name: df.select(F.col(key).alias("node_id")).distinct().withColumn(name, F.lit(True))
-    out = seen.join(flag(known, "asset_id", "known"), "node_id", "left").join(flag(raw, "asset_id", "raw"), "node_id", "left").join(flag(edges, "asset_id", "parent"), "node_id", "left")
-    state = F.when(F.col("known").isNull(), "missing").when(F.col("raw").isNotNull(), "raw").when(F.col("parent").isNull(), "childless").otherwise("inner")
-    return out.select("root_id", "node_id", state.alias("state"))
-
-
-def cyclic(edges: DataFrame, closure: DataFrame) -> DataFrame:
-    """(root_id) of roots that depend on themselves through their closure."""
-    return closure.join(edges.withColumnRenamed("asset_id", "node_id"), "node_id").filter("depends_on = root_id").select("root_id").distinct()
+    if n == 0:
+        return left.select("asset_id")
+    below = _reached(left, left.select("asset_id").distinct(), depth)
+    return below.join(left.withColumnRenamed("asset_id", "node_id"), "node_id").filter("depends_on = root_id").select(F.col("root_id").alias("asset_id")).distinct()
 
 
 def lineage_groups(closure: DataFrame) -> DataFrame:
@@ -159,6 +195,7 @@ def budget_admission(assets: DataFrame, cap: int, group: str | None = None, slot
     n = F.coalesce("size_bytes", F.lit(0))
     order = ["asset_id"]
     ranged = assets.select("asset_id", "size_bytes", *([group] if group else [])).repartitionByRange(slots, *order).withColumn("slot", F.spark_partition_id())
+    ranged = materialise(ranged, "ranged")
     keys = [group] if group else []
     sums = ranged.groupBy(*keys, "slot").agg(F.sum(n).alias("s"))
     before = sums.select(*keys, "slot", (F.sum("s").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slot")) - F.col("s")).alias("before"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
 EPS = 1e-9
 CELL = 100.0
 
@@ -49,6 +51,34 @@ def binned(df: DataFrame, cell: float = CELL, pad: float = EPS, box: tuple[str,
     return df.select("*", cells(x0, x1, cell, pad).alias("bx")).select("*", cells(y0, y1, cell, pad).alias("by"))
 
 
+def walked(df: DataFrame, cell: float = CELL, pad: float = 1e-6) -> DataFrame:
+    """A row per grid bin (bx, by) that the segment (x1, y1)-(x2, y2) runs through: per column of bins, the rows it crosses there."""
+    rows = df.select("*", cells(F.least("x1", "x2"), F.greatest("x1", "x2"), cell, pad).alias("bx"))
+    at = lambda x: F.when(F.col("x1") == F.col("x2"), F.col("y1")).otherwise(F.col("y1") + (x - F.col("x1")) * (F.col("y2") - F.col("y1")) / F.nullif(F.col("x2") - F.col("x1"), F.lit(0.0)))
+    side = lambda k: F.greatest(F.least("x1", "x2"), F.least(F.greatest("x1", "x2"), (F.col("bx") + k) * cell))
+    upright = F.col("x1") == F.col("x2")
+    low = F.when(upright, F.least("y1", "y2")).otherwise(F.least(at(side(0)), at(side(1))))
+    high = F.when(upright, F.greatest("y1", "y2")).otherwise(F.greatest(at(side(0)), at(side(1))))
+    return rows.select("*", cells(low, high, cell, pad).alias("by"))
+
+
+def box_candidates(spots: DataFrame, boxes: DataFrame, cell: float = CELL) -> DataFrame:
+    """Pairs of ``spots`` (px, py, ...) and ``boxes`` (zone_id, xmin, ymin, xmax, ymax) that hold them, without the box's columns.
+
+    A box is filed at the level whose bins, ``cell`` times a power of two, are as large as it is, so it lies in a few of them whatever its size; spots are looked up at the levels that occur.
+    """
+    size = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(cell))
+    filed = boxes.withColumn("level", F.ceil(F.log2(size / cell)).cast("int"))
+    levels = [r["level"] for r in filed.select("level").distinct().collect()] or [0]  # a few dozen at most
+    step = lambda level: F.pow(F.lit(2.0), level) * cell
+    wide = step(F.col("level"))
+    filed = filed.select("*", F.explode(F.sequence(F.floor((F.col("xmin") - EPS) / wide), F.floor((F.col("xmax") + EPS) / wide))).alias("bx"))
+    filed = filed.select("*", F.explode(F.sequence(F.floor((F.col("ymin") - EPS) / wide), F.floor((F.col("ymax") + EPS) / wide))).alias("by"))
+    at = spots.select("*", F.explode(F.array(*map(F.lit, levels))).alias("level")).withColumns({"bx": F.floor(F.col("px") / wide), "by": F.floor(F.col("py") / wide)})
+    inside = F.expr(f"px BETWEEN xmin - {EPS} AND xmax + {EPS} AND py BETWEEN ymin - {EPS} AND ymax + {EPS}")
+    return at.join(filed, ["level", "bx", "by"]).filter(inside).drop("level", "bx", "by", "xmin", "ymin", "xmax", "ymax")
+
+
 def segments(edges: DataFrame) -> DataFrame:
     """Edges with their own boxes."""
     return edges.withColumns({"xmin": F.least("x1", "x2"), "ymin": F.least("y1", "y2"), "xmax": F.greatest("x1", "x2"), "ymax": F.greatest("y1", "y2")})
@@ -65,16 +95,11 @@ def locate(points: DataFrame, edges: DataFrame, cell: float = CELL, pair: bool =
 
     ``inside`` is the half-open crossing rule, so a point on a shared edge is inside one neighbour; ``touches`` is on the boundary.
     With ``pair`` the points name the only zone they are compared with, in ``zone_id``. Edges are filed under the horizontal bands they cross, so a
-    point meets only the edges at its own height; zones are found through the bins of their boxes.
+    point meets only the edges at its own height; zones are found through their boxes.
     """
     zone = edges.withColumnRenamed("feature_id", "zone_id")
-    if pair:
-        near = points.withColumn("band", F.floor(F.col("py") / cell))
-    else:
-        boxes = binned(zone.groupBy("zone_id").agg(*bounds()), cell)
-        spots = points.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)})
-        inside_box = F.expr(f"px BETWEEN xmin - {EPS} AND xmax + {EPS} AND py BETWEEN ymin - {EPS} AND ymax + {EPS}")
-        near = spots.join(boxes, ["bx", "by"]).filter(inside_box).drop("xmin", "ymin", "xmax", "ymax", "bx").withColumnRenamed("by", "band")
+    near = points if pair else box_candidates(points, zone.groupBy("zone_id").agg(*bounds()), cell)
+    near = near.withColumn("band", F.floor(F.col("py") / cell))
     bands = segments(zone).select("zone_id", "x1", "y1", "x2", "y2", cells(F.col("ymin"), F.col("ymax"), cell, EPS).alias("band"))
     found = near.join(bands, ["zone_id", "band"])
     keys = [*points.columns] if "zone_id" in points.columns else [*points.columns, "zone_id"]
@@ -110,21 +135,23 @@ def interior_point(edges: DataFrame) -> DataFrame:
 CUT = ["part", "ring", "seq", "x1", "y1", "x2", "y2"]
 
 
-def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL) -> DataFrame:
-    """Segments of ``lines`` cut at the edges of each zone whose box they meet.
+def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFrame | None = None) -> DataFrame:
+    """Segments of ``lines`` cut at the edges of each zone that they meet or begin in.
+
+    One row per piece: (feature_id, part, ring, seq, zone_id, x1, y1, x2, y2, t, id, inside, touches, along): along is the direction of a zone edge that the
+    piece lies on, 1 the same, -1 opposite, else 0; id numbers the segments. With ``group`` (feature_id, group) lines and zones are one layer: only other features of the
+    same group are met, and a segment is cut alike for all of them.
 
-    One row per piece: (feature_id, part, ring, seq, zone_id, x1, y1, x2, y2, t, inside, touches, along): along is the direction of a zone edge that the
-    piece lies on, 1 the same, -1 opposite, else 0.
+    Segments and edges meet in the bins they run through; a zone that no edge of which is near is found by the segment's begin. Cuts of a segment
+    and a zone come together in one shuffle by their numbers.
     """
-    own = segments(lines if "ring" in lines.columns else lines.withColumn("ring", F.lit(0))).select("feature_id", *CUT, "xmin", "ymin", "xmax", "ymax")
-    zone = segments(edges).select(F.col("feature_id").alias("zone_id"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax")])
-    zone_box = edges.groupBy(F.col("feature_id").alias("zone_id")).agg(*[c.alias(n) for c, n in zip(bounds(), ("zx0", "zy0", "zx1", "zy1"), strict=True)])
-    meets = F.expr(f"xmin <= zx1 + {EPS} AND xmax >= zx0 - {EPS} AND ymin <= zy1 + {EPS} AND ymax >= zy0 - {EPS}")
-    own_bins = binned(own, cell)
-    pairs = own_bins.join(binned(zone_box, cell, box=("zx0", "zy0", "zx1", "zy1")), ["bx", "by"]).filter(meets).select("feature_id", *CUT, "zone_id").distinct()
+    own = (lines if "ring" in lines.columns else lines.withColumn("ring", F.lit(0))).select("feature_id", *CUT, F.monotonically_increasing_id().alias("id"))
+    own = materialise(own, "segments")
+    line = F.struct("feature_id", *CUT).alias("line")
+    zone = walked(edges, cell).select(F.col("feature_id").alias("zone_id"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")], "bx", "by")
+    near = walked(own, cell).join(zone, ["bx", "by"]).filter(F.expr(
+        f"least(x1, x2) <= greatest(ex1, ex2) + {EPS} AND greatest(x1, x2) >= least(ex1, ex2) - {EPS} AND least(y1, y2) <= greatest(ey1, ey2) + {EPS} AND greatest(y1, y2) >= least(ey1, ey2) - {EPS}"))
     # parameters of the crossings of segment p + t r with edge q + u s, and of edge ends that lie on the segment
-    near = own_bins.join(binned(zone, cell, box=("exmin", "eymin", "exmax", "eymax")), ["bx", "by"]).filter(
-        F.expr(f"xmin <= exmax + {EPS} AND xmax >= exmin - {EPS} AND ymin <= eymax + {EPS} AND ymax >= eymin - {EPS}"))
     near = near.withColumns({
         "cr": F.expr("(x2 - x1) * (ey2 - ey1) - (y2 - y1) * (ex2 - ex1)"),
         "tn": F.expr("(ex1 - x1) * (ey2 - ey1) - (ey1 - y1) * (ex2 - ex1)"),
@@ -132,22 +159,33 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL) -> DataFrame:
         "rr": F.expr("(x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)"),
     })
     crossing = F.expr("CASE WHEN cr != 0 AND un / nullif(cr, 0D) BETWEEN -1e-12 AND 1 + 1e-12 THEN array(tn / nullif(cr, 0D)) WHEN cr = 0 AND un = 0 THEN array(((ex1 - x1) * (x2 - x1) + (ey1 - y1) * (y2 - y1)) / nullif(rr, 0D), ((ex2 - x1) * (x2 - x1) + (ey2 - y1) * (y2 - y1)) / nullif(rr, 0D)) ELSE array() END")
-    cuts = near.select("feature_id", *CUT, "zone_id", F.explode(crossing).alias("t")).filter("t > 1e-12 AND t < 1 - 1e-12")
-    ends = pairs.select("feature_id", *CUT, "zone_id", F.explode(F.array(F.lit(0.0), F.lit(1.0))).alias("t"))
-    key = ["feature_id", *CUT, "zone_id"]
-    every = cuts.join(pairs, key, "left_semi").unionByName(ends).withColumn("t", F.round("t", 12)).distinct()
-    part = every.withColumn("t2", F.lead("t").over(Window.partitionBy(*key).orderBy("t"))).filter("t2 IS NOT NULL")
-    part = part.select(
-        "feature_id", "part", "ring", "seq", "zone_id", "t",
+    met = near.select("id", "zone_id", line, F.filter(crossing, lambda t: (t > 1e-12) & (t < 1 - 1e-12)).alias("ts"))
+    begins = box_candidates(own.select("id", line, F.col("x1").alias("px"), F.col("y1").alias("py")), edges.groupBy(F.col("feature_id").alias("zone_id")).agg(*bounds()), cell)
+    pairs = met.unionByName(begins.select("id", "zone_id", "line", F.array().cast("array<double>").alias("ts")))
+    if group is not None:
+        of = lambda name, key: group.select(F.col("feature_id").alias(key), F.col("group").alias(name))
+        pairs = pairs.withColumn("own_id", F.col("line.feature_id")).filter("own_id != zone_id").join(of("g1", "own_id"), "own_id").join(of("g2", "zone_id"), "zone_id").filter("g1 = g2").drop("own_id", "g1", "g2")
+        whole = own.select("id", F.lit(None).cast(dict(edges.dtypes)["feature_id"]).alias("zone_id"), line, F.array().cast("array<double>").alias("ts"))
+        pairs = pairs.unionByName(whole)  # a segment that meets no other feature is one piece
+    ordered = lambda ts: F.array_sort(F.array_distinct(F.transform(F.concat(F.array(F.lit(0.0), F.lit(1.0)), ts), lambda t: F.round(t, 12))))
+    found = pairs.groupBy("id", "zone_id").agg(F.first("line").alias("line"), F.flatten(F.collect_set("ts")).alias("ts"))
+    if group is not None:
+        found = materialise(found, "pairs")
+        found = found.drop("ts").join(found.groupBy("id").agg(F.flatten(F.collect_set("ts")).alias("ts")), "id")
+    found = found.select("id", "zone_id", "line.*", ordered(F.col("ts")).alias("ts"))
+    found = found.withColumn("cut", F.explode(F.transform(F.slice("ts", F.lit(1), F.size("ts") - 1), lambda t, i: F.struct(t.alias("t"), F.get("ts", i + 1).alias("t2"))))).drop("ts").select("*", "cut.t", "cut.t2").drop("cut")
+    part = found.select(
+        "id", "feature_id", "part", "ring", "seq", "zone_id", "t",
         *[F.expr(e).alias(n) for n, e in (("ax", "x1 + t * (x2 - x1)"), ("ay", "y1 + t * (y2 - y1)"), ("bx2", "x1 + t2 * (x2 - x1)"), ("by2", "y1 + t2 * (y2 - y1)"))],
     ).withColumns({"px": F.expr("(ax + bx2) / 2"), "py": F.expr("(ay + by2) / 2")}).withColumn("band", F.floor(F.col("py") / cell))
     bands = segments(edges).select(F.col("feature_id").alias("zone_id"), "x1", "y1", "x2", "y2", cells(F.col("ymin"), F.col("ymax"), cell, 1e-6).alias("band"))
     tested = part.join(bands, ["zone_id", "band"], "left")
     on = F.expr(f"coalesce(({DISTANCE2}) <= 1e-14 AND abs((bx2 - ax) * (y2 - y1) - (by2 - ay) * (x2 - x1)) <= 1e-6 * sqrt(power(bx2 - ax, 2) + power(by2 - ay, 2)) * sqrt(power(x2 - x1, 2) + power(y2 - y1, 2)), false)")
     same = F.when(on, F.when(F.expr("(bx2 - ax) * (x2 - x1) + (by2 - ay) * (y2 - y1) > 0"), 1).otherwise(-1)).otherwise(0)
-    out = tested.groupBy("feature_id", "part", "ring", "seq", "zone_id", "t", "ax", "ay", "bx2", "by2").agg(
-        (F.coalesce(F.sum(F.expr(CROSSES)), F.lit(0)) % 2 == 1).alias("inside"), F.coalesce(F.max(on), F.lit(False)).alias("touches"), F.max_by(same, F.abs(same)).alias("along"))
-    return out.withColumnsRenamed({"ax": "x1", "ay": "y1", "bx2": "x2", "by2": "y2"})
+    names = ["feature_id", "part", "ring", "seq", "ax", "ay", "bx2", "by2"]
+    out = tested.groupBy("id", "zone_id", "t").agg(
+        F.first(F.struct(*names)).alias("p"), (F.coalesce(F.sum(F.expr(CROSSES)), F.lit(0)) % 2 == 1).alias("inside"), F.coalesce(F.max(on), F.lit(False)).alias("touches"), F.max_by(same, F.abs(same)).alias("along"))
+    return out.select("p.*", "id", "zone_id", "t", "inside", "touches", "along").withColumnsRenamed({"ax": "x1", "ay": "y1", "bx2": "x2", "by2": "y2"})
 
 
 LENGTH = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
@@ -234,13 +272,25 @@ def within_distance(points: DataFrame, edges: DataFrame, distance: float, cell:
     return close.union(locate(spots, edges, cell).filter("inside OR touches").select("point_id")).distinct()
 
 
-def dissolve(edges: DataFrame, by: DataFrame | None = None) -> DataFrame:
-    """Union of features that share whole edges or parts of collinear ones, as an edge table per group.
+def union_pieces(edges: DataFrame, by: DataFrame | None = None, cell: float = CELL) -> DataFrame:
+    """Boundary of the union of each group's features as an edge table (feature_id: the group), features may overlap in any number.
+
+    A piece of a boundary stays if no other feature of its group has it inside; where boundaries run together the same way one stays, opposite ones go.
+    """
+    group = by if by is not None else edges.select("feature_id").distinct().withColumn("group", F.lit(0).cast("long"))
+    own = edges.join(group.select("feature_id"), "feature_id", "left_semi")
+    cut = pieces(own, own, cell, group)
+    gone = F.max((F.col("inside") & ~F.col("touches")) | (F.col("along") == -1) | ((F.col("along") == 1) & (F.col("zone_id") < F.col("feature_id"))))
+    kept = cut.groupBy("id", "t").agg(F.first(F.struct("feature_id", "x1", "y1", "x2", "y2")).alias("p"), F.coalesce(gone, F.lit(False)).alias("gone")).filter("NOT gone")
+    return kept.select("p.*").join(group, "feature_id").select("group", "x1", "y1", "x2", "y2")
+
+
+def dissolve(edges: DataFrame, by: DataFrame | None = None, cell: float = CELL) -> DataFrame:
+    """Union of features as an edge table per group; features of a group may overlap, and runs of pieces on one line are joined.
 
-    ``by`` has (feature_id, group); without it all features are one group. Edges are cut at all vertices on their line, and opposite pieces
-    cancel. Features of one group must not overlap with their interiors.
+    ``by`` has (feature_id, group); without it all features are one group.
     """
-    named = edges.join(by, "feature_id") if by is not None else edges.withColumn("group", F.lit(0).cast("long"))
+    named = union_pieces(edges, by, cell)
     # a line is named by its direction, reduced to one half-plane and scaled to length one, and its offset from the origin
     d = named.withColumn("len", F.expr(LENGTH)).filter("len > 0").withColumn("sign", F.expr("CASE WHEN x2 > x1 OR (x2 = x1 AND y2 > y1) THEN 1 ELSE -1 END"))
     d = d.withColumns({"ux": F.expr("sign * (x2 - x1) / len"), "uy": F.expr("sign * (y2 - y1) / len")})
@@ -259,15 +309,17 @@ def dissolve(edges: DataFrame, by: DataFrame | None = None) -> DataFrame:
 def gap_overlap(units: DataFrame, reference: DataFrame, cell: float = CELL) -> DataFrame:
     """One row: gap and overlap of units against a reference, in percent of its area.
 
-    Overlap: the sum of the units' areas above the area they cover together; gap: the reference's area that no unit covers, both from pairwise overlaps,
-    so they are exact where at most two units cover a place.
+    Overlap: the sum of the units' areas above the area of their union; gap: the reference's area outside that union. Any number of units may cover a place.
     """
+    outline = union_pieces(units, None, cell).select(F.col("group").alias("feature_id"), F.lit(0).alias("part"), F.lit(None).cast("int").alias("ring"), F.lit(None).cast("int").alias("seq"), "x1", "y1", "x2", "y2")
+    outline = materialise(outline, "outline")
     total = measure(units).agg(F.sum("area").alias("units_area"))
     ref = measure(reference).agg(F.sum("area").alias("reference_area"))
-    twice = overlap_pieces(units, units.withColumn("feature_id", F.col("feature_id")), cell).filter("a_id < b_id").agg(F.coalesce(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1")) / 2), F.lit(0.0)).alias("twice"))
-    inside = overlay_area(units, reference, cell).agg(F.coalesce(F.sum("intersection_area_km2") * 1e6, F.lit(0.0)).alias("inside"))
-    one = total.join(F.broadcast(ref), F.lit(True)).join(F.broadcast(twice), F.lit(True)).join(F.broadcast(inside), F.lit(True))  # single rows
-    return one.select((100 * F.col("twice") / F.col("reference_area")).alias("overlap_percent"), (100 * F.greatest(F.lit(0.0), F.col("reference_area") - F.col("inside") + F.col("twice")) / F.col("reference_area")).alias("gap_percent"))
+    union = measure(outline).agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("union_area"))
+    inside = overlay_area(outline, reference, cell).agg(F.coalesce(F.sum("intersection_area_km2") * 1e6, F.lit(0.0)).alias("inside"))
+    one = total.join(F.broadcast(ref), F.lit(True)).join(F.broadcast(union), F.lit(True)).join(F.broadcast(inside), F.lit(True))  # single rows
+    percent = lambda area: 100 * F.greatest(F.lit(0.0), area) / F.col("reference_area")
+    return one.select(percent(F.col("units_area") - F.col("union_area")).alias("overlap_percent"), percent(F.col("reference_area") - F.col("inside")).alias("gap_percent"))
 
 
 def area_difference(edges: DataFrame, legal: DataFrame, limit_percent: float = 2.0) -> DataFrame:

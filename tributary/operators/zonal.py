@@ -11,6 +11,7 @@ from .raster import KEY, Grid, assign_pixels, join_pixels_zones, join_runs, shar
 #: Thickness-weighted bands and divisors of the soil properties.
 DIVISORS = {"bdod": 100.0}
 DIVISOR = 10.0
+SPREAD = 64  # slots over which pairs of zones and rasters are made
 BANDS = {"0_30cm": (0, 30), "30_100cm": (30, 100)}
 
 
@@ -103,13 +104,17 @@ def check_cube(df: DataFrame, properties: list[str], depths: list[str], statisti
 
 
 def population_by_zone(pixels: DataFrame, zones: DataFrame, core: DataFrame, grid: Grid, crs: str = "EPSG:32648", by: tuple[str, ...] = ()) -> DataFrame:
-    """People per zone within the core. Nodata pixels count as nobody; zones without pixels keep a row of zeros with null means."""
+    """People per zone within the core. Nodata pixels count as nobody; zones without pixels keep a row of zeros with null means.
+
+    With ``by`` there is a row for each zone and each raster that has pixels.
+    """
     won = assign_pixels(pixels, zones, core, grid)
     people = F.when(F.col("valid"), F.col("population"))
     sums = won.groupBy(*by, "zone_id").agg(F.coalesce(F.sum(people), F.lit(0.0)).alias("population_sum"), F.count(people).alias("contributing"), F.count(F.lit(1)).alias("aoi_pixels"), F.count_if("tie").alias("ties"))
     ids = zones.select(F.col("feature_id").alias("zone_id")).distinct()
     if by:
-        ids = ids.join(F.broadcast(pixels.select(*by).distinct()), F.lit(True))  # by: names of rasters, few
+        listed = pixels.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("slot"))
+        ids = ids.withColumn("slot", F.pmod(F.xxhash64("zone_id"), F.lit(SPREAD)).cast("int")).join(listed, "slot").drop("slot")  # the result itself has a row for each pair
     rows = ids.join(sums, [*by, "zone_id"], "left").fillna(0, ["population_sum", "contributing", "aoi_pixels", "ties"])
     n = F.col("aoi_pixels")
     return rows.select(*by, "zone_id", "population_sum", share(F.col("population_sum"), n, None).alias("population_mean"), "contributing", (n - F.col("contributing")).alias("nodata_pixels"), "aoi_pixels",
@@ -118,28 +123,28 @@ def population_by_zone(pixels: DataFrame, zones: DataFrame, core: DataFrame, gri
 
 def drainage(zones: DataFrame, rivers: DataFrame, cell: float = geometry.CELL) -> DataFrame:
     """(zone_id, area_km2, river_length_km, reach_count, drainage_density); the count holds reaches that only touch, the density is null without area."""
-    part = geometry.pieces(rivers, zones, cell)
-    length = part.filter("inside OR touches").groupBy("zone_id").agg((F.sum(F.expr(geometry.LENGTH)) / 1000).alias("river_length_km"))
+    crossing = geometry.pieces(rivers, zones, cell).filter("inside OR touches").select("zone_id", F.col("feature_id").alias("reach"), F.expr(geometry.LENGTH).alias("length"))
     ends = rivers.select(F.col("feature_id").alias("reach"), F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("reach", F.col("p.x").alias("px"), F.col("p.y").alias("py")).distinct()
     touch = geometry.locate(ends, zones, cell).filter("touches").select("zone_id", "reach")
     corners = zones.select(F.col("feature_id").alias("zone_id"), F.col("x1").alias("px"), F.col("y1").alias("py"))
-    own = geometry.binned(geometry.segments(rivers).select(F.col("feature_id").alias("reach"), "x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax"), cell)
+    own = geometry.walked(rivers.select(F.col("feature_id").alias("reach"), "x1", "y1", "x2", "y2"), cell)
     at = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)}).join(own, ["bx", "by"]).filter(F.expr(geometry.DISTANCE2) <= geometry.EPS**2).select("zone_id", "reach")
-    reaches = part.filter("inside OR touches").select("zone_id", F.col("feature_id").alias("reach")).union(touch).union(at).distinct().groupBy("zone_id").agg(F.count(F.lit(1)).alias("reach_count"))
+    rows = crossing.unionByName(touch.unionByName(at).withColumn("length", F.lit(0.0)))
+    sums = rows.groupBy("zone_id", "reach").agg(F.sum("length").alias("length")).groupBy("zone_id").agg((F.sum("length") / 1000).alias("river_length_km"), F.count(F.lit(1)).alias("reach_count"))
     area = geometry.measure(zones).select(F.col("feature_id").alias("zone_id"), (F.col("area") / 1e6).alias("area_km2"))
-    rows = area.join(length, "zone_id", "left").join(reaches, "zone_id", "left").fillna(0, ["river_length_km", "reach_count"])
+    rows = area.join(sums, "zone_id", "left").fillna(0, ["river_length_km", "reach_count"])
     return rows.withColumn("drainage_density", share(F.col("river_length_km"), F.col("area_km2"), None))
 
 
-def sample_at(points: DataFrame, pixels: DataFrame, grid: Grid, raster_id: int = 0) -> DataFrame:
-    """``points`` (.., x, y) with the value of the pixel under them; null if masked or outside."""
+def sample_at(points: DataFrame, pixels: DataFrame, grid: Grid) -> DataFrame:
+    """``points`` (.., x, y) with the value of the pixel of one raster (row, col, value, valid) under them; null if masked or outside."""
     at = points.withColumns({"row": F.floor((F.col("y") - grid["f"]) / grid["e"]).cast("int"), "col": F.floor((F.col("x") - grid["c"]) / grid["a"]).cast("int")})
-    own = pixels.filter(F.col("raster_id") == raster_id).select("row", "col", F.when(F.col("valid"), F.col("value")).alias("sampled"))
+    own = pixels.select("row", "col", F.when(F.col("valid"), F.col("value")).alias("sampled"))
     return at.join(own, ["row", "col"], "left").drop("row", "col")
 
 
 def stream_gradient(zones: DataFrame, rivers: DataFrame, dem: DataFrame, grid: Grid, cell: float = geometry.CELL) -> DataFrame:
-    """(zone_id, stream_gradient, valid, reversed, flat, nodata): abs(rise) / length of clipped reaches, weighted by length.
+    """(zone_id, stream_gradient, valid, reversed, flat, nodata): abs(rise) / length of clipped reaches, weighted by length; ``dem`` is one raster.
 
     A reach cut into several parts within a zone, or without both end heights, counts as nodata.
     """

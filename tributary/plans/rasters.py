@@ -47,8 +47,7 @@ def assigned(s, d):
 
 
 def population(s, d):
-    p = X.pixels(s, d).filter("raster_id = 0")
-    return rounded(zonal.population_by_zone(p, X.zones(s, d), X.core(s, d), TIED), "population_mean", "coverage")
+    return rounded(zonal.population_by_zone(X.pixels(s, d), X.zones(s, d), X.core(s, d), TIED, by=("raster_id",)), "population_mean", "coverage")
 
 
 def slopes(s, d):
@@ -93,17 +92,18 @@ def cube_gaps(s, d):
 
 
 def drained(s, d):
-    rivers = X.lines(s, d).filter("feature_id % 7 = 0")
-    return rounded(zonal.drainage(X.zones(s, d), rivers), "river_length_km", "drainage_density", digits=4)
+    return rounded(zonal.drainage(X.zones(s, d), X.lines(s, d)), "river_length_km", "drainage_density", digits=4)
+
+
+OFF = {"a": 10.0, "b": 0.0, "c": -3.137, "d": 0.0, "e": -10.0, "f": 1003.137}  # no zone edge lies on a pixel's edge
 
 
 def gradients(s, d):
-    rivers = X.lines(s, d).filter("feature_id % 7 = 0")
-    return rounded(zonal.stream_gradient(X.zones(s, d), rivers, X.pixels(s, d), GRID), "stream_gradient", digits=4)
+    return rounded(zonal.stream_gradient(X.zones(s, d), X.lines(s, d), raster.mosaic(X.pixels(s, d)), OFF), "stream_gradient", digits=4)
 
 
 def sampled(s, d):
-    return zonal.sample_at(X.points(s, d).select("point_id", "x", "y"), X.pixels(s, d), GRID).select("point_id", "sampled")
+    return zonal.sample_at(X.points(s, d).select("point_id", "x", "y"), raster.mosaic(X.pixels(s, d)), GRID).select("point_id", "sampled")
 
 
 def coverage(s, d):
@@ -203,6 +203,7 @@ SOIL_CTE = f"""soilpx AS (SELECT (o_orderkey//96%400//20)::INT AS "row", (o_orde
     soilout AS (SELECT zone_id, property, statistic, band, round(CASE WHEN count(mean) = count(*) AND sum(part) = max(t-f) THEN sum(mean*part)/max(t-f) END + 1e-7, 3) AS value, sum(valid)::BIGINT AS valid_pixels, sum(covered)::BIGINT AS covered_pixels, round(sum(valid)/sum(covered)::DOUBLE, 3) AS valid_fraction
       FROM (SELECT *, least(bottom, t) - greatest(top, f) AS part FROM layer, band WHERE least(bottom, t) > greatest(top, f)) GROUP BY zone_id, property, statistic, band)"""
 
+MOSAIC = 'm AS (SELECT "row", col, min_by(value, raster_id) FILTER (valid) AS value, bool_or(valid) AS valid FROM pixels GROUP BY "row", col)'
 ORACLE_SQL = {
     "landcover_fractions": sql("zones pixels", f", {ZP} SELECT raster_id, zone_id, {FRACTIONS}, count(*) FILTER (NOT valid) AS nodata_pixels, count(*) FILTER (valid AND class = 0) AS unknown_pixels, count(*) FILTER (valid) AS valid_pixels, count(*) AS covered FROM (SELECT *, count(*) FILTER (valid AND class != 0) OVER (PARTITION BY raster_id, zone_id) AS r FROM zp) GROUP BY raster_id, zone_id, r"),
     "join_pixels_zones": sql("zones pixels", f', {TIED_PX} SELECT raster_id, zone_id, count(*) AS n, sum("row")::BIGINT AS rows, sum(col)::BIGINT AS cols FROM tied JOIN zones ON tx >= x0 AND tx < x1 AND ty >= y0 AND ty < y1 GROUP BY raster_id, zone_id'),
@@ -210,16 +211,19 @@ ORACLE_SQL = {
     "class_name": sql("pixels", f"SELECT class, map_extract({{{', '.join(f'{c}: {n!r}' for c, n in X.CLASSES.items())}}}::MAP(INTEGER, VARCHAR), class)[1] AS class_name, count(*) AS n FROM pixels GROUP BY class".replace("map_extract({", "map_extract(MAP {").replace("}::MAP(INTEGER, VARCHAR)", "}")),
     "pixel_centers": sql("pixels", 'SELECT raster_id, "row", col, px::DOUBLE AS px, py::DOUBLE AS py FROM pixels'),
     "assign_pixels": sql("zones pixels", f', {TIED_PX} SELECT raster_id, zone_id, count(*) AS n, count(*) FILTER (k > 1) AS ties, sum(population) AS people FROM (SELECT raster_id, "row", col, any_value(population) AS population, min(zone_id) AS zone_id, count(*) AS k FROM tied JOIN zones ON {TIED_COVER} GROUP BY raster_id, "row", col) GROUP BY raster_id, zone_id'),
-    "population_by_zone": sql("zones pixels", f""", {TIED_PX}, won AS (SELECT "row", col, any_value(population) AS population, bool_and(valid) AS valid, min(zone_id) AS zone_id, count(*) AS k FROM tied JOIN zones ON raster_id = 0 AND {TIED_COVER} GROUP BY "row", col),
-        agg AS (SELECT zone_id, coalesce(sum(population) FILTER (valid), 0) AS s, count(*) FILTER (valid) AS c, count(*) AS n, count(*) FILTER (k > 1) AS t FROM won GROUP BY zone_id)
-        SELECT zone_id, coalesce(s, 0) AS population_sum, round(s/n, 6) AS population_mean, coalesce(c, 0) AS contributing, coalesce(n-c, 0) AS nodata_pixels, coalesce(n, 0) AS aoi_pixels, round(c/n::DOUBLE, 6) AS coverage, coalesce(t, 0) AS ties, 10.0::DOUBLE AS resolution, 'people' AS unit, 'EPSG:32648' AS crs, 'core_aoi_only' AS scope FROM zones LEFT JOIN agg USING (zone_id)"""),
+    "population_by_zone": sql("zones pixels", f""", {TIED_PX}, won AS (SELECT raster_id, any_value(population) AS population, bool_and(valid) AS valid, min(zone_id) AS zone_id, count(*) AS k FROM tied JOIN zones ON {TIED_COVER} GROUP BY raster_id, "row", col),
+        agg AS (SELECT raster_id, zone_id, coalesce(sum(population) FILTER (valid), 0) AS s, count(*) FILTER (valid) AS c, count(*) AS n, count(*) FILTER (k > 1) AS t FROM won GROUP BY raster_id, zone_id)
+        SELECT raster_id, zone_id, coalesce(s, 0) AS population_sum, round(s/n, 6) AS population_mean, coalesce(c, 0) AS contributing, coalesce(n-c, 0) AS nodata_pixels, coalesce(n, 0) AS aoi_pixels, round(c/n::DOUBLE, 6) AS coverage, coalesce(t, 0) AS ties, 10.0::DOUBLE AS resolution, 'people' AS unit, 'EPSG:32648' AS crs, 'core_aoi_only' AS scope FROM zones JOIN (SELECT DISTINCT raster_id FROM pixels) r ON true LEFT JOIN agg USING (raster_id, zone_id)"""),
     "slope": sql("zones pixels", f", {SLOPE} SELECT raster_id, zone_id, count(*) AS n, round(avg(slope), 5) AS mean_slope, round(max(slope), 5) AS max_slope FROM sl WHERE slope IS NOT NULL GROUP BY raster_id, zone_id"),
     "terrain_features": sql("zones pixels", f", {SLOPE} SELECT raster_id, zone_id, min(z) AS elevation_min_m, round(avg(z), 5) AS elevation_mean_m, max(z) AS elevation_max_m, max(z)-min(z) AS relief_m, round(avg(slope), 5) AS slope_mean_deg, round(quantile_cont(slope, 0.9), 5) AS slope_p90_deg, round(max(slope), 5) AS slope_max_deg, count(*) AS covered_pixels, count(z) AS valid_pixels, round(count(z)/count(*)::DOUBLE, 5) AS valid_fraction FROM sl GROUP BY raster_id, zone_id"),
     "soil_depth_weighted": sql("zones", f", {SOIL_CTE} SELECT * FROM soilout"),
     "check_cube": f"WITH p AS (SELECT unnest({PROPERTIES}) AS property), s AS (SELECT unnest({STATISTICS}) AS statistic) SELECT property, '5-15cm' AS depth, statistic, 'missing' AS problem FROM p, s WHERE (SELECT count(*) FROM orders) >= 96",
-    "drainage": sql("zones lines", f""", rivers AS (SELECT * FROM lines WHERE line_id%7 = 0), {ZONE_BOXES}, {BOX_CLIP.replace('FROM lines, boxes', 'FROM rivers, boxes')}
+    "drainage": sql("zones lines", f""", {ZONE_BOXES}, {BOX_CLIP}
         SELECT zone_id, 0.04::DOUBLE AS area_km2, round(coalesce(sum((t1-t0)*len/1000) FILTER (t1 > t0), 0), 4) AS river_length_km, count(*) FILTER (t1 >= t0) AS reach_count, round(coalesce(sum((t1-t0)*len/1000) FILTER (t1 > t0), 0)/0.04, 4) AS drainage_density FROM clip GROUP BY zone_id"""),
-    "sample_at": sql("points pixels", 'SELECT point_id, CASE WHEN valid THEN p.value END AS sampled FROM points LEFT JOIN pixels p ON p.raster_id = 0 AND p.col = floor(x/10)::INT AND p."row" = floor((1000-y)/10)::INT'),
+    "stream_gradient": sql("zones lines pixels", f""", {ZONE_BOXES}, {BOX_CLIP}, {MOSAIC}, g AS (SELECT zone_id, (t1-t0)*len AS length, x1+t0*(x2-x1) AS ax, y1+t0*(y2-y1) AS ay, x1+t1*(x2-x1) AS bx, y1+t1*(y2-y1) AS "by" FROM clip WHERE t1-t0 > 1e-12),
+        z AS (SELECT g.zone_id, length, b.value - a.value AS rise FROM g LEFT JOIN m a ON a.valid AND a.col = floor((ax+3.137)/10)::INT AND a."row" = floor((ay-1003.137)/-10)::INT LEFT JOIN m b ON b.valid AND b.col = floor((bx+3.137)/10)::INT AND b."row" = floor(("by"-1003.137)/-10)::INT)
+        SELECT zones.zone_id, round(sum(abs(rise)) / sum(length) FILTER (rise IS NOT NULL), 4) AS stream_gradient, count(rise) AS valid, count(*) FILTER (rise > 0) AS reversed, count(*) FILTER (rise = 0) AS flat, count(length) - count(rise) AS nodata FROM zones LEFT JOIN z ON z.zone_id = zones.zone_id GROUP BY zones.zone_id"""),
+    "sample_at": sql("points pixels", f', {MOSAIC} SELECT point_id, CASE WHEN valid THEN m.value END AS sampled FROM points LEFT JOIN m ON m.col = floor(x/10)::INT AND m."row" = floor((1000-y)/10)::INT'),
     "coverage_ratio": sql("pixels", "SELECT raster_id, count(*) AS in_area, count(*) FILTER (valid) AS valid, round(count(*) FILTER (valid)/count(*)::DOUBLE, 6) AS coverage FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899 GROUP BY raster_id"),
     "class_pixel_counts": sql("pixels", "SELECT raster_id, count(*) FILTER (NOT valid OR class = 0) AS nodata_pixels, count(*) FILTER (valid AND class = 80) AS water_pixels FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899 GROUP BY raster_id"),
     "check_vocabulary": sql("pixels", "SELECT class, count(*) AS pixels FROM pixels WHERE valid AND class >= 90 GROUP BY class"),

@@ -243,14 +243,18 @@ def matched_identity(s, d):
 
 
 def _edges(s, d):
+    """A document depends on a third and a fifth of its number; 30 to 41 are a cycle as well, and one in ten up to 60 depends on nothing."""
     k = F.col("doc_id")
-    docs = X.table(s, d, "documents").filter("doc_id > 0")
-    return docs.select(k.alias("asset_id"), F.explode(F.array(F.floor(k / 3), F.floor(k / 5))).alias("depends_on"))
+    docs = X.table(s, d, "documents").filter("doc_id > 0 AND (doc_id % 10 != 7 OR doc_id > 60)")
+    ring = F.when(k == 30, 41).when(k.between(31, 41), k - 1)
+    return docs.select(k.alias("asset_id"), F.explode(F.array(F.floor(k / 3), F.floor(k / 5), ring)).alias("depends_on")).filter("depends_on IS NOT NULL")
 
 
 def _closure(s, d):
-    docs = X.table(s, d, "documents").select(F.col("doc_id").alias("asset_id"))
-    return catalog.lineage_closure(_edges(s, d).filter("asset_id % 10 != 7 OR asset_id > 60"), docs.filter("asset_id % 10 = 9"), docs.filter("asset_id < 20"), docs.filter("asset_id != 25"))
+    """Of every document; those of one source are raw, and one is missing."""
+    docs = X.table(s, d, "documents").select(F.col("doc_id").alias("asset_id"), "source")
+    ids = docs.select("asset_id")
+    return catalog.lineage_closure(_edges(s, d), ids, docs.filter("source = 'src0'").select("asset_id"), ids.filter("asset_id != 25"))
 
 
 def closure(s, d):
@@ -301,30 +305,40 @@ def identities_joined(s, d):
     return rows.select("unit_id", "code")
 
 
+def _spot(s, d, k):
+    """(x, y) of a part's box of 125 m: 64 in a block of 1 km, blocks in rows of 32."""
+    block = F.floor(k / 64)
+    return 1000 * (block % 32) + 125 * (k % 8), 1000 * F.floor(block / 32) + 125 * F.floor(k % 64 / 8)
+
+
 def _old(s, d):
-    """Old units: 64 boxes of 125 m, named by the parts' first words and a number."""
+    """Old units: a box for every part, named by the part and a number; now and then two in a block have one name."""
     k = F.col("p_partkey")
-    rows = X.table(s, d, "part").filter("p_partkey < 64").select(k.alias("feature_id"), k.cast("string").alias("old_id"), F.concat(F.lit("Xã "), F.initcap("p_name"), F.lit(" "), (k % 40).cast("string")).alias("old_name"), F.lit("2025-06-30").alias("valid_to"))
-    f = F.col("feature_id")
-    x, y = 125 * (f % 8), 125 * F.floor(f / 8)
+    number = 40 * F.floor(k / 64) + k % 40
+    rows = X.table(s, d, "part").select(k.alias("feature_id"), k.cast("string").alias("old_id"), F.concat(F.lit("Xã "), F.initcap("p_name"), F.lit(" "), number.cast("string")).alias("old_name"), F.lit("2025-06-30").alias("valid_to"))
+    x, y = _spot(s, d, F.col("feature_id"))
     return rows, X.boxes(rows, "feature_id", x, y, x + 125, y + 125)
 
 
+def _unit_of(k):
+    return (16 * F.floor(k / 64) + F.floor(k % 8 / 2) + 4 * F.floor(k % 64 / 16)).cast("long")
+
+
 def _current(s, d):
-    """Current units: 16 boxes of 250 m with their old units listed by name, now and then with a name of elsewhere."""
+    """Current units: boxes of 250 m, four old ones each, listed by name, now and then with a name of elsewhere."""
     old, _ = _old(s, d)
     f = F.col("feature_id")
-    unit = (F.floor(f % 8 / 2) + 4 * F.floor(f / 16)).alias("unit")
-    lists = old.select(unit, "old_name", f.alias("o")).groupBy("unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "old_name"))), lambda x: x["old_name"]), ", ").alias("listed"))
-    rows = lists.select(F.col("unit").cast("long").alias("feature_id"), F.lpad(F.col("unit").cast("string"), 5, "0").alias("code"), F.concat(F.lit("Phường "), F.substring_index(F.substring_index("listed", ",", 1), "Xã ", -1)).alias("name"),
+    lists = old.select(_unit_of(f).alias("unit"), "old_name", f.alias("o")).groupBy("unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "old_name"))), lambda x: x["old_name"]), ", ").alias("listed"))
+    rows = lists.select(F.col("unit").alias("feature_id"), F.lpad(F.col("unit").cast("string"), 7, "0").alias("code"), F.concat(F.lit("Phường "), F.substring_index(F.substring_index("listed", ",", 1), "Xã ", -1)).alias("name"),
         F.concat("listed", F.when(F.col("unit") % 4 == 1, F.lit(", Xã Nowhere")).otherwise(F.lit(""))).alias("predecessors"))
-    return rows, X.units(s, d)
+    x, y = _spot(s, d, 64 * F.floor(f / 16) + f % 4 * 2 + F.floor(f % 16 / 4) * 16)
+    return rows, X.boxes(rows.select("feature_id"), "feature_id", x, y, x + 250, y + 250)
 
 
 def _crosswalk(s, d):
     current, ce = _current(s, d)
     old, oe = _old(s, d)
-    return admin.build_crosswalk(current, ce, old, oe, composed=True)
+    return admin.build_crosswalk(current, ce, old, oe)
 
 
 def crosswalk(s, d):
@@ -336,7 +350,8 @@ def _events(s, d):
     old, _ = _old(s, d)
     current, _ = _current(s, d)
     k = F.col("doc_id")
-    docs = X.table(s, d, "documents").select(k, (k % 16).alias("c"), (k * 7 % 64).alias("o"))
+    parts = X.table(s, d, "part").count()
+    docs = X.table(s, d, "documents").select(k, _unit_of(k * 13 % parts).alias("c"), (k * 7 % parts).alias("o"))
     both = docs.join(current.select(F.col("feature_id").alias("c"), F.substring(F.col("name"), 8, 100).alias("cn")), "c").join(old.select(F.col("feature_id").alias("o"), F.substring(F.col("old_name"), 4, 100).alias("on")), "o")
     text = F.when(k % 5 == 0, F.lit("huyện Somewhere")).otherwise(F.concat(F.lit("Xã "), "cn", F.when(k % 4 == 0, F.lit(" (cũ)")).otherwise(F.lit("")), F.lit("; Phường "), "on"))
     start = F.when(k % 9 == 0, None).when(k % 2 == 0, F.lit("2024-01-05")).otherwise(F.lit("2026-01-05")).cast("date")
@@ -345,7 +360,7 @@ def _events(s, d):
 
 def places(s, d):
     current, _ = _current(s, d)
-    out = admin.resolve_places(_events(s, d), current, _crosswalk(s, d), composed=True)
+    out = admin.resolve_places(_events(s, d), current, _crosswalk(s, d))
     return out.select("event_id", "regime", F.array_join("names", "|").alias("names"), F.array_join("codes", ",").alias("codes"), "match_status", "match_confidence")
 
 
@@ -425,7 +440,7 @@ def ordered_parts(s, d):
 # Gates
 
 def unit_gate(s, d):
-    u = X.table(s, d, "nation").filter("n_nationkey < 16").select(F.col("n_nationkey").cast("long").alias("feature_id"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.when(F.col("n_nationkey") % 2 == 0, "Xã A").otherwise("Phường B").alias("name"))
+    u = X.table(s, d, "nation").filter("n_nationkey < 16").select(F.col("n_nationkey").cast("long").alias("feature_id"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.when(F.col("n_nationkey") % 2 == 0, "Xã A").otherwise("Phường B").alias("name"), (F.col("n_nationkey") == 5).alias("repaired"))
     legal = u.select("feature_id", F.when(F.col("feature_id") == 3, 50000.0).otherwise(62500.0).alias("legal_area"))
     return gates.gate_units(u, X.units(s, d), X.boxes(u.filter("feature_id = 0").select(F.lit(0).cast("long").alias("feature_id")), "feature_id", F.lit(0), F.lit(0), F.lit(1000), F.lit(1000)), legal, (16, 8, 8)).select("check_id", "passed", "severity")
 
@@ -437,21 +452,27 @@ def hierarchy_gate(s, d):
 
 
 def mapping_gate(s, d):
-    z = X.zones(s, d).select(F.col("feature_id").alias("zone_id")).distinct()
-    m = geometry.join_points_zones(X.points(s, d), X.zones(s, d))
-    u = geometry.overlay_area(X.zones(s, d), X.units(s, d))
-    total = gates.fraction_totals(u, X.units(s, d).select(F.col("feature_id").alias("unit_id")), "unit_id")
-    return gates.gate_mappings({"points": (m, ["point_id", "zone_id"]), "units": (u, ["zone_id", "unit_id", "missing_column"])}, z, total).select("check_id", "passed", "severity")
+    """Communes with all their columns; rivers with a key that isn't theirs; points without a zone column; the others missing."""
+    z = X.zones(s, d).select(F.col("feature_id").alias("HYBAS_ID")).distinct()
+    keep = lambda df, columns: df.select("*", *[F.lit("[]").alias(c) for c in columns if c not in df.columns])
+    u = geometry.overlay_area(X.zones(s, d), X.units(s, d)).select(F.col("zone_id").alias("HYBAS_ID"), F.col("unit_id").alias("current_commune_code"), "intersection_area_km2", F.col("zone_fraction").alias("basin_fraction"), F.col("unit_fraction").alias("commune_fraction"))
+    r = geometry.overlay_length(X.zones(s, d), X.lines(s, d)).select(F.col("zone_id").alias("HYBAS_ID"), F.col("line_id").alias("HYRIV_ID"), F.col("intersection_length_km").alias("intersected_length_km"), "boundary_case")
+    f = geometry.join_points_zones(X.points(s, d), X.zones(s, d)).select(F.col("point_id").alias("osm_id"), "boundary_case")
+    maps = {"commune": keep(u, gates.PRODUCTS["commune"][1]), "river": keep(r, gates.PRODUCTS["river"][1]), "facility": keep(f, gates.PRODUCTS["facility"][1])}
+    units = X.units(s, d).select(F.col("feature_id").alias("current_commune_code")).distinct()
+    entities = {"commune": units, "river": X.lines(s, d).filter("feature_id % 50 != 0").select(F.col("feature_id").alias("HYRIV_ID")), "facility": X.points(s, d).select(F.col("point_id").alias("osm_id"))}
+    return gates.gate_mappings(maps, entities, z, units).select("check_id", "passed", "severity")
 
 
 def raster_gate(s, d):
-    return gates.gate_rasters(X.pixels(s, d), X.core(s, d), X.grid()).select("check_id", "passed", "severity", "actual")
+    p, low = X.pixels(s, d), X.pixels(s, d).filter("row < 70")
+    return gates.gate_rasters({"dem": (p, X.core(s, d), X.grid(), False), "worldpop": (low, X.core(s, d), X.grid(), True), "worldcover": (None, X.core(s, d), X.grid(), False)}).select("check_id", "passed", "severity", "actual")
 
 
 def population_gate(s, d):
-    p = X.pixels(s, d).filter("raster_id = 0")
-    t = zonal.population_by_zone(p, X.zones(s, d), X.core(s, d), X.grid(tied=True))
-    return gates.gate_population(t, p, X.zones(s, d), X.core(s, d), X.grid(tied=True)).select("check_id", "passed", "severity")
+    p = X.pixels(s, d)
+    t = zonal.population_by_zone(p, X.zones(s, d), X.core(s, d), X.grid(tied=True), by=("raster_id",))
+    return gates.gate_population(t, p, X.zones(s, d), X.core(s, d), X.grid(tied=True), by=("raster_id",)).select("check_id", "passed", "severity")
 
 
 def event_gate(s, d):
@@ -464,7 +485,7 @@ def provenance_gate(s, d):
 
 
 def all_gates(s, d):
-    return gates.run_gates(s, {"events": lambda: gates.gate_events(X.table(s, d, "documents").select(F.lit("matched").alias("match_status"), F.lit(1.0).alias("match_confidence")), 1000), "broken": lambda: gates.gate_events(X.table(s, d, "documents"), 1)}).select("check_id", "passed", "severity")
+    return gates.run_gates(s, {"events": lambda: gates.gate_events(X.table(s, d, "documents").select(F.lit("matched").alias("match_status"), F.lit(1.0).alias("match_confidence")), 1000), "broken": lambda: gates.gate_events(X.table(s, d, "documents"), 1), "bad_cast": lambda: gates.no_rows(X.table(s, d, "documents").filter(F.col("source").cast("int") > 0), "cast.source")}).select("check_id", "passed", "severity")
 
 
 def rollup(s, d):
@@ -502,6 +523,23 @@ def geojson_round_trip(s, d):
     return rounded(geometry.measure(geometry.edges_from_rings(layer.withColumn("feature_id", F.col("feature_id").cast("long")), "feature_id", "rings")).select("feature_id", "area", "length"), "area", "length")
 
 
+def geojson_written(s, d):
+    """Zones written one feature a line, read back as rings."""
+    path = _place(s)
+    io.write_geojson(X.zones(s, d), X.table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("feature_id"), "n_name"), path)
+    rows = s.read.schema("type string, properties struct<feature_id: long, n_name: string>, geometry struct<type: string, coordinates: array<array<array<double>>>>").json(path)
+    ring = F.col("geometry.coordinates")[0]
+    return rows.select("properties.feature_id", "properties.n_name", F.size(ring).alias("points"), ring[0][0].alias("x"), ring[0][1].alias("y"))
+
+
+def catalog_round_trip(s, d):
+    """The catalog written, replaced by one without every third asset, and read back."""
+    path = _place(s)
+    io.write_catalog(X.assets(s, d), path)
+    io.write_catalog(X.assets(s, d).filter("asset_id % 3 != 0"), path)
+    return io.read_catalog(s, path).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("asset_id").alias("first"))
+
+
 def scanned(s, d):
     files = io.check_signatures(io.scan_assets(s, d, "*.parquet"))
     return files.agg((F.count(F.lit(1)) > 0).alias("found"), F.min(F.length("checksum")).alias("digits"), F.count("format").alias("known"))
@@ -538,10 +576,10 @@ def report_written(s, d):
 
 
 def unit_index(s, d):
-    """An index in JSON files, lists and objects, read back."""
+    """An index in JSON files of 250 units, lists and objects, read back."""
     path = _place(s)
     item = F.to_json(F.struct(F.col("p_partkey").alias("magoc"), F.col("p_partkey").cast("string").alias("ma"), F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("malk")))
-    X.table(s, d, "part").groupBy((F.col("p_partkey") % 8).alias("g")).agg(F.array_join(F.collect_list(item), ",").alias("x")).repartition(8, "g").select(F.when(F.col("g") % 2 == 0, F.concat(F.lit("["), "x", F.lit("]"))).otherwise(F.concat(F.lit('{"rows":['), "x", F.lit("]}"))).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    X.table(s, d, "part").groupBy(F.floor(F.col("p_partkey") / 250).alias("g")).agg(F.array_join(F.collect_list(item), ",").alias("x")).repartition(8, "g").select(F.when(F.col("g") % 2 == 0, F.concat(F.lit("["), "x", F.lit("]"))).otherwise(F.concat(F.lit('{"rows":['), "x", F.lit("]}"))).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     good, _ = io.read_unit_index(s, path)
     return good.groupBy("code").agg(F.count(F.lit(1)).alias("aliases"))
 
@@ -558,12 +596,13 @@ QUERIES = {
     "unit_counts": unit_totals, "unit_aliases": aliases, "join_identity": identities_joined, "build_crosswalk": crosswalk, "resolve_places": places, "read_event_rows": event_rows, "assemble_profile": assembled,
     "content_fingerprint": content_print, "join_warnings": warned, "join_attributes": attributes, "subset_by_keys": subset, "project": projected, "explode_parts": road_parts, "union_layers": united, "part_index": ordered_parts,
     "gate_units": unit_gate, "gate_hierarchy": hierarchy_gate, "gate_mappings": mapping_gate, "gate_rasters": raster_gate, "gate_population": population_gate, "gate_events": event_gate, "gate_provenance": provenance_gate,
-    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_geojson_layer": geojson_round_trip, "scan_assets": scanned,
+    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_geojson_layer": geojson_round_trip, "write_geojson": geojson_written, "write_catalog": catalog_round_trip, "scan_assets": scanned,
 }
 
-CLOSURE_SQL = """edges AS (SELECT doc_id AS a, doc_id//3 AS b FROM documents WHERE doc_id > 0 UNION SELECT doc_id, doc_id//5 FROM documents WHERE doc_id > 0),
-  e AS (SELECT * FROM edges WHERE a%10 != 7 OR a > 60), walk AS (SELECT doc_id AS root_id, doc_id AS node_id FROM documents WHERE doc_id%10 = 9 UNION SELECT root_id, e.b FROM walk JOIN e ON e.a = walk.node_id),
-  closure AS (SELECT root_id, node_id, CASE WHEN node_id = 25 THEN 'missing' WHEN node_id < 20 THEN 'raw' WHEN node_id NOT IN (SELECT a FROM e) THEN 'childless' ELSE 'inner' END AS state FROM walk)"""
+CLOSURE_SQL = """e AS (SELECT doc_id AS a, unnest(CASE WHEN doc_id = 30 THEN [doc_id//3, doc_id//5, 41] WHEN doc_id BETWEEN 31 AND 41 THEN [doc_id//3, doc_id//5, doc_id-1] ELSE [doc_id//3, doc_id//5] END) AS b FROM documents WHERE doc_id > 0 AND (doc_id%10 != 7 OR doc_id > 60)),
+  walk AS (SELECT doc_id AS root_id, doc_id AS node_id FROM documents UNION SELECT root_id, e.b FROM walk JOIN e ON e.a = walk.node_id), ring AS (SELECT DISTINCT root_id AS node_id FROM walk JOIN e ON e.a = walk.node_id WHERE e.b = root_id),
+  closure AS (SELECT root_id, node_id, CASE WHEN node_id = 25 OR node_id NOT IN (SELECT doc_id FROM documents) THEN 'missing' WHEN node_id IN (SELECT node_id FROM ring) THEN 'cyclic' WHEN node_id IN (SELECT doc_id FROM documents WHERE source = 'src0') THEN 'raw' WHEN node_id NOT IN (SELECT a FROM e) THEN 'childless' ELSE 'inner' END AS state FROM walk)"""
+OLD_SQL = """old AS (SELECT p_partkey AS k, 16*(p_partkey//64) + p_partkey%8//2 + 4*(p_partkey%64//16) AS unit, lower(p_name) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS normal, (SELECT string_agg(upper(w[1]) || w[2:], ' ') FROM (SELECT unnest(string_split(p_name, ' ')) AS w)) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS plain FROM part)"""
 ORACLE_SQL = {
     "normalize_unit_name": f"WITH {NAMES_SQL} SELECT id, {NORMAL} AS normalized FROM names",
     "strip_unit_prefix": f"WITH {NAMES_SQL} SELECT id, trim(regexp_replace(regexp_replace(name, ' +', ' ', 'g'), '^(Xã|PHƯỜNG|thị trấn) ', '')) AS stripped FROM names",
@@ -597,7 +636,7 @@ ORACLE_SQL = {
     "check_transitions": "WITH t AS (SELECT *, lag(to_status) OVER (PARTITION BY user_id ORDER BY event_id) AS from_status FROM (SELECT user_id, event_id, CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in STATES.items()) + " END AS to_status FROM events)) SELECT from_status, to_status, count(*) AS n FROM t WHERE from_status IS NOT NULL AND from_status || '>' || to_status NOT IN (" + ", ".join(f"'{a}>{b}'" for a, bs in catalog.LEGAL.items() for b in bs) + ") GROUP BY 1, 2",
     "inventory_report": sql("assets", ", m AS (SELECT *, first_value(asset_id) OVER (PARTITION BY source, version, kind, media_type, checksum ORDER BY path) AS c FROM assets) SELECT source, status, count(*) AS assets, count(*) FILTER (c != asset_id) AS duplicates, sum(size_bytes)::BIGINT AS bytes FROM m GROUP BY GROUPING SETS ((source), (status), ())"),
     "bundle_checksum": sql("assets", "SELECT asset_id//3 AS bundle_id, CASE WHEN count(*) = 1 THEN max(checksum) ELSE sha256(string_agg(asset_id || chr(0) || checksum || chr(10), '' ORDER BY asset_id::VARCHAR || chr(0))) END AS checksum FROM assets GROUP BY asset_id//3"),
-    "fingerprint": sql("assets", "SELECT source, sha256(string_agg(DISTINCT checksum, ',' ORDER BY checksum) || chr(10) || '{\"a\":1}' || chr(10) || 'v1') AS fingerprint FROM assets GROUP BY source"),
+    "fingerprint": sql("assets", ", b AS (SELECT source, substr(checksum, 1, 3) AS k, sha256(string_agg(DISTINCT checksum, ',' ORDER BY checksum)) AS digest FROM assets GROUP BY source, substr(checksum, 1, 3)) SELECT source, sha256(string_agg(digest, ',' ORDER BY k) || chr(10) || '{\"a\":1}' || chr(10) || 'v1') AS fingerprint FROM b GROUP BY source"),
     "find_reusable": sql("assets", "SELECT a.asset_id, a.status FROM assets a WHERE status IN ('validated', 'harmonized', 'derived') AND asset_id%5 != 0 AND EXISTS (SELECT 1 FROM assets b WHERE b.asset_id%2 = 0 AND b.source = a.source AND b.version = a.version AND b.checksum = a.checksum)"),
     "plan_rebuild": "SELECT doc_id AS output_id, CASE WHEN doc_id%4 = 0 THEN 'stale' WHEN doc_id%3 = 0 THEN 'rebuild' ELSE 'reuse' END AS action FROM documents",
     "match_identity": sql("assets", "SELECT path, asset_id AS catalog_id FROM assets WHERE asset_id%7 != 0 AND asset_id%3 != 0"),
@@ -609,7 +648,7 @@ ORACLE_SQL = {
     "key_difference": "WITH a AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_custkey%3 != 0), b AS (SELECT c_custkey AS id FROM customer WHERE c_custkey%4 != 0) SELECT id, 'left' AS side FROM a WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT id, 'right' FROM b WHERE id NOT IN (SELECT id FROM a)",
     "summarize_run": "SELECT " + ", ".join(f"count(*) FILTER (o_orderkey%6 = {i}) AS {o}" for i, o in enumerate(("fetched", "validated", "harmonized", "derived", "reused", "failed"))) + ", count(*) AS records, 'partial' AS status FROM orders",
     "unit_counts": "SELECT count(*) AS total, 0::BIGINT AS wards, count(*) FILTER (p_partkey%4 = 0) AS communes, count(*) FILTER (p_partkey%4 != 0) AS other, count(DISTINCT p_partkey%1500) AS unique_codes FROM part",
-    "unit_aliases": "WITH p AS (SELECT DISTINCT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, unnest([p_partkey::VARCHAR, 'L' || p_partkey%1900, lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0')]) AS alias FROM part) SELECT code, count(*) AS aliases FROM p WHERE alias IN (SELECT alias FROM p GROUP BY alias HAVING count(*) = 1) GROUP BY code",
+    "unit_aliases": "WITH p AS (SELECT DISTINCT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, unnest(['L' || p_partkey%1900, lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0')]) AS alias FROM part) SELECT code, count(*) AS aliases FROM p WHERE alias IN (SELECT alias FROM p GROUP BY alias HAVING count(*) = 1) GROUP BY code",
     "join_identity": "SELECT p_partkey::VARCHAR AS unit_id, lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code FROM part WHERE p_partkey%2 = 0",
     "read_event_rows": f"WITH {DATES_SQL} SELECT 'historical-flood:' || o_orderkey AS event_id, o_orderkey AS number, o_orderstatus AS place, {BEGIN_SQL} AS start_date FROM orders JOIN dated ON id = o_orderkey WHERE o_orderkey%4 != 0 AND o_orderkey%7 != 0",
     "assemble_profile": "SELECT c_custkey AS basin_id, CASE WHEN c_custkey <= 1 THEN 0 ELSE c_custkey//2 END AS next_down, round(c_acctbal, 4) AS terrain_value, round(c_acctbal*2, 4) AS soil_value, round(c_acctbal*3, 4) AS landcover_value, round(c_acctbal*4, 4) AS hydrology_value, CASE WHEN c_custkey%3 != 0 THEN c_nationkey END AS people, CASE WHEN c_custkey%3 = 0 THEN 'missing_population_observation' ELSE '' END AS flags, 'run-1' AS run_id FROM customer WHERE c_custkey > 0",
@@ -622,35 +661,37 @@ ORACLE_SQL = {
     "union_layers": f"WITH {FEATURES_SQL} SELECT amenity, count(*) AS n, count(bridge) AS bridges FROM (SELECT id, bridge, NULL AS amenity FROM features UNION ALL SELECT id, NULL, amenity FROM features WHERE id%2 = 0) GROUP BY amenity",
     "part_index": "SELECT (k-1)::INT AS part_index, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY l_orderkey) AS k FROM lineitem) GROUP BY k",
     "gate_events": "WITH c AS (SELECT count(*) AS n, count(*) FILTER (doc_id%3 != 0) AS u FROM documents) SELECT 'events.rows' AS check_id, n = 1000 AS passed, 'fatal' AS severity, n::VARCHAR AS actual FROM c UNION ALL SELECT 'events.status', true, 'fatal', '0' FROM c UNION ALL SELECT 'events.confidence', true, 'fatal', '0' FROM c UNION ALL SELECT 'events.unresolved', u = 0, 'warning', u::VARCHAR FROM c",
-    "gate_units": "SELECT * FROM (VALUES ('units.total', true, 'fatal'), ('units.communes', true, 'fatal'), ('units.wards', true, 'fatal'), ('units.unique_codes', true, 'fatal'), ('units.geometry_valid', true, 'fatal'), ('units.gap', true, 'fatal'), ('units.overlap', true, 'fatal'), ('units.area_difference', false, 'fatal'), ('units.area_exceptions', true, 'warning')) t(check_id, passed, severity)",
+    "gate_units": "SELECT * FROM (VALUES ('units.total', true, 'fatal'), ('units.communes', true, 'fatal'), ('units.wards', true, 'fatal'), ('units.unique_codes', true, 'fatal'), ('units.geometry_valid', true, 'fatal'), ('units.geometry_repairs', false, 'warning'), ('units.gap', true, 'fatal'), ('units.overlap', true, 'fatal'), ('units.area_difference', false, 'fatal'), ('units.area_exceptions', true, 'warning')) t(check_id, passed, severity)",
     "gate_population": "SELECT * FROM (VALUES ('population.scope', true, 'fatal'), ('population.counts', true, 'fatal'), ('population.coverage', true, 'fatal'), ('population.zones', true, 'fatal'), ('population.recount', true, 'fatal'), ('population.ties', false, 'warning')) t(check_id, passed, severity)",
-    "gate_rasters": sql("pixels", ", c AS (SELECT raster_id, count(*) FILTER (valid)/count(*)::DOUBLE AS r FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899 GROUP BY raster_id) SELECT 'rasters.coverage' AS check_id, count(*) FILTER (r < 0.99) = 0 AS passed, 'fatal' AS severity, (count(*) FILTER (r < 0.99))::VARCHAR AS actual FROM c UNION ALL SELECT 'rasters.nodata', count(*) FILTER (r < 1) = 0, 'warning', (count(*) FILTER (r < 1))::VARCHAR FROM c"),
+    "gate_rasters": sql("pixels", ", p AS (SELECT * FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899), c AS (SELECT count(*) FILTER (valid)/count(*)::DOUBLE AS r FROM p GROUP BY raster_id), low AS (SELECT count(*) FILTER (valid)/count(*)::DOUBLE AS r FROM p WHERE \"row\" < 70 GROUP BY raster_id), h AS (SELECT least(max(\"row\")+1, 70)*10.0 AS h, (max(col)+1)*10.0 AS w FROM pixels WHERE \"row\" < 70) SELECT 'raster.dem.coverage' AS check_id, min(r) >= 0.99 AS passed, 'fatal' AS severity, round(min(r), 6)::VARCHAR AS actual FROM c UNION ALL SELECT 'raster.dem.nodata', count(*) FILTER (r < 1) = 0, 'warning', (count(*) FILTER (r < 1))::VARCHAR FROM c UNION ALL SELECT 'raster.worldpop.coverage', greatest(0, least(h, 900)-100)*greatest(0, least(w, 900)-100)/640000.0 >= 0.99, 'fatal', round(greatest(0, least(h, 900)-100)*greatest(0, least(w, 900)-100)/640000.0, 6)::DOUBLE::VARCHAR FROM h UNION ALL SELECT 'raster.worldpop.nodata', count(*) FILTER (r < 1) = 0, 'warning', (count(*) FILTER (r < 1))::VARCHAR FROM low UNION ALL SELECT 'raster.worldcover.coverage', false, 'fatal', 'missing' FROM h"),
     "severity_rollup": "SELECT 'fatal' AS severity, 3::BIGINT AS checks, (1 + (count(*) != 1000)::INT)::BIGINT AS failed FROM documents UNION ALL SELECT 'warning', 1, 0 FROM region WHERE r_regionkey = 0",
-    "run_gates": "SELECT 'events.rows' AS check_id, count(*) = 1000 AS passed, 'fatal' AS severity FROM documents UNION ALL SELECT * FROM (VALUES ('events.status', true, 'fatal'), ('events.confidence', true, 'fatal'), ('events.unresolved', true, 'warning'), ('gate.broken', false, 'fatal')) t(a, b, c)",
-    "gate_provenance": sql("assets", f"SELECT 'provenance.fields' AS check_id, true AS passed, 'fatal' AS severity, '0' AS actual UNION ALL SELECT 'provenance.bytes', sum(size_bytes) <= 8589934592, 'fatal', sum(size_bytes)::BIGINT::VARCHAR FROM assets UNION ALL SELECT 'provenance.lineage', n = 0, 'fatal', n::VARCHAR FROM (SELECT count(*) FILTER (state IN ('missing', 'childless')) AS n FROM (WITH RECURSIVE {CLOSURE_SQL} SELECT * FROM closure))"),
+    "run_gates": "SELECT 'events.rows' AS check_id, count(*) = 1000 AS passed, 'fatal' AS severity FROM documents UNION ALL SELECT * FROM (VALUES ('events.status', true, 'fatal'), ('events.confidence', true, 'fatal'), ('events.unresolved', true, 'warning'), ('gate.broken', false, 'fatal'), ('gate.bad_cast', false, 'fatal')) t(a, b, c)",
+    "gate_provenance": sql("assets", f"SELECT 'provenance.fields' AS check_id, true AS passed, 'fatal' AS severity, '0' AS actual UNION ALL SELECT 'provenance.bytes', sum(size_bytes) <= 8589934592, 'fatal', sum(size_bytes)::BIGINT::VARCHAR FROM assets UNION ALL SELECT 'provenance.lineage', n = 0, 'fatal', n::VARCHAR FROM (SELECT count(*) FILTER (state IN ('missing', 'childless', 'cyclic')) AS n FROM (WITH RECURSIVE {CLOSURE_SQL} SELECT * FROM closure))"),
     "read_layer": sql("assets", "SELECT source, count(*) AS n, sum(size_bytes)::BIGINT AS bytes FROM assets GROUP BY source"),
     "read_pixels": sql("pixels", 'SELECT raster_id, count(*) AS n, sum(value) AS total, sum("row"*col)::BIGINT AS places FROM pixels WHERE valid GROUP BY raster_id'),
+    "write_geojson": "SELECT n_nationkey::BIGINT AS feature_id, n_name, 5::INT AS points, 200.0*(n_nationkey%5)::DOUBLE AS x, 200.0*(n_nationkey//5)::DOUBLE AS y FROM nation",
+    "write_catalog": "SELECT source, count(*) AS n, min(doc_id) AS first FROM documents WHERE doc_id%3 != 0 GROUP BY source",
     "read_geojson_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
-    "gate_mappings": "SELECT * FROM (VALUES ('mapping.points.columns', true, 'fatal'), ('mapping.points.zone_keys', true, 'fatal'), ('mapping.points.boundary_cases', false, 'warning'), ('mapping.units.columns', false, 'fatal'), ('mapping.units.zone_keys', true, 'fatal'), ('mapping.units.coverage', true, 'fatal')) t(check_id, passed, severity)",
+    "gate_mappings": "SELECT * FROM (VALUES ('mapping.commune.columns', true, 'fatal'), ('mapping.commune.keys.HYBAS_ID', true, 'fatal'), ('mapping.commune.keys.current_commune_code', true, 'fatal'), ('mapping.commune.coverage', true, 'fatal'), ('mapping.river.columns', true, 'fatal'), ('mapping.river.keys.HYBAS_ID', true, 'fatal'), ('mapping.river.keys.HYRIV_ID', false, 'fatal'), ('mapping.road.columns', false, 'fatal'), ('mapping.bridge.columns', false, 'fatal'), ('mapping.facility.columns', false, 'fatal'), ('mapping.facility.keys.HYBAS_ID', false, 'fatal'), ('mapping.facility.keys.osm_id', true, 'fatal'), ('mapping.settlement.columns', false, 'fatal'), ('mapping.population.columns', false, 'fatal'), ('mapping.boundary_cases', false, 'warning')) t(check_id, passed, severity)",
     "gate_hierarchy": """WITH p AS (SELECT count(*) FILTER (n_nationkey%5 = 2 OR n_nationkey//5 = 2) AS n FROM nation) SELECT 'hierarchy.one_parent' AS check_id, n = 0 AS passed, 'fatal' AS severity, n::VARCHAR AS actual FROM p
         UNION ALL SELECT * FROM (VALUES ('hierarchy.unique_ids', true, 'fatal', '0'), ('hierarchy.code_prefix', true, 'fatal', '0'), ('hierarchy.topology', true, 'fatal', '0'), ('hierarchy.scope_exits', true, 'warning', '0')) t(a, b, c, d)""",
-    "build_crosswalk": """WITH old AS (SELECT p_partkey AS k, p_partkey%8//2 + 4*(p_partkey//16) AS unit, lower(p_name) || ' ' || p_partkey%40 AS normal, (SELECT string_agg(upper(w[1]) || w[2:], ' ') FROM (SELECT unnest(string_split(p_name, ' ')) AS w)) || ' ' || p_partkey%40 AS plain FROM part WHERE p_partkey < 64),
-        listed AS (SELECT unit, (row_number() OVER (PARTITION BY unit ORDER BY k) - 1)::INT AS position, normal, plain FROM old UNION ALL SELECT DISTINCT unit, 4, 'nowhere', 'Nowhere' FROM old WHERE unit%4 = 1),
+    "build_crosswalk": f"""WITH {OLD_SQL},
+        listed AS (SELECT unit, (row_number() OVER (PARTITION BY unit ORDER BY k) - 1)::INT AS position, normal, plain FROM old UNION ALL SELECT unit, count(*)::INT, 'nowhere', 'Nowhere' FROM old WHERE unit%4 = 1 GROUP BY unit),
         found AS (SELECT l.unit, l.position, l.normal, l.plain, count(o.k) AS candidates, count(o.k) FILTER (o.unit = l.unit) AS n, min(o.k::VARCHAR) AS only_id, min(o.k::VARCHAR) FILTER (o.unit = l.unit) AS best FROM listed l LEFT JOIN old o ON o.normal = l.normal GROUP BY ALL),
-        named AS (SELECT f.*, (SELECT g.normal FROM listed g WHERE g.unit = f.unit AND g.position = 0) AS unit_name FROM found f)
-        SELECT lpad(unit::VARCHAR, 5, '0') AS source_code, position, CASE WHEN n = 1 THEN best WHEN candidates = 1 THEN only_id END AS old_admin_id, CASE WHEN n = 1 THEN 'Xã ' || plain ELSE plain END AS old_admin_name,
-          CASE WHEN n = 1 THEN lpad(unit::VARCHAR, 5, '0') END AS current_commune_code, CASE WHEN n = 1 THEN CASE WHEN normal = unit_name THEN 'unchanged' ELSE 'merged' END END AS relationship_type,
+        named AS (SELECT f.*, g.normal AS unit_name FROM found f JOIN listed g ON g.unit = f.unit AND g.position = 0)
+        SELECT lpad(unit::VARCHAR, 7, '0') AS source_code, position, CASE WHEN n = 1 THEN best WHEN candidates = 1 THEN only_id END AS old_admin_id, CASE WHEN n = 1 THEN 'Xã ' || plain ELSE plain END AS old_admin_name,
+          CASE WHEN n = 1 THEN lpad(unit::VARCHAR, 7, '0') END AS current_commune_code, CASE WHEN n = 1 THEN CASE WHEN normal = unit_name THEN 'unchanged' ELSE 'merged' END END AS relationship_type,
           CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unresolved' END AS match_status, candidates::INT AS candidates FROM named""",
     "canonical_asset": "SELECT doc_id AS asset_id, doc_id AS canonical_id, 'only' AS source FROM documents WHERE doc_id = 5",
     "record_run": "SELECT DISTINCT user_id::VARCHAR AS run_id, CASE WHEN user_id = 7 THEN 'completed' ELSE 'running' END AS status FROM events",
     "write_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
     "write_report": "SELECT 'https://[REDACTED]@h/x' AS expected, 'Bearer [REDACTED]' AS message, doc_id%2 = 0 AS passed, count(*) AS n FROM documents GROUP BY doc_id%2 = 0",
-    "read_unit_index": "SELECT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, CASE WHEN p_partkey >= 10000 THEN 2 ELSE 3 END::BIGINT AS aliases FROM part",
-    "resolve_places": """WITH old AS (SELECT p_partkey AS k, p_partkey%8//2 + 4*(p_partkey//16) AS unit, lower(p_name) || ' ' || p_partkey%40 AS name FROM part WHERE p_partkey < 64),
+    "read_unit_index": "SELECT lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code, 2::BIGINT AS aliases FROM part",
+    "resolve_places": f"""WITH {OLD_SQL.replace('AS normal', 'AS name')}, n AS (SELECT count(*) AS parts FROM part),
         cur AS (SELECT unit, min_by(name, k) AS name FROM old GROUP BY unit), per_unit AS (SELECT name, unit, count(*) AS n FROM old GROUP BY name, unit),
-        lookup AS (SELECT 'current' AS regime, name, list_sort(list(DISTINCT lpad(unit::VARCHAR, 5, '0'))) AS codes, false AS unsure FROM cur GROUP BY name
-          UNION ALL SELECT 'historical', name, coalesce(list_sort(list(DISTINCT lpad(unit::VARCHAR, 5, '0')) FILTER (n = 1)), []), bool_or(n > 1) FROM per_unit GROUP BY name),
-        ev AS (SELECT doc_id AS k, CASE WHEN doc_id%9 = 0 THEN NULL WHEN doc_id%2 = 0 THEN 'historical' ELSE 'current' END AS regime, cur.name AS cn, old.name AS o FROM documents JOIN cur ON cur.unit = doc_id%16 JOIN old ON old.k = doc_id*7%64),
+        lookup AS (SELECT 'current' AS regime, name, list_sort(list(DISTINCT lpad(unit::VARCHAR, 7, '0'))) AS codes, false AS unsure FROM cur GROUP BY name
+          UNION ALL SELECT 'historical', name, coalesce(list_sort(list(DISTINCT lpad(unit::VARCHAR, 7, '0')) FILTER (n = 1)), []), bool_or(n > 1) FROM per_unit GROUP BY name),
+        ev AS (SELECT doc_id AS k, CASE WHEN doc_id%9 = 0 THEN NULL WHEN doc_id%2 = 0 THEN 'historical' ELSE 'current' END AS regime, cur.name AS cn, old.name AS o FROM n, documents JOIN cur ON cur.unit = 16*(doc_id*13%parts//64) + doc_id*13%parts%8//2 + 4*(doc_id*13%parts%64//16) JOIN old ON old.k = doc_id*7%parts),
         hits AS (SELECT DISTINCT ev.k, l.name, l.codes, l.unsure FROM ev JOIN lookup l ON l.regime = ev.regime AND (l.name = cn OR l.name = o) WHERE ev.k%5 != 0 AND (ev.regime = 'historical' OR NOT (ev.k%4 = 0 AND l.name = cn))),
         sums AS (SELECT k, string_agg(name, '|' ORDER BY name) AS names, array_to_string(list_sort(list_distinct(flatten(list(codes)))), ',') AS codes, bool_and(len(codes) = 1 AND NOT unsure) AS sure, bool_or(unsure) AS unsure FROM hits GROUP BY k)
         SELECT ev.k::VARCHAR AS event_id, regime, coalesce(names, '') AS names, coalesce(codes, '') AS codes, CASE WHEN sure THEN 'matched' WHEN codes != '' OR unsure THEN 'ambiguous' ELSE 'unresolved' END AS match_status,

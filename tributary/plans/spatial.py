@@ -176,6 +176,7 @@ QUERIES = {
 TILTED_EDGES = "SELECT zone_id, sum(((ey1 > y) != (ey2 > y) AND x < ex1 + (y - ey1) * (ex2 - ex1) / nullif(ey2 - ey1, 0))::INT) % 2 = 1 AS inside, min(CASE WHEN abs((ex2-ex1)*(y-ey1)-(ey2-ey1)*(x-ex1)) < 1e-9 AND x BETWEEN least(ex1,ex2) AND greatest(ex1,ex2) AND y BETWEEN least(ey1,ey2) AND greatest(ey1,ey2) THEN 0 ELSE 1 END) = 0 AS touches"
 CLIPPED = sql("zones lines", "")
 ORACLE_SQL = {
+    "overlay_length_wkt": sql("zones lines", f", {ZONE_BOXES}, {BOX_CLIP} SELECT zone_id, count(*) AS n, count(*) AS single FROM clip WHERE (t1-t0)*len > 1e-9 GROUP BY zone_id"),
     "join_points_zones": sql("zones points", f"""SELECT point_id, zone_id, NOT {EDGE} AS "within", {EDGE} AS touches, {EDGE} AND count(*) OVER (PARTITION BY point_id) > 1 AS nearest_boundary_tie, {EDGE} AS boundary_case
         FROM points, zones WHERE {COVER}"""),
     "join_points_zones_tilted": sql("tilted points", f"SELECT zone_id, count(*) AS covered, count(*) FILTER (touches) AS touching FROM ({TILTED_EDGES}, point_id FROM points, tilted GROUP BY point_id, zone_id) WHERE inside OR touches GROUP BY zone_id"),

@@ -106,16 +106,40 @@ def check_signatures(assets: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Publish only a complete table, ranged and sorted by key: written beside the target first, then moved over it."""
+    """Publish only a complete table, ranged and sorted by key: written beside the target first, then moved to its place.
+
+    The table before is moved aside until the new one stands, and back if that fails; ``recovered`` does so after a crash in between.
+    """
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    staging, previous = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}", f"{path.rstrip('/')}.previous"
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(staging)
-    jvm = spark._jvm
-    target, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    recovered(spark, path)
+    fs, target, made, old = _paths(spark, path, staging, previous)
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise OSError(f"{path} could not be moved aside")
     if not fs.rename(made, target):
+        if replaced:
+            fs.rename(old, target)
         raise OSError(f"{staging} could not be moved to {path}")
+    fs.delete(old, True)
+
+
+def recovered(spark: SparkSession, path: str) -> str:
+    """``path``, after putting the last complete table back there if a publication was cut short."""
+    fs, target, old = _paths(spark, path, f"{path.rstrip('/')}.previous")
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        elif not fs.rename(old, target):
+            raise OSError(f"{path} could not be put back")
+    return path
+
+
+def _paths(spark: SparkSession, *paths: str) -> tuple:
+    """The file system of ``paths`` and each of them as its kind of path."""
+    made = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return made[0].getFileSystem(spark._jsc.hadoopConfiguration()), *made
 
 
 def write_layer(edges: DataFrame, path: str, to_geographic: bool = True) -> None:
@@ -156,7 +180,7 @@ def write_report(checks: DataFrame, path: str) -> None:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(recovered(spark, path))
 
 
 def write_catalog(catalog_rows: DataFrame, path: str, key: str = "asset_id") -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.catalog import upsert_latest
-from ..sources.io import write_catalog
+from ..sources.io import read_catalog, write_catalog
 
 
 def drain_updates(spark: SparkSession, updates: str, schema: str, catalog: str, checkpoint: str) -> None:
@@ -13,6 +13,6 @@ def drain_updates(spark: SparkSession, updates: str, schema: str, catalog: str,
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            write_catalog(upsert_latest(spark.read.parquet(catalog), batch), catalog)
+            write_catalog(upsert_latest(read_catalog(spark, catalog), batch), catalog)
 
     spark.readStream.schema(schema).parquet(updates).writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(apply).start().awaitTermination()
