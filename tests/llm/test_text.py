@@ -234,3 +234,172 @@ def test_url_filter(spark):
     assert got == {1: ("x.bad-site.example.com", "/fr/99", None, "block"), 2: ("", "", None, "allow"), 3: ("a.com", "/en/1", "com/en/", "block"), 4: ("", "", None, "allow"), 5: ("example.com", "/en/77", "example.com/en/7", "allow"),
                    6: ("notcom", "/en/1", None, "allow"), 7: ("a.net", "/de/8", "net/de/", "allow"), 8: ("example.net", "/de/81", "example.net/de/8", "block")}
     assert url_filter.judge(pages, lab.limit(0)).count() == 9 and url_filter.judge(pages.limit(0), lab).count() == 0
+
+
+def test_mined_rules_equal_counting_all_subsets(spark):
+    """All sets of tokens, by plain counting; tokens of just the same rows count as one."""
+    from itertools import combinations
+
+    from tributary.llm import url_filter
+
+    rng = random.Random(9)
+    urls = [(f"http://{rng.choice(['a', 'b'])}.{rng.choice(['shop', 'news'])}.fr/{rng.choice(['x', 'y', 'x/twin'])}/{i}?{rng.choice(['buy', 'see'])}=1", False) for i in range(300)]
+    bad = lambda u: ("shop" in u and "buy" in u and rng.random() < 0.95) or rng.random() < 0.1
+    urls = [(u, bad(u)) for u, _ in urls]
+    df = spark.createDataFrame(urls, "url string, bad boolean")
+    rows = [(frozenset(r.t), r.bad) for r in df.select(url_filter.tokens(F.col("url")).alias("t"), "bad").collect()]
+    share = sum(b for _, b in rows) / len(rows)
+    for confidence, min_rows in ((0.7, 20), (0.5, 40)):
+        where = {}
+        for i, (t, _) in enumerate(rows):
+            for x in t:
+                where.setdefault(x, set()).add(i)
+        classes = {}
+        for x in sorted(where):
+            if len(where[x]) >= min_rows:
+                classes.setdefault(frozenset(where[x]), x)
+        items = {x: set(w) for w, x in classes.items()}
+        want = {}
+        for k in range(1, len(items) + 1):
+            for some in combinations(sorted(items), k):
+                both = set.intersection(*(items[x] for x in some))
+                hits = sum(rows[i][1] for i in both)
+                if hits >= min_rows and hits / len(both) >= confidence and hits / len(both) / share >= 1.5:
+                    want[frozenset(some)] = (round(hits / len(both), 9), hits)
+        rules, index = url_filter.mine(df, confidence, 0.0, min_rows)
+        assert {frozenset(r.needs): (round(r.confidence, 9), r.rows) for r in rules.collect()} == want and want
+        held = {r.token: r.item for r in index.collect()}
+        fits = {u for (u, _), (t, _) in zip(urls, rows, strict=True) if any(rule <= {held[x] for x in t if x in held} for rule in want)}
+        assert {r.url for r in url_filter.matched(df.select("url"), rules, index).collect()} == fits and fits
+
+
+def test_listed_rules_equal_plain_matching(spark):
+    from tributary.llm import url_filter
+
+    rng = random.Random(10)
+    parts = ["http://", "HTTPS://", "ftp:", "://", "example", "EXAMPLE", ".", "com", "net", "org", "/", "en", "de", "es", "7", "8", "?", "#", "a", "@", ":80"]
+    urls = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(1500)] + [f"{rng.choice(['http', 'HTTPS'])}://{rng.choice(['', 'x.', 'x', 'A.'])}{rng.choice(['example.', 'EXAMPLE.', ''])}{rng.choice(['com', 'net', 'org', 'NET'])}{rng.choice(['/en/', '/de/', '/es/', '/en', '?/en/'])}{rng.choice(['7', '8', '71', ''])}" for _ in range(1500)] + [None, ""]
+    rules = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+    def want(u):
+        if u is None or "://" not in u:
+            return "", "", None, "allow"
+        rest = u.split("://", 1)[1]
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host):])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return (host, path, *(max(fits)[1:] if fits else (None, "allow")))
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df, spark.createDataFrame([], "url string, bad boolean")).collect()}
+    assert got == {i: want(u) for i, u in enumerate(urls)}
+
+
+def public_texts():
+    """Longer templates of several paragraphs: invented wording, 60 to 900 words."""
+    rng = random.Random(12)
+    stem = "permission is hereby granted to use copy modify merge publish distribute sublicense the software provided that the above notice and this list of conditions appear in all copies without warranty of any kind express or implied".split()
+    return {f"T{n}": "\n\n".join(" ".join(rng.choice(stem) + rng.choice(["", "", f"{k % 17}"]) for k in range(n // 3)) for _ in range(3)) for n in (60, 150, 400, 900)}
+
+
+def test_license_recall_and_false_hits(spark):
+    """Passages with 1.0, 0.9 and 0.8 of a template's shingles against a plain scan of every stretch as long as the template."""
+    rng = random.Random(13)
+    templates = public_texts() | license_scan.TEMPLATES
+    rows, truth = [], {}
+    shingles = {k: (license_scan.Template.of(k, t).size, license_scan.Template.of(k, t).shingles) for k, t in templates.items()}
+    filler = sorted({w for t in templates.values() for w in license_scan.words_of(t)[0]}) + [f"w{i}" for i in range(300)]
+    for i in range(240):
+        name = rng.choice(list(templates))
+        ws = license_scan.words_of(templates[name])[0]
+        size, wanted = shingles[name]
+        share = rng.choice([1.0, 0.9, 0.8, 0.6])
+        cut = list(ws)
+        while len({tuple(cut[k : k + size]) for k in range(len(cut) - size + 1)} & wanted) > share * len(wanted):
+            cut[rng.randrange(len(cut))] = f"z{rng.randint(0, 9)}"
+        rows.append((i, " ".join(rng.choices(filler, k=rng.randint(0, 700)) + cut + rng.choices(filler, k=rng.randint(0, 700)))))
+    table = spark.createDataFrame(list(templates.items()), "name string, text string")
+    got = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), table).collect():
+        got.setdefault((r.doc_id, r.license), []).append((r.start, r.end, r.containment))
+    found = must = 0
+    for i, text in rows:
+        ws = license_scan.words_of(text)[0]
+        for name, (size, wanted) in shingles.items():
+            here = [tuple(ws[k : k + size]) for k in range(len(ws) - size + 1)]
+            length = len(license_scan.words_of(templates[name])[0]) - size + 1
+            hits = [k for k, x in enumerate(here) if x in wanted]
+            whole = bool(hits) and any(len({here[k] for k in hits if a <= k < a + length}) >= 0.8 * len(wanted) for a in hits)
+            must += whole
+            found += whole and (i, name) in got
+            for start, end, containment in got.get((i, name), []):  # no false hit: the span holds what is said
+                inside = license_scan.words_of(text[start:end])[0]
+                seen = {tuple(inside[k : k + size]) for k in range(len(inside) - size + 1)} & wanted
+                assert len(seen) >= 0.8 * len(wanted) and containment >= 0.8
+    print("passages", must, "found", found)
+    assert must > 100 and found >= 0.995 * must
+    assert not any(k[0] == -1 for k in got)
+
+
+def test_language_counts_and_steps():
+    """n-grams of a text by plain slices, and the learning steps coordinate by coordinate."""
+    import math
+
+    def plain(text, buckets):
+        chars = [c if c.isalpha() else " " for c in text.lower()]
+        joined = " " + re.sub(" +", " ", "".join(chars)).strip(" ") + " " if any(c != " " for c in chars) else ""
+        seen = Counter()
+        for k in range(language_id.N):
+            for i in range(len(joined) - k):
+                h = 0
+                for c in joined[i : i + k + 1]:
+                    h = (h * 0x110001 + ord(c)) % 2**64
+                seen[((h + k) * int(language_id.PRIME) % 2**64) >> (64 - buckets.bit_length() + 1)] += 1
+        return seen
+
+    for t in ["", "x", "Ab, ab?", "Straße naïve 漢字 1a", " lead and trail "] + random_texts(60, 80, 3, "aBé, 1ß漢"):
+        at, n = language_id.counts(t, 1 << 10)
+        assert dict(zip(at.tolist(), n.tolist(), strict=True)) == dict(plain(t, 1 << 10)), t
+    rng = np.random.default_rng(3)
+    sample = [(["a", "b", "c"][i % 3], np.sort(rng.choice(16, 4, replace=False)), rng.integers(1, 5, 4)) for i in range(11)]
+    idf = rng.random(16) + 0.5
+    model = language_id.fit(sample, idf, epochs=2)
+    z, g2 = [[[0.0] * 3 for _ in range(17)] for _ in range(2)]
+
+    def weight(i, k):
+        if abs(z[i][k]) <= language_id.L1:
+            return 0.0
+        return -(z[i][k] - math.copysign(language_id.L1, z[i][k])) / ((language_id.BETA + math.sqrt(g2[i][k])) / language_id.ALPHA + language_id.L2)
+
+    rows = []
+    for lang, at, n in sample:
+        x = [(1 + math.log(c)) * idf[a] for a, c in zip(at, n, strict=True)]
+        norm = math.sqrt(sum(v * v for v in x))
+        rows.append(("abc".index(lang), [*at.tolist(), 16], [v / norm for v in x] + [1.0]))
+    learn = [r for i, r in enumerate(rows) if i % 5]
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for j in order.permutation(len(learn)).tolist():
+            y, at, x = learn[j]
+            w = {(i, k): weight(i, k) for i in at for k in range(3)}
+            score = [math.exp(sum(v * w[i, k] for i, v in zip(at, x, strict=True))) for k in range(3)]
+            for i, v in zip(at, x, strict=True):
+                for k in range(3):
+                    g = v * (score[k] / sum(score) - (k == y))
+                    z[i][k] += g - (math.sqrt(g2[i][k] + g * g) - math.sqrt(g2[i][k])) / language_id.ALPHA * w[i, k]
+                    g2[i][k] += g * g
+    assert np.allclose(model.weights, [[weight(i, k) for k in range(3)] for i in range(17)])
+
+
+def test_language_held_out_accuracy(spark):
+    """Of the given documents that weren't learned from and have a language, nearly all get it."""
+    import os
+
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        return
+    got = language_id.op1_language_id(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text"), "doc_id")
+    rows = got.filter("held_out AND lang IS NOT NULL AND lang_pred != 'und'").collect()
+    right = sum(r.lang == r.lang_pred for r in rows) / len(rows)
+    print("held-out accuracy", right, "of", len(rows))
+    assert right >= 0.95

@@ -7,11 +7,13 @@ and blocks of 2^(c+1) are joined from blocks of 2^c, so each shingle is hashed `
 
 A band is one minimum. If a window holds a share ``s`` of a template's n shingles, a band is equal with probability at
 least J = s n / (2 * 2^c + (1 - s) n), so ``bands`` is set to make 1 - (1 - J)^bands at least ``recall`` for the worst template.
-A retrieved template is verified by its own shingles, as words: containment of ``min_share`` or more in the window is a match. Templates are a
-bounded list and travel with the task.
+A retrieved template is verified by its own shingles, as words: containment of ``min_share`` or more in the window is a match. The orders of shingles that
+give the minima are products with odd numbers of well mixed hashes, not a proved min-wise family; the tests measure the recall they give.
+Templates are a list of at most ``MAX_TEMPLATES``, given as names and texts or as a table of them, and travel with the task. Those built in are short public notices.
 
 Defined results: a null or empty text has no match. The span of a match runs from the first to the last shingle found. Overlapping spans of one template
-are merged; repeated rows are scanned alike; extra columns are ignored.
+are merged; matches of one place are ordered by name; repeated rows are scanned alike. A long text is scanned in overlapping parts of ``BLOCK`` shingles, none is cut. An empty
+table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from .common import table
 
 WORDS, MIN_SHARE, RECALL = 5, 0.8, 0.9999
 BLOCK = 1 << 13
+MAX_TEMPLATES = 20_000
 WORD = regex.compile(r"[\p{L}\p{N}]+(?:\.[\p{N}]+)*")
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,9 +174,17 @@ class Scanner:
             hits.setdefault(t.name, []).append((spots[0], spots[-1] + t.size - 1, share))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_share: float = MIN_SHARE) -> DataFrame:
+def templates_of(table: DataFrame) -> dict[str, str]:
+    """Templates from a table (name, text); more than ``MAX_TEMPLATES`` are an error."""
+    rows = table.select("name", "text").limit(MAX_TEMPLATES + 1).collect()
+    if len(rows) > MAX_TEMPLATES:
+        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+    return {r["name"]: r["text"] for r in rows}
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per match: (doc_id, license, start, end, containment)."""
-    named = dict(TEMPLATES if templates is None else templates)
+    named = dict(TEMPLATES) if templates is None else templates_of(templates) if isinstance(templates, DataFrame) else dict(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(named, min_share)

@@ -1,13 +1,14 @@
 """URL filtering by a rule list and by mined association rules. DataFrame functions and Spark ML's FP-growth only.
 
 A listed rule fits its host, all subdomains, and paths that start with the rule's; the longest one decides. Other URLs
-are judged by rules "these tokens together -> bad" that FP-growth mines from labelled URLs, pruned by confidence and
-support. Tokens that occur in just the same labelled URLs are one item, which keeps long URLs that are repeated often
-from having all subsets of their tokens mined. Every mined rule is filed under its rarest token (an inverted index);
-distinct URLs meet the rules by an equi-join on tokens and are then compared with the whole rule.
+are judged by rules "these tokens together -> bad" that FP-growth mines from labelled URLs, pruned by support, by confidence and by
+lift, the confidence above the share of bad URLs. Tokens that occur in just the same labelled URLs are one item, which keeps long URLs that are repeated often
+from having all subsets of their tokens mined; any token of an item stands for it. Every mined rule is filed under its rarest item (an inverted index);
+distinct URLs meet the rules by an equi-join on items and are then compared with the whole rule.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no rule, and is allowed. Repeated rows are
-judged alike. Without labels nothing is mined and all unlisted URLs are allowed. Extra columns are ignored.
+judged alike. Ties: of listed rules of equal length the one with the longer host decides; a mined rule at a limit holds. Long URLs are read whole, their tokens are one array.
+Without labels nothing is mined and all unlisted URLs are allowed. An empty table gives an empty result. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ RULES = (
     Rule("block", "example.net", "/de/8"),
     Rule("block", "org", "/es/"),
 )
-CONFIDENCE, SUPPORT, MIN_ROWS = 0.8, 0.001, 8
-BROADCAST_RULES = 20_000
+CONFIDENCE, SUPPORT, MIN_ROWS, LIFT = 0.8, 0.001, 8, 1.5
+BROADCAST_RULES = 20_000  # rows of the index, or of its tokens, that are broadcast; beyond them both sides are shuffled
 BAD = "bad"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,42 +72,47 @@ def tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(every), F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, confidence: float = CONFIDENCE, support: float = SUPPORT, min_rows: int = MIN_ROWS) -> DataFrame:
-    """(tokens array, key, confidence, rows) of the rules mined from (url, bad boolean); key is the rarest token."""
+def mine(labelled: DataFrame, confidence: float = CONFIDENCE, support: float = SUPPORT, min_rows: int = MIN_ROWS, lift: float = LIFT) -> tuple[DataFrame, DataFrame]:
+    """(rules, items) from (url, bad boolean): (needs array of items, key, confidence, lift, rows), key being the rarest item, and (token, item) of the tokens used."""
     rows = materialise(labelled.select(F.monotonically_increasing_id().alias("row"), tokens(F.col("url")).alias("tokens"), "bad"), "labelled")
-    n = rows.count()
-    empty = rows.select("tokens", F.lit("").alias("key"), F.lit(0.0).alias("confidence"), F.lit(0).cast("long").alias("rows")).limit(0)
-    if n == 0:
-        return empty
+    n, n_bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     least = max(min_rows, support * n)
     each = rows.select("row", "bad", F.explode("tokens").alias("token"))
-    same = each.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("mark"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("mark2"))
-    items = same.filter(F.col("rows") >= least).groupBy("rows", "mark", "mark2").agg(F.min("token").alias("token")).select("token", "rows")
-    items = materialise(items, "items")
-    used = each.join(items.select("token"), "token").groupBy("row").agg(F.collect_set("token").alias("items"), F.first("bad").alias("bad"))
+    same = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("mark"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("mark2")).filter(F.col("uses") >= least)
+    same = materialise(same, "tokens")
+    first = same.groupBy("uses", "mark", "mark2").agg(F.min("token").alias("item"))
+    items = materialise(same.join(first, ["uses", "mark", "mark2"]).select("token", "item", "uses"), "items")
+    if n_bad == 0 or items.isEmpty():
+        none = items.select(F.array("item").alias("needs"), F.col("item").alias("key"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("lift"), F.lit(0).cast("long").alias("rows")).limit(0)
+        return none, items.select("token", "item")
+    used = each.join(items.filter("token = item").select("token"), "token").groupBy("row").agg(F.collect_set("token").alias("items"), F.first("bad").alias("bad"))
     baskets = used.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n), minConfidence=confidence).fit(materialise(baskets, "baskets"))
+    baskets = materialise(baskets, "baskets")
+    held = baskets.count()
+    if held == 0:
+        return mine(labelled.limit(0), confidence, support, min_rows, lift)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / held), minConfidence=confidence).fit(baskets)
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
-    keyed = rules.withColumn("rule", F.monotonically_increasing_id()).select("rule", F.col("antecedent").alias("tokens"), "confidence", (F.col("support") * n).cast("long").alias("rows"))
+    above = F.col("confidence") / (n_bad / n)
+    keyed = rules.withColumn("rule", F.monotonically_increasing_id()).select("rule", F.col("antecedent").alias("needs"), "confidence", above.alias("lift"), F.round(F.col("support") * held).cast("long").alias("rows")).filter(F.col("lift") >= lift)
     keyed = materialise(keyed, "rules")
-    rarest = keyed.select("rule", F.explode("tokens").alias("token")).join(items.withColumnRenamed("rows", "uses"), "token").groupBy("rule").agg(F.min_by("token", F.struct("uses", "token")).alias("key"))
-    return materialise(keyed.join(rarest, "rule").select("tokens", "key", "confidence", "rows"), "index")
+    rarest = keyed.select("rule", F.explode("needs").alias("item")).join(items.filter("token = item").select("item", "uses"), "item").groupBy("rule").agg(F.min_by("item", F.struct("uses", "item")).alias("key"))
+    return materialise(keyed.join(rarest, "rule").select("needs", "key", "confidence", "lift", "rows"), "index"), items.select("token", "item")
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The distinct URLs of ``urls`` (url) that hold all tokens of a rule."""
-    index = rules.select("key", F.col("tokens").alias("needs"))
-    if index.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        index = F.broadcast(index)  # a checked size; beyond it both sides are shuffled by token
-    each = urls.filter(F.col("url").isNotNull()).select("url").distinct().withColumn("tokens", tokens(F.col("url")))
-    each = each.select("url", "tokens", F.explode("tokens").alias("key"))
-    return each.join(index, "key").filter(F.size(F.array_except("needs", "tokens")) == 0).select("url").distinct()
+def matched(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
+    """The distinct URLs of ``urls`` (url) that hold all items of a rule."""
+    small = lambda df: F.broadcast(df) if df.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else df
+    used = materialise(items.join(rules.select(F.explode("needs").alias("item")).distinct(), "item", "left_semi"), "used")
+    each = urls.filter(F.col("url").isNotNull()).select("url").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token")).join(small(used), "token")
+    held = each.groupBy("url").agg(F.collect_set("item").alias("items")).select("url", "items", F.explode("items").alias("key"))
+    index = small(rules.select("key", "needs"))
+    return held.join(index, "key").filter(F.size(F.array_except("needs", "items")) == 0).select("url").distinct()
 
 
-def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES, confidence: float = CONFIDENCE, support: float = SUPPORT, min_rows: int = MIN_ROWS) -> DataFrame:
+def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES, confidence: float = CONFIDENCE, support: float = SUPPORT, min_rows: int = MIN_ROWS, lift: float = LIFT) -> DataFrame:
     """(page_id, host, path, rule, verdict, mined) of each row of ``pages`` (page_id, url, ...)."""
-    mined = mine(labelled, confidence, support, min_rows)
-    bad = matched(pages.select("url"), mined).withColumn("mined", F.lit(True))
+    bad = matched(pages.select("url"), *mine(labelled, confidence, support, min_rows, lift)).withColumn("mined", F.lit(True))
     rows = pages.select("page_id", "url").join(bad, "url", "left").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "mined": F.coalesce("mined", F.lit(False))})
     rule, verdict = listed(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "said": verdict})
@@ -114,7 +120,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels are those of the document whose number the URL's path ends with; bad: low quality or toxic."""
+    """A page shows the document whose number follows the language in its path, so it has that document's labels; bad: low quality or toxic."""
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     numbered = pages.select("url", F.regexp_extract(path_of(F.col("url")), "^/[a-z]+/([0-9]{1,18})", 1).try_cast("long").alias("doc_id"))
