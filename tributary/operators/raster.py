@@ -82,17 +82,21 @@ def join_pixels_zones(pixels: DataFrame, edges: DataFrame, grid: Grid) -> DataFr
     return join_runs(pixels, zone_runs(edges, grid))
 
 
-def covered_by(pixels: DataFrame, edges: DataFrame, grid: Grid) -> DataFrame:
-    """(key, zone_id): pixels whose centre is in a zone or on its boundary."""
-    runs = zone_runs(edges, grid).union(boundary_runs(edges, grid))
-    return join_runs(pixels.select(*KEY), runs).distinct()
+def _covering(edges: DataFrame, grid: Grid) -> DataFrame:
+    """(zone_id, row, c0, c1) of the centres in a zone or on its boundary; runs may overlap."""
+    return zone_runs(edges, grid).union(boundary_runs(edges, grid))
 
 
 def assign_pixels(pixels: DataFrame, zones: DataFrame, core: DataFrame, grid: Grid) -> DataFrame:
-    """``pixels`` in or on the core and a zone, each with the lowest such zone_id, and tie: several zones cover it."""
-    inside = covered_by(pixels, core, grid).select(*KEY).distinct()
-    won = covered_by(pixels, zones, grid).join(inside, KEY, "left_semi").groupBy(*KEY).agg(F.min("zone_id").alias("zone_id"), (F.count(F.lit(1)) > 1).alias("tie"))
-    return pixels.join(won, KEY)
+    """``pixels`` in or on the core and a zone, each with the lowest such zone_id, and tie: several zones cover it.
+
+    The runs of zones and core meet the pixels in one join, and a pixel's runs come together in one grouping.
+    """
+    tag = lambda edges, name: _covering(edges, grid).select(F.struct(F.lit(name).alias("of"), F.col("zone_id").alias("id")).alias("zone_id"), "row", "c0", "c1")
+    met = join_runs(pixels, tag(zones, "zone").unionByName(tag(core, "core")))
+    zone = F.when(F.col("zone_id.of") == "zone", F.col("zone_id.id"))
+    won = met.groupBy(*KEY).agg(F.first(F.struct(*[c for c in pixels.columns if c not in KEY])).alias("pixel"), F.min(zone).alias("zone_id"), (F.min(zone) < F.max(zone)).alias("tie"), F.max(F.col("zone_id.of") == "core").alias("core"))
+    return won.filter("core AND zone_id IS NOT NULL").select(*[c if c in KEY else F.col("pixel")[c].alias(c) for c in pixels.columns], "zone_id", "tie")
 
 
 def clip_pixels(pixels: DataFrame, area: DataFrame, grid: Grid, nodata: float = -9999.0, value: str = "value") -> tuple[DataFrame, Grid]:

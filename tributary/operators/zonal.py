@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
 from . import geometry
 from .raster import KEY, Grid, assign_pixels, join_pixels_zones, join_runs, share, window_runs, zone_runs
 
@@ -15,12 +16,46 @@ SPREAD = 64  # slots over which pairs of zones and rasters are made
 BANDS = {"0_30cm": (0, 30), "30_100cm": (30, 100)}
 
 
+def distribution(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """(keys..., name, v, n): how often each value occurs per key, nulls as well; every statistic follows from it in bounded memory."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.cast("double").alias("v")) for k, v in values.items()])).alias("x")
+    return materialise(rows.select(*keys, each).select(*keys, "x.name", "x.v").groupBy(*keys, "name", "v").agg(F.count(F.lit(1)).alias("n")), "distribution")
+
+
+def percentiles(dist: DataFrame, keys: list[str], p: float) -> DataFrame:
+    """(keys..., percentile): exact, interpolated linearly, from (keys..., v, n).
+
+    Values are ranged by key and value; ranks are the counts of the parts before plus the running count within a part, so no task holds a whole key.
+    """
+    ranged = dist.filter("v IS NOT NULL").select(*keys, "v", "n").repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id())
+    ranged = materialise(ranged, "ranged")
+    sums = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("s"))
+    each = Window.partitionBy(*keys)
+    before = sums.select(*keys, "part", (F.sum("s").over(each.orderBy("part")) - F.col("s")).alias("before"), F.sum("s").over(each).alias("total"))  # a row a key and part
+    running = F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = ranged.withColumn("running", running).join(before, [*keys, "part"]).withColumns({"last": F.col("before") + F.col("running") - 1, "at": (F.col("total") - 1) * p})
+    holds = lambda rank: F.max(F.when((F.col("last") >= rank) & (F.col("last") - F.col("n") < rank), F.col("v")))
+    ends = placed.groupBy(*keys).agg(holds(F.floor("at")).alias("lo"), holds(F.ceil("at")).alias("hi"), F.max(F.col("at") - F.floor("at")).alias("rest"))
+    return ends.select(*keys, (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("rest")).alias("percentile"))
+
+
 def zonal_stats(pixels: DataFrame, zones: DataFrame, grid: Grid, stats: tuple[str, ...] = ("mean", "min", "max", "sum"), value: str = "value", by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., zone_id, covered, valid, statistics): ``p90`` and the like are interpolated percentiles."""
-    v = F.when(F.col("valid"), F.col(value))
+    v, key = F.when(F.col("valid"), F.col(value)), [*by, "zone_id"]
+    rows = join_pixels_zones(pixels, zones, grid)
     made: dict[str, Column] = {"mean": F.avg(v), "min": F.min(v), "max": F.max(v), "sum": F.sum(v)}
-    wanted = [(F.percentile(v, int(s[1:]) / 100) if s not in made else made[s]).alias(s) for s in stats]
-    return join_pixels_zones(pixels, zones, grid).groupBy(*by, "zone_id").agg(F.count(F.lit(1)).alias("covered"), F.count(v).alias("valid"), *wanted)
+    plain = [s for s in stats if s in made]
+    if len(plain) == len(stats):
+        return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("covered"), F.count(v).alias("valid"), *[made[s].alias(s) for s in stats])
+    dist = distribution(rows, key, {"v": v})
+    have = F.when(F.col("v").isNotNull(), F.col("n"))
+    total = F.sum(F.col("v") * F.col("n"))
+    made = {"mean": total / F.sum(have), "min": F.min("v"), "max": F.max("v"), "sum": total}
+    out = dist.groupBy(*key).agg(F.sum("n").alias("covered"), F.coalesce(F.sum(have), F.lit(0)).alias("valid"), *[made[s].alias(s) for s in plain])
+    for s in stats:
+        if s not in made:
+            out = out.join(percentiles(dist, key, int(s[1:]) / 100).withColumnRenamed("percentile", s), key, "left")
+    return out.select(*key, "covered", "valid", *stats)
 
 
 def landcover_fractions(pixels: DataFrame, zones: DataFrame, grid: Grid, classes: dict[int, str], by: tuple[str, ...] = ()) -> DataFrame:
@@ -55,11 +90,16 @@ def slope(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] =
 
 def terrain_features(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] = ("raster_id",)) -> DataFrame:
     """Elevation and slope statistics of the pixels within each zone; the valid share is 0.0 where nothing is covered."""
-    z, s = F.when(F.col("valid"), F.col("value")), F.col("slope")
-    out = slope(pixels, zones, grid, by).filter("inside").groupBy(*by, "zone_id").agg(
-        F.min(z).alias("elevation_min_m"), F.avg(z).alias("elevation_mean_m"), F.max(z).alias("elevation_max_m"), (F.max(z) - F.min(z)).alias("relief_m"),
-        F.avg(s).alias("slope_mean_deg"), F.percentile(s, 0.9).alias("slope_p90_deg"), F.max(s).alias("slope_max_deg"),
-        F.count(F.lit(1)).alias("covered_pixels"), F.count(z).alias("valid_pixels"))
+    key = [*by, "zone_id"]
+    dist = distribution(slope(pixels, zones, grid, by).filter("inside"), key, {"z": F.when(F.col("valid"), F.col("value")), "s": F.col("slope")})
+    z, s = (F.when(F.col("name") == k, F.col("v")) for k in "zs")
+    count = lambda v: F.coalesce(F.sum(F.when(v.isNotNull(), F.col("n"))), F.lit(0))
+    out = dist.groupBy(*key).agg(
+        F.min(z).alias("elevation_min_m"), (F.sum(z * F.col("n")) / F.nullif(count(z), F.lit(0))).alias("elevation_mean_m"), F.max(z).alias("elevation_max_m"), (F.max(z) - F.min(z)).alias("relief_m"),
+        (F.sum(s * F.col("n")) / F.nullif(count(s), F.lit(0))).alias("slope_mean_deg"), F.max(s).alias("slope_max_deg"),
+        F.sum(F.when(F.col("name") == "z", F.col("n"))).alias("covered_pixels"), count(z).alias("valid_pixels"))
+    out = out.join(percentiles(dist.filter("name = 's'"), key, 0.9).withColumnRenamed("percentile", "slope_p90_deg"), key, "left")
+    out = out.select(*key, "elevation_min_m", "elevation_mean_m", "elevation_max_m", "relief_m", "slope_mean_deg", "slope_p90_deg", "slope_max_deg", "covered_pixels", "valid_pixels")
     return out.withColumn("valid_fraction", share(F.col("valid_pixels"), F.col("covered_pixels")))
 
 
@@ -184,6 +224,7 @@ def percentile_stretch(pixels: DataFrame, low: float = 0.02, high: float = 0.98,
     """(raster_id, row, col, shade): a thinned grid of at most ``side`` pixels a side, stretched between two percentiles to 0-255."""
     size = pixels.groupBy("raster_id").agg(F.greatest(F.lit(1), F.ceil((F.greatest(F.max("row"), F.max("col")) + 1) / side)).cast("int").alias("step"))
     thin = pixels.join(F.broadcast(size), "raster_id").filter("row % step = 0 AND col % step = 0 AND valid")
-    ends = thin.groupBy("raster_id").agg(F.percentile("value", low).alias("lo"), F.percentile("value", high).alias("hi"))
+    dist = distribution(thin, ["raster_id"], {"v": F.col("value")})
+    ends = percentiles(dist, ["raster_id"], low).withColumnRenamed("percentile", "lo").join(percentiles(dist, ["raster_id"], high).withColumnRenamed("percentile", "hi"), "raster_id")
     shade = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")))) * 255).otherwise(0.0)
     return thin.join(ends, "raster_id").select("raster_id", "row", "col", F.floor(shade).cast("int").alias("shade"))
