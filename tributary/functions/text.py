@@ -16,7 +16,10 @@ PARTIAL_MERGER = "một phần"
 FALSE_WORDS = ("", "0", "false", "no", "none")
 FALSE_EVIDENCE = ("", "0", "False", "false", "None", "none", "null")
 SENSITIVE = "secret|token|password|authorization|apikey|signature|credential"
+#: Patterns that define what is a secret.
 SENSITIVE_TEXT = r"(?i)\b(?:secret|token|password|authorization|api[-_ ]?key|signature|credential)\b\s*[:=]"
+BEARER = r"(?i)\bbearer\s+[^\s<,;]+"
+USER_INFO = r"(?i)(https?://)[^/\s@]+@"
 
 
 @F.pandas_udf(StringType())
@@ -83,17 +86,16 @@ def parse_local_number(col: Column) -> Column:
 
 def parse_event_dates(col: Column) -> tuple[Column, Column]:
     """(start, end) of d/m/yyyy, d-d/m/yyyy and d/m-d/m/yyyy; both null where either is no date."""
-    text = collapse(col)
-    one = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-    days = r"^(\d{1,2})\s*-\s*(\d{1,2})/(\d{1,2})/(\d{4})$"
-    months = r"^(\d{1,2})/(\d{1,2})\s*-\s*(\d{1,2})/(\d{1,2})/(\d{4})$"
+    sides = F.transform(F.split(collapse(col), "-", -1), lambda t: F.split(F.trim(t), "/", -1))
+    last = F.element_at(sides, -1)
+    first = F.element_at(sides, 1)
+    written = F.forall(F.flatten(sides), lambda t: t.rlike("^[0-9]{1,2}$|^[0-9]{4}$")) & (F.size(sides) <= 2) & (F.size(last) == 3) & ((F.size(sides) == 1) | F.size(first).between(1, 2))
+    short = F.forall(F.concat(F.slice(last, 1, 2), F.when(F.size(sides) == 2, first).otherwise(F.array().cast("array<string>"))), lambda t: F.length(t) <= 2) & (F.length(F.get(last, 2)) == 4)
 
-    def day(pattern: str, d: int, m: int, y: int) -> Column:
-        part = lambda g, n: F.lpad(F.regexp_extract(text, pattern, g), n, "0")
-        return F.try_to_date(F.concat_ws("-", part(y, 4), part(m, 2), part(d, 2)), "yyyy-MM-dd")
+    def day(d: Column, m: Column) -> Column:
+        return F.when(written & short, F.try_to_date(F.concat_ws("-", F.get(last, 2), F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
 
-    start = F.when(text.rlike(one), day(one, 1, 2, 3)).when(text.rlike(days), day(days, 1, 3, 4)).when(text.rlike(months), day(months, 1, 2, 5))
-    end = F.when(text.rlike(one), day(one, 1, 2, 3)).when(text.rlike(days), day(days, 2, 3, 4)).when(text.rlike(months), day(months, 3, 4, 5))
+    start, end = day(F.get(first, 0), F.coalesce(F.get(first, 1), F.get(last, 1))), day(F.get(last, 0), F.get(last, 1))
     both = start.isNotNull() & end.isNotNull()
     return F.when(both, start), F.when(both, end)
 
@@ -156,8 +158,8 @@ def asset_key(*identity: Column) -> Column:
 
 def redact(col: Column) -> Column:
     """Bearer tokens, user info in URLs and sensitive query values replaced."""
-    text = F.regexp_replace(col.cast("string"), r"(?i)\bbearer\s+[^\s<,;]+", "Bearer [REDACTED]")
-    text = F.regexp_replace(text, r"(?i)(https?://)[^/\s@]+@", "$1[REDACTED]@")
+    text = F.regexp_replace(col.cast("string"), BEARER, "Bearer [REDACTED]")
+    text = F.regexp_replace(text, USER_INFO, "$1[REDACTED]@")
     spread = "|".join("[^a-zA-Z0-9=&#\\s]*".join(w) for w in SENSITIVE.split("|"))
     return F.regexp_replace(text, rf"(?i)([?&][^=&#\s]*(?:{spread})[^=&#\s]*)=[^&#\s]*", "$1=[REDACTED]")
 

@@ -14,13 +14,15 @@ LEAKS = ("event", "label", "outcome", "status")
 
 def check_table(df: DataFrame, ids: DataFrame, key: str, complete: bool) -> None:
     """Raise unless keys are whole and unique, all selected, and (``complete``) none is missing; one aggregate."""
-    marked = df.select(F.col(key).alias("k")).join(ids.select(F.col(key).alias("k"), F.lit(True).alias("sel")).distinct(), "k", "full_outer" if complete else "left")
-    rows = df.agg(F.count(F.lit(1)), F.countDistinct(key), F.count_if(F.col(key).isNull() | (F.col(key) != F.floor(F.col(key).cast("double"))))).first()
-    if rows[2] or rows[0] != rows[1]:
-        raise ValueError(f"{key}: {rows[2]} keys aren't whole, {rows[0] - rows[1]} repeated")
-    outside, total = marked.agg(F.count_if(F.col("sel").isNull()), F.count(F.lit(1))).first()
-    if outside or complete and total != rows[0]:
-        raise ValueError(f"{key}: {outside} keys outside the selection, {total - rows[0]} missing")
+    own = df.select(F.col(key).alias("k"), F.lit(True).alias("own"))
+    marked = own.join(ids.select(F.col(key).alias("k"), F.lit(True).alias("sel")).distinct(), "k", "full_outer")
+    mine = lambda test: F.count_if(F.col("own").isNotNull() & test)
+    n, distinct, odd, outside, missing = marked.agg(
+        F.count("own"), F.countDistinct(F.when(F.col("own"), F.col("k"))), mine(F.col("k").isNull() | (F.col("k") != F.floor(F.col("k").cast("double")))), mine(F.col("sel").isNull()), F.count_if(F.col("own").isNull())).first()
+    if odd or n != distinct:
+        raise ValueError(f"{key}: {odd} keys aren't whole, {n - distinct} repeated")
+    if outside or complete and missing:
+        raise ValueError(f"{key}: {outside} keys outside the selection, {missing} missing")
 
 
 def leaking_columns(columns: list[str]) -> list[str]:

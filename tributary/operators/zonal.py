@@ -68,6 +68,12 @@ def landcover_fractions(pixels: DataFrame, zones: DataFrame, grid: Grid, classes
     return rows.withColumn("recognized", known).select(*by, "zone_id", *shares, (F.col("covered") - F.col("valid_pixels")).alias("nodata_pixels"), (F.col("valid_pixels") - F.col("recognized")).alias("unknown_pixels"), "valid_pixels", "covered")
 
 
+def class_names(pixels: DataFrame, classes: dict[int, str]) -> DataFrame:
+    """``pixels`` with class_name, null for a code that isn't named."""
+    names = pixels.sparkSession.createDataFrame(list(classes.items()), "class int, class_name string")
+    return pixels.join(F.broadcast(names), "class", "left")  # a row for each name given
+
+
 def slope(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] = ("raster_id",)) -> DataFrame:
     """(pixel columns, zone_id, inside, slope): degrees, over each zone's own bounding window.
 

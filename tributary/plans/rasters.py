@@ -32,9 +32,8 @@ def landcover(s, d):
 
 
 def class_names(s, d):
-    p = X.pixels(s, d).select("raster_id", "row", "col", F.col("class"))
-    names = s.createDataFrame(list(X.CLASSES.items()), "class int, class_name string")
-    return p.join(F.broadcast(names), "class", "left").groupBy("class", "class_name").agg(F.count(F.lit(1)).alias("n"))
+    named = zonal.class_names(X.pixels(s, d).select("raster_id", "row", "col", F.col("class")), X.CLASSES)
+    return named.groupBy("class", "class_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def centers(s, d):

@@ -390,11 +390,13 @@ def assembled(s, d):
 
 
 def content_print(s, d):
-    """The fingerprint of tables in two orders of rows: one value."""
+    """The fingerprint of tables in two orders of rows, which is one value, and after a change of one row, which is another."""
     t = _tables(s, d)
     a = profile.content_fingerprint(t, "basin_id")
     b = profile.content_fingerprint({k: v.orderBy(F.desc("basin_id")) for k, v in t.items()}, "basin_id")
-    return t["terrain"].agg(F.lit(a == b).alias("same"), F.lit(len(a)).alias("digits"), F.count(F.lit(1)).alias("n"))
+    value = F.col("terrain_value") + F.when(F.col("basin_id") == 1, 1).otherwise(0)
+    c = profile.content_fingerprint(t | {"terrain": t["terrain"].withColumn("terrain_value", value)}, "basin_id")
+    return t["terrain"].agg(F.lit(a == b).alias("same"), F.lit(a != c).alias("changed"), F.lit(len(a)).alias("digits"), F.count(F.lit(1)).alias("n"))
 
 
 def warned(s, d):
@@ -652,7 +654,7 @@ ORACLE_SQL = {
     "join_identity": "SELECT p_partkey::VARCHAR AS unit_id, lpad(p_partkey::VARCHAR, greatest(5, length(p_partkey::VARCHAR))::INT, '0') AS code FROM part WHERE p_partkey%2 = 0",
     "read_event_rows": f"WITH {DATES_SQL} SELECT 'historical-flood:' || o_orderkey AS event_id, o_orderkey AS number, o_orderstatus AS place, {BEGIN_SQL} AS start_date FROM orders JOIN dated ON id = o_orderkey WHERE o_orderkey%4 != 0 AND o_orderkey%7 != 0",
     "assemble_profile": "SELECT c_custkey AS basin_id, CASE WHEN c_custkey <= 1 THEN 0 ELSE c_custkey//2 END AS next_down, round(c_acctbal, 4) AS terrain_value, round(c_acctbal*2, 4) AS soil_value, round(c_acctbal*3, 4) AS landcover_value, round(c_acctbal*4, 4) AS hydrology_value, CASE WHEN c_custkey%3 != 0 THEN c_nationkey END AS people, CASE WHEN c_custkey%3 = 0 THEN 'missing_population_observation' ELSE '' END AS flags, 'run-1' AS run_id FROM customer WHERE c_custkey > 0",
-    "content_fingerprint": "SELECT true AS same, 64::INT AS digits, count(*) AS n FROM customer WHERE c_custkey > 0",
+    "content_fingerprint": "SELECT true AS same, true AS changed, 64::INT AS digits, count(*) AS n FROM customer WHERE c_custkey > 0",
     "join_warnings": sql("points", "SELECT point_id, x%200 = 0 OR y%200 = 0 AS warning FROM points").replace("x%200 = 0 OR y%200 = 0", "(x <= 1000 AND y <= 1000 AND (x%200 = 0 OR y%200 = 0))"),
     "join_attributes": sql("topology", "SELECT basin_id, next_down, c_acctbal, c_nationkey FROM topology JOIN customer ON c_custkey = basin_id"),
     "subset_by_keys": "SELECT o_custkey AS basin_id, o_orderkey FROM orders WHERE o_custkey > 0 AND o_custkey%3 = 0",
