@@ -403,3 +403,70 @@ def test_language_held_out_accuracy(spark):
     right = sum(r.lang == r.lang_pred for r in rows) / len(rows)
     print("held-out accuracy", right, "of", len(rows))
     assert right >= 0.95
+
+
+def brute_spans(rows):
+    """The text of all spans of each row: entities by pattern, disclosing terms by plain counting over all lines."""
+    import math
+
+    entities, terms, lines = {}, {}, []
+    for number, (_, text) in enumerate(rows):
+        at = 0
+        for line in (text or "").split("\n"):
+            found = [(k, m.start(), m.end(), m[0]) for k, p in BASE for m in re.finditer(p, line) if valid(k, m[0])]
+            for m in re.finditer(pii.SECRETS["secret"], line):
+                if not any(a < m.end() and m.start() < b for k, a, b, _ in found if k != "secret"):
+                    found.append(("secret", m.start(), m.end(), m[0]))
+            words = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", line)]
+            entities.setdefault(number, []).extend((k, at + a, at + b) for k, a, b, _ in found)
+            free = [(w, a, b) for w, a, b in words if found and not any(x < b and a < y for _, x, y, _ in found)]
+            lines.append((number, at, line, found, {w for w, *_ in words}, free))
+            at += len(line) + 1
+    total = sum(bool(x[2]) for x in lines)
+    held, both, seen, n = Counter(), Counter(), {}, Counter()
+    for _, _, line, found, words, free in lines:
+        n.update(words)
+        for kind in {k for k, *_ in found}:
+            held[kind] += 1
+            for w in {w for w, *_ in free}:
+                both[w, kind] += 1
+                seen.setdefault((w, kind), set()).add(min(m for k, _, _, m in found if k == kind))
+    told = {(w, k) for (w, k), c in both.items() if len(seen[w, k]) >= pii.SUPPORT and held[k] < total and math.log(c / n[w]) - math.log(held[k] / total) >= pii.DISCLOSURE * -math.log(held[k] / total)}
+    for number, at, _, found, _, free in lines:
+        terms.setdefault(number, []).extend((at + a, at + b) for w, a, b in free if any((w, k) in told for k, *_ in found))
+    order = {k: i for i, k in enumerate(pii.KINDS)}
+    text = [",".join([f"{k}:{a}:{b}" for k, a, b in sorted(entities[i], key=lambda s: (order[s[0]], s[1:]))] + [f"term:{a}:{b}" for a, b in sorted(set(terms[i]))]) for i in range(len(rows))]
+    return text, told
+
+
+def test_terms_equal_plain_counting(spark):
+    rng = random.Random(14)
+    plain = [f"wort{chr(97 + k)}" for k in range(20)]
+    entity = {"email": lambda: f"u{rng.randint(0, 40)}@host.org", "ip": lambda: f"10.0.0.{rng.randint(0, 60)}", "phone": lambda: f"+1 555 010-{rng.randint(1000, 1040)}", "secret": lambda: f"password: abcdefghijkl{rng.randint(0, 30)}", "card": lambda: "4111 1111 1111 1111"}
+    hint = {"email": "Mailbox", "ip": "server", "phone": "callme", "secret": "login", "card": "visa"}
+    rows = []
+    for i in range(260):
+        lines = []
+        for _ in range(rng.randint(0, 5)):
+            words = rng.choices(plain, k=rng.randint(0, 7))
+            for kind in rng.choices(list(entity), k=rng.choice([0, 0, 1, 1, 2, 6])):
+                words.insert(rng.randint(0, len(words)), f"{hint[kind]} {entity[kind]()}" if rng.random() < 0.9 else entity[kind]())
+            lines.append(" ".join(words))
+        rows.append((i, "\n".join(lines)))
+    rows += [(900, None), (901, ""), rows[3]]
+    want, told = brute_spans(rows)
+    df = docs(spark, rows)
+    got = pii.spans(df).select("doc_id", pii.written(F.concat("found", "terms")).alias("spans"))
+    assert Counter((r.doc_id, r.spans) for r in got.collect()) == Counter((i, w) for (i, _), w in zip(rows, want, strict=True))
+    assert told and {k for _, k in told} >= {"email", "ip", "phone", "secret"}
+    for r in pii.sanitised(df).collect():  # marks of merged spans from the right
+        i = next(k for k, (d, _) in enumerate(rows) if d == r.doc_id)
+        text, islands = rows[i][1], []
+        for k, a, b in sorted(((s.split(":")[0], int(s.split(":")[1]), int(s.split(":")[2])) for s in want[i].split(",") if s), key=lambda s: (s[1], s[2], s[0])):
+            if islands and a < islands[-1][2]:
+                islands[-1][2] = max(b, islands[-1][2])
+            else:
+                islands.append([k, a, b])
+        for k, a, b in reversed(islands):
+            text = f"{text[:a]}<{k}>{text[b:]}"
+        assert r.text == text

@@ -157,4 +157,21 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_quality": op8_quality}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op8_quality": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce("text", '') AS t, coalesce(source, '') AS h FROM documents),
+        listed AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+        windows AS (SELECT r, i, array_to_string(w[i : i + 7], ' ') AS key FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM listed WHERE len(w) >= 8)),
+        twice AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, key) AS n FROM windows) WHERE n > 1),
+        repeated AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS k FROM twice) GROUP BY r),
+        each AS (SELECT r, h, t, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM (SELECT r, h, t, unnest(string_split(t, chr(10))) AS line FROM d)),
+        lines AS (SELECT r, h, t, line, len(w) AS n, regexp_replace(translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS normal FROM each WHERE len(w) > 0),
+        frequent AS (SELECT h, normal FROM lines GROUP BY h, normal HAVING count(DISTINCT t) > 20),
+        gone AS (SELECT r, sum(n) AS n FROM lines JOIN frequent USING (h, normal) GROUP BY r),
+        doubled AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+        base AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+          coalesce(doubled.n, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, (len(w) - coalesce(gone.n, 0))::BIGINT AS words_left
+          FROM listed LEFT JOIN doubled USING (r) LEFT JOIN repeated USING (r) LEFT JOIN gone USING (r)),
+        judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+        SELECT *, NOT base_failed AND words_left >= 0.2::DOUBLE * n_words AS kept FROM judged""",
+}
