@@ -90,13 +90,15 @@ def test_cycle_is_found(spark):
 
 
 def test_deep_lineage_is_whole(spark):
-    n = 70
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    n = 24
     e = spark.createDataFrame([(i, i + 1) for i in range(n)], "asset_id long, depends_on long").coalesce(1)
     ids = spark.range(n).withColumnRenamed("id", "asset_id").coalesce(1)
     c = catalog.lineage_closure(e, ids.filter("asset_id = 0"), ids.limit(0), ids)
     assert c.count() == n + 1 and [r.node_id for r in c.filter("state = 'missing'").collect()] == [n]
     with pytest.raises(RuntimeError):
         catalog.lineage_closure(e, ids.filter("asset_id = 0"), ids.limit(0), ids, depth=2)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_transitions_protect_fields(spark):

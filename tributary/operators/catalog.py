@@ -145,12 +145,14 @@ def lineage_closure(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: D
 def _reached(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     """(root_id, node_id): each root and all nodes below it."""
     front = seen = materialise(roots.select(F.col("asset_id").alias("root_id"), F.col("asset_id").alias("node_id")).distinct(), "lineage")
-    for _ in range(depth + 1):
+    for level in range(depth + 1):
         step = front.join(edges.withColumnRenamed("asset_id", "node_id"), "node_id").select("root_id", F.col("depends_on").alias("node_id")).distinct()
         front = materialise(step.join(seen, ["root_id", "node_id"], "left_anti"), "front")
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front)
+        if level % 8 == 7:
+            seen = materialise(seen, "lineage")  # one table instead of nine
     raise RuntimeError(f"lineage is deeper than {depth} levels")
 
 
