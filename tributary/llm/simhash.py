@@ -271,8 +271,8 @@ def near_duplicates(docs: DataFrame, layout: Layout = NARROW) -> DataFrame:
         fps = materialise(fps.withColumn("id", F.monotonically_increasing_id()), "distinct")
         found = links(fps.select(F.explode("sigs").alias("sig"), "id", *lanes), layout)
     roots = components(found)
-    labels = fps.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("root", "id"))
-    least = labels.groupBy("label").agg(F.min("least").alias("component_id"))
+    labels = materialise(fps.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*lanes, "least", F.coalesce("root", "id").alias("label")), "labels")
+    least = materialise(labels.groupBy("label").agg(F.min("least").alias("component_id")), "least")  # a table, so that the join can split a large component
     ids = labels.select(*lanes, "label").join(least, "label").withColumnRenamed("label", "component")
     return rows.drop("sigs").join(materialise(ids, "components"), lanes)
 
