@@ -142,12 +142,12 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFr
     piece lies on, 1 the same, -1 opposite, else 0; id numbers the segments. With ``group`` (feature_id, group) lines and zones are one layer: only other features of the
     same group are met, and a segment is cut alike for all of them.
 
-    Segments and edges meet in the bins they run through; a zone that no edge of which is near is found by the segment's begin. Cuts of a segment
+    Segments and edges meet in the bins they run through; a zone that a segment lies in without a crossing is found by its begin. Cuts of a segment
     and a zone come together in one shuffle by their numbers.
     """
     own = (lines if "ring" in lines.columns else lines.withColumn("ring", F.lit(0))).select("feature_id", *CUT, F.monotonically_increasing_id().alias("id"))
     own = materialise(own, "segments")
-    line = F.struct("feature_id", *CUT).alias("line")
+    line = ["feature_id", *CUT]
     zone = walked(edges, cell).select(F.col("feature_id").alias("zone_id"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")], "bx", "by")
     near = walked(own, cell).join(zone, ["bx", "by"]).filter(F.expr(
         f"least(x1, x2) <= greatest(ex1, ex2) + {EPS} AND greatest(x1, x2) >= least(ex1, ex2) - {EPS} AND least(y1, y2) <= greatest(ey1, ey2) + {EPS} AND greatest(y1, y2) >= least(ey1, ey2) - {EPS}"))
@@ -158,22 +158,21 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFr
         "un": F.expr("(ex1 - x1) * (y2 - y1) - (ey1 - y1) * (x2 - x1)"),
         "rr": F.expr("(x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)"),
     })
-    crossing = F.expr("CASE WHEN cr != 0 AND un / nullif(cr, 0D) BETWEEN -1e-12 AND 1 + 1e-12 THEN array(tn / nullif(cr, 0D)) WHEN cr = 0 AND un = 0 THEN array(((ex1 - x1) * (x2 - x1) + (ey1 - y1) * (y2 - y1)) / nullif(rr, 0D), ((ex2 - x1) * (x2 - x1) + (ey2 - y1) * (y2 - y1)) / nullif(rr, 0D)) ELSE array() END")
-    met = near.select("id", "zone_id", line, F.filter(crossing, lambda t: (t > 1e-12) & (t < 1 - 1e-12)).alias("ts"))
-    begins = box_candidates(own.select("id", line, F.col("x1").alias("px"), F.col("y1").alias("py")), edges.groupBy(F.col("feature_id").alias("zone_id")).agg(*bounds()), cell)
-    pairs = met.unionByName(begins.select("id", "zone_id", "line", F.array().cast("array<double>").alias("ts")))
+    crossing = F.expr("CASE WHEN cr != 0 AND un / nullif(cr, 0D) BETWEEN -1e-12 AND 1 + 1e-12 AND tn / nullif(cr, 0D) BETWEEN -1e-12 AND 1 + 1e-12 THEN array(tn / nullif(cr, 0D)) WHEN cr = 0 AND un = 0 THEN array(((ex1 - x1) * (x2 - x1) + (ey1 - y1) * (y2 - y1)) / nullif(rr, 0D), ((ex2 - x1) * (x2 - x1) + (ey2 - y1) * (y2 - y1)) / nullif(rr, 0D)) ELSE array() END")
+    inner = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("t"))), 12)
+    met = near.select("id", "zone_id", *line, F.explode(crossing).alias("t")).withColumn("t", inner)
+    begins = box_candidates(own.select("id", *line, F.col("x1").alias("px"), F.col("y1").alias("py")), edges.groupBy(F.col("feature_id").alias("zone_id")).agg(*bounds()), cell)
+    found = met.unionByName(begins.select("id", "zone_id", *line, F.lit(1.0).alias("t")))
     if group is not None:
         of = lambda name, key: group.select(F.col("feature_id").alias(key), F.col("group").alias(name))
-        pairs = pairs.withColumn("own_id", F.col("line.feature_id")).filter("own_id != zone_id").join(of("g1", "own_id"), "own_id").join(of("g2", "zone_id"), "zone_id").filter("g1 = g2").drop("own_id", "g1", "g2")
-        whole = own.select("id", F.lit(None).cast(dict(edges.dtypes)["feature_id"]).alias("zone_id"), line, F.array().cast("array<double>").alias("ts"))
-        pairs = pairs.unionByName(whole)  # a segment that meets no other feature is one piece
-    ordered = lambda ts: F.array_sort(F.array_distinct(F.transform(F.concat(F.array(F.lit(0.0), F.lit(1.0)), ts), lambda t: F.round(t, 12))))
-    found = pairs.groupBy("id", "zone_id").agg(F.first("line").alias("line"), F.flatten(F.collect_set("ts")).alias("ts"))
-    if group is not None:
-        found = materialise(found, "pairs")
-        found = found.drop("ts").join(found.groupBy("id").agg(F.flatten(F.collect_set("ts")).alias("ts")), "id")
-    found = found.select("id", "zone_id", "line.*", ordered(F.col("ts")).alias("ts"))
-    found = found.withColumn("cut", F.explode(F.transform(F.slice("ts", F.lit(1), F.size("ts") - 1), lambda t, i: F.struct(t.alias("t"), F.get("ts", i + 1).alias("t2"))))).drop("ts").select("*", "cut.t", "cut.t2").drop("cut")
+        found = found.filter("feature_id != zone_id").join(of("g1", "feature_id"), "feature_id").join(of("g2", "zone_id"), "zone_id").filter("g1 = g2").drop("g1", "g2")
+        found = materialise(found.unionByName(own.select("id", F.lit(None).cast(dict(edges.dtypes)["feature_id"]).alias("zone_id"), *line, F.lit(1.0).alias("t"))), "pairs")  # a segment that meets no other feature is one piece
+        found = found.drop("t").distinct().join(found.select("id", "t").distinct(), "id")
+    order = Window.partitionBy("id", "zone_id").orderBy("t")
+    found = found.withColumns({"from": F.coalesce(F.lag("t").over(order), F.lit(0.0)), "next": F.lead("t").over(order)})
+    span = lambda a, b: F.struct(a.alias("t"), b.alias("t2"))
+    cut = F.array(span(F.col("from"), F.col("t")), F.when(F.col("next").isNull(), span(F.col("t"), F.lit(1.0))))
+    found = found.select("id", "zone_id", *line, F.explode(cut).alias("cut")).select("id", "zone_id", *line, "cut.t", "cut.t2").filter("t2 > t")
     part = found.select(
         "id", "feature_id", "part", "ring", "seq", "zone_id", "t",
         *[F.expr(e).alias(n) for n, e in (("ax", "x1 + t * (x2 - x1)"), ("ay", "y1 + t * (y2 - y1)"), ("bx2", "x1 + t2 * (x2 - x1)"), ("by2", "y1 + t2 * (y2 - y1)"))],
@@ -182,10 +181,9 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFr
     tested = part.join(bands, ["zone_id", "band"], "left")
     on = F.expr(f"coalesce(({DISTANCE2}) <= 1e-14 AND abs((bx2 - ax) * (y2 - y1) - (by2 - ay) * (x2 - x1)) <= 1e-6 * sqrt(power(bx2 - ax, 2) + power(by2 - ay, 2)) * sqrt(power(x2 - x1, 2) + power(y2 - y1, 2)), false)")
     same = F.when(on, F.when(F.expr("(bx2 - ax) * (x2 - x1) + (by2 - ay) * (y2 - y1) > 0"), 1).otherwise(-1)).otherwise(0)
-    names = ["feature_id", "part", "ring", "seq", "ax", "ay", "bx2", "by2"]
-    out = tested.groupBy("id", "zone_id", "t").agg(
-        F.first(F.struct(*names)).alias("p"), (F.coalesce(F.sum(F.expr(CROSSES)), F.lit(0)) % 2 == 1).alias("inside"), F.coalesce(F.max(on), F.lit(False)).alias("touches"), F.max_by(same, F.abs(same)).alias("along"))
-    return out.select("p.*", "id", "zone_id", "t", "inside", "touches", "along").withColumnsRenamed({"ax": "x1", "ay": "y1", "bx2": "x2", "by2": "y2"})
+    out = tested.groupBy("id", "zone_id", "t", "feature_id", "part", "ring", "seq", "ax", "ay", "bx2", "by2").agg(
+        (F.coalesce(F.sum(F.expr(CROSSES)), F.lit(0)) % 2 == 1).alias("inside"), F.coalesce(F.max(on), F.lit(False)).alias("touches"), F.max_by(same, F.abs(same)).alias("along"))
+    return out.withColumnsRenamed({"ax": "x1", "ay": "y1", "bx2": "x2", "by2": "y2"})
 
 
 LENGTH = "sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
