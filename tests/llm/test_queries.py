@@ -53,6 +53,26 @@ def test_op1(spark, small):
     assert all((r.lang_pred == "und") != letter[r.doc_id] and 0 <= r.score <= 1 for r in got if r.doc_id is not None)
 
 
+def test_op2(spark, small):
+    """The labels of the small table don't depend on the URL, so the listed rules decide alone."""
+    rules = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+    rows = spark.read.parquet(f"{small[0]}/pages.parquet").select("page_id", "url").collect()
+    want = {}
+    for i, u in rows:
+        rest = u.split("://", 1)[1] if u and "://" in u else None
+        host = re.split("[/?#]", rest)[0] if rest is not None else ""
+        path = re.split("[?#]", rest[len(host):])[0] if rest is not None else ""
+        fits = [(len(h + p), h + p, v) for v, h, p in rules if (host.lower() == h or host.lower().endswith("." + h)) and path.startswith(p)]
+        want[i] = (host.lower(), path, *(max(fits)[1:] if fits else (None, "allow")))
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in run(spark, small, "op2_")} == want and len({w[2] for w in want.values()}) > 2
+
+
+def test_op3(spark, small):
+    got = run(spark, small, "op3_")
+    notice = "Released under the MIT License"
+    assert Counter((r.doc_id, r.start, r.end) for r in got if r.license == "MIT") == Counter((i, t.index(notice), t.index(notice) + len(notice)) for i, t, *_ in small[1] if t and notice in t)
+
+
 def test_op4(spark, small):
     groups = defaultdict(list)
     for i, t, *_ in small[1]:
