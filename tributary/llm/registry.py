@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, collocations, decontamination, exact_dedup, language_id, license_scan, packing, pii, quality, sharding, simhash, url_filter
+from . import byte_bpe, collocations, decontamination, exact_dedup, language_id, license_scan, packing, pii, prefix_trie, quality, sharding, simhash, url_filter
 
-MODULES = (language_id, url_filter, license_scan, exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe, collocations, decontamination)
+MODULES = (language_id, url_filter, license_scan, exact_dedup, sharding, packing, simhash, quality, pii, byte_bpe, collocations, prefix_trie, decontamination)
 
 
 def queries() -> dict:
