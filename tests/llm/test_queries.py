@@ -13,6 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tests.llm.test_corpus import NODE, brute_collocations, brute_hits, brute_trie, passages, talks
 from tests.llm.test_dedup import brute_components, brute_fingerprint
 from tests.llm.test_text import BASE, brute_counts, brute_quality, valid, words
 
@@ -23,7 +24,7 @@ def texts():
     rng = random.Random(11)
     vocabulary = [f"wort{k}" for k in range(60)] + ["é", "😀", "don't", "7", "mail a.b@host.org", "10.0.0.1", "4111 1111 1111 1111", "+1 (555) 010-9999", "password: abcdefghijklmnop"]
     some = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 60))) for _ in range(120)]
-    some += ["\n".join([words("menu", 12), words(i, 3), words("foot", 30)]) for i in range(80)] + [words("long", 30_000), "Released under the MIT License\nand more", "", " \n\t", "x"]
+    some += ["\n".join([words("menu", 12), words(i, 3), words("foot", 30)]) for i in range(80)] + [words("long", 30_000), "Released under the MIT License\nand more", "Red fox runs. the red hen. " * 120, "", " \n\t", "x"]
     return some + some[:20] + [some[5]] * 30
 
 
@@ -37,6 +38,8 @@ def small(spark, tmp_path_factory):
     urls = [f"http://{h}/{p}/{i}" for i in range(40) for h, p in (("www.bad-site.example.fr", "x"), ("good.fr", "y"), ("a.com", "en"), ("example.net", "de/8"))] + [None, "nothing", "HTTP://A.Org/es/?q#f"]
     spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("html", F.lit("<p>")).write.parquet(f"{d}/pages.parquet")
     spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([*passages()[1], (70, " ".join(f"wort{k}" for k in range(3))), (71, texts()[3][:120]), (72, words("long", 30)), (73, "x")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([t for t in talks() if t[0] != 8000], "conv_id long, turn int, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return d, [r[:4] for r in rows]
 
 
@@ -161,9 +164,26 @@ def test_op10(spark, small):
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in run(spark, small, "op10_")) == want
 
 
+def test_op11(spark, small):
+    got = run(spark, small, "op11_")
+    want = brute_collocations([(lang, t) for _, t, lang, _ in small[1]])
+    assert len(got) == len(want) and {(r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got} == want and want
+
+
+def test_op12(spark, small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{small[0]}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert Counter(tuple(r[c] for c in NODE) for r in run(spark, small, "op12_")) == brute_trie(rows)
+
+
+def test_op13(spark, small):
+    items = [tuple(r) for r in spark.read.parquet(f"{small[0]}/benchmark.parquet").collect()]
+    want = Counter((i, n, hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), hit > 0) for (i, *_), (n, hit, ids) in zip(small[1], brute_hits([t for _, t, *_ in small[1]], items), strict=True))
+    assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in run(spark, small, "op13_")) == want and any(w[2] for w in want)
+
+
 @pytest.mark.parametrize("name", [k for k in entry.queries() if re.match(r"op\d+_", k)])
 def test_empty_tables(spark, small, tmp_path, name):
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations", "benchmark"):
         spark.read.parquet(f"{small[0]}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert entry.queries()[name](spark, str(tmp_path)).count() == 0
 
