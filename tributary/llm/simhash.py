@@ -5,9 +5,10 @@ bit. Each segment is indexed as a whole and with single bits deleted: an equal s
 one bit meets where that bit is deleted. Fingerprints are made distinct before indexing, so copies never meet each other. Two layouts are given:
 
 * ``NARROW``: 64 bits of three-word shingles in two halves with every bit deleted, 66 signatures. All pairs within three bits meet.
-* ``WIDE``: 256 bits of distinct five-word shingles for a similarity of 0.8, in twelve segments of 21 bits. A bit that differs between near copies nearly
-  always is one whose majority is small, so only the six closest bits of a segment are deleted, 84 signatures. Pairs of similarity 0.8 differ
-  by 39 bits in the mean, with a deviation of 6; pairs within 44 bits are linked. Recall is measured in the tests.
+* ``wide``: distinct five-word shingles for a similarity of 0.8. A segment has as many bits as keep about 16 fingerprints to a signature by chance, 18 at least, and there are as many
+  segments as it takes to find near copies, 32 at 18 bits and more the longer they are. A bit that differs between near copies nearly always is one whose majority is small, so only the two closest
+  bits of a segment are deleted, three signatures a segment. 512 bits are compared: pairs of similarity 0.8 differ by 78 of them in the mean, with a deviation of 8; pairs within 92
+  are linked. Recall is measured in the tests.
 
 Rows with one signature come together by an equality shuffle. A signature with a deleted bit only counts if both values of that bit
 occur, since equal segments meet in the whole signature. Pairs are verified with the full Hamming distance and never listed:
@@ -15,7 +16,7 @@ within a signature a fingerprint that is reached leaves the rest at once, so m f
 links, a spanning forest of all verified pairs. Members of a narrow signature with more than ``SPLIT`` of them are dealt out anew by the bytes of the other
 half, as three differing bits leave one of four bytes equal. Components of these links are found by ``graph``.
 
-Memory: a task holds the distinct fingerprints of one signature, 8 bytes (narrow, at most ``SPLIT`` beyond the first pass) or 40 bytes (wide) each. Those of near copies of one text
+Memory: a task holds the distinct fingerprints of one signature, 8 bytes (narrow, at most ``SPLIT`` beyond the first pass) or 72 bytes (wide) each. Those of near copies of one text
 reach each other in a few steps.
 
 Defined results: a null text or one without words has fingerprint zero, linked like any other. Fewer words than a shingle:
@@ -26,6 +27,7 @@ Long texts are hashed in blocks of ``BLOCK`` shingles. An empty table gives an e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,7 +48,7 @@ BLOCK = 1 << 16
 @dataclass(frozen=True)
 class Layout:
     words: int  # of a shingle
-    lanes: int  # 64-bit words of a fingerprint
+    lanes: int  # 64-bit words of a fingerprint that are compared
     segments: int
     width: int  # bits of a segment
     deleted: int  # bits of a segment that are deleted, those of the smallest majorities
@@ -58,7 +60,18 @@ class Layout:
 
 
 NARROW = Layout(words=3, lanes=1, segments=2, width=32, deleted=32, limit=3)
-WIDE = Layout(words=5, lanes=4, segments=12, width=21, deleted=6, limit=44)
+LEAST_WIDTH, MEMBERS = 18, 16
+FOUND, PER_BIT, MISSED = 0.1, 0.865, 0.035  # measured at a similarity of 0.8 to 0.85: pairs that one segment of 18 bits finds, by how much one more bit lowers that; pairs that all segments may miss
+
+
+def wide(rows: int) -> Layout:
+    """The layout for five-word shingles and a similarity of 0.8 among ``rows`` fingerprints."""
+    width = max(LEAST_WIDTH, math.ceil(math.log2(max(rows, 1) / MEMBERS)))
+    found = FOUND * PER_BIT ** (width - LEAST_WIDTH)
+    return Layout(words=5, lanes=8, segments=math.ceil(math.log(MISSED) / math.log(1 - found)), width=width, deleted=2, limit=92)
+
+
+WIDE = wide(0)
 
 
 def majorities(hashes: np.ndarray) -> np.ndarray:
@@ -66,7 +79,9 @@ def majorities(hashes: np.ndarray) -> np.ndarray:
     set_bits = np.zeros(64 * hashes.shape[1], np.int64)
     for at in range(0, len(hashes), BLOCK):
         some = np.ascontiguousarray(hashes[at : at + BLOCK])
-        set_bits += np.unpackbits(some.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+        bits = np.unpackbits(some.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little").view(np.uint64)  # eight counters of a byte each
+        sums = np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0)
+        set_bits += sums.view(np.uint8).sum(axis=0, dtype=np.int64)
     return 2 * set_bits - len(hashes)
 
 
@@ -114,16 +129,16 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 def wide_signatures(text: str | None, layout: Layout = WIDE) -> tuple[np.ndarray, np.ndarray]:
     """(the fingerprint's lanes, its signatures); signatures are numbered as by ``narrow_signatures``."""
     hashes = shingles(text, layout.words)
-    lanes = np.arange(1, layout.lanes + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
+    used = layout.segments * layout.width
+    lanes = np.arange(1, max(layout.lanes, -(-used // 64)) + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)
     most = majorities(mixed(hashes[:, None] + lanes))
     bits = most > 0
-    used = layout.segments * layout.width
     cut = bits[:used].reshape(layout.segments, layout.width)
     close = np.argsort(np.abs(most[:used]).reshape(cut.shape), axis=1, kind="stable")[:, : layout.deleted]
     whole = cut @ (np.int64(1) << np.arange(layout.width))
     rest = whole[:, None] & ~(np.int64(1) << close)
     part = np.arange(layout.segments)[:, None] * (layout.width + 1)
-    return packed(bits), np.concatenate([(part + layout.width) << 32 | whole[:, None], (part + close) << 32 | rest], axis=1).ravel()
+    return packed(bits[: 64 * layout.lanes]), np.concatenate([(part + layout.width) << 32 | whole[:, None], (part + close) << 32 | rest], axis=1).ravel()
 
 
 def signed(x: int) -> int:
@@ -187,9 +202,10 @@ def bucket_links(sig: int, ids: np.ndarray, members: np.ndarray, layout: Layout
     segment, bit = divmod(sig >> 32, layout.width + 1)
     if bit < layout.width:
         lane, place = divmod(segment * layout.width + bit, 64)
-        value = (members[:, lane] >> np.uint64(place)) & np.uint64(1)
-        if value.all() or not value.any():
-            return []
+        if lane < layout.lanes:
+            value = (members[:, lane] >> np.uint64(place)) & np.uint64(1)
+            if value.all() or not value.any():
+                return []
     return forest(ids, members, layout.limit)
 
 
@@ -277,8 +293,9 @@ def near_duplicates(docs: DataFrame, layout: Layout = NARROW) -> DataFrame:
     return rows.drop("sigs").join(materialise(ids, "components"), lanes)
 
 
-def keep_one(docs: DataFrame, layout: Layout = WIDE) -> DataFrame:
-    """One row of ``docs``, with all its columns, per component: the one with the component's id."""
+def keep_one(docs: DataFrame, layout: Layout | None = None) -> DataFrame:
+    """One row of ``docs``, with all its columns, per component: the one with the component's id. Without a layout the wide one for the number of rows is taken."""
+    layout = layout or wide(docs.count())
     found = near_duplicates(docs, layout).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_key", "text_bytes")).alias("k")).select(*[F.col(f"k.{c}").alias(f"k_{c}") for c in KEY])
     inner = numbered(docs)
