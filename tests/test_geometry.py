@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +164,85 @@ def test_overlays_do_not_depend_on_the_cell(spark):
         want = want or got
         assert got == want
     assert (50, 1) not in want and want[(51, 1)] == (round(math.sqrt(2) / 1000, 9), False) and want[(52, 1)] == (0.01, True)
+
+
+NESTED = [  # a shell with a hole, an island in the hole with a hole of its own, and a second polygon
+    [(0, 0), (10, 0), (10, 10), (0, 10)], [(1, 1), (1, 9), (9, 9), (9, 1)], [(2, 2), (8, 2), (8, 8), (2, 8)], [(4, 4), (4, 6), (6, 6), (6, 4)], [(20, 0), (24, 0), (24, 4), (20, 4)],
+]
+
+
+def rings_turned(n):
+    """NESTED in another order, each ring in a direction of its own."""
+    order = [(i * 2 + n) % 5 for i in range(5)]
+    return [NESTED[i][:: -1 if (n >> k) & 1 else 1] for k, i in enumerate(order)]
+
+
+def test_rings_of_any_direction(spark):
+    layer = ring_layer(spark, [(n, rings_turned(n)) for n in range(16)])
+    want = 100 - 64 + 36 - 4 + 16
+    assert {r.feature_id: r.area for r in G.measure(layer).collect()} == {n: pytest.approx(want) for n in range(16)}
+    signed = layer.groupBy("feature_id", "part", "ring").agg(F.sum(F.expr("x1 * y2 - x2 * y1")).alias("s"), F.min("x1").alias("x")).collect()
+    assert {(r.feature_id, r.part, r.ring > 0) for r in signed if r.s > 0} == {(n, p, False) for n in range(16) for p in range(3)}
+    assert all((r.ring == 0) == (r.s > 0) for r in signed) and len(signed) == 16 * 5
+    whole = box_layer(spark, [(99, 0.0, 0.0, 5.0, 5.0)])
+    cut = {r.zone_id: round(r.intersection_area_km2 * 1e6, 6) for r in G.overlay_area(layer, whole, cell=3.0).collect()}
+    assert cut == {n: 25 - 16 + 9 - 1 for n in range(16)}
+    seqs = layer.filter("feature_id = 5").orderBy("part", "ring", "seq").collect()
+    for a, b in zip(seqs, seqs[1:], strict=False):
+        assert (a.part, a.ring) != (b.part, b.ring) or (a.x2, a.y2) == (b.x1, b.y1)
+
+
+def test_clockwise_squares(spark):
+    square = lambda x, turn: [(x, 0), (x + 100, 0), (x + 100, 100), (x, 100)][::turn]
+    a, b = ring_layer(spark, [(1, [square(0, -1)])]), ring_layer(spark, [(2, [square(0, 1)]), (3, [square(50, 1)]), (4, [square(75, -1)])])
+    assert {r.unit_id: round(r.intersection_area_km2 * 1e6) for r in G.overlay_area(a, b).collect()} == {2: 10_000, 3: 5_000, 4: 2_500}
+    both = ring_layer(spark, [(1, [square(0, -1)]), (2, [square(50, 1)])])
+    assert G.measure(G.dissolve(both)).first().area == pytest.approx(15_000)
+    hole = ring_layer(spark, [(1, [square(0, 1), [(10, 10), (30, 10), (30, 30), (10, 30)]])])
+    assert G.measure(hole).first().area == pytest.approx(9_600)
+
+
+def test_lines_stay_open(spark):
+    df = spark.createDataFrame([(1, [[{"x": 0.0, "y": 0.0}, {"x": 60.0, "y": 80.0}], [{"x": 0.0, "y": 5.0}, {"x": 0.0, "y": 5.0}, {"x": 7.0, "y": 5.0}]])], "id long, parts array<array<struct<x: double, y: double>>>")
+    segments = G.edges_from_lines(df, "id", "parts")
+    assert {(r.part, r.seq, r.x2) for r in segments.collect()} == {(0, 0, 60.0), (1, 0, 7.0)}
+    assert G.overlay_length(box_layer(spark, [(1, -1.0, -1.0, 100.0, 100.0)]), segments).first().intersection_length_km == pytest.approx(0.107)
+
+
+@pytest.mark.parametrize(("name", "rings", "shells", "flag"), [
+    ("fine", HOLED, [0, 0], None), ("touching hole", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(0, 5), (4, 7), (4, 3)]], [0, 0], None),
+    ("bow-tie", [[(0, 0), (2, 2), (2, 0), (0, 2)]], [0], "self_crossing"), ("ring touches itself", [[(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2)]], [0], "self_crossing"),
+    ("vertex on an edge", [[(0, 0), (4, 0), (4, 4), (2, 0), (0, 4)]], [0], "self_crossing"), ("spike", [[(0, 0), (4, 0), (8, 0), (4, 0), (4, 4), (0, 4)]], [0], "self_crossing"),
+    ("rings along each other", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(0, 2), (0, 6), (4, 6), (4, 2)]], [0, 0], "self_crossing"), ("rings cross", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(5, 5), (15, 5), (15, 8), (5, 8)]], [0, 0], "self_crossing"),
+    ("hole outside", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(20, 0), (24, 0), (24, 4), (20, 4)]], [0, 0], "nested"), ("shell in a shell", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(2, 2), (4, 2), (4, 4), (2, 4)]], [0, 1], "nested"),
+    ("open", [[(0, 0), (10, 0), (10, 10), (0, 10)]], [0], "closed"), ("two points", [[(0, 0), (10, 0), (0, 0)]], [0], "enough_points"),
+])
+def test_validity(spark, name, rings, shells, flag):
+    closed = [r if name == "open" or r[0] == r[-1] else [*r, r[0]] for r in rings]
+    df = spark.createDataFrame([(1, [[{"x": float(x), "y": float(y)} for x, y in r] for r in closed], shells)], "id long, rings array<array<struct<x: double, y: double>>>, shells array<int>")
+    edges = G.edges_from_rings(df, "id", "rings", "shells", evidence=True)
+    got = G.flag_invalid_geometry(edges, cell=3.0).first()
+    assert got.valid == (flag is None) and (flag is None or got[flag] == (flag == "self_crossing"))
+    area = G.measure(edges, G.flag_invalid_geometry(edges)).first().area
+    assert (area is None) == (flag is not None) and (flag is None or G.valid_features(edges, G.flag_invalid_geometry(edges)).isEmpty())
+
+
+@pytest.mark.parametrize(("distance", "cell"), [(10_000.0, 100.0), (10_000.0, 3.0), (90.0, 100.0), (3000.0, 1e5)])
+def test_distance_join_by_levels(spark, distance, cell):
+    rng = random.Random(3)
+    area = ring_layer(spark, [(1, [[(0, 0), (40_000, 3_000), (25_000, 9_000), (30_000, 30_000), (2_000, 12_000)]])])
+    ring = [(0, 0), (40_000, 3_000), (25_000, 9_000), (30_000, 30_000), (2_000, 12_000)]
+    pts = [(i, rng.uniform(-30_000, 70_000), rng.uniform(-30_000, 60_000)) for i in range(400)]
+
+    def far(x, y):
+        def one(a, b):
+            t = max(0, min(1, ((x - a[0]) * (b[0] - a[0]) + (y - a[1]) * (b[1] - a[1])) / ((b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2)))
+            return math.hypot(x - a[0] - t * (b[0] - a[0]), y - a[1] - t * (b[1] - a[1]))
+        return 0 if _in(ring, x, y) else min(one(a, b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
+
+    got = {r.point_id for r in G.within_distance(spark.createDataFrame(pts, "point_id long, x double, y double"), area, distance, max(cell, 100.0)).collect()}
+    assert got == {i for i, x, y in pts if far(x, y) <= distance}
+    if cell >= 100:
+        short = spark.createDataFrame([(1.0, 1.0, 5.0, 5.0)], "x1 double, y1 double, x2 double, y2 double")
+        wide = cell * 2.0 ** max(0, math.ceil(math.log2(distance / cell)))
+        assert G.walked(short, wide, pad=distance).count() <= 9

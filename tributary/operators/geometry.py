@@ -6,6 +6,8 @@ sides may be large. Results do not depend on the bin size. ``EPS`` is the one to
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,22 +17,100 @@ EPS = 1e-9
 CELL = 100.0
 
 
-def edges_from_rings(layer: DataFrame, key: str, rings: str) -> DataFrame:
-    """Edge table from ``rings array<array<struct<x,y>>>``: the first ring is the outer one. Open rings are closed."""
-    each = layer.select(F.col(key).alias("feature_id"), F.posexplode(rings).alias("ring", "pts"))
-    closed = F.when(F.col("pts")[0] == F.element_at("pts", -1), F.col("pts")).otherwise(F.concat("pts", F.slice("pts", 1, 1)))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("c") - 2), lambda i: F.struct(F.get("c", i).alias("a"), F.get("c", i + 1).alias("b")))
-    rows = each.withColumn("c", closed).filter(F.size("c") >= 2).select("feature_id", "ring", F.posexplode(pairs).alias("seq", "e"))
-    return rows.select("feature_id", F.lit(0).alias("part"), "ring", "seq", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+PROBE = 0.3819660112501051  # of a ring's height: no vertex of a layer on a grid lies there
+
 
+def ring_edges(layer: DataFrame, key: str, rings: str, shells: str | None = None) -> DataFrame:
+    """Edges as the rings are given: (feature_id, ring, seq, x1, y1, x2, y2, rings, twice, added, hole).
 
-def measure(edges: DataFrame) -> DataFrame:
-    """(feature_id, area, length, xmin, ymin, xmax, ymax): area by the shoelace sum, length of all edges."""
-    return edges.groupBy("feature_id").agg(
+    Points that repeat the one before are left out and open rings closed; ``added`` marks the edge that closes one. ``twice`` is the ring's signed area, doubled,
+    ``rings`` their number. ``shells`` numbers the shell of each ring, the first of a number being the shell and the others holes.
+    """
+    hole = F.coalesce(F.get(F.col("__shells"), F.col("ring")) == F.get(F.col("__shells"), F.col("ring") - 1), F.lit(False)) if shells else F.lit(None).cast("boolean")
+    each = layer.select(F.col(key).alias("feature_id"), F.size(rings).alias("rings"), F.col(shells).alias("__shells") if shells else F.lit(None).alias("__shells"), F.posexplode(rings).alias("ring", "pts"))
+    open_ring = F.col("pts")[0] != F.element_at("pts", -1)
+    each = each.filter(F.size("pts") >= 2).withColumns({"open": open_ring, "hole": hole}).withColumn("pts", F.when(F.col("open"), F.concat("pts", F.slice("pts", 1, 1))).otherwise(F.col("pts")))
+    last = F.size("pts") - 2
+    pairs = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.get("pts", i).alias("a"), F.get("pts", i + 1).alias("b"), (F.col("open") & (i == last)).alias("added")))
+    each = each.withColumn("pairs", F.filter(pairs, lambda e: e["a"] != e["b"])).drop("pts")
+    twice = F.aggregate("pairs", F.lit(0.0), lambda acc, e: acc + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
+    rows = each.select("feature_id", "rings", "ring", "hole", twice.alias("twice"), F.posexplode("pairs").alias("seq", "e"))
+    return rows.select("feature_id", "ring", "seq", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"), "rings", "twice", F.col("e.added").alias("added"), "hole")
+
+
+def ring_nesting(edges: DataFrame) -> DataFrame:
+    """(feature_id, ring, outer): the rings of a feature that lie around each of its rings.
+
+    A line at some height of a ring meets its leftmost point; a ring around it has an odd number of crossings to the left of that. Edges are filed under the bands of their feature
+    that they pass, as many as it has edges, so a line meets only the edges at its height.
+    """
+    rings = edges.groupBy("feature_id", "ring").agg(F.min(F.least("y1", "y2")).alias("low"), F.max(F.greatest("y1", "y2")).alias("high"), F.count(F.lit(1)).alias("n"))
+    whole = rings.groupBy("feature_id").agg(F.min("low").alias("bottom"), F.max("high").alias("top"), F.sum("n").alias("bands")).filter("top > bottom")
+    band = lambda y: F.floor((y - F.col("bottom")) / (F.col("top") - F.col("bottom")) * F.col("bands"))
+    level = F.col("low") + PROBE * (F.col("high") - F.col("low"))
+    probes = rings.filter("high > low").join(whole, "feature_id").select("feature_id", F.col("ring").alias("inner"), level.alias("y"), band(level).alias("band"))
+    filed = edges.select("feature_id", "ring", "x1", "y1", "x2", "y2").filter("y1 != y2").join(whole, "feature_id")
+    filed = filed.select("feature_id", "ring", "x1", "y1", "x2", "y2", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))).alias("band"))
+    met = filed.join(probes, ["feature_id", "band"]).filter("(y1 > y) != (y2 > y)").select("feature_id", "inner", "ring", F.expr("x1 + (y - y1) * (x2 - x1) / (y2 - y1)").alias("x"))
+    met = materialise(met, "crossings")
+    left = met.filter("ring = inner").groupBy("feature_id", "inner").agg(F.min("x").alias("left"))
+    around = met.filter("ring != inner").join(left, ["feature_id", "inner"]).filter("x < left").groupBy("feature_id", "inner", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
+    return around.filter("odd").select("feature_id", F.col("inner").alias("ring"), F.col("ring").alias("outer"))
+
+
+def _turned(edges: DataFrame, turn: Column, *extra: str) -> DataFrame:
+    """The edges with those of rings that ``turn`` holds for run the other way; their seq runs backwards from -1."""
+    swap = lambda a, b: F.when(turn, F.col(b)).otherwise(F.col(a))
+    cols = [swap("x1", "x2").alias("x1"), swap("y1", "y2").alias("y1"), swap("x2", "x1").alias("x2"), swap("y2", "y1").alias("y2")]
+    return edges.select("feature_id", "part", "ring", F.when(turn, -1 - F.col("seq")).otherwise(F.col("seq")).alias("seq"), *cols, *extra)
+
+
+def edges_from_rings(layer: DataFrame, key: str, rings: str, shells: str | None = None, evidence: bool = False) -> DataFrame:
+    """Edge table from ``rings array<array<struct<x,y>>>``, whatever the direction and order of the rings; open rings are closed.
+
+    A ring in an even number of other rings of its feature is an outer one and a part of its own, one in an odd number a hole of the ring next around it. Features of one ring need no
+    shuffle. With ``evidence`` two columns tell what is wrong with the rings as given: ``added`` for an edge that closes an open ring, ``misplaced`` for a ring that
+    ``shells`` calls a hole although it lies in no shell, or a shell although it lies in one.
+    """
+    raw = ring_edges(layer, key, rings, shells)
+    extra = ["added", "misplaced"] if evidence else []
+    one = _turned(raw.filter("rings = 1").withColumns({"part": F.lit(0), "misplaced": F.lit(False)}), F.col("twice") < 0, *extra)
+    many = raw.filter("rings > 1")
+    around = materialise(ring_nesting(many), "nesting")
+    depth = around.groupBy("feature_id", "ring").agg(F.count(F.lit(1)).alias("depth"))
+    above = around.join(depth.select("feature_id", F.col("ring").alias("outer"), F.col("depth").alias("d")), ["feature_id", "outer"], "left")
+    parent = above.groupBy("feature_id", "ring").agg(F.max_by("outer", F.coalesce("d", F.lit(0))).alias("parent"), F.count(F.lit(1)).alias("depth"))
+    named = many.select("feature_id", "ring").distinct().join(parent, ["feature_id", "ring"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    named = named.withColumn("shell", F.when(F.col("depth") % 2 == 0, F.col("ring")).otherwise(F.col("parent")))
+    place = F.dense_rank().over(Window.partitionBy("feature_id").orderBy("shell")) - 1
+    inner = F.row_number().over(Window.partitionBy("feature_id", "shell").orderBy(F.col("depth") % 2, "ring")) - 1
+    placed = named.select("feature_id", F.col("ring").alias("given"), "depth", place.alias("part"), inner.alias("ring"))
+    both = many.withColumnRenamed("ring", "given").join(placed, ["feature_id", "given"])
+    both = both.withColumn("misplaced", F.coalesce(F.col("hole") != (F.col("depth") % 2 == 1), F.lit(False)))
+    return one.unionByName(_turned(both, (F.col("twice") < 0) == (F.col("depth") % 2 == 0), *extra))
+
+
+def edges_from_lines(layer: DataFrame, key: str, parts: str) -> DataFrame:
+    """Segments (feature_id, part, seq, x1, y1, x2, y2) from ``parts array<array<struct<x,y>>>``: each part as it runs, never closed; segments without length are left out."""
+    each = layer.select(F.col(key).alias("feature_id"), F.posexplode(parts).alias("part", "pts")).filter(F.size("pts") >= 2)
+    pairs = F.transform(F.sequence(F.lit(0), F.size("pts") - 2), lambda i: F.struct(F.get("pts", i).alias("a"), F.get("pts", i + 1).alias("b")))
+    rows = each.select("feature_id", "part", F.posexplode(F.filter(pairs, lambda e: e["a"] != e["b"])).alias("seq", "e"))
+    return rows.select("feature_id", "part", "seq", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+
+
+def measure(edges: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+    """(feature_id, area, length, xmin, ymin, xmax, ymax): area by the shoelace sum, length of all edges. With ``flags`` (feature_id, valid) an invalid feature has no area."""
+    out = edges.groupBy("feature_id").agg(
         F.abs(F.sum(F.expr("x1 * y2 - x2 * y1")) / 2).alias("area"),
         F.sum(F.expr("sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))")).alias("length"),
         *bounds(),
     )
+    return out if flags is None else out.join(flags.select("feature_id", "valid"), "feature_id", "left").withColumn("area", F.when(F.col("valid"), F.col("area"))).drop("valid")
+
+
+def valid_features(edges: DataFrame, flags: DataFrame) -> DataFrame:
+    """The edges of the features that ``flags`` (feature_id, valid) calls valid."""
+    return edges.join(flags.filter("valid").select("feature_id"), "feature_id", "left_semi")
 
 
 def bounds() -> list[Column]:
@@ -45,17 +125,11 @@ def cells(low: Column, high: Column, cell: float, pad: float = 0.0) -> Column:
     return F.explode(F.sequence(F.floor((low - pad) / cell), F.floor((high + pad) / cell)))
 
 
-def binned(df: DataFrame, cell: float = CELL, pad: float = EPS, box: tuple[str, str, str, str] = ("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
-    """A row per grid bin (bx, by) that the row's box touches."""
-    x0, y0, x1, y1 = (F.col(c) for c in box)
-    return df.select("*", cells(x0, x1, cell, pad).alias("bx")).select("*", cells(y0, y1, cell, pad).alias("by"))
-
-
 def walked(df: DataFrame, cell: float = CELL, pad: float = 1e-6) -> DataFrame:
-    """A row per grid bin (bx, by) that the segment (x1, y1)-(x2, y2) runs through: per column of bins, the rows it crosses there."""
+    """A row per grid bin (bx, by) that the segment (x1, y1)-(x2, y2) runs through or comes within ``pad`` of: per column of bins, the rows it crosses in the column widened by ``pad``."""
     rows = df.select("*", cells(F.least("x1", "x2"), F.greatest("x1", "x2"), cell, pad).alias("bx"))
     at = lambda x: F.when(F.col("x1") == F.col("x2"), F.col("y1")).otherwise(F.col("y1") + (x - F.col("x1")) * (F.col("y2") - F.col("y1")) / F.nullif(F.col("x2") - F.col("x1"), F.lit(0.0)))
-    side = lambda k: F.greatest(F.least("x1", "x2"), F.least(F.greatest("x1", "x2"), (F.col("bx") + k) * cell))
+    side = lambda k: F.greatest(F.least("x1", "x2"), F.least(F.greatest("x1", "x2"), (F.col("bx") + k) * cell + (2 * k - 1) * pad))
     upright = F.col("x1") == F.col("x2")
     low = F.when(upright, F.least("y1", "y2")).otherwise(F.least(at(side(0)), at(side(1))))
     high = F.when(upright, F.greatest("y1", "y2")).otherwise(F.greatest(at(side(0)), at(side(1))))
@@ -261,12 +335,23 @@ def semi_intersects(layer: DataFrame, area: DataFrame, cell: float = CELL) -> Da
     return one.union(two).union(three).union(four).distinct()
 
 
+def near_edges(spots: DataFrame, edges: DataFrame, distance: float, cell: float = CELL) -> DataFrame:
+    """Pairs of ``spots`` (px, py, ...) and ``edges`` (x1, y1, x2, y2, ...) at most ``distance`` apart.
+
+    The bins are as large as the distance, ``cell`` times a power of two: an edge shorter than a bin is filed under nine of them or fewer, whatever the distance. A spot must lie in the edge's
+    box, widened by the distance, before the exact test.
+    """
+    wide = cell * 2.0 ** max(0, math.ceil(math.log2(distance / cell))) if distance > 0 else cell
+    at = spots.withColumns({"bx": F.floor(F.col("px") / wide), "by": F.floor(F.col("py") / wide)})
+    reach = distance + EPS
+    box = F.expr(f"px BETWEEN least(x1, x2) - {reach!r} AND greatest(x1, x2) + {reach!r} AND py BETWEEN least(y1, y2) - {reach!r} AND greatest(y1, y2) + {reach!r}")
+    return at.join(walked(edges, wide, pad=reach), ["bx", "by"]).filter(box).filter(F.expr(DISTANCE2) <= distance * distance + EPS).drop("bx", "by")
+
+
 def within_distance(points: DataFrame, edges: DataFrame, distance: float, cell: float = CELL) -> DataFrame:
-    """(point_id) of points in an area or at most ``distance`` from its boundary; edges are filed under bins widened by it."""
+    """(point_id) of points in an area or at most ``distance`` from its boundary."""
     spots = points.select("point_id", F.col("x").alias("px"), F.col("y").alias("py"))
-    near = spots.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)})
-    wide = binned(segments(edges).select("x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax"), cell, pad=distance + EPS)
-    close = near.join(wide, ["bx", "by"]).filter(F.expr(DISTANCE2) <= distance * distance + EPS).select("point_id")
+    close = near_edges(spots, edges.select("x1", "y1", "x2", "y2"), distance, cell).select("point_id")
     return close.union(locate(spots, edges, cell).filter("inside OR touches").select("point_id")).distinct()
 
 
@@ -328,28 +413,36 @@ def area_difference(edges: DataFrame, legal: DataFrame, limit_percent: float = 2
 
 
 def flag_invalid_geometry(edges: DataFrame, cell: float = CELL) -> DataFrame:
-    """(feature_id, closed, enough_points, self_crossing, valid): rings closed, of three edges or more, no two edges crossing within them."""
-    rings = edges.groupBy("feature_id", "part", "ring").agg(F.count(F.lit(1)).alias("n"), (F.min_by(F.struct("x1", "y1"), "seq") == F.max_by(F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")), "seq")).alias("closed"))
-    shape = rings.groupBy("feature_id").agg(F.min("closed").alias("closed"), (F.min("n") >= 3).alias("enough_points"))
-    own = binned(segments(edges), cell).select("feature_id", "part", "ring", "seq", "x1", "y1", "x2", "y2", "bx", "by")
+    """(feature_id, closed, enough_points, self_crossing, nested, valid) of the features of an edge table.
+
+    closed: the edges of a ring end where they begin, and none of them was added (a column of ``edges_from_rings``). enough_points: three edges a ring or more. self_crossing: two edges cross, run along
+    each other, or meet in a point although they are of one ring and not neighbours; rings may touch each other in points. nested: no ring is ``misplaced`` (a column of the
+    same). Edges meet in the bins they run through.
+    """
+    added, misplaced = (F.max(c) if c in edges.columns else F.lit(False) for c in ("added", "misplaced"))
+    begin, end = F.min_by(F.struct("x1", "y1"), "seq"), F.max_by(F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")), "seq")
+    rings = edges.groupBy("feature_id", "part", "ring").agg(F.count(F.lit(1)).alias("n"), ((begin == end) & ~added).alias("closed"), misplaced.alias("misplaced"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+    shape = rings.groupBy("feature_id").agg(F.min("closed").alias("closed"), (F.min("n") >= 3).alias("enough_points"), (~F.max("misplaced")).alias("nested"))
+    own = walked(edges.join(rings.select("feature_id", "part", "ring", "first", "last"), ["feature_id", "part", "ring"]), cell).select("feature_id", "part", "ring", "seq", "first", "last", "x1", "y1", "x2", "y2", "bx", "by")
     other = own.select("feature_id", "bx", "by", *[F.col(c).alias(f"o{c}") for c in ("part", "ring", "seq", "x1", "y1", "x2", "y2")])
-    side = lambda a, b, c: f"sign(({b}x - {a}x) * ({c}y - {a}y) - ({b}y - {a}y) * ({c}x - {a}x))"
-    names = {"p": ("x1", "y1"), "q": ("x2", "y2"), "r": ("ox1", "oy1"), "s": ("ox2", "oy2")}
     pair = own.join(other, ["feature_id", "bx", "by"]).filter("struct(part, ring, seq) < struct(opart, oring, oseq)")
-    pair = pair.select("feature_id", *[F.col(c).alias(f"{k}{'xy'[i]}") for k, cs in names.items() for i, c in enumerate(cs)])
-    crossing = pair.filter(F.expr(f"{side('p', 'q', 'r')} * {side('p', 'q', 's')} < 0 AND {side('r', 's', 'p')} * {side('r', 's', 'q')} < 0")).select("feature_id").distinct().withColumn("self_crossing", F.lit(True))
+    turn = lambda ax, ay, bx, by, cx, cy: F.expr(f"sign(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))")
+    pair = pair.withColumns({"d1": turn("x1", "y1", "x2", "y2", "ox1", "oy1"), "d2": turn("x1", "y1", "x2", "y2", "ox2", "oy2"), "d3": turn("ox1", "oy1", "ox2", "oy2", "x1", "y1"), "d4": turn("ox1", "oy1", "ox2", "oy2", "x2", "y2")})
+    common = lambda c: f"least(greatest({c}1, {c}2), greatest(o{c}1, o{c}2)) - greatest(least({c}1, {c}2), least(o{c}1, o{c}2))"
+    pair = pair.withColumns({"wide": F.expr(common("x")), "tall": F.expr(common("y"))})
+    proper = F.expr("d1 * d2 < 0 AND d3 * d4 < 0")
+    along = F.expr("d1 = 0 AND d2 = 0 AND wide >= 0 AND tall >= 0 AND (wide > 0 OR tall > 0)")
+    meet = F.expr("d1 * d2 <= 0 AND d3 * d4 <= 0 AND wide >= 0 AND tall >= 0")
+    neighbours = F.expr("oseq - seq = 1 OR (seq = first AND oseq = last)")
+    crossing = pair.filter(proper | along | (meet & F.expr("part = opart AND ring = oring") & ~neighbours)).select("feature_id").distinct().withColumn("self_crossing", F.lit(True))
     out = shape.join(crossing, "feature_id", "left").withColumn("self_crossing", F.coalesce("self_crossing", F.lit(False)))
-    return out.withColumn("valid", F.expr("closed AND enough_points AND NOT self_crossing"))
+    return out.select("feature_id", "closed", "enough_points", "self_crossing", "nested", F.expr("closed AND enough_points AND NOT self_crossing AND nested").alias("valid"))
 
 
 def polygons_within(layer: DataFrame, area: DataFrame, distance: float, cell: float = CELL) -> DataFrame:
     """(feature_id) of polygons that meet an area or come within ``distance`` of it. The distance of two disjoint polygons is that of a vertex of one to an edge of the other."""
 
-    def near(corners: DataFrame, other: DataFrame) -> DataFrame:
-        spots = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)})
-        wide = binned(segments(other).select(F.col("feature_id").alias("other_id"), "x1", "y1", "x2", "y2", "xmin", "ymin", "xmax", "ymax"), cell, pad=distance + EPS)
-        return spots.join(wide, ["bx", "by"]).filter(F.expr(DISTANCE2) <= distance * distance + EPS)
-
+    near = lambda corners, other: near_edges(corners, other.select(F.col("feature_id").alias("other_id"), "x1", "y1", "x2", "y2"), distance, cell)
     vertex = lambda edges: edges.select("feature_id", F.col("x1").alias("px"), F.col("y1").alias("py")).distinct()
     one = near(vertex(layer), area).select("feature_id")
     two = near(vertex(area), layer).select(F.col("other_id").alias("feature_id"))

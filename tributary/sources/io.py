@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import catalog, raster
+from ..operators import catalog, geometry, raster
 
 #: Columns of event rows by their meaning, and file signatures.
 EVENT_COLUMNS = {
@@ -31,9 +31,10 @@ POINT = "array<double>"
 
 
 def read_geojson_layer(spark: SparkSession, path: str, id_col: str, single: bool = False) -> DataFrame:
-    """Edge-ready rows (id, properties, geom_type, rings) of FeatureCollections; with ``single`` each file must hold exactly one feature.
+    """Edge-ready rows (id, properties, geom_type, rings, shells) of FeatureCollections; with ``single`` each file must hold exactly one feature.
 
-    Files are read whole, so a file bounds a task; layers come as many files.
+    ``rings`` are the rings of polygons, the parts of lines, or a point; ``shells`` numbers the polygon that each ring belongs to. ``polygon_edges`` and ``line_segments`` make tables of them. Files are read
+    whole, so a file bounds a task; layers come as many files.
     """
     text = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     root = "features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
@@ -45,7 +46,19 @@ def read_geojson_layer(spark: SparkSession, path: str, id_col: str, single: bool
     as_points = lambda pts: F.transform(pts, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
     rings = F.when(F.col("geom_type") == "Polygon", F.transform(ring(3), as_points)).when(F.col("geom_type") == "MultiPolygon", F.transform(F.flatten(ring(4)), as_points))
     rings = rings.when(F.col("geom_type") == "LineString", F.array(as_points(ring(2)))).when(F.col("geom_type") == "MultiLineString", F.transform(ring(3), as_points)).when(F.col("geom_type") == "Point", F.array(F.array(F.struct(F.from_json("c", POINT)[0].alias("x"), F.from_json("c", POINT)[1].alias("y")))))
-    return rows.select(id_col, "properties", "geom_type", rings.alias("rings"))
+    shells = F.when(F.col("geom_type") == "Polygon", F.transform(ring(3), lambda _: F.lit(0)))
+    shells = shells.when(F.col("geom_type") == "MultiPolygon", F.flatten(F.transform(ring(4), lambda polygon, i: F.transform(polygon, lambda _: i))))
+    return rows.select(id_col, "properties", "geom_type", rings.alias("rings"), shells.alias("shells"))
+
+
+def polygon_edges(rows: DataFrame, key: str, evidence: bool = False) -> DataFrame:
+    """The edge table of the polygons among ``rows`` of ``read_geojson_layer``."""
+    return geometry.edges_from_rings(rows.filter(F.col("geom_type").isin("Polygon", "MultiPolygon")), key, "rings", "shells", evidence)
+
+
+def line_segments(rows: DataFrame, key: str) -> DataFrame:
+    """The segments of the lines among ``rows`` of ``read_geojson_layer``."""
+    return geometry.edges_from_lines(rows.filter(F.col("geom_type").isin("LineString", "MultiLineString")), key, "rings")
 
 
 def read_layer(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
