@@ -123,15 +123,24 @@ def resolve_places(events: DataFrame, current: DataFrame, crosswalk: DataFrame,
 
 
 def select_with_upstream(basins: DataFrame, core: DataFrame, hops: int) -> DataFrame:
-    """(basin_id, hop): the core set and all basins up to ``hops`` steps upstream along next_down. Hops are few, so is the number of joins."""
+    """(basin_id, hop): the core set and all basins up to ``hops`` steps upstream along next_down, each at its fewest hops; repeated ids of basins are an error.
+
+    A hop joins the last frontier with the basins and is written to the shared folder, so the plan of a hop doesn't hold those before; it ends early where nothing lies further up.
+    """
     if hops < 0:
         raise ValueError("hops must not be negative")
-    seen = core.select("basin_id").distinct().withColumn("hop", F.lit(0))
-    front = seen
+    if not (repeated := basins.groupBy("basin_id").count().filter("count > 1")).isEmpty():
+        raise ValueError(f"repeated basin: {repeated.first()['basin_id']}")
+    links = basins.select("basin_id", "next_down")
+    front = seen = materialise(core.select("basin_id").distinct().withColumn("hop", F.lit(0)), "upstream")
     for hop in range(1, hops + 1):
-        step = basins.join(front.select(F.col("basin_id").alias("next_down")), "next_down", "left_semi").select("basin_id").distinct()
-        front = step.join(seen, "basin_id", "left_anti").withColumn("hop", F.lit(hop))
+        step = links.join(front.select(F.col("basin_id").alias("next_down")), "next_down", "left_semi").select("basin_id").join(seen, "basin_id", "left_anti")
+        front = materialise(step.withColumn("hop", F.lit(hop)), "front")
+        if front.isEmpty():
+            break
         seen = seen.unionByName(front)
+        if hop % 8 == 0:
+            seen = materialise(seen, "upstream")  # one table instead of nine
     return seen
 
 
@@ -145,9 +154,9 @@ def assign_parents(children: DataFrame, child_edges: DataFrame, parents: DataFra
 
 
 def scope_exits(basins: DataFrame) -> DataFrame:
-    """``basins`` (basin_id, next_down) with scope_exit: the basin downstream isn't selected."""
+    """``basins`` (basin_id, next_down) with scope_exit: the basin downstream isn't selected, or none is named; 0 is the sea."""
     ids = basins.select(F.col("basin_id").alias("next_down")).distinct().withColumn("__in", F.lit(True))
-    return basins.join(ids, "next_down", "left").withColumn("scope_exit", (F.col("next_down") != 0) & F.col("__in").isNull()).drop("__in")
+    return basins.join(ids, "next_down", "left").withColumn("scope_exit", F.col("next_down").isNull() | ((F.col("next_down") != 0) & F.col("__in").isNull())).drop("__in")
 
 
 def unit_counts(units: DataFrame) -> DataFrame:

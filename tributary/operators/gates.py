@@ -27,6 +27,11 @@ def no_rows(violations: DataFrame, check_id: str, severity: str = "fatal", messa
     return checks_of(violations.agg(F.count(F.lit(1)).alias("n")), {check_id: (F.col("n") == 0, severity, F.lit(0), F.col("n"))}, message)
 
 
+def breaks(rows: DataFrame, rule: str) -> DataFrame:
+    """The rows for which ``rule`` doesn't hold; where a null leaves it open, it doesn't."""
+    return rows.filter(~F.coalesce(F.expr(rule), F.lit(False)))
+
+
 def union(*parts: DataFrame) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -35,21 +40,23 @@ def union(*parts: DataFrame) -> DataFrame:
 
 
 def gate_units(units: DataFrame, edges: DataFrame, reference: DataFrame, legal: DataFrame, expected: tuple[int, int, int], gap_limit: float = 0.1, area_limit: float = 2.0, exceptions: tuple[str, ...] = (), cell: float = geometry.CELL) -> DataFrame:
-    """Counts, validity, repairs (a column ``repaired``, where there is one), gap and overlap, and areas of units (feature_id, code, name)."""
+    """Counts, validity, repairs (a column ``repaired``, where there is one), gap and overlap, and areas of units (feature_id, code, name). A unit without valid geometry or legal area fails."""
     total, communes, wards = expected
     c = admin.unit_counts(units)
     counts = checks_of(c, {"units.total": (F.col("total") == total, "fatal", F.lit(total), F.col("total")), "units.communes": (F.col("communes") == communes, "fatal", F.lit(communes), F.col("communes")), "units.wards": (F.col("wards") == wards, "fatal", F.lit(wards), F.col("wards")), "units.unique_codes": (F.col("unique_codes") == F.col("total"), "fatal", F.col("total"), F.col("unique_codes"))})
-    invalid = no_rows(geometry.flag_invalid_geometry(edges, cell).filter("NOT valid"), "units.geometry_valid")
+    sound = geometry.flag_invalid_geometry(edges, cell).filter("valid").select("feature_id")
+    invalid = no_rows(units.select("feature_id").join(sound, "feature_id", "left_anti"), "units.geometry_valid")
     repaired = no_rows(units.filter("repaired"), "units.geometry_repairs", "warning") if "repaired" in units.columns else no_rows(units.limit(0), "units.geometry_repairs", "warning")
     g = checks_of(geometry.gap_overlap(edges, reference, cell), {"units.gap": (F.col("gap_percent") <= gap_limit, "fatal", F.lit(gap_limit), F.round("gap_percent", 6)), "units.overlap": (F.col("overlap_percent") <= gap_limit, "fatal", F.lit(gap_limit), F.round("overlap_percent", 6))})
-    diff = geometry.area_difference(edges, legal, area_limit).filter("exceeds").join(units.select("feature_id", "code"), "feature_id")
-    listed = F.col("code").isin(*exceptions) if exceptions else F.lit(False)
+    diff = breaks(units.select("feature_id", "code").join(geometry.area_difference(edges, legal, area_limit), "feature_id", "left"), "NOT exceeds")
+    listed = F.coalesce(F.col("code").isin(*exceptions), F.lit(False)) if exceptions else F.lit(False)
     return union(counts, invalid, repaired, g, no_rows(diff.filter(~listed), "units.area_difference"), no_rows(diff.filter(listed), "units.area_exceptions", "warning"))
 
 
 def gate_hierarchy(basins: DataFrame, parents: DataFrame, exits: DataFrame | None = None) -> DataFrame:
-    """Unique ids, parents that exist, code prefixes; ends outside the selection are declared (fatal if not) and warned of."""
-    out = [no_rows(catalog.check_ids(basins, "basin_id"), "hierarchy.unique_ids"), no_rows(parents.filter("covering != 1"), "hierarchy.one_parent"), no_rows(parents.filter("parent_id IS NOT NULL AND NOT code_ok"), "hierarchy.code_prefix")]
+    """Unique ids, one parent for each basin, code prefixes; ends outside the selection, and basins that name none downstream, are declared (fatal if not) and warned of."""
+    of = basins.select("basin_id").join(parents.select("basin_id", "parent_id", "covering", "code_ok"), "basin_id", "left")
+    out = [no_rows(catalog.check_ids(basins, "basin_id"), "hierarchy.unique_ids"), no_rows(breaks(of, "covering = 1 AND parent_id IS NOT NULL"), "hierarchy.one_parent"), no_rows(breaks(of.filter("parent_id IS NOT NULL"), "code_ok"), "hierarchy.code_prefix")]
     leaving = admin.scope_exits(basins).filter("scope_exit").select("basin_id")
     declared = exits.select("basin_id") if exits is not None else leaving.limit(0)
     return union(*out, no_rows(leaving.join(declared, "basin_id", "left_anti"), "hierarchy.topology"), no_rows(leaving, "hierarchy.scope_exits", "warning"))
@@ -102,8 +109,29 @@ def fraction_totals(mapping: DataFrame, units: DataFrame, key: str, fraction: st
     return units.select(key).distinct().join(mapping.groupBy(key).agg(F.sum(fraction).alias("total")), key, "left").fillna(0.0, ["total"])
 
 
-def gate_rasters(rasters: dict[str, tuple[DataFrame | None, DataFrame | None, dict[str, float], bool]], least: float = 0.99, cube: DataFrame | None = None) -> DataFrame:
-    """Per required raster, name -> (pixels, area, grid, by footprint): share of its area covered, nodata warned of; no problem of the soil cube.
+def soil_layers(pixels: DataFrame, area: DataFrame, grid: dict[str, float], cube: tuple[list[str], list[str], list[str]], least: float = 0.99) -> DataFrame:
+    """Two check rows for every layer of the soil cube (properties, depths, statistics): its coverage of the area, and nodata, warned of; in one pass over ``pixels``.
+
+    A layer that is missing covers nothing; one that isn't expected fails as well.
+    """
+    key = ["property", "depth", "statistic"]
+    seen = zonal.join_pixels_zones(pixels, area, grid).select(*key, "raster_id", "row", "col", "valid").distinct()
+    have = pixels.select(*key).distinct().join(seen.groupBy(*key).agg(F.count(F.lit(1)).alias("in_area"), F.count_if("valid").alias("valid")), key, "left").withColumn("have", F.lit(True))
+    both = zonal.cube_of(pixels.sparkSession, *cube).withColumn("want", F.lit(True)).join(have, key, "full_outer").fillna(0, ["in_area", "valid"])
+    ratio = zonal.share(F.col("valid"), F.col("in_area"))
+    name = F.concat_ws(".", F.lit("raster.soil"), *key)
+    actual = F.when(F.col("want").isNull(), "unexpected").when(F.col("have").isNull(), "missing").otherwise(F.round(ratio, 6).cast("string"))
+    holes = F.col("in_area") - F.col("valid")
+    rows = [
+        (F.concat(name, F.lit(".coverage")), F.coalesce(F.col("want") & (ratio >= least), F.lit(False)), "fatal", F.lit(str(least)), actual),
+        (F.concat(name, F.lit(".nodata")), holes == 0, "warning", F.lit("0"), holes.cast("string")),
+    ]
+    each = [F.struct(i.alias("check_id"), p.alias("passed"), F.lit(w).alias("severity"), e.alias("expected"), a.alias("actual"), F.lit("").alias("message"), F.array().cast("array<string>").alias("asset_ids")) for i, p, w, e, a in rows]
+    return both.select(F.inline(F.array(*each)))
+
+
+def gate_rasters(rasters: dict[str, tuple[DataFrame | None, DataFrame | None, dict[str, float], bool]], least: float = 0.99, cube: DataFrame | None = None, soil: DataFrame | None = None) -> DataFrame:
+    """Per required raster, name -> (pixels, area, grid, by footprint): share of its area covered, nodata warned of; no problem of the soil cube; the rows of ``soil_layers``.
 
     The area is that of the raster's use. Coverage is the valid share of the pixels in the area or, ``by footprint``, the share of the area within the raster's box. Without
     pixels or area the raster is missing, which is fatal. Of a table of several rasters each one counts.
@@ -122,7 +150,10 @@ def gate_rasters(rasters: dict[str, tuple[DataFrame | None, DataFrame | None, di
             own = geometry.measure(area).join(geometry.footprint_ratio(box, area), "feature_id").agg((F.sum(F.col("area") * F.col("ratio")) / F.sum("area")).alias("ratio"))
             one = own.select(F.coalesce("ratio", F.lit(0.0)).alias("ratio")).join(F.broadcast(one.select("holes")), F.lit(True))  # single rows
         out.append(checks_of(one, {f"raster.{name}.coverage": (F.col("ratio") >= least, "fatal", F.lit(least), F.round("ratio", 6)), f"raster.{name}.nodata": (F.col("holes") == 0, "warning", F.lit(0), F.col("holes"))}))
-    return union(*out, *([no_rows(cube, "raster.soil_cube")] if cube is not None else []))
+    return union(*out, *([no_rows(cube, "raster.soil_cube")] if cube is not None else []), *([soil] if soil is not None else []))
+
+
+COUNTS = ("contributing", "nodata_pixels", "aoi_pixels", "ties")
 
 
 def gate_population(table: DataFrame, pixels: DataFrame, zones: DataFrame, core: DataFrame, grid: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
@@ -135,23 +166,27 @@ def gate_population(table: DataFrame, pixels: DataFrame, zones: DataFrame, core:
     short = each.join(F.broadcast(ids.agg(F.count(F.lit(1)).alias("wanted"))), F.lit(True)).filter("zones != wanted OR rows != wanted").select(F.lit("raster").alias("side"))  # a single row
     zones_ok = catalog.key_difference(table, ids, "zone_id").select("side").unionByName(short)
     return union(
-        no_rows(table.filter("scope != 'core_aoi_only'"), "population.scope"), no_rows(table.filter("contributing + nodata_pixels != aoi_pixels OR contributing < 0"), "population.counts"),
-        no_rows(table.filter("abs(coverage - contributing / aoi_pixels) > 1e-9"), "population.coverage"), no_rows(zones_ok, "population.zones"),
-        no_rows(recount, "population.recount"), no_rows(table.filter("ties > 0"), "population.ties", "warning"))
+        no_rows(breaks(table, "scope = 'core_aoi_only'"), "population.scope"), no_rows(breaks(table, f"{' AND '.join(f'{c} >= 0 AND {c} = floor({c})' for c in COUNTS)} AND contributing + nodata_pixels = aoi_pixels"), "population.counts"),
+        no_rows(breaks(table, "CASE WHEN aoi_pixels = 0 THEN coverage IS NULL ELSE abs(coverage - contributing / aoi_pixels) <= 1e-9 END"), "population.coverage"), no_rows(zones_ok, "population.zones"),
+        no_rows(recount, "population.recount"), no_rows(breaks(table, "ties = 0"), "population.ties", "warning"))
 
 
 def gate_events(events: DataFrame, expected: int) -> DataFrame:
     """Expected rows, legal status, confidence in [0, 1]; unresolved ones warned of."""
     n = events.agg(F.count(F.lit(1)).alias("n"))
     return union(
-        checks_of(n, {"events.rows": (F.col("n") == expected, "fatal", F.lit(expected), F.col("n"))}), no_rows(events.filter("match_status NOT IN ('matched', 'ambiguous', 'unresolved')"), "events.status"),
-        no_rows(events.filter("match_confidence IS NULL OR match_confidence NOT BETWEEN 0 AND 1"), "events.confidence"), no_rows(events.filter("match_status = 'unresolved'"), "events.unresolved", "warning"))
+        checks_of(n, {"events.rows": (F.col("n") == expected, "fatal", F.lit(expected), F.col("n"))}), no_rows(breaks(events, "match_status IN ('matched', 'ambiguous', 'unresolved')"), "events.status"),
+        no_rows(breaks(events, "match_confidence BETWEEN 0 AND 1 AND NOT isnan(match_confidence)"), "events.confidence"), no_rows(events.filter("match_status = 'unresolved'"), "events.unresolved", "warning"))
 
 
 def gate_provenance(assets: DataFrame, closure: DataFrame, cap: int, fields: tuple[str, ...] = ("source", "version", "checksum", "path")) -> DataFrame:
-    """Raw assets complete, lineage resolved, raw bytes within the cap."""
-    size = assets.agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n"))
-    return union(no_rows(catalog.provenance_gaps(assets, fields), "provenance.fields"), no_rows(closure.filter("state IN ('missing', 'childless', 'cyclic')"), "provenance.lineage"), checks_of(size, {"provenance.bytes": (F.col("n") <= cap, "fatal", F.lit(cap), F.col("n"))}))
+    """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw with all ``fields``, and their bytes, known and each content once, within the cap."""
+    used = assets.join(closure.filter("state = 'raw'").select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi")
+    wrong = catalog.provenance_gaps(used, fields).select("asset_id").unionByName(breaks(used, "kind = 'raw'").select("asset_id")).distinct()
+    once = used.groupBy(F.coalesce("checksum", F.concat(F.lit("asset "), F.col("asset_id").cast("string")))).agg(F.max("size_bytes").alias("size_bytes"))
+    size = once.agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n"), F.count_if(F.col("size_bytes").isNull()).alias("unknown"), F.count(F.lit(1)).alias("used"))
+    checks = {"provenance.used": (F.col("used") > 0, "fatal", F.lit("above 0"), F.col("used")), "provenance.bytes": ((F.col("n") <= cap) & (F.col("unknown") == 0), "fatal", F.lit(cap), F.col("n"))}
+    return union(no_rows(wrong, "provenance.fields"), no_rows(breaks(closure, "state IN ('raw', 'inner')"), "provenance.lineage"), checks_of(size, checks))
 
 
 def run_gates(spark: SparkSession, gates: dict[str, Callable[[], DataFrame]], config: str = "") -> DataFrame:

@@ -69,7 +69,7 @@ def edges_from_rings(layer: DataFrame, key: str, rings: str, shells: str | None
     """Edge table from ``rings array<array<struct<x,y>>>``, whatever the direction and order of the rings; open rings are closed.
 
     A ring in an even number of other rings of its feature is an outer one and a part of its own, one in an odd number a hole of the ring next around it. Features of one ring need no
-    shuffle. With ``evidence`` two columns tell what is wrong with the rings as given: ``added`` for an edge that closes an open ring, ``misplaced`` for a ring that
+    shuffle. The table is written to the shared folder, as operators read it several times. With ``evidence`` two columns tell what is wrong with the rings as given: ``added`` for an edge that closes an open ring, ``misplaced`` for a ring that
     ``shells`` calls a hole although it lies in no shell, or a shell although it lies in one.
     """
     raw = ring_edges(layer, key, rings, shells)
@@ -87,7 +87,7 @@ def edges_from_rings(layer: DataFrame, key: str, rings: str, shells: str | None
     placed = named.select("feature_id", F.col("ring").alias("given"), "depth", place.alias("part"), inner.alias("ring"))
     both = many.withColumnRenamed("ring", "given").join(placed, ["feature_id", "given"])
     both = both.withColumn("misplaced", F.coalesce(F.col("hole") != (F.col("depth") % 2 == 1), F.lit(False)))
-    return one.unionByName(_turned(both, (F.col("twice") < 0) == (F.col("depth") % 2 == 0), *extra))
+    return materialise(one.unionByName(_turned(both, (F.col("twice") < 0) == (F.col("depth") % 2 == 0), *extra)), "edges")
 
 
 def edges_from_lines(layer: DataFrame, key: str, parts: str) -> DataFrame:
@@ -406,10 +406,10 @@ def gap_overlap(units: DataFrame, reference: DataFrame, cell: float = CELL) -> D
 
 
 def area_difference(edges: DataFrame, legal: DataFrame, limit_percent: float = 2.0) -> DataFrame:
-    """(feature_id, area, legal_area, difference_percent, exceeds) against ``legal`` (feature_id, legal_area)."""
-    rows = measure(edges).select("feature_id", "area").join(legal, "feature_id")
-    percent = 100 * F.abs(F.col("area") - F.col("legal_area")) / F.col("legal_area")
-    return rows.select("feature_id", "area", "legal_area", percent.alias("difference_percent"), (percent > limit_percent).alias("exceeds"))
+    """(feature_id, area, legal_area, difference_percent, exceeds) against ``legal`` (feature_id, legal_area); a legal area that is missing, null or not above zero exceeds."""
+    rows = measure(edges).select("feature_id", "area").join(legal.select("feature_id", "legal_area"), "feature_id", "left")
+    percent = F.when(F.col("legal_area") > 0, 100 * F.abs(F.col("area") - F.col("legal_area")) / F.nullif(F.col("legal_area"), F.lit(0.0)))
+    return rows.select("feature_id", "area", "legal_area", percent.alias("difference_percent"), F.coalesce(percent > limit_percent, F.lit(True)).alias("exceeds"))
 
 
 def flag_invalid_geometry(edges: DataFrame, cell: float = CELL) -> DataFrame:

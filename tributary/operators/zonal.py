@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
@@ -10,28 +10,46 @@ from . import geometry
 from .raster import KEY, Grid, assign_pixels, join_pixels_zones, join_runs, share, window_runs, zone_runs
 
 #: Thickness-weighted bands and divisors of the soil properties.
-DIVISORS = {"bdod": 100.0}
-DIVISOR = 10.0
+DIVISORS = {"clay": 10.0, "sand": 10.0, "silt": 10.0, "bdod": 100.0, "cfvo": 10.0, "wv0010": 10.0, "wv0033": 10.0, "wv1500": 10.0}
 SPREAD = 64  # slots over which pairs of zones and rasters are made
 BANDS = {"0_30cm": (0, 30), "30_100cm": (30, 100)}
 
 
-def distribution(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
-    """(keys..., name, v, n): how often each value occurs per key, nulls as well; every statistic follows from it in bounded memory."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.cast("double").alias("v")) for k, v in values.items()])).alias("x")
-    return materialise(rows.select(*keys, each).select(*keys, "x.name", "x.v").groupBy(*keys, "name", "v").agg(F.count(F.lit(1)).alias("n")), "distribution")
+def finite(value: Column, valid: Column) -> Column:
+    """The value where it is valid and a number that isn't infinite, else null."""
+    value = value.cast("double")
+    return F.when(valid & ~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
-def percentiles(dist: DataFrame, keys: list[str], p: float) -> DataFrame:
-    """(keys..., percentile): exact, interpolated linearly, from (keys..., v, n).
+def every_zone(stats: DataFrame, zones: DataFrame, listed: DataFrame | None, by: list[str], zeros: list[str]) -> DataFrame:
+    """``stats`` (by..., zone_id, ...) with a row for each zone and, if there are ``by`` columns, each of their combinations in ``listed``; counts are zero where there was none."""
+    ids = zones.select(F.col("feature_id").alias("zone_id")).distinct()
+    if by:
+        spread = listed.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("slot"))
+        ids = ids.withColumn("slot", F.pmod(F.xxhash64("zone_id"), F.lit(SPREAD)).cast("int")).join(spread, "slot").drop("slot")  # the result itself has a row for each pair
+    return ids.join(stats, [*by, "zone_id"], "left").fillna(0, zeros).select(*by, "zone_id", *[c for c in stats.columns if c not in (*by, "zone_id")])
+
+
+ACCURACY, MARGIN = 1000, 3
+
 
-    Values are ranged by key and value; ranks are the counts of the parts before plus the running count within a part, so no task holds a whole key.
+def percentiles(rows: DataFrame, keys: list[str], value: str, p: float) -> DataFrame:
+    """(keys..., percentile): exact, interpolated linearly, of the values that aren't null.
+
+    A mergeable sketch per key, whose ranks err by one in ``ACCURACY`` at most, gives two bounds around the percentile. Values below them are only counted and values above left out, so
+    only those between, some thousandths, are ranged by key and value. Ranks are the counts below and in the parts before, and the running count within a part: no task holds a whole key.
     """
-    ranged = dist.filter("v IS NOT NULL").select(*keys, "v", "n").repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id())
-    ranged = materialise(ranged, "ranged")
-    sums = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("s"))
-    each = Window.partitionBy(*keys)
-    before = sums.select(*keys, "part", (F.sum("s").over(each.orderBy("part")) - F.col("s")).alias("before"), F.sum("s").over(each).alias("total"))  # a row a key and part
+    some = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
+    margin = MARGIN / ACCURACY
+    bounds = some.groupBy(*keys).agg(F.percentile_approx("v", [max(0.0, p - margin), min(1.0, p + margin)], ACCURACY).alias("b"), F.count(F.lit(1)).alias("total"), F.min("v").alias("least"), F.max("v").alias("most"))
+    few = F.col("total") <= ACCURACY  # a margin is less than a rank there
+    bounds = bounds.select(*keys, "total", F.array(F.when(few, F.col("least")).otherwise(F.col("b")[0]), F.when(few, F.col("most")).otherwise(F.col("b")[1])).alias("b"))
+    near = some.join(bounds, keys).filter(F.col("v") <= F.col("b")[1])
+    dist = materialise(near.groupBy(*keys, "total", F.when(F.col("v") >= F.col("b")[0], F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")), "near")
+    below = dist.filter("v IS NULL").select(*keys, F.col("n").alias("below"))
+    ranged = materialise(dist.filter("v IS NOT NULL").repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()), "ranged")
+    sums = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("s")).join(below, keys, "left")
+    before = sums.select(*keys, "part", (F.sum("s").over(Window.partitionBy(*keys).orderBy("part")) - F.col("s") + F.coalesce("below", F.lit(0))).alias("before"))  # a row a key and part
     running = F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
     placed = ranged.withColumn("running", running).join(before, [*keys, "part"]).withColumns({"last": F.col("before") + F.col("running") - 1, "at": (F.col("total") - 1) * p})
     holds = lambda rank: F.max(F.when((F.col("last") >= rank) & (F.col("last") - F.col("n") < rank), F.col("v")))
@@ -40,29 +58,24 @@ def percentiles(dist: DataFrame, keys: list[str], p: float) -> DataFrame:
 
 
 def zonal_stats(pixels: DataFrame, zones: DataFrame, grid: Grid, stats: tuple[str, ...] = ("mean", "min", "max", "sum"), value: str = "value", by: tuple[str, ...] = ()) -> DataFrame:
-    """(by..., zone_id, covered, valid, statistics): ``p90`` and the like are interpolated percentiles."""
-    v, key = F.when(F.col("valid"), F.col(value)), [*by, "zone_id"]
-    rows = join_pixels_zones(pixels, zones, grid)
+    """(by..., zone_id, covered, valid, statistics): a row for every zone; ``p90`` and the like are interpolated percentiles. Values that aren't finite are invalid."""
+    key, v = [*by, "zone_id"], F.col("v")
+    rows = join_pixels_zones(pixels, zones, grid).select(*key, finite(F.col(value), F.col("valid")).alias("v"))
     made: dict[str, Column] = {"mean": F.avg(v), "min": F.min(v), "max": F.max(v), "sum": F.sum(v)}
-    plain = [s for s in stats if s in made]
-    if len(plain) == len(stats):
-        return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("covered"), F.count(v).alias("valid"), *[made[s].alias(s) for s in stats])
-    dist = distribution(rows, key, {"v": v})
-    have = F.when(F.col("v").isNotNull(), F.col("n"))
-    total = F.sum(F.col("v") * F.col("n"))
-    made = {"mean": total / F.sum(have), "min": F.min("v"), "max": F.max("v"), "sum": total}
-    out = dist.groupBy(*key).agg(F.sum("n").alias("covered"), F.coalesce(F.sum(have), F.lit(0)).alias("valid"), *[made[s].alias(s) for s in plain])
-    for s in stats:
-        if s not in made:
-            out = out.join(percentiles(dist, key, int(s[1:]) / 100).withColumnRenamed("percentile", s), key, "left")
-    return out.select(*key, "covered", "valid", *stats)
+    ranks = [s for s in stats if s not in made]
+    rows = materialise(rows, "values") if ranks else rows  # read for the sums and twice for the ranks
+    out = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("covered"), F.count(v).alias("valid"), *[made[s].alias(s) for s in stats if s in made])
+    for s in ranks:
+        out = out.join(percentiles(rows, key, "v", int(s[1:]) / 100).withColumnRenamed("percentile", s), key, "left")
+    return every_zone(out, zones, pixels, list(by), ["covered", "valid"]).select(*key, "covered", "valid", *stats)
 
 
 def landcover_fractions(pixels: DataFrame, zones: DataFrame, grid: Grid, classes: dict[int, str], by: tuple[str, ...] = ()) -> DataFrame:
-    """Shares of recognized classes per zone; nodata and unknown counts; all shares 0.0 where nothing is recognized."""
+    """Shares of recognized classes for every zone; nodata and unknown counts; all shares 0.0 where nothing is recognized."""
     code = F.when(F.col("valid"), F.col("class"))
     counts = [F.count_if(code == c).alias(f"n_{n}") for c, n in classes.items()]
     rows = join_pixels_zones(pixels, zones, grid).groupBy(*by, "zone_id").agg(F.count(F.lit(1)).alias("covered"), F.count(code).alias("valid_pixels"), *counts)
+    rows = every_zone(rows, zones, pixels, list(by), ["covered", "valid_pixels", *[f"n_{n}" for n in classes.values()]])
     known = sum((F.col(f"n_{n}") for n in classes.values()), F.lit(0))
     shares = [share(F.col(f"n_{n}"), F.col("recognized")).alias(f"{n}_fraction") for n in classes.values()]
     return rows.withColumn("recognized", known).select(*by, "zone_id", *shares, (F.col("covered") - F.col("valid_pixels")).alias("nodata_pixels"), (F.col("valid_pixels") - F.col("recognized")).alias("unknown_pixels"), "valid_pixels", "covered")
@@ -79,7 +92,7 @@ def slope(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] =
 
     Central differences within the window, one-sided at its edges, none where a neighbour is missing or the window is under 2 x 2.
     """
-    rows = join_runs(pixels, window_runs(zones, grid)).withColumn("z", F.when(F.col("valid"), F.col("value")))
+    rows = join_runs(pixels, window_runs(zones, grid)).withColumn("z", finite(F.col("value"), F.col("valid")))
 
     def gradient(across: str, along: str, step: float) -> Column:
         order = Window.partitionBy(*by, "zone_id", across).orderBy(along)
@@ -95,23 +108,21 @@ def slope(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] =
 
 
 def terrain_features(pixels: DataFrame, zones: DataFrame, grid: Grid, by: tuple[str, ...] = ("raster_id",)) -> DataFrame:
-    """Elevation and slope statistics of the pixels within each zone; the valid share is 0.0 where nothing is covered."""
+    """Elevation and slope statistics of the pixels within each zone, a row for every zone; the valid share is 0.0 where nothing is covered."""
     key = [*by, "zone_id"]
-    dist = distribution(slope(pixels, zones, grid, by).filter("inside"), key, {"z": F.when(F.col("valid"), F.col("value")), "s": F.col("slope")})
-    z, s = (F.when(F.col("name") == k, F.col("v")) for k in "zs")
-    count = lambda v: F.coalesce(F.sum(F.when(v.isNotNull(), F.col("n"))), F.lit(0))
-    out = dist.groupBy(*key).agg(
-        F.min(z).alias("elevation_min_m"), (F.sum(z * F.col("n")) / F.nullif(count(z), F.lit(0))).alias("elevation_mean_m"), F.max(z).alias("elevation_max_m"), (F.max(z) - F.min(z)).alias("relief_m"),
-        (F.sum(s * F.col("n")) / F.nullif(count(s), F.lit(0))).alias("slope_mean_deg"), F.max(s).alias("slope_max_deg"),
-        F.sum(F.when(F.col("name") == "z", F.col("n"))).alias("covered_pixels"), count(z).alias("valid_pixels"))
-    out = out.join(percentiles(dist.filter("name = 's'"), key, 0.9).withColumnRenamed("percentile", "slope_p90_deg"), key, "left")
+    rows = materialise(slope(pixels, zones, grid, by).filter("inside").select(*key, finite(F.col("value"), F.col("valid")).alias("z"), F.col("slope").alias("s")), "terrain")
+    out = rows.groupBy(*key).agg(
+        F.min("z").alias("elevation_min_m"), F.avg("z").alias("elevation_mean_m"), F.max("z").alias("elevation_max_m"), (F.max("z") - F.min("z")).alias("relief_m"),
+        F.avg("s").alias("slope_mean_deg"), F.max("s").alias("slope_max_deg"), F.count(F.lit(1)).alias("covered_pixels"), F.count("z").alias("valid_pixels"))
+    out = out.join(percentiles(rows, key, "s", 0.9).withColumnRenamed("percentile", "slope_p90_deg"), key, "left")
+    out = every_zone(out, zones, pixels, list(by), ["covered_pixels", "valid_pixels"])
     out = out.select(*key, "elevation_min_m", "elevation_mean_m", "elevation_max_m", "relief_m", "slope_mean_deg", "slope_p90_deg", "slope_max_deg", "covered_pixels", "valid_pixels")
     return out.withColumn("valid_fraction", share(F.col("valid_pixels"), F.col("covered_pixels")))
 
 
 def scale_soil(df: DataFrame) -> DataFrame:
-    """Stored whole numbers to units, before any weighting."""
-    divisor = F.lit(DIVISOR)
+    """Stored whole numbers to units, before any weighting; a property without a divisor is an error."""
+    divisor = F.raise_error(F.concat(F.lit("no divisor for soil property "), F.coalesce("property", F.lit("null")))).cast("double")
     for name, d in DIVISORS.items():
         divisor = F.when(F.col("property") == name, d).otherwise(divisor)
     return df.withColumn("value", F.col("value") / divisor)
@@ -121,16 +132,18 @@ def soil_depth_weighted(pixels: DataFrame, zones: DataFrame, grid: Grid, bands:
     """Long table (zone_id, property, statistic, band, value, valid_pixels, covered_pixels, valid_fraction) from pixels with property, statistic, top, bottom.
 
     Means per layer are weighted by the layer's thickness within the band. A layer without valid pixels, or a band not filled by layers, gives null.
-    Counts are of the band's layers only.
+    Counts are of the band's layers only. Every zone has a row for each property, statistic and band that occur.
     """
-    v = F.when(F.col("valid"), F.col("value"))
+    v = finite(F.col("value"), F.col("valid"))
     layer = join_pixels_zones(scale_soil(pixels), zones, grid).groupBy("zone_id", "property", "statistic", "top", "bottom").agg(F.avg(v).alias("mean"), F.count(v).alias("valid"), F.count(F.lit(1)).alias("covered"))
     band = F.explode(F.array(*[F.struct(F.lit(n).alias("band"), F.lit(a).alias("from"), F.lit(b).alias("to")) for n, (a, b) in bands.items()])).alias("b")
     rows = layer.select("*", band).withColumn("part", F.greatest(F.lit(0), F.least("bottom", "b.to") - F.greatest("top", "b.from"))).filter("part > 0")
     out = rows.groupBy("zone_id", "property", "statistic", F.col("b.band").alias("band"), (F.col("b.to") - F.col("b.from")).alias("thickness")).agg(
         F.sum(F.col("mean") * F.col("part")).alias("weighted"), F.sum("part").alias("filled"), F.count("mean").alias("have"), F.count(F.lit(1)).alias("layers"), F.sum("valid").alias("valid_pixels"), F.sum("covered").alias("covered_pixels"))
     value = F.when((F.col("have") == F.col("layers")) & (F.col("filled") == F.col("thickness")), F.col("weighted") / F.col("thickness"))
-    return out.select("zone_id", "property", "statistic", "band", value.alias("value"), "valid_pixels", "covered_pixels", share(F.col("valid_pixels"), F.col("covered_pixels")).alias("valid_fraction"))
+    listed = pixels.select("property", "statistic", "top", "bottom").distinct().select("*", band).filter("top < b.to AND bottom > b.from").select("property", "statistic", F.col("b.band").alias("band"))
+    out = every_zone(out.select("zone_id", "property", "statistic", "band", value.alias("value"), "valid_pixels", "covered_pixels"), zones, listed, ["property", "statistic", "band"], ["valid_pixels", "covered_pixels"])
+    return out.select("zone_id", "property", "statistic", "band", "value", "valid_pixels", "covered_pixels", share(F.col("valid_pixels"), F.col("covered_pixels")).alias("valid_fraction"))
 
 
 def soil_wide(long: DataFrame, properties: list[str], statistics: list[str], bands: dict[str, tuple[int, int]] = BANDS) -> DataFrame:
@@ -141,10 +154,15 @@ def soil_wide(long: DataFrame, properties: list[str], statistics: list[str], ban
     return keyed.groupBy("zone_id").pivot("name", names).agg(*[F.first(c).alias(n) for n, c in measures.items()])
 
 
+def cube_of(spark: SparkSession, properties: list[str], depths: list[str], statistics: list[str]) -> DataFrame:
+    """(property, depth, statistic) of all combinations."""
+    lists = [F.array(*map(F.lit, x)) for x in (properties, depths, statistics)]
+    return spark.range(1).select(F.explode(lists[0]).alias("property"), lists[1].alias("d"), lists[2].alias("s")).select("property", F.explode("d").alias("depth"), "s").select("property", "depth", F.explode("s").alias("statistic"))
+
+
 def check_cube(df: DataFrame, properties: list[str], depths: list[str], statistics: list[str]) -> DataFrame:
     """(property, depth, statistic, problem): combinations that are missing or not expected."""
-    lists = [F.array(*map(F.lit, x)) for x in (properties, depths, statistics)]
-    want = df.sparkSession.range(1).select(F.explode(lists[0]).alias("property"), lists[1].alias("d"), lists[2].alias("s")).select("property", F.explode("d").alias("depth"), "s").select("property", "depth", F.explode("s").alias("statistic"))
+    want = cube_of(df.sparkSession, properties, depths, statistics)
     have, key = df.select("property", "depth", "statistic").distinct(), ["property", "depth", "statistic"]
     return want.join(have, key, "left_anti").withColumn("problem", F.lit("missing")).unionByName(have.join(want, key, "left_anti").withColumn("problem", F.lit("unexpected")))
 
@@ -155,27 +173,29 @@ def population_by_zone(pixels: DataFrame, zones: DataFrame, core: DataFrame, gri
     With ``by`` there is a row for each zone and each raster that has pixels.
     """
     won = assign_pixels(pixels, zones, core, grid)
-    people = F.when(F.col("valid"), F.col("population"))
+    people = finite(F.col("population"), F.col("valid"))
     sums = won.groupBy(*by, "zone_id").agg(F.coalesce(F.sum(people), F.lit(0.0)).alias("population_sum"), F.count(people).alias("contributing"), F.count(F.lit(1)).alias("aoi_pixels"), F.count_if("tie").alias("ties"))
-    ids = zones.select(F.col("feature_id").alias("zone_id")).distinct()
-    if by:
-        listed = pixels.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("slot"))
-        ids = ids.withColumn("slot", F.pmod(F.xxhash64("zone_id"), F.lit(SPREAD)).cast("int")).join(listed, "slot").drop("slot")  # the result itself has a row for each pair
-    rows = ids.join(sums, [*by, "zone_id"], "left").fillna(0, ["population_sum", "contributing", "aoi_pixels", "ties"])
+    rows = every_zone(sums, zones, pixels, list(by), ["population_sum", "contributing", "aoi_pixels", "ties"])
     n = F.col("aoi_pixels")
     return rows.select(*by, "zone_id", "population_sum", share(F.col("population_sum"), n, None).alias("population_mean"), "contributing", (n - F.col("contributing")).alias("nodata_pixels"), "aoi_pixels",
         share(F.col("contributing"), n, None).alias("coverage"), "ties", F.lit(grid["a"]).alias("resolution"), F.lit("people").alias("unit"), F.lit(crs).alias("crs"), F.lit("core_aoi_only").alias("scope"))
 
 
+def touches(rivers: DataFrame, zones: DataFrame, cell: float = geometry.CELL) -> DataFrame:
+    """(feature_id, zone_id) of reaches with an end on a zone's boundary, or on which a corner of a zone lies."""
+    end = F.explode(F.array(F.struct(F.col("x1").alias("px"), F.col("y1").alias("py")), F.struct(F.col("x2").alias("px"), F.col("y2").alias("py")))).alias("p")
+    ends = rivers.select(F.col("feature_id").alias("reach"), end).select("reach", "p.px", "p.py").distinct()
+    touch = geometry.locate(ends, zones, cell).filter("touches").select("reach", "zone_id")
+    corners = zones.select(F.col("feature_id").alias("zone_id"), F.col("x1").alias("px"), F.col("y1").alias("py"))
+    own = geometry.walked(rivers.select(F.col("feature_id").alias("reach"), "x1", "y1", "x2", "y2"), cell)
+    at = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)}).join(own, ["bx", "by"]).filter(F.expr(geometry.DISTANCE2) <= geometry.EPS**2).select("reach", "zone_id")
+    return touch.unionByName(at).distinct().withColumnRenamed("reach", "feature_id")
+
+
 def drainage(zones: DataFrame, rivers: DataFrame, cell: float = geometry.CELL) -> DataFrame:
     """(zone_id, area_km2, river_length_km, reach_count, drainage_density); the count holds reaches that only touch, the density is null without area."""
     crossing = geometry.pieces(rivers, zones, cell).filter("inside OR touches").select("zone_id", F.col("feature_id").alias("reach"), F.expr(geometry.LENGTH).alias("length"))
-    ends = rivers.select(F.col("feature_id").alias("reach"), F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("reach", F.col("p.x").alias("px"), F.col("p.y").alias("py")).distinct()
-    touch = geometry.locate(ends, zones, cell).filter("touches").select("zone_id", "reach")
-    corners = zones.select(F.col("feature_id").alias("zone_id"), F.col("x1").alias("px"), F.col("y1").alias("py"))
-    own = geometry.walked(rivers.select(F.col("feature_id").alias("reach"), "x1", "y1", "x2", "y2"), cell)
-    at = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)}).join(own, ["bx", "by"]).filter(F.expr(geometry.DISTANCE2) <= geometry.EPS**2).select("zone_id", "reach")
-    rows = crossing.unionByName(touch.unionByName(at).withColumn("length", F.lit(0.0)))
+    rows = crossing.unionByName(touches(rivers, zones, cell).select("zone_id", F.col("feature_id").alias("reach"), F.lit(0.0).alias("length")))
     sums = rows.groupBy("zone_id", "reach").agg(F.sum("length").alias("length")).groupBy("zone_id").agg((F.sum("length") / 1000).alias("river_length_km"), F.count(F.lit(1)).alias("reach_count"))
     area = geometry.measure(zones).select(F.col("feature_id").alias("zone_id"), (F.col("area") / 1e6).alias("area_km2"))
     rows = area.join(sums, "zone_id", "left").fillna(0, ["river_length_km", "reach_count"])
@@ -192,18 +212,21 @@ def sample_at(points: DataFrame, pixels: DataFrame, grid: Grid) -> DataFrame:
 def stream_gradient(zones: DataFrame, rivers: DataFrame, dem: DataFrame, grid: Grid, cell: float = geometry.CELL) -> DataFrame:
     """(zone_id, stream_gradient, valid, reversed, flat, nodata): abs(rise) / length of clipped reaches, weighted by length; ``dem`` is one raster.
 
-    A reach cut into several parts within a zone, or without both end heights, counts as nodata.
+    A reach that a zone cuts into several parts, or that has several, that only touches it, or without both end heights, counts as nodata.
     """
-    kept = geometry.pieces(rivers, zones, cell).filter("inside OR touches").groupBy("feature_id", "zone_id", "part").agg(
-        F.sum(F.expr(geometry.LENGTH)).alias("length"), F.min_by(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct("seq", "t")).alias("a"), F.max_by(F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")), F.struct("seq", "t")).alias("b"),
-        F.count(F.lit(1)).alias("pieces"), F.collect_list(F.struct("seq", "t", "x1", "y1", "x2", "y2")).alias("run"))
+    own = geometry.pieces(rivers, zones, cell).filter("inside OR touches").select("feature_id", "zone_id", "part", "seq", "t", "x1", "y1", "x2", "y2")
+    kept = own.groupBy("feature_id", "zone_id").agg(
+        F.sum(F.expr(geometry.LENGTH)).alias("length"), F.min_by(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct("part", "seq", "t")).alias("a"), F.max_by(F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")), F.struct("part", "seq", "t")).alias("b"),
+        F.count(F.lit(1)).alias("pieces"), F.collect_list(F.struct("part", "seq", "t", "x1", "y1", "x2", "y2")).alias("run"))
     run = F.array_sort("run")
     whole = F.forall(F.sequence(F.lit(0), F.col("pieces").cast("int") - 1), lambda i: (i == 0) | ((F.abs(F.get(run, i)["x1"] - F.get(run, i - 1)["x2"]) < 1e-6) & (F.abs(F.get(run, i)["y1"] - F.get(run, i - 1)["y2"]) < 1e-6)))
-    reach = kept.withColumn("whole", whole).select("feature_id", "zone_id", "part", "length", "whole", "a", "b")
-    key = ["feature_id", "zone_id", "part"]
+    reach = kept.withColumn("whole", whole).select("feature_id", "zone_id", "length", "whole", "a", "b")
+    key = ["feature_id", "zone_id"]
     ends = reach.select(*key, F.explode(F.array(F.struct(F.lit("a").alias("end"), "a.x", "a.y"), F.struct(F.lit("b").alias("end"), "b.x", "b.y"))).alias("p")).select(*key, "p.end", "p.x", "p.y")
     z = sample_at(ends, dem, grid).groupBy(*key).agg(F.max(F.when(F.col("end") == "a", F.col("sampled"))).alias("za"), F.max(F.when(F.col("end") == "b", F.col("sampled"))).alias("zb"))
     rows = reach.join(z, key).withColumn("rise", F.when(F.col("whole") & (F.col("length") > 0), F.col("zb") - F.col("za")))
+    touching = touches(rivers, zones, cell).join(reach, key, "left_anti")
+    rows = rows.select("zone_id", "rise", "length").unionByName(touching.select("zone_id", F.lit(None).cast("double").alias("rise"), F.lit(0.0).alias("length")))
     ok = F.col("rise").isNotNull()
     sums = rows.groupBy("zone_id").agg((F.sum(F.when(ok, F.abs("rise"))) / F.sum(F.when(ok, F.col("length")))).alias("stream_gradient"), F.count_if(ok).alias("valid"), F.count_if(F.col("rise") > 0).alias("reversed"), F.count_if(F.col("rise") == 0).alias("flat"), F.count_if(~ok).alias("nodata"))
     return zones.select(F.col("feature_id").alias("zone_id")).distinct().join(sums, "zone_id", "left").fillna(0, ["valid", "reversed", "flat", "nodata"])
@@ -229,8 +252,9 @@ def check_vocabulary(pixels: DataFrame, codes: list[int], nodata: int = 0) -> Da
 def percentile_stretch(pixels: DataFrame, low: float = 0.02, high: float = 0.98, side: int = 512) -> DataFrame:
     """(raster_id, row, col, shade): a thinned grid of at most ``side`` pixels a side, stretched between two percentiles to 0-255."""
     size = pixels.groupBy("raster_id").agg(F.greatest(F.lit(1), F.ceil((F.greatest(F.max("row"), F.max("col")) + 1) / side)).cast("int").alias("step"))
-    thin = pixels.join(F.broadcast(size), "raster_id").filter("row % step = 0 AND col % step = 0 AND valid")
-    dist = distribution(thin, ["raster_id"], {"v": F.col("value")})
-    ends = percentiles(dist, ["raster_id"], low).withColumnRenamed("percentile", "lo").join(percentiles(dist, ["raster_id"], high).withColumnRenamed("percentile", "hi"), "raster_id")
+    thin = pixels.join(size, "raster_id").filter("row % step = 0 AND col % step = 0 AND valid")
+    thin = materialise(thin.select("raster_id", "row", "col", finite(F.col("value"), F.col("valid")).alias("value")).filter("value IS NOT NULL"), "thin")
+    low_end, high_end = (percentiles(thin, ["raster_id"], "value", p).withColumnRenamed("percentile", n) for p, n in ((low, "lo"), (high, "hi")))
+    ends = low_end.join(high_end, "raster_id")
     shade = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")))) * 255).otherwise(0.0)
     return thin.join(ends, "raster_id").select("raster_id", "row", "col", F.floor(shade).cast("int").alias("shade"))

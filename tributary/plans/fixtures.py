@@ -54,6 +54,30 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(table(spark, sf_dir, "nation").filter("n_nationkey < 16").select(F.col("n_nationkey").cast("long").alias("feature_id")), "feature_id", x, y, x + 250, y + 250)
 
 
+def turned(ring: Column, turn: Column) -> Column:
+    return F.when(turn, F.reverse(ring)).otherwise(ring)
+
+
+def square(x: Column, y: Column, low: float, high: float) -> Column:
+    """A ring of four corners, counter-clockwise, not closed."""
+    return F.array(*[F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in ((low, low), (high, low), (high, high), (low, high))])
+
+
+def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(feature_id, rings): per part a shell, a hole in it and an island in the hole; rings in any order and direction."""
+    k = F.col("p_partkey").cast("long")
+    x, y = 20 * (k % 50), 20 * F.floor(k / 50)
+    a, b, c = (turned(square(x, y, low, high), F.floor(k / n) % 2 == 1) for n, (low, high) in ((1, (0, 18)), (2, (2, 16)), (4, (5, 13))))
+    rings = F.when(k % 3 == 0, F.array(a, b, c)).when(k % 3 == 1, F.array(c, a, b)).otherwise(F.array(b, c, a))
+    return table(spark, sf_dir, "part").select(k.alias("feature_id"), rings.alias("rings"))
+
+
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(feature_id, rings): per supplier a square that overlaps its neighbours, every other one clockwise."""
+    k = F.col("s_suppkey").cast("long")
+    return table(spark, sf_dir, "supplier").select(k.alias("feature_id"), F.array(turned(square(31 * (k % 32) + 3, 31 * F.floor(k / 32) + 5, 0, 35), k % 2 == 1)).alias("rings"))
+
+
 def core(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = table(spark, sf_dir, "nation").filter("n_nationkey = 0").select(F.lit(0).cast("long").alias("feature_id"))
     return boxes(one, "feature_id", *[F.lit(v) for v in (100, 100, 900, 900)])
@@ -122,6 +146,8 @@ CTE = {
           UNION ALL SELECT zone_id, 2, x+200, y+200+lift, x, y+200 FROM corners
           UNION ALL SELECT zone_id, 3, x, y+200, x, y FROM corners)""",
     "units": "units AS (SELECT n_nationkey::BIGINT AS unit_id, 250*(n_nationkey%4) AS x0, 250*(n_nationkey//4) AS y0, 250*(n_nationkey%4)+250 AS x1, 250*(n_nationkey//4)+250 AS y1 FROM nation WHERE n_nationkey < 16)",
+    "plots": "plots AS (SELECT p_partkey::BIGINT AS plot_id, 20*(p_partkey%50) AS x, 20*(p_partkey//50) AS y FROM part)",
+    "lots": "lots AS (SELECT s_suppkey::BIGINT AS lot_id, 31*(s_suppkey%32)+3 AS x, 31*(s_suppkey//32)+5 AS y FROM supplier)",
     "points": "points AS (SELECT event_id AS point_id, ((event_id*7919)%1001)::DOUBLE AS x, ((user_id*104729+event_id*31)%1001)::DOUBLE AS y, event_type, value FROM events)",
     "lines": "lines AS (SELECT * FROM (SELECT o_orderkey AS line_id, ((o_orderkey*7919)%1001)::DOUBLE AS x1, ((o_orderkey*104729)%1001)::DOUBLE AS y1, ((o_custkey*15485863+o_orderkey)%1001)::DOUBLE AS x2, ((o_custkey*32452843+o_orderkey*3)%1001)::DOUBLE AS y2 FROM orders) WHERE x1 != x2 OR y1 != y2)",
     "pixels": """pixels AS (SELECT o_orderkey//10000 AS raster_id, (o_orderkey%10000//100)::INT AS "row", (o_orderkey%100)::INT AS col,

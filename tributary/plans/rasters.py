@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import raster, zonal
+from ..operators import gates, raster, zonal
 from . import fixtures as X
 from .fixtures import sql
 from .spatial import BOX_CLIP, INSIDE, ZONE_BOXES, rounded
@@ -81,6 +81,13 @@ def soil(s, d):
     return rounded(out.withColumn("value", F.col("value") + 1e-7), "value", "valid_fraction", digits=3)  # off the halves, which engines round by their last bits
 
 
+def soil_checks(s, d):
+    """The 96 layers judged one by one: one layer is missing, one is known for a third of its pixels only."""
+    p = soil_pixels(s, d).filter("NOT (property = 'clay' AND depth = '0-5cm' AND statistic = 'mean')")
+    gap = F.expr("property = 'sand' AND depth = '5-15cm' AND statistic = 'mean' AND col % 3 > 0")
+    return gates.soil_layers(p.withColumn("valid", ~gap), X.core(s, d), SOIL_GRID, (PROPERTIES, DEPTHS, STATISTICS)).select("check_id", "passed", "severity", "expected", "actual")
+
+
 def soil_wide(s, d):
     out = zonal.soil_wide(zonal.soil_depth_weighted(soil_pixels(s, d), X.zones(s, d), SOIL_GRID), PROPERTIES, STATISTICS)
     return out.select("zone_id", F.lit(len(out.columns)).alias("columns"), *[F.round(F.col(f"{p}_mean_0_30cm_value") + 1e-7, 3).alias(p) for p in PROPERTIES])
@@ -179,7 +186,7 @@ def scaled(s, d):
 
 QUERIES = {
     "landcover_fractions": landcover, "join_pixels_zones": pixels_zones, "zonal_stats": zonal_statistics, "class_name": class_names, "pixel_centers": centers, "assign_pixels": assigned, "population_by_zone": population,
-    "slope": slopes, "terrain_features": terrain, "soil_depth_weighted": soil, "soil_wide": soil_wide, "check_cube": cube_gaps, "drainage": drained, "stream_gradient": gradients, "sample_at": sampled, "coverage_ratio": coverage,
+    "slope": slopes, "terrain_features": terrain, "soil_depth_weighted": soil, "soil_wide": soil_wide, "gate_soil_layers": soil_checks, "check_cube": cube_gaps, "drainage": drained, "stream_gradient": gradients, "sample_at": sampled, "coverage_ratio": coverage,
     "class_pixel_counts": class_counts, "check_vocabulary": vocabulary, "percentile_stretch": stretched, "clip_pixels": clipped, "mosaic": mosaicked, "mosaic_clip": mosaic_clipped, "resample_nearest": nearest,
     "resample_bilinear": bilinear, "overviews": levels, "overviews_classes": class_levels, "cast_pixels": casted, "raster_info": info, "validate_raster": validated, "scale_soil": scaled,
 }
@@ -202,11 +209,19 @@ SOIL_CTE = f"""soilpx AS (SELECT (o_orderkey//96%400//20)::INT AS "row", (o_orde
     soilout AS (SELECT zone_id, property, statistic, band, round(CASE WHEN count(mean) = count(*) AND sum(part) = max(t-f) THEN sum(mean*part)/max(t-f) END + 1e-7, 3) AS value, sum(valid)::BIGINT AS valid_pixels, sum(covered)::BIGINT AS covered_pixels, round(sum(valid)/sum(covered)::DOUBLE, 3) AS valid_fraction
       FROM (SELECT *, least(bottom, t) - greatest(top, f) AS part FROM layer, band WHERE least(bottom, t) > greatest(top, f)) GROUP BY zone_id, property, statistic, band)"""
 
+ALL = "every_zone AS (SELECT raster_id, zone_id FROM zones, (SELECT DISTINCT raster_id FROM pixels))"  # a row for each zone and raster, with pixels or without
+
+
+def filled(body: str, zeros: list[str], others: list[str]) -> str:
+    """The rows of ``body`` for every zone and raster; ``zeros`` are 0 where there is none, ``others`` null."""
+    return f"SELECT raster_id, zone_id, {', '.join([f'coalesce({c}, 0) AS {c}' for c in zeros] + others)} FROM every_zone LEFT JOIN ({body}) USING (raster_id, zone_id)"
+
+
 MOSAIC = 'm AS (SELECT "row", col, min_by(value, raster_id) FILTER (valid) AS value, bool_or(valid) AS valid FROM pixels GROUP BY "row", col)'
 ORACLE_SQL = {
-    "landcover_fractions": sql("zones pixels", f", {ZP} SELECT raster_id, zone_id, {FRACTIONS}, count(*) FILTER (NOT valid) AS nodata_pixels, count(*) FILTER (valid AND class = 0) AS unknown_pixels, count(*) FILTER (valid) AS valid_pixels, count(*) AS covered FROM (SELECT *, count(*) FILTER (valid AND class != 0) OVER (PARTITION BY raster_id, zone_id) AS r FROM zp) GROUP BY raster_id, zone_id, r"),
+    "landcover_fractions": sql("zones pixels", f", {ZP}, {ALL} {filled(f"""SELECT raster_id, zone_id, {FRACTIONS}, count(*) FILTER (NOT valid) AS nodata_pixels, count(*) FILTER (valid AND class = 0) AS unknown_pixels, count(*) FILTER (valid) AS valid_pixels, count(*) AS covered FROM (SELECT *, count(*) FILTER (valid AND class != 0) OVER (PARTITION BY raster_id, zone_id) AS r FROM zp) GROUP BY raster_id, zone_id, r""", [*[f"{n}_fraction" for n in X.CLASSES.values()], "nodata_pixels", "unknown_pixels", "valid_pixels", "covered"], [])}"),
     "join_pixels_zones": sql("zones pixels", f', {TIED_PX} SELECT raster_id, zone_id, count(*) AS n, sum("row")::BIGINT AS rows, sum(col)::BIGINT AS cols FROM tied JOIN zones ON tx >= x0 AND tx < x1 AND ty >= y0 AND ty < y1 GROUP BY raster_id, zone_id'),
-    "zonal_stats": sql("zones pixels", f", {ZP} SELECT raster_id, zone_id, count(*) AS covered, count(*) FILTER (valid) AS valid, round(avg(value) FILTER (valid), 6) AS mean, min(value) FILTER (valid) AS min, max(value) FILTER (valid) AS max, round(quantile_cont(value, 0.9) FILTER (valid), 6) AS p90, sum(value) FILTER (valid) AS sum FROM zp GROUP BY raster_id, zone_id"),
+    "zonal_stats": sql("zones pixels", f", {ZP}, {ALL} {filled(f"""SELECT raster_id, zone_id, count(*) AS covered, count(*) FILTER (valid) AS valid, round(avg(value) FILTER (valid), 6) AS mean, min(value) FILTER (valid) AS min, max(value) FILTER (valid) AS max, round(quantile_cont(value, 0.9) FILTER (valid), 6) AS p90, sum(value) FILTER (valid) AS sum FROM zp GROUP BY raster_id, zone_id""", ["covered", "valid"], ["mean", "min", "max", "p90", "sum"])}"),
     "class_name": sql("pixels", f"SELECT class, map_extract({{{', '.join(f'{c}: {n!r}' for c, n in X.CLASSES.items())}}}::MAP(INTEGER, VARCHAR), class)[1] AS class_name, count(*) AS n FROM pixels GROUP BY class".replace("map_extract({", "map_extract(MAP {").replace("}::MAP(INTEGER, VARCHAR)", "}")),
     "pixel_centers": sql("pixels", 'SELECT raster_id, "row", col, px::DOUBLE AS px, py::DOUBLE AS py FROM pixels'),
     "assign_pixels": sql("zones pixels", f', {TIED_PX} SELECT raster_id, zone_id, count(*) AS n, count(*) FILTER (k > 1) AS ties, sum(population) AS people FROM (SELECT raster_id, "row", col, any_value(population) AS population, min(zone_id) AS zone_id, count(*) AS k FROM tied JOIN zones ON {TIED_COVER} GROUP BY raster_id, "row", col) GROUP BY raster_id, zone_id'),
@@ -214,13 +229,18 @@ ORACLE_SQL = {
         agg AS (SELECT raster_id, zone_id, coalesce(sum(population) FILTER (valid), 0) AS s, count(*) FILTER (valid) AS c, count(*) AS n, count(*) FILTER (k > 1) AS t FROM won GROUP BY raster_id, zone_id)
         SELECT raster_id, zone_id, coalesce(s, 0) AS population_sum, round(s/n, 6) AS population_mean, coalesce(c, 0) AS contributing, coalesce(n-c, 0) AS nodata_pixels, coalesce(n, 0) AS aoi_pixels, round(c/n::DOUBLE, 6) AS coverage, coalesce(t, 0) AS ties, 10.0::DOUBLE AS resolution, 'people' AS unit, 'EPSG:32648' AS crs, 'core_aoi_only' AS scope FROM zones JOIN (SELECT DISTINCT raster_id FROM pixels) r ON true LEFT JOIN agg USING (raster_id, zone_id)"""),
     "slope": sql("zones pixels", f", {SLOPE} SELECT raster_id, zone_id, count(*) AS n, round(avg(slope), 5) AS mean_slope, round(max(slope), 5) AS max_slope FROM sl WHERE slope IS NOT NULL GROUP BY raster_id, zone_id"),
-    "terrain_features": sql("zones pixels", f", {SLOPE} SELECT raster_id, zone_id, min(z) AS elevation_min_m, round(avg(z), 5) AS elevation_mean_m, max(z) AS elevation_max_m, max(z)-min(z) AS relief_m, round(avg(slope), 5) AS slope_mean_deg, round(quantile_cont(slope, 0.9), 5) AS slope_p90_deg, round(max(slope), 5) AS slope_max_deg, count(*) AS covered_pixels, count(z) AS valid_pixels, round(count(z)/count(*)::DOUBLE, 5) AS valid_fraction FROM sl GROUP BY raster_id, zone_id"),
-    "soil_depth_weighted": sql("zones", f", {SOIL_CTE} SELECT * FROM soilout"),
+    "terrain_features": sql("zones pixels", f", {SLOPE}, {ALL} {filled(f"""SELECT raster_id, zone_id, min(z) AS elevation_min_m, round(avg(z), 5) AS elevation_mean_m, max(z) AS elevation_max_m, max(z)-min(z) AS relief_m, round(avg(slope), 5) AS slope_mean_deg, round(quantile_cont(slope, 0.9), 5) AS slope_p90_deg, round(max(slope), 5) AS slope_max_deg, count(*) AS covered_pixels, count(z) AS valid_pixels, round(count(z)/count(*)::DOUBLE, 5) AS valid_fraction FROM sl GROUP BY raster_id, zone_id""", ["covered_pixels", "valid_pixels", "valid_fraction"], ["elevation_min_m", "elevation_mean_m", "elevation_max_m", "relief_m", "slope_mean_deg", "slope_p90_deg", "slope_max_deg"])}"),
+    "soil_depth_weighted": sql("zones", f", {SOIL_CTE} SELECT zone_id, property, statistic, band, value, coalesce(valid_pixels, 0) AS valid_pixels, coalesce(covered_pixels, 0) AS covered_pixels, coalesce(valid_fraction, 0) AS valid_fraction FROM (SELECT zone_id, k.* FROM zones, (SELECT DISTINCT property, statistic, band FROM soilpx, band WHERE ([0,5,15,30,60,100])[1+depth_no] < t AND ([5,15,30,60,100,200])[1+depth_no] > f) k) LEFT JOIN soilout USING (zone_id, property, statistic, band)"),
     "check_cube": f"WITH p AS (SELECT unnest({PROPERTIES}) AS property), s AS (SELECT unnest({STATISTICS}) AS statistic) SELECT property, '5-15cm' AS depth, statistic, 'missing' AS problem FROM p, s WHERE (SELECT count(*) FROM orders) >= 96",
+    "gate_soil_layers": f"""WITH want AS (SELECT property, depth, statistic, depth_no FROM (SELECT unnest({PROPERTIES}) AS property), (SELECT unnest({DEPTHS}) AS depth, unnest(range(6)) AS depth_no), (SELECT unnest({STATISTICS}) AS statistic)),
+        seen AS (SELECT DISTINCT property, statistic, depth_no, r, "row", col FROM (SELECT *, o_orderkey//38400 AS r FROM (SELECT o_orderkey, (o_orderkey//96%400//20)::INT AS "row", (o_orderkey//96%400%20)::INT AS col, ({PROPERTIES})[1+o_orderkey%96//12] AS property, ({STATISTICS})[1+o_orderkey%96//6%2] AS statistic, o_orderkey%96%6 AS depth_no FROM orders)) WHERE col*50+25 BETWEEN 100 AND 900 AND 1000-"row"*50-25 BETWEEN 100 AND 900),
+        layers AS (SELECT want.*, want.property = 'clay' AND depth_no = 0 AND statistic = 'mean' AS missing, count(r) FILTER (NOT (want.property = 'sand' AND depth_no = 1 AND statistic = 'mean' AND col%3 > 0)) AS valid, count(r) AS n FROM want LEFT JOIN seen USING (property, statistic, depth_no) GROUP BY ALL)
+        SELECT 'raster.soil.' || property || '.' || depth || '.' || statistic || '.coverage' AS check_id, NOT missing AND n > 0 AND valid >= 0.99 * n AS passed, 'fatal' AS severity, '0.99' AS expected, CASE WHEN missing THEN 'missing' ELSE (round(valid / n::DOUBLE, 6))::VARCHAR END AS actual FROM layers
+        UNION ALL SELECT 'raster.soil.' || property || '.' || depth || '.' || statistic || '.nodata', missing OR valid = n, 'warning', '0', (CASE WHEN missing THEN 0 ELSE n - valid END)::VARCHAR FROM layers""",
     "drainage": sql("zones lines", f""", {ZONE_BOXES}, {BOX_CLIP}
         SELECT zone_id, 0.04::DOUBLE AS area_km2, round(coalesce(sum((t1-t0)*len/1000) FILTER (t1 > t0), 0), 4) AS river_length_km, count(*) FILTER (t1 >= t0) AS reach_count, round(coalesce(sum((t1-t0)*len/1000) FILTER (t1 > t0), 0)/0.04, 4) AS drainage_density FROM clip GROUP BY zone_id"""),
-    "stream_gradient": sql("zones lines pixels", f""", {ZONE_BOXES}, {BOX_CLIP}, {MOSAIC}, g AS (SELECT zone_id, (t1-t0)*len AS length, x1+t0*(x2-x1) AS ax, y1+t0*(y2-y1) AS ay, x1+t1*(x2-x1) AS bx, y1+t1*(y2-y1) AS "by" FROM clip WHERE t1-t0 > 1e-12),
-        z AS (SELECT g.zone_id, length, b.value - a.value AS rise FROM g LEFT JOIN m a ON a.valid AND a.col = floor((ax+3.137)/10)::INT AND a."row" = floor((ay-1003.137)/-10)::INT LEFT JOIN m b ON b.valid AND b.col = floor((bx+3.137)/10)::INT AND b."row" = floor(("by"-1003.137)/-10)::INT)
+    "stream_gradient": sql("zones lines pixels", f""", {ZONE_BOXES}, {BOX_CLIP}, {MOSAIC}, g AS (SELECT zone_id, (t1-t0)*len AS length, x1+t0*(x2-x1) AS ax, y1+t0*(y2-y1) AS ay, x1+t1*(x2-x1) AS bx, y1+t1*(y2-y1) AS "by" FROM clip WHERE t1 >= t0),
+        z AS (SELECT g.zone_id, length, CASE WHEN length > 1e-9 THEN b.value - a.value END AS rise FROM g LEFT JOIN m a ON a.valid AND a.col = floor((ax+3.137)/10)::INT AND a."row" = floor((ay-1003.137)/-10)::INT LEFT JOIN m b ON b.valid AND b.col = floor((bx+3.137)/10)::INT AND b."row" = floor(("by"-1003.137)/-10)::INT)
         SELECT zones.zone_id, round(sum(abs(rise)) / sum(length) FILTER (rise IS NOT NULL), 4) AS stream_gradient, count(rise) AS valid, count(*) FILTER (rise > 0) AS reversed, count(*) FILTER (rise = 0) AS flat, count(length) - count(rise) AS nodata FROM zones LEFT JOIN z ON z.zone_id = zones.zone_id GROUP BY zones.zone_id"""),
     "sample_at": sql("points pixels", f', {MOSAIC} SELECT point_id, CASE WHEN valid THEN m.value END AS sampled FROM points LEFT JOIN m ON m.col = floor(x/10)::INT AND m."row" = floor((1000-y)/10)::INT'),
     "coverage_ratio": sql("pixels", "SELECT raster_id, count(*) AS in_area, count(*) FILTER (valid) AS valid, round(count(*) FILTER (valid)/count(*)::DOUBLE, 6) AS coverage FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899 GROUP BY raster_id"),
@@ -242,5 +262,5 @@ ORACLE_SQL = {
     "raster_info": sql("pixels", "SELECT raster_id, max(\"row\")+1 AS height, max(col)+1 AS width, count(*) AS pixels, count(*) FILTER (valid) AS valid_pixels, 0.0::DOUBLE AS xmin, (1000-(max(\"row\")+1)*10)::DOUBLE AS ymin, (max(col)+1)*10.0::DOUBLE AS xmax, 1000.0::DOUBLE AS ymax, 'EPSG:32648' AS crs FROM pixels GROUP BY raster_id"),
     "validate_raster": sql("pixels", 'SELECT raster_id, true AS dtype_ok, true AS resolution_ok, true AS mask_ok, 1000-(max("row")+1)*10 < 900 AS footprint_ok, 1000-(max("row")+1)*10 < 900 AS passed FROM pixels GROUP BY raster_id'),
     "scale_soil": sql("zones", f", {SOIL_CTE} SELECT property, round(sum(value / CASE WHEN property = 'bdod' THEN 100 ELSE 10 END), 3) AS total FROM soilpx GROUP BY property"),
-    "soil_wide": sql("zones", f", {SOIL_CTE} SELECT zone_id, 129::INT AS columns, " + ", ".join(f"max(value) FILTER (property = '{p}' AND statistic = 'mean' AND band = '0_30cm') AS {p}" for p in PROPERTIES) + " FROM soilout GROUP BY zone_id"),
+    "soil_wide": sql("zones", f", {SOIL_CTE} SELECT zone_id, 129::INT AS columns, " + ", ".join(f"max(value) FILTER (property = '{p}' AND statistic = 'mean' AND band = '0_30cm') AS {p}" for p in PROPERTIES) + " FROM zones LEFT JOIN soilout USING (zone_id) GROUP BY zone_id"),
 }

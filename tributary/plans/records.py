@@ -13,6 +13,7 @@ from ..sources import io
 from ..sources.scratch import shared_dir
 from . import fixtures as X
 from .fixtures import sql
+from .spatial import ORACLE_SQL as SPATIAL_SQL
 from .spatial import rounded
 
 
@@ -448,9 +449,11 @@ def unit_gate(s, d):
 
 
 def hierarchy_gate(s, d):
-    from .spatial import parents
-
-    return gates.gate_hierarchy(X.topology(s, d), parents(s, d)).select("check_id", "passed", "severity", "actual")
+    """Basins of which some have no parent row, an unknown number of parents, two of them, a foreign code, or name none downstream."""
+    k = F.col("basin_id")
+    basins = X.topology(s, d).withColumn("next_down", F.when(k % 17 != 0, F.col("next_down")))
+    parents = basins.filter(k % 13 != 0).select("basin_id", F.when(k % 11 != 0, F.floor(k / 10)).alias("parent_id"), F.when(k % 11 != 0, F.when(k % 7 == 0, 2).otherwise(1)).alias("covering"), F.when(k % 5 != 0, k % 3 != 0).alias("code_ok"))
+    return gates.gate_hierarchy(basins, parents).select("check_id", "passed", "severity", "actual")
 
 
 def mapping_gate(s, d):
@@ -522,7 +525,23 @@ def geojson_round_trip(s, d):
     collection = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))
     rows.groupBy(F.xxhash64("value") % 4).agg(collection.alias("value")).select("value").repartition(4, "value").write.option("maxRecordsPerFile", 1).text(path)
     layer = io.read_geojson_layer(s, path, "feature_id")
-    return rounded(geometry.measure(geometry.edges_from_rings(layer.withColumn("feature_id", F.col("feature_id").cast("long")), "feature_id", "rings")).select("feature_id", "area", "length"), "area", "length")
+    return rounded(geometry.measure(io.polygon_edges(layer.withColumn("feature_id", F.col("feature_id").cast("long")), "feature_id")).select("feature_id", "area", "length"), "area", "length")
+
+
+def geojson_lines_read(s, d):
+    """Lines of one or two parts written as GeoJSON, read, and laid over the zones."""
+    path, k = _place(s), F.col("feature_id")
+    whole = X.lines(s, d)
+    mid = lambda c: (F.col(f"{c}1") + F.col(f"{c}2")) / 2
+    point = lambda x, y: F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
+    a, b, m = point(F.col("x1"), F.col("y1")), point(F.col("x2"), F.col("y2")), point(mid("x"), mid("y"))
+    one = F.concat(F.lit('"LineString","coordinates":['), a, F.lit(","), m, F.lit(","), b, F.lit("]"))
+    two = F.concat(F.lit('"MultiLineString","coordinates":[['), a, F.lit(","), m, F.lit("],["), m, F.lit(","), b, F.lit("]]"))
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"feature_id":"'), k.cast("string"), F.lit('"},"geometry":{"type":'), F.when(k % 3 == 0, two).otherwise(one), F.lit("}}"))
+    files = whole.groupBy(F.floor(k / 5000)).agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    segments = io.line_segments(io.read_geojson_layer(s, path, "feature_id").withColumn("feature_id", k.cast("long")), "feature_id")
+    return rounded(geometry.overlay_length(X.zones(s, d), segments), "intersection_length_km", digits=5).filter("intersection_length_km > 0")
 
 
 def geojson_written(s, d):
@@ -598,7 +617,7 @@ QUERIES = {
     "unit_counts": unit_totals, "unit_aliases": aliases, "join_identity": identities_joined, "build_crosswalk": crosswalk, "resolve_places": places, "read_event_rows": event_rows, "assemble_profile": assembled,
     "content_fingerprint": content_print, "join_warnings": warned, "join_attributes": attributes, "subset_by_keys": subset, "project": projected, "explode_parts": road_parts, "union_layers": united, "part_index": ordered_parts,
     "gate_units": unit_gate, "gate_hierarchy": hierarchy_gate, "gate_mappings": mapping_gate, "gate_rasters": raster_gate, "gate_population": population_gate, "gate_events": event_gate, "gate_provenance": provenance_gate,
-    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_geojson_layer": geojson_round_trip, "write_geojson": geojson_written, "write_catalog": catalog_round_trip, "scan_assets": scanned,
+    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_geojson_layer": geojson_round_trip, "read_geojson_lines": geojson_lines_read, "write_geojson": geojson_written, "write_catalog": catalog_round_trip, "scan_assets": scanned,
 }
 
 CLOSURE_SQL = """e AS (SELECT doc_id AS a, unnest(CASE WHEN doc_id = 30 THEN [doc_id//3, doc_id//5, 41] WHEN doc_id BETWEEN 31 AND 41 THEN [doc_id//3, doc_id//5, doc_id-1] ELSE [doc_id//3, doc_id//5] END) AS b FROM documents WHERE doc_id > 0 AND (doc_id%10 != 7 OR doc_id > 60)),
@@ -606,6 +625,7 @@ CLOSURE_SQL = """e AS (SELECT doc_id AS a, unnest(CASE WHEN doc_id = 30 THEN [do
   closure AS (SELECT root_id, node_id, CASE WHEN node_id = 25 OR node_id NOT IN (SELECT doc_id FROM documents) THEN 'missing' WHEN node_id IN (SELECT node_id FROM ring) THEN 'cyclic' WHEN node_id IN (SELECT doc_id FROM documents WHERE source = 'src0') THEN 'raw' WHEN node_id NOT IN (SELECT a FROM e) THEN 'childless' ELSE 'inner' END AS state FROM walk)"""
 OLD_SQL = """old AS (SELECT p_partkey AS k, 16*(p_partkey//64) + p_partkey%8//2 + 4*(p_partkey%64//16) AS unit, lower(p_name) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS normal, (SELECT string_agg(upper(w[1]) || w[2:], ' ') FROM (SELECT unnest(string_split(p_name, ' ')) AS w)) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS plain FROM part)"""
 ORACLE_SQL = {
+    "read_geojson_lines": SPATIAL_SQL["overlay_length"],
     "normalize_unit_name": f"WITH {NAMES_SQL} SELECT id, {NORMAL} AS normalized FROM names",
     "strip_unit_prefix": f"WITH {NAMES_SQL} SELECT id, trim(regexp_replace(regexp_replace(name, ' +', ' ', 'g'), '^(Xã|PHƯỜNG|thị trấn) ', '')) AS stripped FROM names",
     "normalize_label": f"WITH {NAMES_SQL} SELECT id, lower(trim(regexp_replace(name, ' +', ' ', 'g'))) AS label FROM names",
@@ -668,15 +688,20 @@ ORACLE_SQL = {
     "gate_rasters": sql("pixels", ", p AS (SELECT * FROM pixels WHERE px BETWEEN 100 AND 899 AND py BETWEEN 100 AND 899), c AS (SELECT count(*) FILTER (valid)/count(*)::DOUBLE AS r FROM p GROUP BY raster_id), low AS (SELECT count(*) FILTER (valid)/count(*)::DOUBLE AS r FROM p WHERE \"row\" < 70 GROUP BY raster_id), h AS (SELECT least(max(\"row\")+1, 70)*10.0 AS h, (max(col)+1)*10.0 AS w FROM pixels WHERE \"row\" < 70) SELECT 'raster.dem.coverage' AS check_id, min(r) >= 0.99 AS passed, 'fatal' AS severity, round(min(r), 6)::VARCHAR AS actual FROM c UNION ALL SELECT 'raster.dem.nodata', count(*) FILTER (r < 1) = 0, 'warning', (count(*) FILTER (r < 1))::VARCHAR FROM c UNION ALL SELECT 'raster.worldpop.coverage', greatest(0, least(h, 900)-100)*greatest(0, least(w, 900)-100)/640000.0 >= 0.99, 'fatal', round(greatest(0, least(h, 900)-100)*greatest(0, least(w, 900)-100)/640000.0, 6)::DOUBLE::VARCHAR FROM h UNION ALL SELECT 'raster.worldpop.nodata', count(*) FILTER (r < 1) = 0, 'warning', (count(*) FILTER (r < 1))::VARCHAR FROM low UNION ALL SELECT 'raster.worldcover.coverage', false, 'fatal', 'missing' FROM h"),
     "severity_rollup": "SELECT 'fatal' AS severity, 3::BIGINT AS checks, (1 + (count(*) != 1000)::INT)::BIGINT AS failed FROM documents UNION ALL SELECT 'warning', 1, 0 FROM region WHERE r_regionkey = 0",
     "run_gates": "SELECT 'events.rows' AS check_id, count(*) = 1000 AS passed, 'fatal' AS severity FROM documents UNION ALL SELECT * FROM (VALUES ('events.status', true, 'fatal'), ('events.confidence', true, 'fatal'), ('events.unresolved', true, 'warning'), ('gate.broken', false, 'fatal'), ('gate.bad_cast', false, 'fatal')) t(a, b, c)",
-    "gate_provenance": sql("assets", f"SELECT 'provenance.fields' AS check_id, true AS passed, 'fatal' AS severity, '0' AS actual UNION ALL SELECT 'provenance.bytes', sum(size_bytes) <= 8589934592, 'fatal', sum(size_bytes)::BIGINT::VARCHAR FROM assets UNION ALL SELECT 'provenance.lineage', n = 0, 'fatal', n::VARCHAR FROM (SELECT count(*) FILTER (state IN ('missing', 'childless', 'cyclic')) AS n FROM (WITH RECURSIVE {CLOSURE_SQL} SELECT * FROM closure))"),
+    "gate_provenance": sql("assets", f""", c AS (WITH RECURSIVE {CLOSURE_SQL} SELECT * FROM closure), used AS (SELECT * FROM assets WHERE asset_id IN (SELECT node_id FROM c WHERE state = 'raw')), once AS (SELECT max(size_bytes) AS n FROM used GROUP BY checksum),
+        b AS (SELECT coalesce(sum(n), 0)::BIGINT AS n, count(*) AS used FROM once), l AS (SELECT count(*) AS n FROM c WHERE state NOT IN ('raw', 'inner'))
+        SELECT 'provenance.fields' AS check_id, true AS passed, 'fatal' AS severity, '0' AS actual UNION ALL SELECT 'provenance.lineage', n = 0, 'fatal', n::VARCHAR FROM l UNION ALL SELECT 'provenance.used', used > 0, 'fatal', used::VARCHAR FROM b UNION ALL SELECT 'provenance.bytes', n <= 8589934592, 'fatal', n::VARCHAR FROM b"""),
     "read_layer": sql("assets", "SELECT source, count(*) AS n, sum(size_bytes)::BIGINT AS bytes FROM assets GROUP BY source"),
     "read_pixels": sql("pixels", 'SELECT raster_id, count(*) AS n, sum(value) AS total, sum("row"*col)::BIGINT AS places FROM pixels WHERE valid GROUP BY raster_id'),
     "write_geojson": "SELECT n_nationkey::BIGINT AS feature_id, n_name, 5::INT AS points, 200.0*(n_nationkey%5)::DOUBLE AS x, 200.0*(n_nationkey//5)::DOUBLE AS y FROM nation",
     "write_catalog": "SELECT source, count(*) AS n, min(doc_id) AS first FROM documents WHERE doc_id%3 != 0 GROUP BY source",
     "read_geojson_layer": "SELECT n_nationkey::BIGINT AS feature_id, 40000.0::DOUBLE AS area, 800.0::DOUBLE AS length FROM nation",
     "gate_mappings": "SELECT * FROM (VALUES ('mapping.commune.columns', true, 'fatal'), ('mapping.commune.keys.HYBAS_ID', true, 'fatal'), ('mapping.commune.keys.current_commune_code', true, 'fatal'), ('mapping.commune.coverage', true, 'fatal'), ('mapping.river.columns', true, 'fatal'), ('mapping.river.keys.HYBAS_ID', true, 'fatal'), ('mapping.river.keys.HYRIV_ID', false, 'fatal'), ('mapping.road.columns', false, 'fatal'), ('mapping.bridge.columns', false, 'fatal'), ('mapping.facility.columns', false, 'fatal'), ('mapping.facility.keys.HYBAS_ID', false, 'fatal'), ('mapping.facility.keys.osm_id', true, 'fatal'), ('mapping.settlement.columns', false, 'fatal'), ('mapping.population.columns', false, 'fatal'), ('mapping.boundary_cases', false, 'warning')) t(check_id, passed, severity)",
-    "gate_hierarchy": """WITH p AS (SELECT count(*) FILTER (n_nationkey%5 = 2 OR n_nationkey//5 = 2) AS n FROM nation) SELECT 'hierarchy.one_parent' AS check_id, n = 0 AS passed, 'fatal' AS severity, n::VARCHAR AS actual FROM p
-        UNION ALL SELECT * FROM (VALUES ('hierarchy.unique_ids', true, 'fatal', '0'), ('hierarchy.code_prefix', true, 'fatal', '0'), ('hierarchy.topology', true, 'fatal', '0'), ('hierarchy.scope_exits', true, 'warning', '0')) t(a, b, c, d)""",
+    "gate_hierarchy": sql("topology", """, t AS (SELECT basin_id AS k, CASE WHEN basin_id%17 != 0 THEN next_down END AS next_down FROM topology),
+        c AS (SELECT count(*) FILTER (k%13 = 0 OR k%11 = 0 OR k%7 = 0) AS orphans, count(*) FILTER (k%13 != 0 AND k%11 != 0 AND (k%5 = 0 OR k%3 = 0)) AS codes FROM t),
+        e AS (SELECT count(*) AS n FROM t LEFT JOIN topology d ON d.basin_id = t.next_down WHERE t.next_down IS NULL OR (t.next_down != 0 AND d.basin_id IS NULL))
+        SELECT 'hierarchy.unique_ids' AS check_id, true AS passed, 'fatal' AS severity, '0' AS actual FROM c UNION ALL SELECT 'hierarchy.one_parent', orphans = 0, 'fatal', orphans::VARCHAR FROM c UNION ALL SELECT 'hierarchy.code_prefix', codes = 0, 'fatal', codes::VARCHAR FROM c
+        UNION ALL SELECT 'hierarchy.topology', n = 0, 'fatal', n::VARCHAR FROM e UNION ALL SELECT 'hierarchy.scope_exits', n = 0, 'warning', n::VARCHAR FROM e"""),
     "build_crosswalk": f"""WITH {OLD_SQL},
         listed AS (SELECT unit, (row_number() OVER (PARTITION BY unit ORDER BY k) - 1)::INT AS position, normal, plain FROM old UNION ALL SELECT unit, count(*)::INT, 'nowhere', 'Nowhere' FROM old WHERE unit%4 = 1 GROUP BY unit),
         found AS (SELECT l.unit, l.position, l.normal, l.plain, count(o.k) AS candidates, count(o.k) FILTER (o.unit = l.unit) AS n, min(o.k::VARCHAR) AS only_id, min(o.k::VARCHAR) FILTER (o.unit = l.unit) AS best FROM listed l LEFT JOIN old o ON o.normal = l.normal GROUP BY ALL),

@@ -107,6 +107,45 @@ def dissolved_regions(s, d):
     return rounded(geometry.measure(geometry.dissolve(X.zones(s, d), regions)), "area", "length", "xmin", "ymin", "xmax", "ymax")
 
 
+def _plots(s, d):
+    return geometry.edges_from_rings(X.plots(s, d), "feature_id", "rings")
+
+
+def _lots(s, d):
+    return geometry.edges_from_rings(X.lots(s, d), "feature_id", "rings")
+
+
+def plot_measures(s, d):
+    """Plots with holes and islands, whose rings come in any order and direction."""
+    return rounded(geometry.measure(_plots(s, d)), "area", "length")
+
+
+def plots_lots(s, d):
+    return rounded(geometry.overlay_area(_plots(s, d), _lots(s, d)), "intersection_area_km2", "zone_fraction", "unit_fraction", digits=9)
+
+
+def dissolved_lots(s, d):
+    """Rows of overlapping squares of both directions as one feature each."""
+    rows = X.lots(s, d).select("feature_id", F.floor(F.col("feature_id") / 32).cast("long").alias("group"))
+    return rounded(geometry.measure(geometry.dissolve(_lots(s, d), rows)), "area", "xmin", "ymin", "xmax", "ymax").select("feature_id", "area", "xmin", "ymin", "xmax", "ymax")
+
+
+def valid_areas(s, d):
+    """Areas of boxes and bow-ties, and their overlap with a frame: bow-ties have none."""
+    edges = _odd(s, d)
+    flags = geometry.flag_invalid_geometry(edges)
+    return rounded(geometry.measure(edges, flags).select("feature_id", "area"), "area")
+
+
+def points_far_and_near(s, d):
+    """Points within 100 m and within 10 km of an area, at bins of 100 m."""
+    p = X.points(s, d).withColumns({"x": F.col("x") * 100, "y": F.col("y") * 100})
+    one = X.table(s, d, "nation").filter("n_nationkey = 0").select(F.lit(0).cast("long").alias("feature_id"))
+    area = X.boxes(one, "feature_id", *[F.lit(v) for v in (40_000, 40_000, 60_000, 60_000)])
+    near = [geometry.within_distance(p, area, m, 100.0).select(F.lit(m).alias("distance"), "point_id") for m in (100.0, 10_000.0)]
+    return near[0].unionByName(near[1])
+
+
 def gaps_overlaps(s, d):
     return rounded(geometry.gap_overlap(X.zones(s, d).filter("feature_id != 12"), X.core(s, d)), "overlap_percent", "gap_percent")
 
@@ -116,11 +155,14 @@ def area_differences(s, d):
     return rounded(geometry.area_difference(X.zones(s, d), legal), "area", "legal_area", "difference_percent")
 
 
-def invalid_geometry(s, d):
+def _odd(s, d):
     """Boxes and, for every fifth key, bow-ties."""
     k = F.col("feature_id")
-    odd = X.quads(X.table(s, d, "customer").select(F.col("c_custkey").alias("feature_id")), *[(k % 100 * 10 + a, F.floor(k / 100) * 10 + F.when(k % 5 == 0, b).otherwise(c)) for a, b, c in ((0, 0, 0), (5, 5, 0), (5, 0, 5), (0, 5, 5))])
-    return geometry.flag_invalid_geometry(odd).select("feature_id", "closed", "enough_points", "self_crossing", "valid")
+    return X.quads(X.table(s, d, "customer").select(F.col("c_custkey").alias("feature_id")), *[(k % 100 * 10 + a, F.floor(k / 100) * 10 + F.when(k % 5 == 0, b).otherwise(c)) for a, b, c in ((0, 0, 0), (5, 5, 0), (5, 0, 5), (0, 5, 5))])
+
+
+def invalid_geometry(s, d):
+    return geometry.flag_invalid_geometry(_odd(s, d)).select("feature_id", "closed", "enough_points", "self_crossing", "valid")
 
 
 def upstream(s, d):
@@ -166,6 +208,7 @@ def layer_checks(s, d):
 
 
 QUERIES = {
+    "measure_rings": plot_measures, "overlay_area_rings": plots_lots, "dissolve_rings": dissolved_lots, "measure_valid": valid_areas, "within_distance_levels": points_far_and_near,
     "study_areas": study_areas, "footprint_ratio": footprints, "validate_layer": layer_checks,
     "join_points_zones": points_zones, "join_points_zones_tilted": points_zones_tilted, "point_stats": point_stats, "measure": measures, "layer_bounds": layer_bounds,
     "interior_point": interior_points, "overlay_length": lines_zones, "overlay_length_wkt": lines_zones_wkt, "clip_points": clipped_points, "clip_lines": clipped_lines, "clip_polygons": clipped_zones,
@@ -175,7 +218,14 @@ QUERIES = {
 
 TILTED_EDGES = "SELECT zone_id, sum(((ey1 > y) != (ey2 > y) AND x < ex1 + (y - ey1) * (ex2 - ex1) / nullif(ey2 - ey1, 0))::INT) % 2 = 1 AS inside, min(CASE WHEN abs((ex2-ex1)*(y-ey1)-(ey2-ey1)*(x-ex1)) < 1e-9 AND x BETWEEN least(ex1,ex2) AND greatest(ex1,ex2) AND y BETWEEN least(ey1,ey2) AND greatest(ey1,ey2) THEN 0 ELSE 1 END) = 0 AS touches"
 CLIPPED = sql("zones lines", "")
+RINGS = "(SELECT unnest([0, 2, 5]) AS low, unnest([18, 16, 13]) AS high, unnest([1, -1, 1]) AS sign)"
 ORACLE_SQL = {
+    "measure_rings": sql("plots", "SELECT plot_id AS feature_id, 192.0::DOUBLE AS area, 160.0::DOUBLE AS length, x::DOUBLE AS xmin, y::DOUBLE AS ymin, (x+18)::DOUBLE AS xmax, (y+18)::DOUBLE AS ymax FROM plots"),
+    "overlay_area_rings": sql("plots lots", f"""SELECT plot_id AS zone_id, lot_id AS unit_id, round(a/1e6, 9) AS intersection_area_km2, round(a/192.0, 9) AS zone_fraction, round(a/1225.0, 9) AS unit_fraction FROM (
+        SELECT plot_id, lot_id, sum(sign * greatest(0, least(p.x+high, l.x+35)-greatest(p.x+low, l.x)) * greatest(0, least(p.y+high, l.y+35)-greatest(p.y+low, l.y)))::DOUBLE AS a FROM plots p JOIN lots l ON p.x < l.x+35 AND p.x+18 > l.x AND p.y < l.y+35 AND p.y+18 > l.y, {RINGS} GROUP BY plot_id, lot_id) WHERE a > 0"""),
+    "dissolve_rings": sql("lots", "SELECT (lot_id//32)::BIGINT AS feature_id, ((max(x)+35-min(x))*35)::DOUBLE AS area, min(x)::DOUBLE AS xmin, min(y)::DOUBLE AS ymin, (max(x)+35)::DOUBLE AS xmax, (max(y)+35)::DOUBLE AS ymax FROM lots GROUP BY lot_id//32"),
+    "measure_valid": "SELECT c_custkey AS feature_id, CASE WHEN c_custkey%5 != 0 THEN 25.0::DOUBLE END AS area FROM customer",
+    "within_distance_levels": sql("points", "SELECT m AS distance, point_id FROM points, (SELECT unnest([100.0, 10000.0])::DOUBLE AS m) WHERE power(greatest(40000-100*x, 0, 100*x-60000), 2) + power(greatest(40000-100*y, 0, 100*y-60000), 2) <= m*m"),
     "overlay_length_wkt": sql("zones lines", f", {ZONE_BOXES}, {BOX_CLIP} SELECT zone_id, count(*) AS n, count(*) AS single FROM clip WHERE (t1-t0)*len > 1e-9 GROUP BY zone_id"),
     "join_points_zones": sql("zones points", f"""SELECT point_id, zone_id, NOT {EDGE} AS "within", {EDGE} AS touches, {EDGE} AND count(*) OVER (PARTITION BY point_id) > 1 AS nearest_boundary_tie, {EDGE} AS boundary_case
         FROM points, zones WHERE {COVER}"""),
