@@ -10,7 +10,7 @@
    where that may be; a false hit costs a counter and no more, as the count itself is exact.
 4. Parts of a phrase are found by equi-joins on ids; scores are decimals, as products may pass 64 bits.
 
-Memory: a task holds one chunk (about ``CHUNK`` bytes of text, or one text), and ``ENTRIES`` counters; more are written as one more filter. A merging task holds the entries of one block; blocks are
+Memory: a task holds chunks of up to four times ``CHUNK`` bytes of text together, or one text, and ``ENTRIES`` counters; more are written as one more filter. A merging task holds the entries of one block; blocks are
 as many as shuffle partitions at least. The driver gets numbers of rows and the bitmap.
 
 Defined results: a null text counts as empty, a null language as ``und``. Rows with equal ids or texts count each. A text is never cut; a piece may be as long as it.
@@ -24,14 +24,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, table
 
 LONGEST, MIN_COUNT, ABSORB, TOP = 5, 100, 100, 2000
-CHUNK, ENTRIES = 4 << 20, 4_000_000
+CHUNK, ENTRIES = 4 << 20, 2_000_000
 BITMAP, SLOT_BITS = 26, 4
 KIND = np.zeros(256, np.uint8)  # 1: between words, 2: between pieces
 KIND[[0x20, 0x09]] = 1
@@ -73,21 +72,28 @@ def chunks(docs: DataFrame) -> DataFrame:
     """(lang, ids, wide, vocabulary, counts) of stretches of texts of one language."""
     schema = "lang string, ids binary, wide boolean, vocabulary array<string>, counts array<long>"
 
+    def made(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        if found := chunk_of(np.frombuffer(b"\n".join(texts), np.uint8)):
+            ids, vocabulary, counts = found
+            columns = [pa.array([lang]), pa.array([ids], pa.binary()), pa.array([len(vocabulary) >= 1 << 16]), pa.ListArray.from_arrays([0, len(vocabulary)], vocabulary), pa.ListArray.from_arrays([0, len(counts)], pa.array(counts, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "ids", "wide", "vocabulary", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        total = 0
         for batch in batches:
-            for lang in pc.unique(batch.column(0)):
-                texts = batch.column(1).filter(pc.equal(batch.column(0), lang)).cast(pa.large_string())
-                joined = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-                group = np.cumsum(joined) // CHUNK
-                for at, to in zip(np.flatnonzero(np.diff(group, prepend=-1)), [*np.flatnonzero(np.diff(group)) + 1, len(texts)], strict=True):
-                    part = texts.slice(int(at), int(to - at))
-                    made = chunk_of(np.frombuffer("\n".join(part.to_pylist()).encode(), np.uint8))
-                    if made:
-                        ids, vocabulary, counts = made
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang.as_py()]), pa.array([ids], pa.binary()), pa.array([len(vocabulary) >= 1 << 16]), pa.ListArray.from_arrays([0, len(vocabulary)], vocabulary), pa.ListArray.from_arrays([0, len(counts)], pa.array(counts, pa.int64()))],
-                            ["lang", "ids", "wide", "vocabulary", "counts"],
-                        )
+            for lang, text in zip(*batch.columns, strict=True):
+                lang, text = lang.as_py(), text.as_buffer().to_pybytes()
+                held.setdefault(lang, []).append(text)
+                sizes[lang] = sizes.get(lang, 0) + len(text) + 1
+                total += len(text) + 1
+                if sizes[lang] > CHUNK or total > 4 * CHUNK:
+                    largest = max(sizes, key=sizes.get)
+                    total -= sizes.pop(largest)
+                    yield from made(largest, held.pop(largest))
+        for lang, texts in held.items():
+            yield from made(lang, texts)
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
@@ -102,21 +108,39 @@ def numbered_words(words: DataFrame) -> DataFrame:
     return materialise(placed.withColumn("part", part).join(F.broadcast(before), "part").withColumn("id", (F.col("before") + local + 1).cast("int")).drop("m", "part", "before"), "dictionary", replaces=placed)
 
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """(chunk, known binary): per chunk the ids of ``rows`` (chunk, at, id) in order, four bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            chunk, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype("<u4")
+            cuts = np.flatnonzero(np.diff(chunk)) + 1
+            for at, to in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
+                if to > at:
+                    if now is not None and chunk[at] != now:
+                        yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([b"".join(parts)])], ["chunk", "known"])
+                        parts = []
+                    now = int(chunk[at])
+                    parts.append(ids[at:to].tobytes())
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([b"".join(parts)])], ["chunk", "known"])
+
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "at").select("chunk", "id").mapInArrow(run, "chunk long, known binary")
+
+
 def encoded(cut: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(ids): the chunks of ``cut`` (chunk, ids, wide, lang, vocabulary) by the ids of ``dictionary`` (lang, word, id)."""
-    own = cut.select("chunk", "lang", F.posexplode("vocabulary").alias("at", "word")).join(dictionary.select("lang", "word", "id"), ["lang", "word"])
-    known = own.groupBy("chunk").agg(F.collect_list(F.struct("at", "id")).alias("known"))
+    own = cut.select("chunk", "lang", F.posexplode("vocabulary").alias("at", "word")).join(dictionary.select("lang", "word", "id"), ["lang", "word"], "left")
+    known = _listed(own.select("chunk", "at", F.coalesce("id", F.lit(0)).alias("id")))  # every word of the chunk, 0 for a rarer one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                known = batch.column(2).slice(row, 1).flatten()
-                local = np.frombuffer(batch.column(0)[row].as_py(), "<u4" if batch.column(1)[row].as_py() else "<u2")
-                ids = np.zeros(int(local.max()) + 1, np.uint32)
-                ids[known.field(0).to_numpy() + 1] = known.field(1).to_numpy()
-                out = ids[local]
+            for raw, wide, known in zip(*batch.columns, strict=True):
+                local = np.frombuffer(raw.as_buffer(), "<u4" if wide.as_py() else "<u2")
+                out = np.append(np.zeros(1, "<u4"), np.frombuffer(known.as_buffer(), "<u4"))[local]
                 out = out[(out != 0) | (np.append(out[1:], 0) != 0)]  # one 0 is enough
-                yield pa.RecordBatch.from_arrays([pa.array([out.astype("<u4").tobytes()], pa.binary())], ["ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["ids"])
 
     return cut.select("chunk", "ids", "wide").join(known, "chunk").select("ids", "wide", "known").mapInArrow(run, "ids binary")
 
