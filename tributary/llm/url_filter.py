@@ -2,8 +2,9 @@
 
 A listed rule fits its host, all subdomains, and paths that start with the rule's; the longest one decides. Other URLs
 are judged by rules "these tokens together -> bad" that FP-growth mines from labelled URLs, pruned by support, by confidence and by
-lift, the confidence above the share of bad URLs. Tokens that occur in just the same labelled URLs are one item, which keeps long URLs that are repeated often
-from having all subsets of their tokens mined; any token of an item stands for it. Every mined rule is filed under its rarest item (an inverted index);
+lift, the confidence above the share of bad URLs. Only minimal rules are kept, as a longer one matches nothing more. Before mining, what can't be part of a minimal rule of several tokens goes: tokens that are a
+rule alone, and tokens that stand beside bad too seldom. Tokens that occur in just the same labelled URLs are one item; any token of an item stands for it. So long bad URLs whose
+tokens nearly always come together aren't mined for all subsets of them. Every mined rule is filed under its rarest item (an inverted index);
 distinct URLs meet the rules by an equi-join on items and are then compared with the whole rule.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no rule, and is allowed. Repeated rows are
@@ -73,31 +74,42 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, confidence: float = CONFIDENCE, support: float = SUPPORT, min_rows: int = MIN_ROWS, lift: float = LIFT) -> tuple[DataFrame, DataFrame]:
-    """(rules, items) from (url, bad boolean): (needs array of items, key, confidence, lift, rows), key being the rarest item, and (token, item) of the tokens used."""
-    rows = materialise(labelled.select(F.monotonically_increasing_id().alias("row"), tokens(F.col("url")).alias("tokens"), "bad"), "labelled")
+    """(rules, items) from (url, bad boolean): the minimal rules (needs array of items, key, confidence, lift, rows), key being the rarest item, and (token, item) of the tokens used."""
+    rows = materialise(labelled.select(F.monotonically_increasing_id().alias("row"), tokens(F.col("url")).alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad")), "labelled")
     n, n_bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     least = max(min_rows, support * n)
     each = rows.select("row", "bad", F.explode("tokens").alias("token"))
-    same = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("mark"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("mark2")).filter(F.col("uses") >= least)
+    same = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"), F.count_if("bad").alias("hits"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("mark"), F.sum(F.xxhash64("row", F.lit(1)).cast("decimal(38,0)")).alias("mark2")).filter(F.col("uses") >= least)
     same = materialise(same, "tokens")
     first = same.groupBy("uses", "mark", "mark2").agg(F.min("token").alias("item"))
-    items = materialise(same.join(first, ["uses", "mark", "mark2"]).select("token", "item", "uses"), "items")
-    if n_bad == 0 or items.isEmpty():
-        none = items.select(F.array("item").alias("needs"), F.col("item").alias("key"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("lift"), F.lit(0).cast("long").alias("rows")).limit(0)
-        return none, items.select("token", "item")
-    used = each.join(items.filter("token = item").select("token"), "token").groupBy("row").agg(F.collect_set("token").alias("items"), F.first("bad").alias("bad"))
-    baskets = used.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
-    baskets = materialise(baskets, "baskets")
-    held = baskets.count()
-    if held == 0:
-        return mine(labelled.limit(0), confidence, support, min_rows, lift)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / held), minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
-    above = F.col("confidence") / (n_bad / n)
-    keyed = rules.withColumn("rule", F.monotonically_increasing_id()).select("rule", F.col("antecedent").alias("needs"), "confidence", above.alias("lift"), F.round(F.col("support") * held).cast("long").alias("rows")).filter(F.col("lift") >= lift)
-    keyed = materialise(keyed, "rules")
-    rarest = keyed.select("rule", F.explode("needs").alias("item")).join(items.filter("token = item").select("item", "uses"), "item").groupBy("rule").agg(F.min_by("item", F.struct("uses", "item")).alias("key"))
-    return materialise(keyed.join(rarest, "rule").select("needs", "key", "confidence", "lift", "rows"), "index"), items.select("token", "item")
+    items = materialise(same.join(first, ["uses", "mark", "mark2"]).select("token", "item", "uses", "hits"), "items")
+    share = n_bad / n if n_bad else 1.0
+    lone = items.filter("token = item").withColumns({"confidence": F.col("hits") / F.col("uses"), "lift": F.col("hits") / F.col("uses") / share})
+    holds = (F.col("hits") >= least) & (F.col("confidence") >= confidence) & (F.col("lift") >= lift)
+    single = lone.filter(holds).select(F.array("item").alias("needs"), "confidence", "lift", F.col("hits").alias("rows"))
+    part = materialise(lone.filter((F.col("hits") >= least) & ~holds).select(F.col("item").alias("token")), "parts")
+    if n_bad == 0 or part.isEmpty():
+        mined = single
+    else:
+        used = each.join(part, "token").groupBy("row").agg(F.collect_set("token").alias("items"), F.first("bad").alias("bad"))
+        baskets = materialise(used.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")), "baskets")
+        held = baskets.count()
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / held), minConfidence=confidence).fit(baskets)
+        rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
+        several = rules.select(F.col("antecedent").alias("needs"), "confidence", (F.col("confidence") / share).alias("lift"), F.round(F.col("support") * held).cast("long").alias("rows")).filter(F.col("lift") >= lift)
+        mined = single.unionByName(several)
+    keyed = materialise(mined.withColumn("rule", F.monotonically_increasing_id()), "rules")
+    rarest = keyed.select("rule", F.explode("needs").alias("item")).join(lone.select("item", "uses"), "item").groupBy("rule").agg(F.min_by("item", F.struct("uses", "item")).alias("key"))
+    index = materialise(keyed.join(rarest, "rule"), "index")
+    return materialise(minimal(index), "minimal"), items.select("token", "item")
+
+
+def minimal(rules: DataFrame) -> DataFrame:
+    """The rules (rule, needs, key, ...) without those that hold all items of a shorter one."""
+    short = rules.select(F.col("key").alias("item"), F.col("needs").alias("part"))
+    holds = rules.select("rule", "needs", F.explode("needs").alias("item")).join(short, "item")
+    more = holds.filter((F.size("part") < F.size("needs")) & (F.size(F.array_except("part", "needs")) == 0)).select("rule").distinct()
+    return rules.join(more, "rule", "left_anti").select("needs", "key", "confidence", "lift", "rows")
 
 
 def matched(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
