@@ -9,9 +9,10 @@ A band is one minimum. If a window holds a share ``s`` of a template's n shingle
 least J = s n / (2 * 2^c + (1 - s) n), so ``bands`` is set to make 1 - (1 - J)^bands at least ``recall`` for the worst template.
 A retrieved template is verified by its own shingles, as words: containment of ``min_share`` or more in the window is a match. The orders of shingles that
 give the minima are products with odd numbers of well mixed hashes, not a proved min-wise family; the tests measure the recall they give.
-Templates are a list of at most ``MAX_TEMPLATES``, given as names and texts or as a table of them, and travel with the task. Those built in are short public notices.
+Templates are a list of at most ``MAX_TEMPLATES``, given as names and texts or as a table of them. Their bands are made once, on the driver, and travel with the task as one sorted array of minima with the template
+of each; a window's minima are first looked up in a bitmap of their leading bits, and only those found there in the array, so the work of a text doesn't grow with the templates. Those built in are short public notices.
 
-Defined results: a null or empty text has no match. The span of a match runs from the first to the last shingle found. Overlapping spans of one template
+Defined results: a null or empty text has no match. A template without words, null or empty, matches nothing; a null name counts as the empty name; texts under one name are so many wordings of one licence. Without templates there is no match. The span of a match runs from the first to the last shingle found. Overlapping spans of one template
 are merged; matches of one place are ordered by name; repeated rows are scanned alike. A long text is scanned in overlapping parts of ``BLOCK`` shingles, none is cut. An empty
 table gives an empty result; extra columns are ignored, whatever their names.
 """
@@ -19,8 +20,9 @@ table gives an empty result; extra columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -80,40 +82,72 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Template:
     name: str
     size: int  # words of a shingle
-    shingles: frozenset[tuple[str, ...]]
+    words: list[str]
+    count: int  # distinct shingles
     level: int  # class
 
     @classmethod
-    def of(cls, name: str, text: str, words: int = WORDS) -> Template:
-        ws, _ = words_of(text)
+    def of(cls, name: str | None, text: str | None, words: int = WORDS) -> Template | None:
+        """None for a text without words."""
+        ws, _ = words_of(text or "")
         if not ws:
-            raise ValueError(f"template {name} has no word")
+            return None
         size = min(words, len(ws))
-        shingles = frozenset(tuple(ws[i : i + size]) for i in range(len(ws) - size + 1))
-        return cls(name, size, shingles, max(0, (len(ws) - size).bit_length()))
+        return cls(name or "", size, ws, len({tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)}), max(0, (len(ws) - size).bit_length()))
+
+    @cached_property
+    def shingles(self) -> frozenset[tuple[str, ...]]:
+        return frozenset(tuple(self.words[i : i + self.size]) for i in range(len(self.words) - self.size + 1))
 
 
 def bands_for(templates: list[Template], share: float, recall: float) -> int:
     """Bands of one row each so that any window with ``share`` of a template collides with probability ``recall``."""
-    least = min(share * len(t.shingles) / (2 * (1 << t.level) + (1 - share) * len(t.shingles)) for t in templates)
-    return math.ceil(math.log(1 - recall) / math.log(1 - least))
+    least = min((share * t.count / (2 * (1 << t.level) + (1 - share) * t.count) for t in templates), default=1.0)
+    return math.ceil(math.log(1 - recall) / math.log(1 - least)) if least < 1 else 1
+
+
+class BandIndex:
+    """The minima of templates of one class in order, each with its template, behind a bitmap of leading bits."""
+
+    def __init__(self, minima: np.ndarray, templates: list[int]):
+        values = minima.ravel()
+        order = np.argsort(values, kind="stable")
+        self.values = values[order]
+        self.owner = np.repeat(np.array(templates, np.int32), minima.shape[1])[order]
+        self.shift = np.uint64(64 - min(24, max(12, (16 * len(values)).bit_length())))
+        self.bitmap = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bitmap[(self.values >> self.shift).astype(np.int64)] = True
+
+    def found(self, windows: np.ndarray) -> list[tuple[int, int]]:
+        """(window, template), in order, where they have a minimum in common; ``windows``: (n, bands)."""
+        at = np.flatnonzero(self.bitmap[(windows >> self.shift).astype(np.int64)].ravel())
+        if not len(at):
+            return []
+        some = windows.ravel()[at]
+        low, high = np.searchsorted(self.values, some, "left"), np.searchsorted(self.values, some, "right")
+        many = high - low
+        ends = np.cumsum(many)
+        owner = self.owner[np.arange(ends[-1]) + np.repeat(low - ends + many, many)]
+        return sorted(set(zip(np.repeat(at // windows.shape[1], many).tolist(), owner.tolist(), strict=True)))
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], min_share: float = MIN_SHARE, recall: float = RECALL, words: int = WORDS):
-        self.templates = [Template.of(k, v, words) for k, v in templates.items()]
+    def __init__(self, templates: Mapping[str, str] | Iterable[tuple[str | None, str | None]], min_share: float = MIN_SHARE, recall: float = RECALL, words: int = WORDS):
+        named = templates.items() if isinstance(templates, Mapping) else templates
+        self.templates = [t for t in (Template.of(k, v, words) for k, v in named) if t]
         self.min_share = min_share
         self.bands = bands_for(self.templates, min_share, recall)
         rng = np.random.default_rng(11)
         self.odd = rng.integers(0, 1 << 63, self.bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.index: dict[tuple[int, int], list[tuple[np.ndarray, Template]]] = {}
-        for t in self.templates:
-            hashes = np.array([shingle_hashes(word_hashes(list(s)), t.size)[0] for s in t.shingles], np.uint64)
-            self.index.setdefault((t.size, t.level), []).append((self.minima(hashes, np.array([0]))[0], t))
+        classes: dict[tuple[int, int], list[int]] = {}
+        for i, t in enumerate(self.templates):
+            classes.setdefault((t.size, t.level), []).append(i)
+        signature = lambda t: self.minima(shingle_hashes(word_hashes(t.words), t.size), np.array([0]))
+        self.index = {key: BandIndex(np.concatenate([signature(self.templates[i]) for i in rows]), rows) for key, rows in classes.items()}
 
     def minima(self, shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """(blocks, bands) minima of the shingles from each start to the next."""
@@ -144,7 +178,7 @@ class Scanner:
         return sorted(out, key=lambda m: (m[1], m[2], m[0]))
 
     def _scan_size(self, size: int, shingles: np.ndarray, words: list[str], hits: dict) -> None:
-        levels = {level: rows for (s, level), rows in self.index.items() if s == size}
+        levels = {level: index for (s, level), index in self.index.items() if s == size}
         low, high = min(levels), max(levels)
         for at in range(0, len(shingles), BLOCK):
             part = shingles[at : at + BLOCK + (4 << high)]  # windows across the cut lie wholly in the left part
@@ -156,9 +190,8 @@ class Scanner:
                     blocks = np.minimum(blocks[::2], blocks[1::2])
                 if level in levels:
                     window = np.minimum(blocks, np.concatenate([blocks[1:], blocks[-1:]]))
-                    for signature, t in levels[level]:
-                        for w in np.flatnonzero((window == signature).any(axis=1)).tolist():
-                            self._verify(t, at + (w << level), 2 << level, words, hits)
+                    for w, t in levels[level].found(window):
+                        self._verify(self.templates[t], at + (w << level), 2 << level, words, hits)
 
     def _verify(self, t: Template, first: int, width: int, words: list[str], hits: dict) -> None:
         last = min(first + width, len(words) - t.size + 1)
@@ -169,25 +202,26 @@ class Scanner:
             if s in t.shingles:
                 places.setdefault(s, i)
                 spots.append(i)
-        share = len(places) / len(t.shingles)
+        share = len(places) / t.count
         if share >= self.min_share:
             hits.setdefault(t.name, []).append((spots[0], spots[-1] + t.size - 1, share))
 
 
-def templates_of(table: DataFrame) -> dict[str, str]:
+def templates_of(table: DataFrame) -> list[tuple[str | None, str | None]]:
     """Templates from a table (name, text); more than ``MAX_TEMPLATES`` are an error."""
     rows = table.select("name", "text").limit(MAX_TEMPLATES + 1).collect()
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    return {r["name"]: r["text"] for r in rows}
+    return [(r["name"], r["text"]) for r in rows]
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, min_share: float = MIN_SHARE) -> DataFrame:
+def scan(docs: DataFrame, templates: Mapping[str, str] | DataFrame | None = None, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per match: (doc_id, license, start, end, containment)."""
-    named = dict(TEMPLATES) if templates is None else templates_of(templates) if isinstance(templates, DataFrame) else dict(templates)
+    scanner = Scanner(TEMPLATES if templates is None else templates_of(templates) if isinstance(templates, DataFrame) else templates, min_share)
+    shared = docs.sparkSession.sparkContext.broadcast(scanner)  # at most ``MAX_TEMPLATES`` texts and their minima
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(named, min_share)
+        scanner = shared.value
         for batch in batches:
             rows = [(doc, *m) for doc, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in scanner.scan(t.as_py())]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
