@@ -1,13 +1,14 @@
 """Sharding by fixed virtual slots and a stored, versioned slot-to-shard map.
 
-Every record is hashed into one of ``slots`` virtual slots, which never change. Bytes are aggregated per
+Every record is hashed by its id and text into one of ``slots`` virtual slots, which never change; rows that repeat one record are dealt to slots of their own, so no slot holds more than
+its share whatever repeats. Bytes are aggregated per
 slot, and only the map from slots to shards, a few thousand rows, is planned on the driver. The map is
 stored with a version; ``rebalance`` edits it slot by slot, so that a new version moves few records. The
 law that holds is ``bytes``: sums of sizes per shard are near equal.
 
 Defined results: size is the UTF-8 length of the text plus ``OVERHEAD``; a null text has no bytes. A null
-id is replaced by the hash of the text. Repeated rows all keep their own place. An empty table gives an
-empty result, extra columns are ignored.
+id leaves the text to be hashed. Repeated rows all keep their own place; ties within a slot go by id, checksum and size, and rows that tie in all are alike. A long text is one record of its size. An empty table gives an
+empty result, extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table
+from .common import materialise, shared_dir, table
 
 SLOTS, SHARDS, OVERHEAD = 4096, 40, 16
 MAP_SCHEMA = "version int, slot int, shard int, slot_bytes long, slot_rows long, first long"
@@ -28,13 +29,20 @@ MAP_SCHEMA = "version int, slot int, shard int, slot_bytes long, slot_rows long,
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, vslot) of each row."""
     text = F.coalesce("text", F.lit(""))
-    key = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), text))
-    return docs.select(
+    base = docs.select(
         "doc_id",
         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(key, F.lit(slots)).cast("int").alias("vslot"),
+        F.xxhash64("doc_id", F.xxhash64(text)).alias("record"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    base = materialise(base, "records")
+    repeated = materialise(base.groupBy("record").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("record", F.lit(True).alias("again")), "repeated")
+    key = F.col("record")
+    if not repeated.isEmpty():
+        base = base.join(repeated, "record", "left")
+        key = F.when(F.col("again"), F.xxhash64("record", "row")).otherwise(key)
+    return base.select("doc_id", "size", "text_crc32", F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
 
 
 def slot_weights(rows: DataFrame) -> list[tuple[int, int, int]]:
