@@ -197,6 +197,17 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_sharding_of_repeated_rows(spark):
+    """Half of all rows under one id, a quarter of them null ids, with equal and with different texts: shards stay near equal."""
+    rows = [(7, f"text {i % 900}") for i in range(2000)] + [(8, "same text")] * 1000 + [(None, None)] * 500 + [(None, "x")] * 500
+    placed = sharding.slotted(docs(spark, rows), 512)
+    weights = sharding.slot_weights(placed)
+    load = defaultdict(int)
+    for slot, s in sharding.plan(weights, 10).items():
+        load[s] += dict((k, b) for k, b, _ in weights)[slot]
+    assert sum(n for _, _, n in weights) == len(rows) and max(load.values()) <= 1.05 * min(load.values()) and max(n for _, _, n in weights) < 40
+
+
 def test_sharding(spark, tmp_path):
     rows = [(i, "x" * (i * 37 % 900)) for i in range(3000)] + [(5, "x"), (5, "x"), (None, "y"), (None, None)]
     rows_df = sharding.slotted(docs(spark, rows), 512)

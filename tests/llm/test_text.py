@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -224,6 +225,21 @@ def test_license_scan(spark):
     assert license_scan.scan(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_odd_and_many_templates(spark):
+    """Null, empty and wordless templates, two texts under one name, none at all, and more than the bitmap tells apart."""
+    rows = [(1, "zz red green blue black white zz"), (2, "zz one two three four five six zz"), (3, None)]
+    table = lambda *r: spark.createDataFrame(list(r), "name string, text string")
+    assert license_scan.scan(docs(spark, rows), table()).count() == 0 and license_scan.scan(docs(spark, rows), table(("a", None), ("b", ""), ("c", " .- "))).count() == 0
+    got = license_scan.scan(docs(spark, rows), table(("L", "red green blue black white"), ("L", "one two three four five six"), ("M", None), (None, "green blue"))).collect()
+    assert {(r.doc_id, r.license, r.start, r.end) for r in got} == {(1, "L", 3, 29), (2, "L", 3, 30), (1, "", 7, 17)}
+    rng = random.Random(2)
+    many = [(f"t{i}", " ".join(f"v{rng.randrange(400)}" for _ in range(12))) for i in range(3000)]
+    scanner = license_scan.Scanner(many)
+    text = " ".join(f"v{rng.randrange(400)}" for _ in range(3000)) + " " + many[77][1] + " tail " + many[2500][1]
+    began = time.perf_counter()
+    assert {m[0] for m in scanner.scan(text)} == {"t77", "t2500"} and time.perf_counter() - began < 5
+
+
 def test_url_filter(spark):
     from tributary.llm import url_filter
 
@@ -264,8 +280,8 @@ def test_mined_rules_equal_counting_all_subsets(spark):
             for some in combinations(sorted(items), k):
                 both = set.intersection(*(items[x] for x in some))
                 hits = sum(rows[i][1] for i in both)
-                if hits >= min_rows and hits / len(both) >= confidence and hits / len(both) / share >= 1.5:
-                    want[frozenset(some)] = (round(hits / len(both), 9), hits)
+                if hits >= min_rows and hits / len(both) >= confidence and hits / len(both) / share >= 1.5 and not any(rule < set(some) for rule in want):
+                    want[frozenset(some)] = (round(hits / len(both), 9), hits)  # shorter sets come first, so only minimal ones stay
         rules, index = url_filter.mine(df, confidence, 0.0, min_rows)
         assert {frozenset(r.needs): (round(r.confidence, 9), r.rows) for r in rules.collect()} == want and want
         held = {r.token: r.item for r in index.collect()}
@@ -273,6 +289,21 @@ def test_mined_rules_equal_counting_all_subsets(spark):
         assert {r.url for r in url_filter.matched(df.select("url"), rules, index).collect()} == fits and fits
 
 
+def test_tokens_that_nearly_always_come_together(spark):
+    """Forty path tokens, each missing from one of the bad URLs, and sets of two tokens that only together are bad."""
+    from tributary.llm import url_filter
+
+    parts = [f"part{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    rows = [("http://long.fr/" + "/".join(p for p in parts if p != gone), True) for gone in [*parts, None, None]]
+    rows += [(f"http://plain.fr/{a}/{b}", a == "left" and b == "right") for a in ("left", "other") for b in ("right", "else") for _ in range(30)] + [("http://clean.fr/x", False)] * 100
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    began = time.perf_counter()
+    rules, index = url_filter.mine(df, 0.8, 0.0, 8)
+    found = {frozenset(r.needs) for r in rules.collect()}
+    assert time.perf_counter() - began < 60 and {"path:left", "path:right"} in found and {f"path:{parts[3]}"} in found
+    assert {r.url for r in url_filter.matched(df.select("url"), rules, index).collect()} == {u for u, bad in rows if bad}
+
+
 def test_listed_rules_equal_plain_matching(spark):
     from tributary.llm import url_filter
 

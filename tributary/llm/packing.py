@@ -101,10 +101,14 @@ def gathered(pool: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarr
     return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)]
 
 
+PROBE = "The quick-brown FOX's 42 jumps,\tover 3.5% of it!? don't (ÀÉ\u00a0x) ..."
+
+
 class WordTokenizer:
     """Ids of whole texts, many at a time, through a cache of the ids of runs of letters and of signs.
 
-    The tokenizer must lower-case, drop white space, never join across it, split letters from signs and take digits one by one. The bytes of
+    Strings of special tokens in a text are ordinary text (``encode_special_tokens``, as the vocabulary's notes have it), so a text can't close a document.
+    The tokenizer must lower-case, drop white space, never join across it, split letters from signs and take digits one by one; one that codes ``PROBE`` otherwise is refused. The bytes of
     a chunk are cut into runs as a whole, equal runs are found by Arrow's dictionary, and only runs not seen before are merged, many side by side, by the merges of the
     tokenizer's file. Words with any other character go through the tokenizer itself.
     """
@@ -124,6 +128,9 @@ class WordTokenizer:
         self.inner = np.array([vocabulary[c] for c in signs], np.int32)
         self.last = np.array([vocabulary[c + "</w>"] for c in signs], np.int32)
         self._forget()
+        probe = np.frombuffer(PROBE.encode(), np.uint8)
+        if self.encode(probe, np.zeros(1, np.int64))[0].tolist() != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path} isn't a tokenizer of lower-case words")
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
