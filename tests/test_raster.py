@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,60 @@ def test_clip_and_mosaic(spark):
 def test_rotated_grid_is_refused(spark):
     with pytest.raises(ValueError):
         raster.zone_runs(box_layer(spark, [(1, 0.0, 0.0, 1.0, 1.0)]), UNIT | {"b": 0.1})
+
+
+def utm(lon, lat):
+    """Easting and northing in plain numbers."""
+    from tributary.functions import crs
+
+    phi, lam = math.radians(lat), math.radians(lon - 105)
+    s = math.sin(phi)
+    t = math.sinh(math.atanh(s) - crs.E * math.atanh(crs.E * s))
+    xi, eta = math.atan2(t, math.cos(lam)), math.atanh(math.sin(lam) / math.sqrt(1 + t * t))
+    x = eta + sum(a * math.cos(2 * j * xi) * math.sinh(2 * j * eta) for j, a in enumerate(crs.FORWARD, 1))
+    y = xi + sum(a * math.sin(2 * j * xi) * math.cosh(2 * j * eta) for j, a in enumerate(crs.FORWARD, 1))
+    return crs.FALSE_EASTING + crs.SCALE * crs.RADIUS * x, crs.SCALE * crs.RADIUS * y
+
+
+def test_warp_pixel_by_pixel(spark):
+    """A field that is linear in degrees is met again at each metric centre; the inverse is found by Newton's steps."""
+    source = {"a": 0.001, "b": 0.0002, "c": 105.3, "d": -0.0001, "e": -0.001, "f": 21.2}  # turned a little
+    value = lambda lon, lat: 1000 * (lon - 105) + 300 * (lat - 21)
+    centre = lambda r, c: (source["c"] + (c + 0.5) * source["a"] + (r + 0.5) * source["b"], source["f"] + (c + 0.5) * source["d"] + (r + 0.5) * source["e"])
+    pixels = spark.createDataFrame([(0, r, c, value(*centre(r, c)), True) for r in range(60) for c in range(60)], "raster_id long, row int, col int, value double, valid boolean")
+    grid, height, width = raster.warp_grid(spark, source, 60, 60, 250.0)
+    shape = raster.cells_of(spark, range(height), range(width))
+    got = {(r.row, r.col): r.value for r in raster.resample_bilinear(pixels, source, shape, grid, "EPSG:32648", "EPSG:4326").collect()}
+    inside = 0
+    for (r, c), v in got.items():
+        x, y = grid["c"] + (c + 0.5) * 250, grid["f"] - (r + 0.5) * 250
+        lon, lat = 105.3, 21.2
+        for _ in range(12):
+            e, n = utm(lon, lat)
+            lon, lat = lon + (x - e) / 104_000, lat + (y - n) / 110_700
+        det = source["a"] * source["e"] - source["b"] * source["d"]
+        u, w = (source["e"] * (lon - source["c"]) - source["b"] * (lat - source["f"])) / det - 0.5, (source["a"] * (lat - source["f"]) - source["d"] * (lon - source["c"])) / det - 0.5
+        if 0.01 < u < 58.99 and 0.01 < w < 58.99:
+            inside += 1
+            assert v == pytest.approx(value(lon, lat), abs=1e-4)
+        elif not (-1.01 < u < 60.01 and -1.01 < w < 60.01):
+            assert v is None
+    assert len(got) == height * width and inside > 400
+    for r, c in ((0, 0), (0, 60), (60, 0), (60, 60)):  # the grid holds the source's corners
+        x, y = utm(source["c"] + c * source["a"] + r * source["b"], source["f"] + c * source["d"] + r * source["e"])
+        assert grid["c"] - 1e-6 <= x <= grid["c"] + width * 250 + 1e-6 and grid["f"] - height * 250 - 1e-6 <= y <= grid["f"] + 1e-6
+
+
+def test_mosaic_clip_refuses(spark):
+    tiles = pixel_table(spark, [[1, 2], [3, 4]])
+    area = box_layer(spark, [(1, 0.0, 60.0, 60.0, 120.0)])
+    out, grid = raster.mosaic_clip(tiles, area, GRID)
+    assert {(r.row, r.col): r.value for r in out.collect()} == {(0, 0): 1.0, (0, 1): 2.0, (1, 0): 3.0, (1, 1): 4.0} and grid["f"] == 120.0
+    with pytest.raises(ValueError, match="no tiles"):
+        raster.mosaic_clip(tiles.limit(0), area, GRID)
+    with pytest.raises(ValueError, match="valid raster"):
+        raster.mosaic_clip(tiles, box_layer(spark, [(1, 5000.0, 60.0, 6000.0, 120.0)]), GRID)
+    with pytest.raises(ValueError, match="valid raster"):
+        raster.mosaic_clip(tiles, area, GRID, resolution=(100.0, 200.0))
+    with pytest.raises(ValueError, match="target grid"):
+        raster.mosaic_clip(tiles, area, GRID, source_crs="EPSG:4326")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 A, INVERSE_FLATTENING = 6378137.0, 298.257223563
@@ -55,3 +55,46 @@ def utm_to_geographic(east: Column, north: Column, meridian: float = 105.0) -> t
     for j, d in enumerate(LATITUDE, 1):
         lat = lat + d * F.sin(2 * j * chi)
     return meridian + F.degrees(F.atan2(F.sinh(x), F.cos(y))), F.degrees(lat)
+
+
+def meridian_of(crs: str) -> float | None:
+    """The central meridian of a UTM zone north (EPSG:32601 to 32660), null for geographic coordinates (EPSG:4326); others are an error."""
+    if crs == "EPSG:4326":
+        return None
+    code = int(crs.removeprefix("EPSG:")) if crs.startswith("EPSG:") and crs[5:].isdigit() else 0
+    if not 32601 <= code <= 32660:
+        raise ValueError(f"no change of coordinates for {crs}")
+    return 6.0 * (code - 32600) - 183.0
+
+
+def transformed(df: DataFrame, x: str, y: str, source: str, target: str) -> DataFrame:
+    """``df`` with its columns ``x`` and ``y`` in another system; longitude comes first.
+
+    The inverse series are columns one upon the other, as each stands in many terms of the next: in one expression they would be written out anew each time.
+    """
+    if source == target:
+        return df
+    a, b = meridian_of(source), meridian_of(target)
+    if a is not None:
+        xi, eta = F.col("__xi"), F.col("__eta")
+        df = df.withColumns({"__xi": F.col(y) / (SCALE * RADIUS), "__eta": (F.col(x) - FALSE_EASTING) / (SCALE * RADIUS)})
+        up, across = xi, eta
+        for j, c in enumerate(INVERSE, 1):
+            up = up - c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+            across = across - c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+        df = df.withColumns({"__up": up, "__across": across})
+        df = df.withColumn("__chi", F.asin(F.sin("__up") / F.cosh("__across")))
+        lat = F.col("__chi")
+        for j, d in enumerate(LATITUDE, 1):
+            lat = lat + d * F.sin(2 * j * F.col("__chi"))
+        df = df.withColumns({x: a + F.degrees(F.atan2(F.sinh("__across"), F.cos("__up"))), y: F.degrees(lat)}).drop("__xi", "__eta", "__up", "__across", "__chi")
+    if b is not None:
+        t = F.sinh(F.atanh(F.sin(F.radians(y))) - E * F.atanh(E * F.sin(F.radians(y))))
+        df = df.withColumns({"__t": t, "__lam": F.radians(F.col(x) - b)})
+        df = df.withColumns({"__xi": F.atan2(F.col("__t"), F.cos("__lam")), "__eta": F.atanh(F.sin("__lam") / F.sqrt(1 + F.col("__t") * F.col("__t")))})
+        up, across = F.col("__xi"), F.col("__eta")
+        for j, c in enumerate(FORWARD, 1):
+            up = up + c * F.sin(2 * j * F.col("__xi")) * F.cosh(2 * j * F.col("__eta"))
+            across = across + c * F.cos(2 * j * F.col("__xi")) * F.sinh(2 * j * F.col("__eta"))
+        df = df.withColumns({x: FALSE_EASTING + SCALE * RADIUS * across, y: SCALE * RADIUS * up}).drop("__t", "__lam", "__xi", "__eta")
+    return df

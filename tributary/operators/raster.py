@@ -2,14 +2,18 @@
 
 Zones reach pixels as runs: each zone edge is intersected with the rows of pixel centres it crosses, crossings of a row are
 paired, and a run of columns meets the pixels by an equi-join on (row, tile). The work is in the number of edge rows
-and of pixels covered, not in pixels times edges. Grids must be north-up (b = d = 0) for this.
+and of pixels covered, not in pixels times edges. Grids must be north-up (b = d = 0) for this; resampling takes any.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.crs import transformed
+from ..sources.scratch import materialise
 from .geometry import EPS, bounds
 
 TILE = 256
@@ -120,24 +124,34 @@ def mosaic(tiles: DataFrame, order: str = "raster_id", values: tuple[str, ...] =
     return first.select("row", "col", *[F.when(F.col("valid"), F.col(f"v.{c}")).alias(c) for c in values], "valid")
 
 
-def _targets(shape: DataFrame, grid: Grid, source: Grid) -> DataFrame:
-    """Target pixels (raster_id, row, col) with their centres in source coordinates (u, v): columns and rows with fractions."""
-    at = pixel_centers(shape, grid)
-    return at.withColumns({"u": (F.col("px") - source["c"]) / source["a"] - 0.5, "v": (F.col("py") - source["f"]) / source["e"] - 0.5}).drop("px", "py")
+METRIC = "EPSG:32648"
+
 
+def _targets(shape: DataFrame, grid: Grid, source: Grid, crs: str, source_crs: str) -> DataFrame:
+    """Target pixels (raster_id, row, col) with their centres in the source's columns and rows (u, v), with fractions; 0 is the centre of the first. Either grid may be turned."""
+    det = source["a"] * source["e"] - source["b"] * source["d"]
+    if det == 0:
+        raise ValueError("a grid without area")
+    at = transformed(pixel_centers(shape, grid), "px", "py", crs, source_crs).withColumns({"px": F.col("px") - source["c"], "py": F.col("py") - source["f"]})
+    u = (source["e"] * F.col("px") - source["b"] * F.col("py")) / det - 0.5
+    v = (source["a"] * F.col("py") - source["d"] * F.col("px")) / det - 0.5
+    placed = at.withColumns({"u": u, "v": v}).drop("px", "py")
+    return placed if crs == source_crs else materialise(placed, "targets")  # the series are worked out once, in a stage of their own
 
-def resample_nearest(pixels: DataFrame, source: Grid, shape: DataFrame, grid: Grid) -> DataFrame:
-    """``shape`` (raster_id, row, col) with the value and validity of the source pixel its centre lies in; codes stay as they are."""
-    _north_up(source)
-    want = _targets(shape, grid, source).withColumns({"srow": F.floor(F.col("v") + 0.5), "scol": F.floor(F.col("u") + 0.5)}).drop("u", "v")
+
+def resample_nearest(pixels: DataFrame, source: Grid, shape: DataFrame, grid: Grid, crs: str = METRIC, source_crs: str = METRIC) -> DataFrame:
+    """``shape`` (raster_id, row, col) with the value and validity of the source pixel its centre lies in; codes stay as they are. ``crs`` is that of ``grid``."""
+    want = _targets(shape, grid, source, crs, source_crs).withColumns({"srow": F.floor(F.col("v") + 0.5), "scol": F.floor(F.col("u") + 0.5)}).drop("u", "v")
     own = pixels.withColumnsRenamed({"row": "srow", "col": "scol"})
     return want.join(own, ["raster_id", "srow", "scol"], "left").drop("srow", "scol").withColumn("valid", F.coalesce("valid", F.lit(False)))
 
 
-def resample_bilinear(pixels: DataFrame, source: Grid, shape: DataFrame, grid: Grid) -> DataFrame:
-    """``shape`` with the value interpolated between four neighbours, weights renormalised over the valid ones; invalid where none is."""
-    _north_up(source)
-    want = _targets(shape, grid, source)
+def resample_bilinear(pixels: DataFrame, source: Grid, shape: DataFrame, grid: Grid, crs: str = METRIC, source_crs: str = METRIC) -> DataFrame:
+    """``shape`` with the value interpolated between four neighbours, weights renormalised over the valid ones; invalid where none is. ``crs`` is that of ``grid``.
+
+    The centre of each target pixel goes through the inverse change of coordinates to rows and columns of the source; its four neighbours come by one equi-join.
+    """
+    want = _targets(shape, grid, source, crs, source_crs)
     corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("n")
     near = want.select(*KEY, "u", "v", corner).select(*KEY, (F.floor("v") + F.col("n.i")).alias("srow"), (F.floor("u") + F.col("n.j")).alias("scol"),
         (F.abs(1 - F.col("n.i") - (F.col("v") - F.floor("v"))) * F.abs(1 - F.col("n.j") - (F.col("u") - F.floor("u")))).alias("w"))
@@ -146,6 +160,26 @@ def resample_bilinear(pixels: DataFrame, source: Grid, shape: DataFrame, grid: G
     return got.withColumn("valid", F.col("value").isNotNull())
 
 
+OUTLINE = 21  # points along each side of a raster by which its bounds in other coordinates are found
+
+
+def warp_grid(spark: SparkSession, source: Grid, height: int, width: int, resolution: float, crs: str = METRIC, source_crs: str = "EPSG:4326") -> tuple[Grid, int, int]:
+    """(grid, height, width) north-up in ``crs`` with square pixels that holds a source raster: from the bounds of points along its outline."""
+    side = [F.lit(k / (OUTLINE - 1)) for k in range(OUTLINE)]
+    points = [(s, e) for s in side for e in (F.lit(0.0), F.lit(1.0))] + [(e, s) for s in side for e in (F.lit(0.0), F.lit(1.0))]
+    at = spark.range(1).select(F.explode(F.array(*[F.struct((u * width).alias("u"), (v * height).alias("v")) for u, v in points])).alias("p")).select("p.u", "p.v")
+    x, y = (source[c] + F.col("u") * source[a] + F.col("v") * source[b] for c, a, b in (("c", "a", "b"), ("f", "d", "e")))
+    box = transformed(at.select(x.alias("x"), y.alias("y")), "x", "y", source_crs, crs).agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")).first()  # one row
+    grid = {"a": resolution, "b": 0.0, "c": box["x0"], "d": 0.0, "e": -resolution, "f": box["y1"]}
+    return grid, math.ceil((box["y1"] - box["y0"]) / resolution - 1e-9), math.ceil((box["x1"] - box["x0"]) / resolution - 1e-9)
+
+
+def cells_of(spark: SparkSession, rows: range, cols: range, raster_id: int = 0) -> DataFrame:
+    """(raster_id, row, col) of all cells of a window, a row of cells a row of the range."""
+    each = F.explode(F.sequence(F.lit(cols.start), F.lit(cols.stop - 1))).alias("col")
+    return spark.range(rows.start, rows.stop).select(F.lit(raster_id).cast("long").alias("raster_id"), F.col("id").cast("int").alias("row"), each)
+
+
 def overviews(pixels: DataFrame, categorical: bool, factors: tuple[int, ...] = (2, 4, 8, 16), height: int = 100, width: int = 100) -> DataFrame:
     """(raster_id, factor, row, col, value, valid): levels whose factor fits both sides; the top-left pixel for classes, else the mean."""
     fit = [f for f in factors if f <= min(height, width)]
@@ -181,10 +215,34 @@ def validate_raster(pixels: DataFrame, grid: Grid, area: DataFrame, dtype: str =
     return out.select("raster_id", *checks, F.expr(" AND ".join(checks)).alias("passed"))
 
 
-def mosaic_clip(tiles: DataFrame, area: DataFrame, grid: Grid, nodata: float = -9999.0) -> tuple[DataFrame, Grid]:
-    """Mosaic of all tiles, cut to the area."""
-    whole = mosaic(tiles).withColumn("raster_id", F.lit(0).cast("long"))
-    return clip_pixels(whole.select(*KEY, "value", "valid"), area, grid, nodata)
+def window_of(area: DataFrame, grid: Grid) -> tuple[range, range]:
+    """Rows and columns of the area's bounds, snapped outward."""
+    _north_up(grid)
+    box = area.agg(*bounds()).first()  # one row
+    if box["xmin"] is None:
+        raise ValueError("an area without edges")
+    return (range(math.floor((box["ymax"] - grid["f"]) / grid["e"]), math.ceil((box["ymin"] - grid["f"]) / grid["e"])),
+            range(math.floor((box["xmin"] - grid["c"]) / grid["a"]), math.ceil((box["xmax"] - grid["c"]) / grid["a"])))
+
+
+def mosaic_clip(tiles: DataFrame, area: DataFrame, grid: Grid, nodata: float = -9999.0, target: Grid | None = None, crs: str = METRIC, source_crs: str = METRIC, resolution: tuple[float, float] = (1.0, 1000.0)) -> tuple[DataFrame, Grid]:
+    """Mosaic of all tiles, brought to the ``target`` grid if one is given, cut to the area and validated. The area is in ``crs``, that of the target; no tiles, or a result that isn't valid, is an error.
+
+    Only the cells of the area's window are made, and only the source pixels next to them are read.
+    """
+    if tiles.isEmpty():
+        raise ValueError("no tiles to mosaic")
+    whole = mosaic(tiles).withColumn("raster_id", F.lit(0).cast("long")).select(*KEY, "value", "valid")
+    if target is None and crs != source_crs:
+        raise ValueError("another coordinate system needs a target grid")
+    if target is not None:
+        whole, grid = resample_bilinear(whole, grid, cells_of(tiles.sparkSession, *window_of(area, target)), target, crs, source_crs), target
+    out, place = clip_pixels(whole, area, grid, nodata)
+    out = materialise(out, "mosaic")
+    passed = validate_raster(out, place, area, nodata=nodata, resolution=resolution).select("passed").collect()  # one raster
+    if not passed or not all(r["passed"] for r in passed):
+        raise ValueError("the mosaic isn't a valid raster of the area")
+    return out, place
 
 
 def read_blocks(blocks: DataFrame, side: int = 512, nodata: float | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import crs
 from ..operators import gates, raster, zonal
 from . import fixtures as X
 from .fixtures import sql
@@ -159,6 +160,25 @@ def bilinear(s, d):
     return rounded(raster.resample_bilinear(X.pixels(s, d), GRID, _shape(s, d), COARSE), "value", digits=5)
 
 
+GEOGRAPHIC = {"a": 1e-4, "b": 0.0, "c": 104.995, "d": 0.0, "e": -1e-4, "f": 21.005}  # about ten metres
+METRIC = {"a": 15.0, "b": 0.0, "c": 499500.0, "d": 0.0, "e": -15.0, "f": 2322680.0}
+
+
+def warped(s, d):
+    """Pixels in degrees brought to a metric grid, by row of the target."""
+    shape = X.pixels(s, d).filter("row < 60 AND col < 60").select("raster_id", "row", "col")
+    out = raster.resample_bilinear(X.pixels(s, d), GEOGRAPHIC, shape, METRIC, "EPSG:32648", "EPSG:4326")
+    return rounded(out.groupBy("raster_id", "row").agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid"), F.sum("value").alias("total")), "total", digits=2)
+
+
+def mosaic_warped(s, d):
+    """All rasters as tiles in degrees, brought to a metric grid and cut to an area of it."""
+    one = X.table(s, d, "nation").filter("n_nationkey = 0").select(F.lit(0).cast("long").alias("feature_id"))
+    area = X.boxes(one, "feature_id", *[F.lit(v) for v in (499600, 2321900, 500400, 2322600)])
+    out, place = raster.mosaic_clip(X.pixels(s, d), area, GEOGRAPHIC, target=METRIC, source_crs="EPSG:4326")
+    return rounded(out.agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid"), F.sum(F.when(F.col("valid"), F.col("value"))).alias("total"), F.lit(place["c"]).alias("c"), F.lit(place["f"]).alias("f")), "total", digits=2)
+
+
 def levels(s, d):
     return rounded(raster.overviews(X.pixels(s, d), categorical=False), "value", digits=5)
 
@@ -188,7 +208,7 @@ QUERIES = {
     "landcover_fractions": landcover, "join_pixels_zones": pixels_zones, "zonal_stats": zonal_statistics, "class_name": class_names, "pixel_centers": centers, "assign_pixels": assigned, "population_by_zone": population,
     "slope": slopes, "terrain_features": terrain, "soil_depth_weighted": soil, "soil_wide": soil_wide, "gate_soil_layers": soil_checks, "check_cube": cube_gaps, "drainage": drained, "stream_gradient": gradients, "sample_at": sampled, "coverage_ratio": coverage,
     "class_pixel_counts": class_counts, "check_vocabulary": vocabulary, "percentile_stretch": stretched, "clip_pixels": clipped, "mosaic": mosaicked, "mosaic_clip": mosaic_clipped, "resample_nearest": nearest,
-    "resample_bilinear": bilinear, "overviews": levels, "overviews_classes": class_levels, "cast_pixels": casted, "raster_info": info, "validate_raster": validated, "scale_soil": scaled,
+    "resample_bilinear": bilinear, "resample_warp": warped, "mosaic_clip_warp": mosaic_warped, "overviews": levels, "overviews_classes": class_levels, "cast_pixels": casted, "raster_info": info, "validate_raster": validated, "scale_soil": scaled,
 }
 
 ZP = f"zp AS (SELECT * FROM pixels JOIN zones ON {INSIDE})"
@@ -218,7 +238,26 @@ def filled(body: str, zeros: list[str], others: list[str]) -> str:
 
 
 MOSAIC = 'm AS (SELECT "row", col, min_by(value, raster_id) FILTER (valid) AS value, bool_or(valid) AS valid FROM pixels GROUP BY "row", col)'
+
+
+def utm_sql(cells: str) -> str:
+    """(..., u, v): columns and rows in degrees of metric cells (..., px, py), by the inverse series."""
+    xi, eta = f"(py / {crs.SCALE * crs.RADIUS!r}::DOUBLE)", f"((px - {crs.FALSE_EASTING!r}::DOUBLE) / {crs.SCALE * crs.RADIUS!r}::DOUBLE)"
+    y = xi + "".join(f" - {b!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, b in enumerate(crs.INVERSE, 1)).replace("xi", xi).replace("eta", eta)
+    x = eta + "".join(f" - {b!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, b in enumerate(crs.INVERSE, 1)).replace("xi", xi).replace("eta", eta)
+    lat = "degrees(chi" + "".join(f" + {v!r}::DOUBLE * sin({2 * j} * chi)" for j, v in enumerate(crs.LATITUDE, 1)) + ")"
+    return f"""(SELECT * EXCLUDE (gx, gy, chi), (105.0::DOUBLE + degrees(atan2(sinh(gx), cos(gy))) - 104.995::DOUBLE) / 1e-4::DOUBLE - 0.5 AS u, ({lat} - 21.005::DOUBLE) / -1e-4::DOUBLE - 0.5 AS v
+        FROM (SELECT *, asin(sin(gy) / cosh(gx)) AS chi FROM (SELECT * EXCLUDE (px, py), {x} AS gx, {y} AS gy FROM {cells})))"""
+
+
+FOUR = '(SELECT t.*, floor(v)::INT+i AS sr, floor(u)::INT+j AS sc, abs(1-i-(v-floor(v)))*abs(1-j-(u-floor(u))) AS w FROM t, (SELECT unnest([0,1]) AS i), (SELECT unnest([0,1]) AS j))'
 ORACLE_SQL = {
+    "resample_warp": sql("pixels", f""", t AS (SELECT * FROM {utm_sql('(SELECT raster_id, "row", col, 499500.0::DOUBLE + (col + 0.5) * 15 AS px, 2322680.0::DOUBLE - ("row" + 0.5) * 15 AS py FROM pixels WHERE "row" < 60 AND col < 60)')}),
+        r AS (SELECT n.raster_id, n."row", n.col, sum(w*value)/sum(CASE WHEN value IS NOT NULL THEN w END) AS value FROM {FOUR} n LEFT JOIN (SELECT * FROM pixels WHERE valid) p ON p.raster_id = n.raster_id AND p."row" = sr AND p.col = sc WHERE w > 0 GROUP BY n.raster_id, n."row", n.col)
+        SELECT raster_id, "row", count(*) AS n, count(value) AS valid, round(sum(value), 2) AS total FROM r GROUP BY raster_id, "row\""""),
+    "mosaic_clip_warp": sql("pixels", f""", {MOSAIC}, t AS (SELECT * FROM {utm_sql('(SELECT r AS "row", c AS col, 499500.0::DOUBLE + (c + 0.5) * 15 AS px, 2322680.0::DOUBLE - (r + 0.5) * 15 AS py, 499500.0::DOUBLE + (c + 0.5) * 15 BETWEEN 499600 AND 500400 AND 2322680.0::DOUBLE - (r + 0.5) * 15 BETWEEN 2321900 AND 2322600 AS inside FROM (SELECT unnest(range(5, 52)) AS r), (SELECT unnest(range(6, 60)) AS c))')}),
+        r AS (SELECT n."row", n.col, n.inside, sum(w*value)/sum(CASE WHEN value IS NOT NULL THEN w END) AS value FROM {FOUR} n LEFT JOIN (SELECT * FROM m WHERE valid) p ON p."row" = sr AND p.col = sc WHERE w > 0 GROUP BY n."row", n.col, n.inside)
+        SELECT count(*) AS n, count(value) FILTER (inside) AS valid, round(sum(value) FILTER (inside), 2) AS total, 499590.0::DOUBLE AS c, 2322605.0::DOUBLE AS f FROM r"""),
     "landcover_fractions": sql("zones pixels", f", {ZP}, {ALL} {filled(f"""SELECT raster_id, zone_id, {FRACTIONS}, count(*) FILTER (NOT valid) AS nodata_pixels, count(*) FILTER (valid AND class = 0) AS unknown_pixels, count(*) FILTER (valid) AS valid_pixels, count(*) AS covered FROM (SELECT *, count(*) FILTER (valid AND class != 0) OVER (PARTITION BY raster_id, zone_id) AS r FROM zp) GROUP BY raster_id, zone_id, r""", [*[f"{n}_fraction" for n in X.CLASSES.values()], "nodata_pixels", "unknown_pixels", "valid_pixels", "covered"], [])}"),
     "join_pixels_zones": sql("zones pixels", f', {TIED_PX} SELECT raster_id, zone_id, count(*) AS n, sum("row")::BIGINT AS rows, sum(col)::BIGINT AS cols FROM tied JOIN zones ON tx >= x0 AND tx < x1 AND ty >= y0 AND ty < y1 GROUP BY raster_id, zone_id'),
     "zonal_stats": sql("zones pixels", f", {ZP}, {ALL} {filled(f"""SELECT raster_id, zone_id, count(*) AS covered, count(*) FILTER (valid) AS valid, round(avg(value) FILTER (valid), 6) AS mean, min(value) FILTER (valid) AS min, max(value) FILTER (valid) AS max, round(quantile_cont(value, 0.9) FILTER (valid), 6) AS p90, sum(value) FILTER (valid) AS sum FROM zp GROUP BY raster_id, zone_id""", ["covered", "valid"], ["mean", "min", "max", "p90", "sum"])}"),
