@@ -35,7 +35,7 @@ from .common import table
 
 WORDS, MIN_SHARE, RECALL = 5, 0.8, 0.9999
 BLOCK = 1 << 13
-MAX_TEMPLATES = 20_000
+MAX_TEMPLATES, FEW = 20_000, 8
 WORD = regex.compile(r"[\p{L}\p{N}]+(?:\.[\p{N}]+)*")
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,6 +114,7 @@ class BandIndex:
     """The minima of templates of one class in order, each with its template, behind a bitmap of leading bits."""
 
     def __init__(self, minima: np.ndarray, templates: list[int]):
+        self.few = list(zip(templates, minima, strict=True)) if len(templates) <= FEW else []  # a comparison each is quicker then
         values = minima.ravel()
         order = np.argsort(values, kind="stable")
         self.values = values[order]
@@ -124,6 +125,8 @@ class BandIndex:
 
     def found(self, windows: np.ndarray) -> list[tuple[int, int]]:
         """(window, template), in order, where they have a minimum in common; ``windows``: (n, bands)."""
+        if self.few:
+            return sorted((w, t) for t, signature in self.few for w in np.flatnonzero((windows == signature).any(axis=1)).tolist())
         at = np.flatnonzero(self.bitmap[(windows >> self.shift).astype(np.int64)].ravel())
         if not len(at):
             return []
