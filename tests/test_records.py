@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +185,63 @@ def test_stream_drains_updates(spark, tmp_path):
 def test_redaction(spark):
     df = spark.createDataFrame([("Authorization: Bearer abc.def, https://u:p@h/x?api_key=1&y=2#z",)], "t string")
     assert df.select(T.redact(F.col("t"))).first()[0] == "Authorization: Bearer [REDACTED], https://[REDACTED]@h/x?api_key=[REDACTED]&y=2#z"
+
+
+def brute_cyclic(edges):
+    """Nodes that reach themselves."""
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, set()).add(b)
+    found = set()
+    for a in out:
+        seen, todo = set(), list(out[a])
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += out.get(x, ())
+        if a in seen:
+            found.add(a)
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cycles_of_any_shape(spark, seed):
+    """Random graphs side by side, rings, rings joined by paths, an edge from a node to itself, and a node on two rings."""
+    rng = random.Random(seed)
+    edges = [(base + rng.randrange(14), base + rng.randrange(14)) for base in range(0, 600, 20) for _ in range(rng.choice([8, 14, 18]))]
+    ring = lambda a, n: [(a + k, a + (k + 1) % n) for k in range(n)]
+    edges += ring(1000, 7) + ring(1100, 2) + ring(1200, 30) + [(1003, 1050), (1050, 1051), (1051, 1205)] + [(1300, 1300), (1301, 1300)] + ring(1400, 5) + [(1400, 1450), (1450, 1451), (1451, 1400)] + [(1500 + k, 1501 + k) for k in range(40)]
+    got = catalog.cyclic(spark.createDataFrame(edges, "asset_id long, depends_on long"))
+    assert sorted(r.asset_id for r in got.collect()) == sorted(brute_cyclic(edges))
+
+
+def test_a_long_ring(spark):
+    n = 100_000
+    ring = spark.range(n).select(F.col("id").alias("asset_id"), ((F.col("id") + 1) % n).alias("depends_on"))
+    assert catalog.cyclic(ring).count() == n
+    assert catalog.cyclic(ring.filter("asset_id < 12").unionByName(spark.createDataFrame([(12, 0)], "asset_id long, depends_on long"))).count() == 13
+
+
+def test_upserts_touch_their_buckets_only(spark, tmp_path):
+    from tributary.sources.buckets import read_buckets, upsert_buckets
+    from tributary.streaming.intake import drain_into_buckets
+
+    path, schema = str(tmp_path / "b"), "asset_id long, status string, sequence long"
+    with pytest.raises(ValueError):
+        read_buckets(spark, path)
+    assert read_buckets(spark, path, "asset_id long").count() == 0
+    assert len(upsert_buckets(spark.range(500).selectExpr("id AS asset_id", "'old' AS status", "0L AS sequence"), path, buckets=8)) == 8
+    files = lambda: {str(f): f.stat().st_size for f in (tmp_path / "b" / "data").rglob("*.parquet")}
+    first = files()
+    touched = upsert_buckets(spark.createDataFrame([(3, "new", 1), (3, "newer", 2), (900, "new", 1)], schema), path)
+    rows = {r.asset_id: r.status for r in read_buckets(spark, path).collect()}
+    assert rows == {**dict.fromkeys(range(500), "old"), 3: "newer", 900: "new"} and len(touched) <= 2
+    assert len(set(files()) - set(first)) == len(touched) and upsert_buckets(spark.createDataFrame([], schema), path) == []
+    ups = str(tmp_path / "updates")
+    for batch in ([(1, "a", 5)], [(1, "b", 6), (2, "c", 1)]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(ups)
+        drain_into_buckets(spark, ups, schema, path, str(tmp_path / "ck"))
+    rows = {r.asset_id: r.status for r in read_buckets(spark, path).collect()}
+    assert len(rows) == 501 and (rows[1], rows[2], rows[3]) == ("b", "c", "newer")
+    assert len(list((tmp_path / "b" / "manifests").iterdir())) == 2 and sum(f.name.startswith("bucket=") for f in (tmp_path / "b" / "data").rglob("bucket=*")) <= 16

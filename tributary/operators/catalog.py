@@ -157,11 +157,14 @@ def _reached(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
 
 
 def cyclic(edges: DataFrame, depth: int = 10_000) -> DataFrame:
-    """(asset_id) of the nodes that depend on themselves.
+    """(asset_id) of the nodes of ``edges`` (asset_id, depends_on) that depend on themselves: those in a strongly connected component of several nodes, or with an edge to themselves.
 
-    Nodes without edges out, or without edges in, are peeled off until none is left to peel; only what remains, cycles and paths between them, is followed node by node.
+    Nodes without edges out, or without edges in, are peeled off until none is left to peel. Of what remains, stretches of nodes with one edge in and one out are followed to both ends by
+    doubling the step, in rounds that grow with the logarithm of their length: a stretch without end is a cycle. The rest is a graph of branching nodes, whose components are found by ``strong``.
     """
-    left = materialise(edges, "cycles")
+    left = materialise(edges.select("asset_id", "depends_on").distinct(), "cycles")
+    own = materialise(left.filter("asset_id = depends_on").select("asset_id"), "own")
+    left = materialise(left.filter("asset_id != depends_on"), "cycles")
     n = left.count()
     for _ in range(depth + 1):
         inner = left.join(left.select(F.col("asset_id").alias("depends_on")).distinct(), "depends_on", "left_semi").select("asset_id", "depends_on")
@@ -173,9 +176,72 @@ def cyclic(edges: DataFrame, depth: int = 10_000) -> DataFrame:
     else:
         raise RuntimeError(f"lineage is deeper than {depth} levels")
     if n == 0:
-        return left.select("asset_id")
-    below = _reached(left, left.select("asset_id").distinct(), depth)
-    return below.join(left.withColumnRenamed("asset_id", "node_id"), "node_id").filter("depends_on = root_id").select(F.col("root_id").alias("asset_id")).distinct()
+        return own
+    out = left.groupBy("asset_id").agg(F.count(F.lit(1)).alias("o"), F.min("depends_on").alias("next"))
+    back = left.groupBy(F.col("depends_on").alias("asset_id")).agg(F.count(F.lit(1)).alias("i"), F.min("asset_id").alias("before"))
+    chain = materialise(out.join(back, "asset_id").filter("o = 1 AND i = 1").select("asset_id", "next", "before"), "chain")
+    rounds = chain.count().bit_length() + 1
+    ends = materialise(_followed(chain, "next", rounds).join(_followed(chain, "before", rounds), "asset_id"), "ends")  # both ends of a node's stretch
+    loose = chain.select(F.col("asset_id").alias("next"))
+    rings = ends.join(loose, "next", "left_semi").select("asset_id")
+    stretch = ends.join(loose, "next", "left_anti")
+    node = chain.select("asset_id")
+    direct = left.join(node, "asset_id", "left_anti").join(node.withColumnRenamed("asset_id", "depends_on"), "depends_on", "left_anti").select("asset_id", "depends_on")
+    core = direct.unionByName(stretch.select(F.col("before").alias("asset_id"), F.col("next").alias("depends_on"))).distinct()
+    label = strong(materialise(core, "core"), depth)
+    loops = label.groupBy("label").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").select("label")
+    within = label.join(loops, "label", "left_semi")
+    ab = stretch.join(label.select(F.col("asset_id").alias("before"), F.col("label").alias("la")), "before").join(label.select(F.col("asset_id").alias("next"), F.col("label").alias("lb")), "next").filter("la = lb")
+    both = ab.select("asset_id").unionByName(ab.filter("before = next").select(F.col("before").alias("asset_id")))
+    return materialise(own.unionByName(rings).unionByName(within.select("asset_id")).unionByName(both).distinct(), "cyclic")
+
+
+def _followed(chain: DataFrame, way: str, rounds: int) -> DataFrame:
+    """(asset_id, way): the first node outside ``chain`` that each of its nodes leads to along ``way``, or one inside where there is none."""
+    now = chain.select("asset_id", way)
+    for _ in range(rounds):
+        step = now.select(F.col("asset_id").alias(way), F.col(way).alias("further"))
+        now = materialise(now.join(step, way, "left").select("asset_id", F.coalesce("further", way).alias(way)), "step")
+    return now
+
+
+def strong(edges: DataFrame, depth: int = 10_000) -> DataFrame:
+    """(asset_id, label): the strongly connected component of each node, by colouring forward and backward.
+
+    Every node takes the greatest id that leads to it; the nodes of a colour that lead back to the node of that id are its component. These leave and the rest is coloured anew. More than ``depth``
+    steps in one direction are an error.
+    """
+    nodes = edges.select("asset_id").unionByName(edges.select(F.col("depends_on").alias("asset_id"))).distinct()
+    nodes, done = materialise(nodes, "nodes"), []
+    while not nodes.isEmpty():
+        colour = materialise(nodes.withColumn("label", F.col("asset_id")), "colour")
+        for _ in range(depth + 1):
+            met = edges.join(colour, "asset_id").groupBy(F.col("depends_on").alias("asset_id")).agg(F.max("label").alias("met"))
+            new = colour.join(met, "asset_id", "left").select("asset_id", F.greatest("label", F.coalesce("met", "label")).alias("label"), (F.col("met") > F.col("label")).alias("changed"))
+            new = materialise(new, "colour", replaces=colour)
+            colour, more = new.drop("changed"), new.filter("changed")
+            colour.scratch_path = new.scratch_path
+            if more.isEmpty():
+                break
+        else:
+            raise RuntimeError(f"lineage is deeper than {depth} levels")
+        front = found = materialise(colour.filter("asset_id = label"), "found")
+        for _ in range(depth + 1):
+            back = edges.join(front.select(F.col("asset_id").alias("depends_on"), "label"), "depends_on").select("asset_id", "label").distinct()
+            front = materialise(back.join(colour, ["asset_id", "label"], "left_semi").join(found, "asset_id", "left_anti"), "front")
+            if front.isEmpty():
+                break
+            found = materialise(found.unionByName(front), "found")
+        else:
+            raise RuntimeError(f"lineage is deeper than {depth} levels")
+        done.append(found)
+        nodes = materialise(nodes.join(found, "asset_id", "left_anti"), "nodes", replaces=nodes)
+        left = nodes.select("asset_id")
+        edges = materialise(edges.join(left, "asset_id", "left_semi").join(left.withColumnRenamed("asset_id", "depends_on"), "depends_on", "left_semi").select("asset_id", "depends_on"), "edges")
+    out = done[0] if done else nodes.withColumn("label", F.col("asset_id"))
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def lineage_groups(closure: DataFrame) -> DataFrame:
@@ -202,7 +268,7 @@ def budget_admission(assets: DataFrame, cap: int, group: str | None = None, slot
     sums = ranged.groupBy(*keys, "slot").agg(F.sum(n).alias("s"))
     before = sums.select(*keys, "slot", (F.sum("s").over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slot")) - F.col("s")).alias("before"))
     inner = F.sum(n).over(Window.partitionBy(*keys, "slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    out = ranged.withColumn("inner", inner).join(F.broadcast(before), [*keys, "slot"]).withColumn("projected", F.col("before") + F.col("inner"))
+    out = ranged.withColumn("inner", inner).join(before, [*keys, "slot"]).withColumn("projected", F.col("before") + F.col("inner"))
     return out.select(*keys, "asset_id", "size_bytes", "projected", (F.col("size_bytes").isNotNull() & (F.col("projected") <= cap)).alias("admitted"))
 
 

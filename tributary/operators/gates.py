@@ -180,9 +180,11 @@ def gate_events(events: DataFrame, expected: int) -> DataFrame:
 
 
 def gate_provenance(assets: DataFrame, closure: DataFrame, cap: int, fields: tuple[str, ...] = ("source", "version", "checksum", "path")) -> DataFrame:
-    """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw with all ``fields``, and their bytes, known and each content once, within the cap."""
+    """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw (if there is that column) with all ``fields``, and their bytes, known and each content once, within the cap."""
     used = assets.join(closure.filter("state = 'raw'").select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi")
-    wrong = catalog.provenance_gaps(used, fields).select("asset_id").unionByName(breaks(used, "kind = 'raw'").select("asset_id")).distinct()
+    wrong = catalog.provenance_gaps(used, fields).select("asset_id")
+    if "kind" in assets.columns:
+        wrong = wrong.unionByName(breaks(used, "kind = 'raw'").select("asset_id")).distinct()
     once = used.groupBy(F.coalesce("checksum", F.concat(F.lit("asset "), F.col("asset_id").cast("string")))).agg(F.max("size_bytes").alias("size_bytes"))
     size = once.agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n"), F.count_if(F.col("size_bytes").isNull()).alias("unknown"), F.count(F.lit(1)).alias("used"))
     checks = {"provenance.used": (F.col("used") > 0, "fatal", F.lit("above 0"), F.col("used")), "provenance.bytes": ((F.col("n") <= cap) & (F.col("unknown") == 0), "fatal", F.lit(cap), F.col("n"))}
