@@ -159,3 +159,23 @@ def test_mosaic_clip_refuses(spark):
         raster.mosaic_clip(tiles, area, GRID, resolution=(100.0, 200.0))
     with pytest.raises(ValueError, match="target grid"):
         raster.mosaic_clip(tiles, area, GRID, source_crs="EPSG:4326")
+
+
+def test_tiles_are_pruned_by_zones(spark, tmp_path, monkeypatch):
+    """Only the folders of the zones' tiles are read, also where there are too many tiles to name."""
+    from tributary.sources import io
+
+    path = str(tmp_path / "blocks")
+    pixels = spark.range(60 * 60).select(F.lit(7).cast("long").alias("raster_id"), F.floor(F.col("id") / 60).cast("int").alias("row"), (F.col("id") % 60).cast("int").alias("col"), F.col("id").cast("double").alias("value"), (F.col("id") % 11 != 0).alias("valid"))
+    io.write_blocks(pixels, path, 10)
+    grid = UNIT | {"f": 60.0}
+    zones = box_layer(spark, [(1, 2.0, 41.0, 8.0, 48.0), (2, 31.0, 2.0, 33.0, 15.0)])  # one tile, and two
+    for most in (10_000, 1):
+        monkeypatch.setattr(io, "TILE_LIST", most)
+        got = io.read_pixels(spark, path, side=10, zones=zones, grid=grid)
+        want = {r.zone_id: r.s for r in raster.join_pixels_zones(pixels.filter("valid"), zones, grid).groupBy("zone_id").agg(F.sum("value").alias("s")).collect()}
+        assert {r.zone_id: r.s for r in raster.join_pixels_zones(got.filter("valid"), zones, grid).groupBy("zone_id").agg(F.sum("value").alias("s")).collect()} == want
+        assert {(r.row // 10, r.col // 10) for r in got.select("row", "col").collect()} == {(1, 0), (4, 3), (5, 3)}
+    monkeypatch.setattr(io, "TILE_LIST", 10_000)
+    plan = io.read_pixels(spark, path, side=10, zones=zones, grid=grid)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "tile_row" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -193,6 +193,20 @@ def join_points_zones(points: DataFrame, edges: DataFrame, cell: float = CELL) -
     return covering.select("point_id", "zone_id", (F.col("inside") & ~F.col("touches")).alias("within"), "touches", tie.alias("nearest_boundary_tie"), (F.col("touches") | tie).alias("boundary_case"))
 
 
+def map_points(points: DataFrame, edges: DataFrame, cell: float = CELL) -> DataFrame:
+    """(zone_id, point_id, relationship_type, tags_json, boundary_case, quality_flags_json) of every zone that covers a point.
+
+    relationship_type: within, touches, or nearest_boundary_tie where several zones cover the point and it lies on this one's edge. tags_json holds the other columns of ``points`` (point_id, x, y, ...) by
+    name, those that are null left out; the flags say whether there is a tie.
+    """
+    tags = sorted(set(points.columns) - {"point_id", "x", "y"})
+    json = F.to_json(F.struct(*tags)) if tags else F.lit("{}")
+    tie = F.col("nearest_boundary_tie")
+    kind = F.when(tie, "nearest_boundary_tie").when(F.col("within"), "within").otherwise("touches")
+    hit = join_points_zones(points, edges, cell).join(points.select("point_id", json.alias("tags_json")), "point_id")
+    return hit.select("zone_id", "point_id", kind.alias("relationship_type"), "tags_json", F.col("touches").alias("boundary_case"), F.when(tie, '{"boundary_tie":true}').otherwise("{}").alias("quality_flags_json"))
+
+
 def interior_point(edges: DataFrame) -> DataFrame:
     """(feature_id, x, y): on the line at mid-height, the middle of the widest stretch inside.
 

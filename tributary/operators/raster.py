@@ -74,6 +74,16 @@ def window_runs(edges: DataFrame, grid: Grid) -> DataFrame:
     return box.select("zone_id", rows, F.floor(col("xmin")).cast("int").alias("c0"), F.ceil(col("xmax")).cast("int").alias("c1"))
 
 
+def window_tiles(edges: DataFrame, grid: Grid, side: int) -> DataFrame:
+    """(tile_row, tile_col) of the tiles of ``side`` pixels that the zones' bounding windows meet."""
+    _north_up(grid)
+    box = edges.groupBy("feature_id").agg(*bounds())
+    tile = lambda y, origin, step: F.floor((F.col(y) - origin) / (step * side)).cast("int")
+    rows = box.select("xmin", "xmax", F.explode(F.sequence(tile("ymax", grid["f"], grid["e"]), tile("ymin", grid["f"], grid["e"]))).alias("tile_row"))
+    cols = F.explode(F.sequence(tile("xmin", grid["c"], grid["a"]), tile("xmax", grid["c"], grid["a"]))).alias("tile_col")
+    return rows.select("tile_row", cols).filter("tile_row >= 0 AND tile_col >= 0").distinct()
+
+
 def join_runs(pixels: DataFrame, runs: DataFrame, tile: int = TILE) -> DataFrame:
     """``pixels`` with the zone_id of each run that holds them, by (row, tile of columns)."""
     tiles = runs.filter("c1 > 0").select("zone_id", "row", "c0", "c1", F.explode(F.sequence(F.floor(F.greatest("c0", F.lit(0)) / tile), F.floor((F.col("c1") - 1) / tile))).alias("tile"))

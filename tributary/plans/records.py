@@ -518,6 +518,15 @@ def blocks_round_trip(s, d):
     return io.read_pixels(s, path, side=20).filter("valid").groupBy("raster_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.sum(F.col("row") * F.col("col")).alias("places"))
 
 
+def tiles_pruned(s, d):
+    """Sums over two zones from the tiles that they meet."""
+    path = _place(s)
+    io.write_blocks(X.pixels(s, d).select("raster_id", "row", "col", "value", "valid"), path, 20)
+    near = X.zones(s, d).filter("feature_id IN (0, 13)")
+    pixels = io.read_pixels(s, path, side=20, zones=near, grid=X.grid())
+    return zonal.zonal_stats(pixels, near, X.grid(), ("sum",), by=("raster_id",)).select("raster_id", "zone_id", "valid", "sum")
+
+
 def geojson_round_trip(s, d):
     path = _place(s)
     props = X.table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("feature_id"), "n_name")
@@ -617,7 +626,7 @@ QUERIES = {
     "unit_counts": unit_totals, "unit_aliases": aliases, "join_identity": identities_joined, "build_crosswalk": crosswalk, "resolve_places": places, "read_event_rows": event_rows, "assemble_profile": assembled,
     "content_fingerprint": content_print, "join_warnings": warned, "join_attributes": attributes, "subset_by_keys": subset, "project": projected, "explode_parts": road_parts, "union_layers": united, "part_index": ordered_parts,
     "gate_units": unit_gate, "gate_hierarchy": hierarchy_gate, "gate_mappings": mapping_gate, "gate_rasters": raster_gate, "gate_population": population_gate, "gate_events": event_gate, "gate_provenance": provenance_gate,
-    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_geojson_layer": geojson_round_trip, "read_geojson_lines": geojson_lines_read, "write_geojson": geojson_written, "write_catalog": catalog_round_trip, "scan_assets": scanned,
+    "run_gates": all_gates, "severity_rollup": rollup, "read_layer": table_round_trip, "read_pixels": blocks_round_trip, "read_pixels_tiles": tiles_pruned, "read_geojson_layer": geojson_round_trip, "read_geojson_lines": geojson_lines_read, "write_geojson": geojson_written, "write_catalog": catalog_round_trip, "scan_assets": scanned,
 }
 
 CLOSURE_SQL = """e AS (SELECT doc_id AS a, unnest(CASE WHEN doc_id = 30 THEN [doc_id//3, doc_id//5, 41] WHEN doc_id BETWEEN 31 AND 41 THEN [doc_id//3, doc_id//5, doc_id-1] ELSE [doc_id//3, doc_id//5] END) AS b FROM documents WHERE doc_id > 0 AND (doc_id%10 != 7 OR doc_id > 60)),
@@ -625,6 +634,9 @@ CLOSURE_SQL = """e AS (SELECT doc_id AS a, unnest(CASE WHEN doc_id = 30 THEN [do
   closure AS (SELECT root_id, node_id, CASE WHEN node_id = 25 OR node_id NOT IN (SELECT doc_id FROM documents) THEN 'missing' WHEN node_id IN (SELECT node_id FROM ring) THEN 'cyclic' WHEN node_id IN (SELECT doc_id FROM documents WHERE source = 'src0') THEN 'raw' WHEN node_id NOT IN (SELECT a FROM e) THEN 'childless' ELSE 'inner' END AS state FROM walk)"""
 OLD_SQL = """old AS (SELECT p_partkey AS k, 16*(p_partkey//64) + p_partkey%8//2 + 4*(p_partkey%64//16) AS unit, lower(p_name) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS normal, (SELECT string_agg(upper(w[1]) || w[2:], ' ') FROM (SELECT unnest(string_split(p_name, ' ')) AS w)) || ' ' || (40*(p_partkey//64) + p_partkey%40) AS plain FROM part)"""
 ORACLE_SQL = {
+    "read_pixels_tiles": sql("zones pixels", """, r AS (SELECT DISTINCT raster_id FROM pixels WHERE valid AND (("row"//20 IN (4, 5) AND col//20 IN (0, 1)) OR ("row"//20 IN (2, 3) AND col//20 IN (3, 4)))),
+        v AS (SELECT raster_id, zone_id, count(*) AS n, sum(value) AS s FROM pixels JOIN zones ON px >= x0 AND px < x1 AND py >= y0 AND py < y1 WHERE valid GROUP BY raster_id, zone_id)
+        SELECT raster_id, zone_id, coalesce(n, 0) AS valid, s AS sum FROM (SELECT * FROM r, (SELECT zone_id FROM zones WHERE zone_id IN (0, 13))) LEFT JOIN v USING (raster_id, zone_id)"""),
     "read_geojson_lines": SPATIAL_SQL["overlay_length"],
     "normalize_unit_name": f"WITH {NAMES_SQL} SELECT id, {NORMAL} AS normalized FROM names",
     "strip_unit_prefix": f"WITH {NAMES_SQL} SELECT id, trim(regexp_replace(regexp_replace(name, ' +', ' ', 'g'), '^(Xã|PHƯỜNG|thị trấn) ', '')) AS stripped FROM names",

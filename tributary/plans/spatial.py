@@ -27,6 +27,12 @@ def points_zones_tilted(s, d):
     return hit.groupBy("zone_id").agg(F.count(F.lit(1)).alias("covered"), F.count_if("touches").alias("touching"))
 
 
+def points_mapped(s, d):
+    """Events with their tags, of which every third value is null."""
+    p = X.points(s, d).select("point_id", "x", "y", "event_type", F.when(F.col("point_id") % 3 != 0, F.col("point_id") % 10).alias("level"))
+    return geometry.map_points(p, X.zones(s, d))
+
+
 def point_stats(s, d):
     """Minimum slice: count and sum of values per zone."""
     p = X.points(s, d)
@@ -208,7 +214,7 @@ def layer_checks(s, d):
 
 
 QUERIES = {
-    "measure_rings": plot_measures, "overlay_area_rings": plots_lots, "dissolve_rings": dissolved_lots, "measure_valid": valid_areas, "within_distance_levels": points_far_and_near,
+    "map_points": points_mapped, "measure_rings": plot_measures, "overlay_area_rings": plots_lots, "dissolve_rings": dissolved_lots, "measure_valid": valid_areas, "within_distance_levels": points_far_and_near,
     "study_areas": study_areas, "footprint_ratio": footprints, "validate_layer": layer_checks,
     "join_points_zones": points_zones, "join_points_zones_tilted": points_zones_tilted, "point_stats": point_stats, "measure": measures, "layer_bounds": layer_bounds,
     "interior_point": interior_points, "overlay_length": lines_zones, "overlay_length_wkt": lines_zones_wkt, "clip_points": clipped_points, "clip_lines": clipped_lines, "clip_polygons": clipped_zones,
@@ -220,6 +226,9 @@ TILTED_EDGES = "SELECT zone_id, sum(((ey1 > y) != (ey2 > y) AND x < ex1 + (y - e
 CLIPPED = sql("zones lines", "")
 RINGS = "(SELECT unnest([0, 2, 5]) AS low, unnest([18, 16, 13]) AS high, unnest([1, -1, 1]) AS sign)"
 ORACLE_SQL = {
+    "map_points": sql("zones points", f"""SELECT zone_id, point_id, CASE WHEN touches AND k > 1 THEN 'nearest_boundary_tie' WHEN touches THEN 'touches' ELSE 'within' END AS relationship_type,
+        '{{"event_type":"' || event_type || '"' || CASE WHEN point_id%3 != 0 THEN ',"level":' || (point_id%10) ELSE '' END || '}}' AS tags_json, touches AS boundary_case, CASE WHEN touches AND k > 1 THEN '{{"boundary_tie":true}}' ELSE '{{}}' END AS quality_flags_json
+        FROM (SELECT *, {EDGE} AS touches, count(*) OVER (PARTITION BY point_id) AS k FROM points, zones WHERE {COVER})"""),
     "measure_rings": sql("plots", "SELECT plot_id AS feature_id, 192.0::DOUBLE AS area, 160.0::DOUBLE AS length, x::DOUBLE AS xmin, y::DOUBLE AS ymin, (x+18)::DOUBLE AS xmax, (y+18)::DOUBLE AS ymax FROM plots"),
     "overlay_area_rings": sql("plots lots", f"""SELECT plot_id AS zone_id, lot_id AS unit_id, round(a/1e6, 9) AS intersection_area_km2, round(a/192.0, 9) AS zone_fraction, round(a/1225.0, 9) AS unit_fraction FROM (
         SELECT plot_id, lot_id, sum(sign * greatest(0, least(p.x+high, l.x+35)-greatest(p.x+low, l.x)) * greatest(0, least(p.y+high, l.y+35)-greatest(p.y+low, l.y)))::DOUBLE AS a FROM plots p JOIN lots l ON p.x < l.x+35 AND p.x+18 > l.x AND p.y < l.y+35 AND p.y+18 > l.y, {RINGS} GROUP BY plot_id, lot_id) WHERE a > 0"""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,10 +69,44 @@ def read_layer(spark: SparkSession, path: str, required: list[str] | None = None
     return df
 
 
-def read_pixels(spark: SparkSession, path: str, raster_id: int | None = None, side: int = 512, nodata: float | None = None) -> DataFrame:
-    """Pixels of stored blocks; the raster and the tiles are pruned before blocks are exploded."""
+TILE_LIST = 10_000  # tiles that are named one by one in a filter of partitions; beyond that their bounds are
+
+
+def write_blocks(pixels: DataFrame, path: str, side: int = 512) -> None:
+    """Store pixels (raster_id, row, col, value, valid) as blocks of ``side`` x ``side`` values, a partition of folders for each row and column of tiles."""
+    at = (F.col("row") % side * side + F.col("col") % side).cast("int")
+    cells = pixels.filter("valid").select("raster_id", F.floor(F.col("row") / side).cast("int").alias("tile_row"), F.floor(F.col("col") / side).cast("int").alias("tile_col"), at.alias("at"), "value")
+    tiles = cells.groupBy("raster_id", "tile_row", "tile_col").agg(F.map_from_entries(F.collect_list(F.struct("at", "value"))).alias("cells"))
+    values = F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda i: F.col("cells")[i])
+    blocks = tiles.select("raster_id", values.alias("values"), "tile_row", "tile_col")
+    published(pixels.sparkSession, path, blocks.repartition("tile_row", "tile_col").write.partitionBy("tile_row", "tile_col").parquet)
+
+
+def read_pixels(spark: SparkSession, path: str, raster_id: int | None = None, side: int = 512, nodata: float | None = None, zones: DataFrame | None = None, grid: dict[str, float] | None = None) -> DataFrame:
+    """Pixels of stored blocks; the raster and the tiles are pruned before blocks are exploded.
+
+    With ``zones`` and the ``grid`` only pixels in the tiles that the zones' windows meet are read: where blocks are stored by ``write_blocks`` these tiles are a filter of partitions, so the files of others aren't opened.
+    """
     blocks = spark.read.parquet(path)
-    return raster.read_blocks(blocks if raster_id is None else blocks.filter(F.col("raster_id") == raster_id), side, nodata)
+    if raster_id is not None:
+        blocks = blocks.filter(F.col("raster_id") == raster_id)
+    if zones is not None:
+        tiles = raster.window_tiles(zones, grid, side)
+        named = tiles.limit(TILE_LIST + 1).collect()
+        if len(named) <= TILE_LIST:
+            columns: dict[int, list[int]] = {}
+            for r in named:
+                columns.setdefault(r["tile_row"], []).append(r["tile_col"])
+            wanted = F.lit(False)
+            for cols in {tuple(sorted(c)) for c in columns.values()}:
+                rows = [r for r, c in columns.items() if tuple(sorted(c)) == cols]
+                wanted = wanted | (F.col("tile_row").isin(*rows) & F.col("tile_col").isin(*cols))
+            blocks = blocks.filter(wanted)
+        else:
+            box = tiles.agg(*[f(c).alias(f"{n}_{c}") for c in ("tile_row", "tile_col") for n, f in (("min", F.min), ("max", F.max))]).first()
+            near = [F.col(c).between(box[f"min_{c}"], box[f"max_{c}"]) for c in ("tile_row", "tile_col")]
+            blocks = blocks.filter(near[0] & near[1]).join(tiles, ["tile_row", "tile_col"], "left_semi")
+    return raster.read_blocks(blocks, side, nodata)
 
 
 def read_unit_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -119,13 +154,17 @@ def check_signatures(assets: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Publish only a complete table, ranged and sorted by key: written beside the target first, then moved to its place.
+    """Publish only a complete table, ranged and sorted by key."""
+    published(df.sparkSession, path, lambda staging: df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(staging))
+
+
+def published(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """What ``write`` writes into a folder it is given: beside the target first, then moved to its place.
 
-    The table before is moved aside until the new one stands, and back if that fails; ``recovered`` does so after a crash in between.
+    What was there before is moved aside until the new one stands, and back if that fails; ``recovered`` does so after a crash in between.
     """
-    spark = df.sparkSession
     staging, previous = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}", f"{path.rstrip('/')}.previous"
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(staging)
+    write(staging)
     recovered(spark, path)
     fs, target, made, old = _paths(spark, path, staging, previous)
     replaced = fs.exists(target)
@@ -177,7 +216,7 @@ def geojson_lines(edges: DataFrame, properties: DataFrame) -> DataFrame:
 
 
 def write_geojson(edges: DataFrame, properties: DataFrame, path: str) -> None:
-    geojson_lines(edges, properties).write.mode("overwrite").text(path)
+    published(edges.sparkSession, path, geojson_lines(edges, properties).write.text)
 
 
 def report_rows(checks: DataFrame) -> DataFrame:
@@ -186,10 +225,14 @@ def report_rows(checks: DataFrame) -> DataFrame:
 
 
 def write_report(checks: DataFrame, path: str) -> None:
-    """JSON and Parquet, redacted, sorted by check_id."""
+    """JSON and Parquet, redacted, sorted by check_id; both or neither are published."""
     rows = report_rows(checks).orderBy("check_id")
-    rows.write.mode("overwrite").json(f"{path}/json")
-    rows.write.mode("overwrite").parquet(f"{path}/parquet")
+
+    def write(staging: str) -> None:
+        rows.write.json(f"{staging}/json")
+        rows.write.parquet(f"{staging}/parquet")
+
+    published(checks.sparkSession, path, write)
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
