@@ -209,22 +209,31 @@ def test_lines_stay_open(spark):
     assert G.overlay_length(box_layer(spark, [(1, -1.0, -1.0, 100.0, 100.0)]), segments).first().intersection_length_km == pytest.approx(0.107)
 
 
-@pytest.mark.parametrize(("name", "rings", "shells", "flag"), [
+SHAPES = [
     ("fine", HOLED, [0, 0], None), ("touching hole", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(0, 5), (4, 7), (4, 3)]], [0, 0], None),
     ("bow-tie", [[(0, 0), (2, 2), (2, 0), (0, 2)]], [0], "self_crossing"), ("ring touches itself", [[(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2)]], [0], "self_crossing"),
     ("vertex on an edge", [[(0, 0), (4, 0), (4, 4), (2, 0), (0, 4)]], [0], "self_crossing"), ("spike", [[(0, 0), (4, 0), (8, 0), (4, 0), (4, 4), (0, 4)]], [0], "self_crossing"),
     ("rings along each other", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(0, 2), (0, 6), (4, 6), (4, 2)]], [0, 0], "self_crossing"), ("rings cross", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(5, 5), (15, 5), (15, 8), (5, 8)]], [0, 0], "self_crossing"),
     ("hole outside", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(20, 0), (24, 0), (24, 4), (20, 4)]], [0, 0], "nested"), ("shell in a shell", [[(0, 0), (10, 0), (10, 10), (0, 10)], [(2, 2), (4, 2), (4, 4), (2, 4)]], [0, 1], "nested"),
     ("open", [[(0, 0), (10, 0), (10, 10), (0, 10)]], [0], "closed"), ("two points", [[(0, 0), (10, 0), (0, 0)]], [0], "enough_points"),
-])
-def test_validity(spark, name, rings, shells, flag):
-    closed = [r if name == "open" or r[0] == r[-1] else [*r, r[0]] for r in rings]
-    df = spark.createDataFrame([(1, [[{"x": float(x), "y": float(y)} for x, y in r] for r in closed], shells)], "id long, rings array<array<struct<x: double, y: double>>>, shells array<int>")
+]
+
+
+def test_validity(spark):
+    """One red case of each kind; invalid features have no area and leave the layer."""
+    rows = []
+    for k, (name, rings, shells, _) in enumerate(SHAPES):
+        closed = [r if name == "open" or r[0] == r[-1] else [*r, r[0]] for r in rings]
+        rows.append((k, [[{"x": float(x), "y": float(y)} for x, y in r] for r in closed], shells))
+    df = spark.createDataFrame(rows, "id long, rings array<array<struct<x: double, y: double>>>, shells array<int>")
     edges = G.edges_from_rings(df, "id", "rings", "shells", evidence=True)
-    got = G.flag_invalid_geometry(edges, cell=3.0).first()
-    assert got.valid == (flag is None) and (flag is None or got[flag] == (flag == "self_crossing"))
-    area = G.measure(edges, G.flag_invalid_geometry(edges)).first().area
-    assert (area is None) == (flag is not None) and (flag is None or G.valid_features(edges, G.flag_invalid_geometry(edges)).isEmpty())
+    flags = G.flag_invalid_geometry(edges, cell=3.0).cache()
+    got = {r.feature_id: r for r in flags.collect()}
+    areas = {r.feature_id: r.area for r in G.measure(edges, flags).collect()}
+    stay = {r.feature_id for r in G.valid_features(edges, flags).select("feature_id").distinct().collect()}
+    for k, (name, _, _, flag) in enumerate(SHAPES):
+        assert got[k].valid == (flag is None) and (flag is None or got[k][flag] == (flag == "self_crossing")), name
+        assert (areas[k] is None) == (flag is not None) and (k in stay) == (flag is None), name
 
 
 @pytest.mark.parametrize(("distance", "cell"), [(10_000.0, 100.0), (10_000.0, 3.0), (90.0, 100.0), (3000.0, 1e5)])
