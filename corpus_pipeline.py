@@ -1,6 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again as the next one's input.
 
 Stages keep the columns of ``documents``; the last returns the pieces of the packed sequences. ``run`` returns these rows.
+
+Defined results, in all stages: a null or empty text has no words and goes with the first stage, which asks for twenty. Null ids take part in every stage. Rows that repeat one are judged alike by the first
+stage, and the second keeps one row of each text; of texts that tie there, the one with the largest id. Long texts are whole in every stage. Extra columns are carried along, whatever their names, up to the
+last stage. An empty table gives empty tables and no pieces.
 """
 
 from __future__ import annotations

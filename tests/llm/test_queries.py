@@ -193,6 +193,8 @@ def test_pipeline(spark, small, tmp_path):
 
     out = corpus_pipeline.run(spark, small[0]).collect()
     assert out and all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in out)
+    spark.read.parquet(f"{small[0]}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     names = spark.read.parquet(f"{small[0]}/documents.parquet").columns
     empty = spark.read.parquet(f"{small[0]}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
