@@ -193,6 +193,10 @@ def join_points_zones(points: DataFrame, edges: DataFrame, cell: float = CELL) -
     return covering.select("point_id", "zone_id", (F.col("inside") & ~F.col("touches")).alias("within"), "touches", tie.alias("nearest_boundary_tie"), (F.col("touches") | tie).alias("boundary_case"))
 
 
+#: How a point lies to a zone, and the flag of a tie.
+WITHIN, TOUCHES, TIE, TIE_FLAG = "within", "touches", "nearest_boundary_tie", '{"boundary_tie":true}'
+
+
 def map_points(points: DataFrame, edges: DataFrame, cell: float = CELL) -> DataFrame:
     """(zone_id, point_id, relationship_type, tags_json, boundary_case, quality_flags_json) of every zone that covers a point.
 
@@ -202,9 +206,9 @@ def map_points(points: DataFrame, edges: DataFrame, cell: float = CELL) -> DataF
     tags = sorted(set(points.columns) - {"point_id", "x", "y"})
     json = F.to_json(F.struct(*tags)) if tags else F.lit("{}")
     tie = F.col("nearest_boundary_tie")
-    kind = F.when(tie, "nearest_boundary_tie").when(F.col("within"), "within").otherwise("touches")
+    kind = F.when(tie, TIE).when(F.col("within"), WITHIN).otherwise(TOUCHES)
     hit = join_points_zones(points, edges, cell).join(points.select("point_id", json.alias("tags_json")), "point_id")
-    return hit.select("zone_id", "point_id", kind.alias("relationship_type"), "tags_json", F.col("touches").alias("boundary_case"), F.when(tie, '{"boundary_tie":true}').otherwise("{}").alias("quality_flags_json"))
+    return hit.select("zone_id", "point_id", kind.alias("relationship_type"), "tags_json", F.col("touches").alias("boundary_case"), F.when(tie, TIE_FLAG).otherwise("{}").alias("quality_flags_json"))
 
 
 def interior_point(edges: DataFrame) -> DataFrame:
