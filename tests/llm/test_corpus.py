@@ -190,6 +190,7 @@ def passages(seed=9):
 def test_decontamination(spark, monkeypatch, small):
     if not small:
         monkeypatch.setattr(decontamination, "BROADCAST", 0)
+        monkeypatch.setattr(decontamination, "BROADCAST_TEXTS", 0)
     texts, items = passages()
     table = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS win", "2 AS h")
     got = decontamination.decontaminated(docs(spark, list(enumerate(texts))), table).collect()

@@ -10,7 +10,7 @@ words is one window, and a window with fewer words than a shingle is one shingle
 4. candidates of a text are compared with its words, item-sized stretch by window, so a shared hash never counts. Equal texts are compared once.
 
 The texts are read twice, once for shingles and once for the comparison; the second time only those with a candidate are cut into words. Items and prefix tokens are broadcast up to
-``BROADCAST`` shingles, which are counted first; above that the joins shuffle. A hot passage makes a hot shingle on the side of the documents only, a group of copies a hot digest there; adaptive
+``BROADCAST`` shingles, digests of texts with a candidate up to ``BROADCAST_TEXTS``, which are counted first; above that the joins shuffle. A hot passage makes a hot shingle on the side of the documents only, a group of copies a hot digest there; adaptive
 execution splits both. No task holds more than one text with its candidates.
 
 Defined results: a null or empty text has no words and no hits; an item without words has no window. Words are compared with A-Z lower-cased. Rows with an equal
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 WINDOW, SHINGLE, SHARE = 10, 3, 1.0
-BROADCAST = 1_000_000
+BROADCAST, BROADCAST_TEXTS = 1_000_000, 200_000  # shingles, and digests of texts
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 NON_ASCII_CAPITAL = r"[[\p{IsUppercase}\p{Lt}]&&[^A-Z]]"
@@ -102,9 +102,11 @@ def _met(docs: DataFrame, tokens: DataFrame, lengths: list[int], small: bool) ->
 
 def _verified(docs: DataFrame, candidates: DataFrame, share: float, shingle: int) -> DataFrame:
     """(digest, hits array of (start, end, win)) of the texts that hold one of their candidates (digest, start, win), sorted."""
-    listed = candidates.groupBy("digest").agg(F.collect_set(F.struct("start", "win")).alias("laid"))
+    listed = materialise(candidates.groupBy("digest").agg(F.collect_set(F.struct("start", "win")).alias("laid")), "candidates")
+    near = listed.select("digest")
+    near = F.broadcast(near) if listed.count() <= BROADCAST_TEXTS else near  # else all texts are shuffled
     text = F.coalesce("text", F.lit(""))
-    some = docs.select(text.alias("text"), F.sha2(text, 256).alias("digest")).join(listed.select("digest"), "digest", "left_semi")
+    some = docs.select(text.alias("text"), F.sha2(text, 256).alias("digest")).join(near, "digest", "left_semi")
     once = some.groupBy("digest").agg(F.first("text").alias("text")).join(listed, "digest")
 
     def holds(w: Column, c: Column) -> Column:
