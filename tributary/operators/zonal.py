@@ -31,13 +31,14 @@ def every_zone(stats: DataFrame, zones: DataFrame, listed: DataFrame | None, by:
 
 
 ACCURACY, MARGIN = 1000, 3
+RANGED = 1_000_000  # values near a percentile, of all keys, up to which one part will do
 
 
 def percentiles(rows: DataFrame, keys: list[str], value: str, p: float) -> DataFrame:
     """(keys..., percentile): exact, interpolated linearly, of the values that aren't null.
 
     A mergeable sketch per key, whose ranks err by one in ``ACCURACY`` at most, gives two bounds around the percentile. Values below them are only counted and values above left out, so
-    only those between, some thousandths, are ranged by key and value. Ranks are the counts below and in the parts before, and the running count within a part: no task holds a whole key.
+    only those between, some thousandths, are ranged by key and value if they are many. Ranks are the counts below and in the parts before, and the running count within a part: no task holds a whole key.
     """
     some = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
     margin = MARGIN / ACCURACY
@@ -47,7 +48,11 @@ def percentiles(rows: DataFrame, keys: list[str], value: str, p: float) -> DataF
     near = some.join(bounds, keys).filter(F.col("v") <= F.col("b")[1])
     dist = materialise(near.groupBy(*keys, "total", F.when(F.col("v") >= F.col("b")[0], F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")), "near")
     below = dist.filter("v IS NULL").select(*keys, F.col("n").alias("below"))
-    ranged = materialise(dist.filter("v IS NOT NULL").repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()), "ranged")
+    ranged = dist.filter("v IS NOT NULL")
+    if dist.count() > RANGED:
+        ranged = materialise(ranged.repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()), "ranged")
+    else:
+        ranged = ranged.withColumn("part", F.lit(0))
     sums = ranged.groupBy(*keys, "part").agg(F.sum("n").alias("s")).join(below, keys, "left")
     before = sums.select(*keys, "part", (F.sum("s").over(Window.partitionBy(*keys).orderBy("part")) - F.col("s") + F.coalesce("below", F.lit(0))).alias("before"))  # a row a key and part
     running = F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
