@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
+from .joins import SMALL, is_small, large, sized
 
 EPS = 1e-9
 CELL = 100.0
@@ -143,14 +144,15 @@ def box_candidates(spots: DataFrame, boxes: DataFrame, cell: float = CELL) -> Da
     """
     size = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(cell))
     filed = boxes.withColumn("level", F.ceil(F.log2(size / cell)).cast("int"))
-    levels = [r["level"] for r in filed.select("level").distinct().collect()] or [0]  # a few dozen at most
+    counts = {r["level"]: r["count"] for r in filed.groupBy("level").count().collect()}  # a few dozen at most
+    levels = list(counts) or [0]
     step = lambda level: F.pow(F.lit(2.0), level) * cell
     wide = step(F.col("level"))
     filed = filed.select("*", F.explode(F.sequence(F.floor((F.col("xmin") - EPS) / wide), F.floor((F.col("xmax") + EPS) / wide))).alias("bx"))
     filed = filed.select("*", F.explode(F.sequence(F.floor((F.col("ymin") - EPS) / wide), F.floor((F.col("ymax") + EPS) / wide))).alias("by"))
     at = spots.select("*", F.explode(F.array(*map(F.lit, levels))).alias("level")).withColumns({"bx": F.floor(F.col("px") / wide), "by": F.floor(F.col("py") / wide)})
     inside = F.expr(f"px BETWEEN xmin - {EPS} AND xmax + {EPS} AND py BETWEEN ymin - {EPS} AND ymax + {EPS}")
-    return at.join(filed, ["level", "bx", "by"]).filter(inside).drop("level", "bx", "by", "xmin", "ymin", "xmax", "ymax")
+    return at.join(sized(filed, 9 * sum(counts.values()) <= SMALL), ["level", "bx", "by"]).filter(inside).drop("level", "bx", "by", "xmin", "ymin", "xmax", "ymax")
 
 
 def segments(edges: DataFrame) -> DataFrame:
@@ -175,7 +177,7 @@ def locate(points: DataFrame, edges: DataFrame, cell: float = CELL, pair: bool =
     near = points if pair else box_candidates(points, zone.groupBy("zone_id").agg(*bounds()), cell)
     near = near.withColumn("band", F.floor(F.col("py") / cell))
     bands = segments(zone).select("zone_id", "x1", "y1", "x2", "y2", cells(F.col("ymin"), F.col("ymax"), cell, EPS).alias("band"))
-    found = near.join(bands, ["zone_id", "band"])
+    found = near.join(sized(bands), ["zone_id", "band"])
     keys = [*points.columns] if "zone_id" in points.columns else [*points.columns, "zone_id"]
     tested = found.groupBy(*keys).agg((F.sum(F.expr(CROSSES)) % 2 == 1).alias("inside"), (F.min(F.expr(DISTANCE2)) <= EPS * EPS).alias("touches"))
     return tested
@@ -227,21 +229,25 @@ def interior_point(edges: DataFrame) -> DataFrame:
 CUT = ["part", "ring", "seq", "x1", "y1", "x2", "y2"]
 
 
+SEGMENTS = 25_000  # dealt to a task
 def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFrame | None = None) -> DataFrame:
-    """Segments of ``lines`` cut at the edges of each zone that they meet or begin in.
+    """Segments of ``lines`` cut at the edges of each zone that they meet or begin in; the pieces in the zone's box.
 
     One row per piece: (feature_id, part, ring, seq, zone_id, x1, y1, x2, y2, t, id, inside, touches, along): along is the direction of a zone edge that the
     piece lies on, 1 the same, -1 opposite, else 0; id numbers the segments. With ``group`` (feature_id, group) lines and zones are one layer: only other features of the
-    same group are met, and a segment is cut alike for all of them.
+    same group are met, a segment is cut alike for all of them, and all pieces are given.
 
     Segments and edges meet in the bins they run through; a zone that a segment lies in without a crossing is found by its begin. Cuts of a segment
-    and a zone come together in one shuffle by their numbers.
+    and a zone come together by their numbers: where the zones are few, the segments are dealt by number beforehand, ``SEGMENTS`` a task, and what is made from them stays there.
     """
     own = (lines if "ring" in lines.columns else lines.withColumn("ring", F.lit(0))).select("feature_id", *CUT, F.monotonically_increasing_id().alias("id"))
     own = materialise(own, "segments")
     line = ["feature_id", *CUT]
     zone = walked(edges, cell).select(F.col("feature_id").alias("zone_id"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")], "bx", "by")
-    near = walked(own, cell).join(zone, ["bx", "by"]).filter(F.expr(
+    few = is_small(zone)
+    if few and group is None:
+        own = own.repartition(math.ceil(own.count() / SEGMENTS) or 1, "id")
+    near = walked(own, cell).join(sized(zone, few), ["bx", "by"]).filter(F.expr(
         f"least(x1, x2) <= greatest(ex1, ex2) + {EPS} AND greatest(x1, x2) >= least(ex1, ex2) - {EPS} AND least(y1, y2) <= greatest(ey1, ey2) + {EPS} AND greatest(y1, y2) >= least(ey1, ey2) - {EPS}"))
     # parameters of the crossings of segment p + t r with edge q + u s, and of edge ends that lie on the segment
     near = near.withColumns({
@@ -257,7 +263,7 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFr
     found = met.unionByName(begins.select("id", "zone_id", *line, F.lit(1.0).alias("t")))
     if group is not None:
         of = lambda name, key: group.select(F.col("feature_id").alias(key), F.col("group").alias(name))
-        found = found.filter("feature_id != zone_id").join(of("g1", "feature_id"), "feature_id").join(of("g2", "zone_id"), "zone_id").filter("g1 = g2").drop("g1", "g2")
+        found = found.filter("feature_id != zone_id").join(sized(of("g1", "feature_id")), "feature_id").join(sized(of("g2", "zone_id")), "zone_id").filter("g1 = g2").drop("g1", "g2")
         found = materialise(found.unionByName(own.select("id", F.lit(None).cast(dict(edges.dtypes)["feature_id"]).alias("zone_id"), *line, F.lit(1.0).alias("t"))), "pairs")  # a segment that meets no other feature is one piece
         found = found.drop("t").distinct().join(found.select("id", "t").distinct(), "id")
     order = Window.partitionBy("id", "zone_id").orderBy("t")
@@ -270,8 +276,14 @@ def pieces(lines: DataFrame, edges: DataFrame, cell: float = CELL, group: DataFr
         *[F.expr(e).alias(n) for n, e in (("ax", "x1 + t * (x2 - x1)"), ("ay", "y1 + t * (y2 - y1)"), ("bx2", "x1 + t2 * (x2 - x1)"), ("by2", "y1 + t2 * (y2 - y1)"))],
     ).withColumns({"px": F.expr("(ax + bx2) / 2"), "py": F.expr("(ay + by2) / 2")}).withColumn("band", F.floor(F.col("py") / cell))
     bands = segments(edges).select(F.col("feature_id").alias("zone_id"), "x1", "y1", "x2", "y2", cells(F.col("ymin"), F.col("ymax"), cell, 1e-6).alias("band"))
-    tested = part.join(bands, ["zone_id", "band"], "left")
-    on = F.expr(f"coalesce(({DISTANCE2}) <= 1e-14 AND abs((bx2 - ax) * (y2 - y1) - (by2 - ay) * (x2 - x1)) <= 1e-6 * sqrt(power(bx2 - ax, 2) + power(by2 - ay, 2)) * sqrt(power(x2 - x1, 2) + power(y2 - y1, 2)), false)")
+    if group is None:
+        box = edges.groupBy(F.col("feature_id").alias("zone_id")).agg(*[b.alias(n) for b, n in zip(bounds(), ("zx1", "zy1", "zx2", "zy2"), strict=True)])
+        boxed = bands.join(sized(box, few), "zone_id")
+        tested = part.join(sized(boxed, few), ["zone_id", "band"]).filter("px BETWEEN zx1 - 1e-6 AND zx2 + 1e-6 AND py BETWEEN zy1 - 1e-6 AND zy2 + 1e-6")
+    else:
+        tested = part.join(sized(bands, few), ["zone_id", "band"], "left")
+    beside = "px BETWEEN least(x1, x2) - 1e-6 AND greatest(x1, x2) + 1e-6 AND py BETWEEN least(y1, y2) - 1e-6 AND greatest(y1, y2) + 1e-6"
+    on = F.expr(f"coalesce({beside} AND ({DISTANCE2}) <= 1e-14 AND abs((bx2 - ax) * (y2 - y1) - (by2 - ay) * (x2 - x1)) <= 1e-6 * sqrt(power(bx2 - ax, 2) + power(by2 - ay, 2)) * sqrt(power(x2 - x1, 2) + power(y2 - y1, 2)), false)")
     same = F.when(on, F.when(F.expr("(bx2 - ax) * (x2 - x1) + (by2 - ay) * (y2 - y1) > 0"), 1).otherwise(-1)).otherwise(0)
     out = tested.groupBy("id", "zone_id", "t", "feature_id", "part", "ring", "seq", "ax", "ay", "bx2", "by2").agg(
         (F.coalesce(F.sum(F.expr(CROSSES)), F.lit(0)) % 2 == 1).alias("inside"), F.coalesce(F.max(on), F.lit(False)).alias("touches"), F.max_by(same, F.abs(same)).alias("along"))
@@ -320,7 +332,7 @@ def overlay_area(zones: DataFrame, units: DataFrame, cell: float = CELL) -> Data
     """(zone_id, unit_id, intersection_area_km2, zone_fraction, unit_fraction) of pairs with an overlap above zero."""
     found = overlap_pieces(zones, units, cell).groupBy(F.col("a_id").alias("zone_id"), F.col("b_id").alias("unit_id")).agg(F.abs(F.sum(F.expr("x1 * y2 - x2 * y1")) / 2).alias("m2")).filter("m2 > 1e-6")
     za, ua = (measure(e).select(F.col("feature_id").alias(k), F.col("area").alias(f"{k}_area")) for e, k in ((zones, "zone_id"), (units, "unit_id")))
-    out = found.join(za, "zone_id").join(ua, "unit_id")
+    out = found.join(sized(za), "zone_id").join(sized(ua), "unit_id")
     return out.select("zone_id", "unit_id", (F.col("m2") / 1e6).alias("intersection_area_km2"), (F.col("m2") / F.col("zone_id_area")).alias("zone_fraction"), (F.col("m2") / F.col("unit_id_area")).alias("unit_fraction"))
 
 
