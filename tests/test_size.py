@@ -20,6 +20,25 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_band_of_edges(spark, monkeypatch):
+    rows = [(1, HOLED + [[(4, 4), (6, 4), (6, 6), (4, 6)]]), (2, list(reversed(HOLED)))]
+    found = []
+    for edges in (1, 3, 16):
+        monkeypatch.setattr(G, "BAND", edges)
+        found.append({tuple(r) for r in ring_layer(spark, rows).collect()})
+    assert found[0] == found[1] == found[2] and len(found[0]) == 20
+
+
+def test_rings_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(G, "FEATURES", 10)
+    one = spark.range(0, 100, 1, 1).select("id", F.array(F.array(*[F.struct((F.col("id") + x).cast("double").alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (1, 0), (1, 1))])).alias("rings"))
+    made = []
+    keep = G.materialise
+    monkeypatch.setattr(G, "materialise", lambda df, label: made.append((label, df.rdd.getNumPartitions())) or keep(df, label))
+    assert G.measure(G.edges_from_rings(one, "id", "rings")).count() == 100
+    assert dict(made)["rings"] == 10
+
+
 def test_many_zones_are_not_broadcast(spark, tmp_path):
     path = f"{tmp_path}/{uuid.uuid4().hex}"
     spark.range(30_000).select(F.col("id").alias("k")).coalesce(1).write.parquet(path)

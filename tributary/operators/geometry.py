@@ -19,6 +19,8 @@ CELL = 100.0
 
 
 PROBE = 0.3819660112501051  # of a ring's height: no vertex of a layer on a grid lies there
+BAND = 16  # edges of a feature for one of its bands
+FEATURES = 20_000  # rings of so many features are taken apart in a task
 
 
 def ring_edges(layer: DataFrame, key: str, rings: str, shells: str | None = None) -> DataFrame:
@@ -43,19 +45,19 @@ def ring_nesting(edges: DataFrame) -> DataFrame:
     """(feature_id, ring, outer): the rings of a feature that lie around each of its rings.
 
     A line at some height of a ring meets its leftmost point; a ring around it has an odd number of crossings to the left of that. Edges are filed under the bands of their feature
-    that they pass, as many as it has edges, so a line meets only the edges at its height.
+    that they pass, one for ``BAND`` edges of it, so a line meets only the edges near its height.
     """
     rings = edges.groupBy("feature_id", "ring").agg(F.min(F.least("y1", "y2")).alias("low"), F.max(F.greatest("y1", "y2")).alias("high"), F.count(F.lit(1)).alias("n"))
-    whole = rings.groupBy("feature_id").agg(F.min("low").alias("bottom"), F.max("high").alias("top"), F.sum("n").alias("bands")).filter("top > bottom")
+    whole = rings.groupBy("feature_id").agg(F.min("low").alias("bottom"), F.max("high").alias("top"), F.ceil(F.sum("n") / BAND).alias("bands")).filter("top > bottom")
     band = lambda y: F.floor((y - F.col("bottom")) / (F.col("top") - F.col("bottom")) * F.col("bands"))
     level = F.col("low") + PROBE * (F.col("high") - F.col("low"))
-    probes = rings.filter("high > low").join(whole, "feature_id").select("feature_id", F.col("ring").alias("inner"), level.alias("y"), band(level).alias("band"))
-    filed = edges.select("feature_id", "ring", "x1", "y1", "x2", "y2").filter("y1 != y2").join(whole, "feature_id")
+    probes = rings.filter("high > low").join(large(whole), "feature_id").select("feature_id", F.col("ring").alias("inner"), level.alias("y"), band(level).alias("band"))
+    filed = edges.select("feature_id", "ring", "x1", "y1", "x2", "y2").filter("y1 != y2").join(large(whole), "feature_id")
     filed = filed.select("feature_id", "ring", "x1", "y1", "x2", "y2", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))).alias("band"))
-    met = filed.join(probes, ["feature_id", "band"]).filter("(y1 > y) != (y2 > y)").select("feature_id", "inner", "ring", F.expr("x1 + (y - y1) * (x2 - x1) / (y2 - y1)").alias("x"))
+    met = filed.join(large(probes), ["feature_id", "band"]).filter("(y1 > y) != (y2 > y)").select("feature_id", "inner", "ring", F.expr("x1 + (y - y1) * (x2 - x1) / (y2 - y1)").alias("x"))
     met = materialise(met, "crossings")
     left = met.filter("ring = inner").groupBy("feature_id", "inner").agg(F.min("x").alias("left"))
-    around = met.filter("ring != inner").join(left, ["feature_id", "inner"]).filter("x < left").groupBy("feature_id", "inner", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
+    around = met.filter("ring != inner").join(large(left), ["feature_id", "inner"]).filter("x < left").groupBy("feature_id", "inner", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
     return around.filter("odd").select("feature_id", F.col("inner").alias("ring"), F.col("ring").alias("outer"))
 
 
@@ -73,20 +75,20 @@ def edges_from_rings(layer: DataFrame, key: str, rings: str, shells: str | None
     shuffle. The table is written to the shared folder, as operators read it several times. With ``evidence`` two columns tell what is wrong with the rings as given: ``added`` for an edge that closes an open ring, ``misplaced`` for a ring that
     ``shells`` calls a hole although it lies in no shell, or a shell although it lies in one.
     """
-    raw = ring_edges(layer, key, rings, shells)
+    raw = materialise(ring_edges(layer.repartition(math.ceil(layer.count() / FEATURES) or 1, key), key, rings, shells), "rings")
     extra = ["added", "misplaced"] if evidence else []
     one = _turned(raw.filter("rings = 1").withColumns({"part": F.lit(0), "misplaced": F.lit(False)}), F.col("twice") < 0, *extra)
     many = raw.filter("rings > 1")
     around = materialise(ring_nesting(many), "nesting")
     depth = around.groupBy("feature_id", "ring").agg(F.count(F.lit(1)).alias("depth"))
-    above = around.join(depth.select("feature_id", F.col("ring").alias("outer"), F.col("depth").alias("d")), ["feature_id", "outer"], "left")
+    above = around.join(large(depth.select("feature_id", F.col("ring").alias("outer"), F.col("depth").alias("d"))), ["feature_id", "outer"], "left")
     parent = above.groupBy("feature_id", "ring").agg(F.max_by("outer", F.coalesce("d", F.lit(0))).alias("parent"), F.count(F.lit(1)).alias("depth"))
-    named = many.select("feature_id", "ring").distinct().join(parent, ["feature_id", "ring"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    named = many.select("feature_id", "ring").distinct().join(large(parent), ["feature_id", "ring"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
     named = named.withColumn("shell", F.when(F.col("depth") % 2 == 0, F.col("ring")).otherwise(F.col("parent")))
     place = F.dense_rank().over(Window.partitionBy("feature_id").orderBy("shell")) - 1
     inner = F.row_number().over(Window.partitionBy("feature_id", "shell").orderBy(F.col("depth") % 2, "ring")) - 1
     placed = named.select("feature_id", F.col("ring").alias("given"), "depth", place.alias("part"), inner.alias("ring"))
-    both = many.withColumnRenamed("ring", "given").join(placed, ["feature_id", "given"])
+    both = many.withColumnRenamed("ring", "given").join(large(placed), ["feature_id", "given"])
     both = both.withColumn("misplaced", F.coalesce(F.col("hole") != (F.col("depth") % 2 == 1), F.lit(False)))
     return materialise(one.unionByName(_turned(both, (F.col("twice") < 0) == (F.col("depth") % 2 == 0), *extra)), "edges")
 
