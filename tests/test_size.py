@@ -48,6 +48,11 @@ def test_many_zones_are_not_broadcast(spark, tmp_path):
         assert "BroadcastHashJoin" not in plan(df) and "SortMergeJoin" in plan(df)
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_crosswalk_is_not_broadcast(spark):
+    assert "Broadcast" not in plan(records.crosswalk(spark, DATA))
+
+
 def test_pieces_stay_where_their_segment_is(spark, monkeypatch):
     monkeypatch.setattr(G, "SEGMENTS", 2)
     zones = box_layer(spark, ZONES)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..sources.scratch import materialise
 from . import geometry
+from .joins import large
 
 VIABLE = 0.95
 REFORM = "2025-07-01"
@@ -48,20 +49,20 @@ def build_crosswalk(current: DataFrame, current_edges: DataFrame, old: DataFrame
     named = named.withColumn("row_id", F.concat_ws("\0", "code", "position"))
     olds = old.withColumn("normalized", T.normalize_unit_name(F.col("old_name"), composed)).select(F.col("feature_id").alias("old_feature"), "old_id", "old_name", "valid_to", "normalized")
     area = geometry.overlay_area(old_edges, current_edges, cell).select(F.col("zone_id").alias("old_feature"), F.col("unit_id").alias("feature_id"), (F.col("intersection_area_km2") * 1e6).alias("overlap_area"), F.col("zone_fraction").alias("overlap_fraction"))
-    pair = named.select("row_id", "feature_id", "normalized").join(olds, "normalized").join(area, ["old_feature", "feature_id"], "left").fillna(0.0, ["overlap_area", "overlap_fraction"])
+    pair = named.select("row_id", "feature_id", "normalized").join(large(olds), "normalized").join(large(area), ["old_feature", "feature_id"], "left").fillna(0.0, ["overlap_area", "overlap_fraction"])
     metric = F.struct("old_id", "overlap_fraction", "overlap_area")
     good = F.col("overlap_fraction") >= viable
     found = pair.groupBy("row_id").agg(
         F.array_sort(F.collect_list(metric)).alias("metrics"), F.array_sort(F.collect_set(F.when(good, F.col("old_id")))).alias("viable_ids"),
         F.min_by(F.struct("old_id", "old_name", "valid_to"), F.when(good, F.col("old_id"))).alias("best"), F.count(F.lit(1)).alias("candidates"), F.min("old_id").alias("only_id"))
-    rows = named.join(found, "row_id", "left")
+    rows = named.join(large(materialise(found, "candidates")), "row_id", "left")
     n = F.coalesce(F.size("viable_ids"), F.lit(0))
     matched = n == 1
     rows = rows.withColumns({"n": n, "first_status": F.when(matched, "matched").when(n > 1, "ambiguous").otherwise("unresolved")})
     # the codes that count on each old id; a row without a code of its own adds the text None
     claims = rows.select(F.explode("viable_ids").alias("old_id"), F.when(F.col("n") == 1, F.col("code")).otherwise("None").alias("claimed")).distinct().groupBy("old_id").agg((F.count(F.lit(1)) > 1).alias("contested")).filter("contested")
-    contested = rows.select("row_id", F.explode("viable_ids").alias("old_id")).join(claims.select("old_id"), "old_id").select("row_id").distinct().withColumn("contested", F.lit(True))
-    rows = rows.join(contested, "row_id", "left").withColumn("contested", F.coalesce("contested", F.lit(False)))
+    contested = rows.select("row_id", F.explode("viable_ids").alias("old_id")).join(large(claims.select("old_id")), "old_id").select("row_id").distinct().withColumn("contested", F.lit(True))
+    rows = rows.join(large(contested), "row_id", "left").withColumn("contested", F.coalesce("contested", F.lit(False)))
     sure = (F.col("n") == 1) & ~F.col("contested")
     same = T.normalize_unit_name(F.col("name"), composed) == F.col("normalized")
     return rows.select(
@@ -103,19 +104,19 @@ def resolve_places(events: DataFrame, current: DataFrame, crosswalk: DataFrame,
     reform = F.lit(REFORM).cast("date")
     dated = events.withColumn("regime", F.when(F.col("start") < reform, "historical").when(F.col("start").isNotNull(), "current"))
     plain = lookup.filter(F.col("gram").rlike(r"(?U)^[\w]+( [\w]+)*$"))
-    grams = place_grams(dated.filter("regime IS NOT NULL AND place IS NOT NULL"), "place", longest).join(dated.select("event_id", "regime"), "event_id")
-    hits = grams.join(plain, ["regime", "gram"]).filter("regime = 'historical' OR NOT former").select("event_id", "gram", "codes", "unsure")
+    grams = place_grams(dated.filter("regime IS NOT NULL AND place IS NOT NULL"), "place", longest).join(large(dated.select("event_id", "regime")), "event_id")
+    hits = grams.join(large(plain), ["regime", "gram"]).filter("regime = 'historical' OR NOT former").select("event_id", "gram", "codes", "unsure")
     first = F.regexp_extract("gram", r"(?U)(\w+)", 1)  # a whole word wherever the name stands; empty for a name of signs only
     odd = materialise(lookup.filter(~F.col("gram").rlike(r"(?U)^[\w]+( [\w]+)*$")).withColumn("word", first), "odd")
     if not odd.isEmpty():
         folded = F.regexp_replace(F.lower(T.collapse(F.col("place"))), T.UNIT_PREFIX, "")
         words = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all("folded", F.lit(r"(?U)(\w+)"), F.lit(1))))
-        near = dated.select("event_id", "regime", folded.alias("folded")).filter("regime IS NOT NULL AND folded IS NOT NULL").withColumn("word", F.explode(words)).join(odd, ["regime", "word"])
+        near = dated.select("event_id", "regime", folded.alias("folded")).filter("regime IS NOT NULL AND folded IS NOT NULL").withColumn("word", F.explode(words)).join(large(odd), ["regime", "word"])
         quoted = F.concat(F.lit(r"(?U)(?<![\w])\Q"), "gram", F.lit(r"\E(?![\w])"))
         extra = near.filter(F.regexp_like("folded", quoted)).filter(F.expr("regime = 'historical'") | ~F.col("folded").contains(F.concat("gram", F.lit(FORMER)))).select("event_id", "gram", "codes", "unsure")
         hits = hits.unionByName(extra)
     sums = hits.distinct().groupBy("event_id").agg(F.array_sort(F.collect_set("gram")).alias("names"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes")))).alias("codes"), F.min((F.size("codes") == 1) & ~F.col("unsure")).alias("one_each"), F.max("unsure").alias("any_unsure"))
-    out = dated.join(sums, "event_id", "left")
+    out = dated.join(large(sums), "event_id", "left")
     status = F.when(F.coalesce("one_each", F.lit(False)), "matched").when((F.coalesce(F.size("codes"), F.lit(0)) > 0) | F.coalesce("any_unsure", F.lit(False)), "ambiguous").otherwise("unresolved")
     empty = F.array().cast("array<string>")
     out = out.withColumn("match_status", status).withColumns({"names": F.coalesce("names", empty), "codes": F.coalesce("codes", empty)})
