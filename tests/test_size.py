@@ -64,3 +64,18 @@ def test_pieces_stay_where_their_segment_is(spark, monkeypatch):
     assert rows and all(r.inside or r.touches for r in rows)  # others are out of the zone's box
     got = {r.line_id: r.km for r in G.overlay_length(zones, lines).groupBy("line_id").agg(F.sum("intersection_length_km").alias("km")).collect()}
     assert got == {i: pytest.approx(((990 - 18 * i) ** 2 + 992**2) ** 0.5 / 1000) for i in range(9)}
+
+
+def test_mappings_are_made_once(spark):
+    made = spark.range(7, 1007).select((F.col("id") % 3).alias("z"), F.col("id").alias("k"), (F.col("id") > 500).alias("boundary_case"))
+    checks = gates.gate_mappings({"p": made}, {"p": spark.range(2000).withColumnRenamed("id", "k")}, spark.range(3).withColumnRenamed("id", "z"), spark.range(1).withColumnRenamed("id", "u"), "z", {"p": (("k",), ("boundary_case",))}, ("p", "u", "f"))
+    assert {r.check_id: r.actual for r in checks.collect()} == {"mapping.p.columns": "", "mapping.p.keys.z": "0", "mapping.p.keys.k": "0", "mapping.boundary_cases": "506"}
+    assert "Range (7, 1007" not in plan(checks)
+
+
+def test_provenance_is_read_once(spark):
+    assets = spark.range(7, 1007).select(F.col("id").alias("asset_id"), *[F.lit("x").alias(c) for c in ("source", "version", "path")], F.col("id").cast("string").alias("checksum"), F.lit("raw").alias("kind"), F.lit(2).cast("long").alias("size_bytes"))
+    closure = spark.range(9, 1009).select(F.col("id").alias("root_id"), F.col("id").alias("node_id"), F.lit("raw").alias("state"))
+    checks = gates.gate_provenance(assets, closure, 2000)
+    assert {r.check_id: (r.passed, r.actual) for r in checks.collect()} == {"provenance.fields": (True, "0"), "provenance.lineage": (True, "0"), "provenance.used": (True, "998"), "provenance.bytes": (True, "1996")}
+    assert "Range (7, 1007" not in plan(checks) and "Range (9, 1009" not in plan(checks)

@@ -87,6 +87,8 @@ def gate_mappings(mappings: dict[str, DataFrame], entities: dict[str, DataFrame]
         out.append(checks_of(zones.agg(F.count(F.lit(1)).alias("n")), {f"mapping.{name}.columns": (F.lit(not missing), "fatal", F.lit(",".join((zone, *keys, *columns))), F.lit(",".join(missing)))}))
         if df is None:
             continue
+        read = {zone, *keys, "boundary_case", *(unit[1:] if name == unit[0] else ())}
+        df = materialise(df.select(*[c for c in df.columns if c in read]), "mapping")  # every check reads it
         for key, other in [(zone, zones), *((k, entity) for k in keys)]:
             if other is None or key not in other.columns or key not in df.columns:
                 out.append(present(name, f"keys.{key}", False))
@@ -181,7 +183,10 @@ def gate_events(events: DataFrame, expected: int) -> DataFrame:
 
 def gate_provenance(assets: DataFrame, closure: DataFrame, cap: int, fields: tuple[str, ...] = ("source", "version", "checksum", "path")) -> DataFrame:
     """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw (if there is that column) with all ``fields``, and their bytes, known and each content once, within the cap."""
-    used = assets.join(closure.filter("state = 'raw'").select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi")
+    closure = materialise(closure, "closure")
+    named = [c for c in assets.columns if c in {"asset_id", "kind", "checksum", "size_bytes", *fields}]
+    used = assets.select(*named).join(closure.filter("state = 'raw'").select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi")
+    used = materialise(used, "used")
     wrong = catalog.provenance_gaps(used, fields).select("asset_id")
     if "kind" in assets.columns:
         wrong = wrong.unionByName(breaks(used, "kind = 'raw'").select("asset_id")).distinct()
