@@ -66,6 +66,21 @@ def test_pieces_stay_where_their_segment_is(spark, monkeypatch):
     assert got == {i: pytest.approx(((990 - 18 * i) ** 2 + 992**2) ** 0.5 / 1000) for i in range(9)}
 
 
+def test_ends_on_edges_need_no_shuffle(spark):
+    lines = line_layer(spark, [(1, 0, 0, 200.0, 50.0, 260.0, 80.0), (2, 0, 0, 210.0, 10.0, 220.0, 20.0), (3, 0, 0, 190.0, 190.0, 210.0, 210.0)])
+    found = zonal.touches(lines, box_layer(spark, ZONES))
+    assert "SortMergeJoin" not in plan(found) and plan(found).count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in found.collect()} == {(1, 0), (1, 1), (3, 0), (3, 1), (3, 5), (3, 6)}
+
+
+def test_heights_are_joined_where_the_reaches_are(spark):
+    dem = spark.range(100).select(F.lit(0).cast("long").alias("raster_id"), F.floor(F.col("id") / 10).cast("int").alias("row"), (F.col("id") % 10).cast("int").alias("col"), F.col("id").cast("double").alias("value"), F.lit(True).alias("valid"))
+    grid = {"a": 100.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -100.0, "f": 1000.0}
+    out = zonal.stream_gradient(box_layer(spark, ZONES), line_layer(spark, [(1, 0, 0, 10.0, 10.0, 150.0, 10.0)]), dem, grid)
+    assert [(r.zone_id, r.stream_gradient) for r in out.collect() if r.valid] == [(0, pytest.approx(1 / 140))]
+    assert "row#" not in "".join(r for r in plan(out).splitlines() if "Exchange hashpartitioning" in r)
+
+
 def test_mappings_are_made_once(spark):
     made = spark.range(7, 1007).select((F.col("id") % 3).alias("z"), F.col("id").alias("k"), (F.col("id") > 500).alias("boundary_case"))
     checks = gates.gate_mappings({"p": made}, {"p": spark.range(2000).withColumnRenamed("id", "k")}, spark.range(3).withColumnRenamed("id", "z"), spark.range(1).withColumnRenamed("id", "u"), "z", {"p": (("k",), ("boundary_case",))}, ("p", "u", "f"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
 from . import geometry
+from .joins import large, sized
 from .raster import KEY, Grid, assign_pixels, join_pixels_zones, join_runs, share, window_runs, zone_runs
 
 #: Thickness-weighted bands and divisors of the soil properties.
@@ -189,12 +190,13 @@ def population_by_zone(pixels: DataFrame, zones: DataFrame, core: DataFrame, gri
 def touches(rivers: DataFrame, zones: DataFrame, cell: float = geometry.CELL) -> DataFrame:
     """(feature_id, zone_id) of reaches with an end on a zone's boundary, or on which a corner of a zone lies."""
     end = F.explode(F.array(F.struct(F.col("x1").alias("px"), F.col("y1").alias("py")), F.struct(F.col("x2").alias("px"), F.col("y2").alias("py")))).alias("p")
-    ends = rivers.select(F.col("feature_id").alias("reach"), end).select("reach", "p.px", "p.py").distinct()
-    touch = geometry.locate(ends, zones, cell).filter("touches").select("reach", "zone_id")
-    corners = zones.select(F.col("feature_id").alias("zone_id"), F.col("x1").alias("px"), F.col("y1").alias("py"))
+    bins = {"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)}
+    near = lambda df: df.filter(F.expr("px BETWEEN least(x1, x2) - 1e-6 AND greatest(x1, x2) + 1e-6 AND py BETWEEN least(y1, y2) - 1e-6 AND greatest(y1, y2) + 1e-6")).filter(F.expr(geometry.DISTANCE2) <= geometry.EPS**2).select("reach", "zone_id")
+    ends = rivers.select(F.col("feature_id").alias("reach"), end).select("reach", "p.px", "p.py").withColumns(bins)
+    touch = near(ends.join(sized(geometry.walked(zones.select(F.col("feature_id").alias("zone_id"), "x1", "y1", "x2", "y2"), cell)), ["bx", "by"]))
+    corners = zones.select(F.col("feature_id").alias("zone_id"), F.col("x1").alias("px"), F.col("y1").alias("py")).withColumns(bins)
     own = geometry.walked(rivers.select(F.col("feature_id").alias("reach"), "x1", "y1", "x2", "y2"), cell)
-    at = corners.withColumns({"bx": F.floor(F.col("px") / cell), "by": F.floor(F.col("py") / cell)}).join(own, ["bx", "by"]).filter(F.expr(geometry.DISTANCE2) <= geometry.EPS**2).select("reach", "zone_id")
-    return touch.unionByName(at).distinct().withColumnRenamed("reach", "feature_id")
+    return touch.unionByName(near(own.join(sized(corners), ["bx", "by"]))).distinct().withColumnRenamed("reach", "feature_id")
 
 
 def drainage(zones: DataFrame, rivers: DataFrame, cell: float = geometry.CELL) -> DataFrame:
@@ -227,10 +229,12 @@ def stream_gradient(zones: DataFrame, rivers: DataFrame, dem: DataFrame, grid: G
     whole = F.forall(F.sequence(F.lit(0), F.col("pieces").cast("int") - 1), lambda i: (i == 0) | ((F.abs(F.get(run, i)["x1"] - F.get(run, i - 1)["x2"]) < 1e-6) & (F.abs(F.get(run, i)["y1"] - F.get(run, i - 1)["y2"]) < 1e-6)))
     reach = kept.withColumn("whole", whole).select("feature_id", "zone_id", "length", "whole", "a", "b")
     key = ["feature_id", "zone_id"]
-    ends = reach.select(*key, F.explode(F.array(F.struct(F.lit("a").alias("end"), "a.x", "a.y"), F.struct(F.lit("b").alias("end"), "b.x", "b.y"))).alias("p")).select(*key, "p.end", "p.x", "p.y")
-    z = sample_at(ends, dem, grid).groupBy(*key).agg(F.max(F.when(F.col("end") == "a", F.col("sampled"))).alias("za"), F.max(F.when(F.col("end") == "b", F.col("sampled"))).alias("zb"))
-    rows = reach.join(z, key).withColumn("rise", F.when(F.col("whole") & (F.col("length") > 0), F.col("zb") - F.col("za")))
-    touching = touches(rivers, zones, cell).join(reach, key, "left_anti")
+    reach, dem = materialise(reach, "reaches"), sized(materialise(dem.select("row", "col", "value", "valid"), "heights"))
+    rows = reach
+    for end in ("a", "b"):
+        rows = sample_at(rows.select("*", f"{end}.x", f"{end}.y"), dem, grid).drop("x", "y").withColumnRenamed("sampled", f"z{end}")
+    rows = rows.withColumn("rise", F.when(F.col("whole") & (F.col("length") > 0), F.col("zb") - F.col("za")))
+    touching = touches(rivers, zones, cell).join(large(reach.select(*key)), key, "left_anti")
     rows = rows.select("zone_id", "rise", "length").unionByName(touching.select("zone_id", F.lit(None).cast("double").alias("rise"), F.lit(0.0).alias("length")))
     ok = F.col("rise").isNotNull()
     sums = rows.groupBy("zone_id").agg((F.sum(F.when(ok, F.abs("rise"))) / F.sum(F.when(ok, F.col("length")))).alias("stream_gradient"), F.count_if(ok).alias("valid"), F.count_if(F.col("rise") > 0).alias("reversed"), F.count_if(F.col("rise") == 0).alias("flat"), F.count_if(~ok).alias("nodata"))
