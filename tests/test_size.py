@@ -1,6 +1,9 @@
-"""Plans on tables whose files are small and whose rows are many, or that several steps read."""
+"""Plans on tables whose files are small and whose rows are many, or that several steps read; files larger than a task should read."""
 
+import gzip
+import hashlib
 import os
+import random
 import uuid
 
 import pytest
@@ -11,6 +14,7 @@ from tributary.operators import gates, zonal
 from tributary.operators import geometry as G
 from tributary.plans import records
 from tributary.plans.fixtures import boxes
+from tributary.sources import digests, io
 
 DATA = "/root/testdata/sf0.001"
 ZONES = [(z, 200.0 * (z % 5), 200.0 * (z // 5), 200.0 * (z % 5) + 200, 200.0 * (z // 5) + 200) for z in range(25)]
@@ -99,3 +103,25 @@ def test_provenance_is_read_once(spark):
     checks = gates.gate_provenance(assets, closure, 2000)
     assert {r.check_id: (r.passed, r.actual) for r in checks.collect()} == {"provenance.fields": (True, "0"), "provenance.lineage": (True, "0"), "provenance.used": (True, "998"), "provenance.bytes": (True, "1996")}
     assert "Range (7, 1007" not in plan(checks) and "Range (9, 1009" not in plan(checks)
+
+
+@pytest.mark.parametrize("length", [70_001, 64 * 1024, 4 * 16_384 + 512, 4 * 16_384 + 2_000])
+def test_large_files_are_digested_in_pieces(spark, tmp_path, monkeypatch, length):
+    monkeypatch.setattr(digests, "ONE_TASK", 10_000)
+    monkeypatch.setattr(digests, "PIECES", ((1 << 14, 1 << 12), (1 << 11, 1 << 8), (1 << 11, 1)))
+    data = random.Random(length).randbytes(length)
+    names = {"plain.tif": data, "a,b {c} [d]*?.tif": data[:-1], "zeros.tif": bytes(length), "small.tif": data[:10_000], "packed.gz": gzip.compress(data), "named.gz": data[1:]}
+    for name, content in names.items():
+        (tmp_path / name).write_bytes(content)
+    read = []
+    monkeypatch.setattr(digests, "ended", lambda state, end=digests.ended: read.append(state[0]) or end(state))
+    got = {os.path.basename(r.path): r for r in io.scan_assets(spark, str(tmp_path)).collect()}
+    assert {k: (r.size_bytes, r.checksum, r.head) for k, r in got.items()} == {k: (len(v), hashlib.sha256(v).hexdigest(), v[:4].hex().upper()) for k, v in names.items()}
+    assert sorted(read) == sorted(len(names[k]) for k in ("plain.tif", "a,b {c} [d]*?.tif", "zeros.tif"))
+
+
+def test_a_piece_must_follow():
+    state = digests.fed(digests.begun(), [(0, b"ab"), (2, b"cde")])
+    assert digests.ended(digests.fed(state, [(5, b"f" * 100)])) == (hashlib.sha256(b"abcde" + b"f" * 100).hexdigest(), "61626364")
+    with pytest.raises(ValueError, match="follows 5"):
+        digests.fed(state, [(6, b"g")])

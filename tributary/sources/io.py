@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import catalog, geometry, raster
+from . import digests
 
 #: Columns of event rows by their meaning, and file signatures.
 EVENT_COLUMNS = {
@@ -131,17 +132,26 @@ def read_event_rows(rows: DataFrame, columns: dict[str, str] | None = None) -> D
 def scan_assets(spark: SparkSession, root: str, glob: str = "*", content: bool = True) -> DataFrame:
     """(path, size_bytes, modified, checksum, head) of files below a folder, outputs and partial files left out.
 
-    Contents above the size a binary row may hold are not read; their checksum is null.
+    Files above ``digests.ONE_TASK`` are digested in pieces when this is called. Where that can't be (compressed or hidden by name), contents above the size a binary row may hold are not read; their checksum is null.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     inner = F.substring_index("path", root.split(":", 1)[-1].rstrip("/") + "/", -1)
     files = files.filter(~inner.rlike(EXCLUDED))
     base = [F.col("path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")]
+    unread = [F.lit(None).cast("string").alias("checksum"), F.lit(None).cast("string").alias("head")]
     if not content:
-        return files.select(*base, F.lit(None).cast("string").alias("checksum"), F.lit(None).cast("string").alias("head"))
-    small = files.filter(F.col("length") <= WHOLE_FILE_LIMIT)
-    large = files.filter(F.col("length") > WHOLE_FILE_LIMIT).select(*base, F.lit(None).cast("string").alias("checksum"), F.lit(None).cast("string").alias("head"))
-    return small.select(*base, F.sha2("content", 256).alias("checksum"), F.hex(F.substring("content", 1, 4)).alias("head")).unionByName(large)
+        return files.select(*base, *unread)
+    read = [F.sha2("content", 256).alias("checksum"), F.hex(F.substring("content", 1, 4)).alias("head")]
+    small, large = files.filter(F.col("length") <= digests.ONE_TASK).select(*base, *read), files.filter(F.col("length") > digests.ONE_TASK).select(*base)
+    sizes = {r["path"]: r["size_bytes"] for r in large.collect()}  # few: each stands for ONE_TASK bytes
+    pieced = digests.file_digests(spark, [f for f in sizes.items() if digests.resumable() and digests.in_pieces(spark, f[0])])
+    rest = sizes.keys() - {p for p, *_ in pieced}
+    found = large.join(F.broadcast(spark.createDataFrame(pieced, "path string, checksum string, head string")), "path").select("path", "size_bytes", "modified", "checksum", "head")
+    if whole := sorted(p for p in rest if sizes[p] <= WHOLE_FILE_LIMIT):
+        found = found.unionByName(spark.read.format("binaryFile").load([digests.literal(p) for p in whole]).select(*base, *read))
+    if over := sorted(rest - set(whole)):
+        found = found.unionByName(large.filter(F.col("path").isin(over)).select("*", *unread))
+    return small.unionByName(found)
 
 
 def check_signatures(assets: DataFrame) -> DataFrame:
