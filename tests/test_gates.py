@@ -1,12 +1,13 @@
 """Gates over missing evidence, zones without pixels, values that are no numbers, upstream selection."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_geometry import box_layer, line_layer
-from tributary.operators import admin, gates, geometry, raster, zonal
+from tributary.operators import admin, catalog, gates, geometry, raster, zonal
 
 GRID = {"a": 10.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -10.0, "f": 100.0}
 
@@ -79,6 +80,41 @@ def test_provenance(spark):
     assert failed(gates.gate_provenance(assets, closure(*good, (9, 8, None)), 12)) == {"provenance.lineage"}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_evidence_judges_as_the_closure(spark, seed):
+    """Cycles, nodes that lead into them, missing and childless ones, roots that are few and one without id; seed 2 resolves as a whole."""
+    rng = random.Random(seed)
+    n = 40
+    pairs = {(k, rng.randrange(k)) for k in range(1, n) for _ in range(2)} | ({(5, 9), (9, 5), (20, 20)} if seed < 2 else set())
+    edges = spark.createDataFrame(sorted(pairs) + [(7, None)], "asset_id long, depends_on long")
+    ids = lambda rows: spark.createDataFrame([(k,) for k in rows], "asset_id long")
+    roots = [*range(0, n, 3), 12] if seed else [None, 3, n - 1, 77]
+    args = edges, ids(roots), ids([0, 1, 2, 5, 9] if seed < 2 else [0]), ids([k for k in range(n) if k != 4 or seed == 2])
+    closure, evidence = catalog.lineage_closure(*args), catalog.lineage_evidence(*args)
+    bad = lambda df: sorted((str(r.root_id), str(r.node_id), r.state) for r in df.filter("state NOT IN ('raw', 'inner')").collect())
+    raw = lambda df: sorted(r.node_id for r in df.filter("state = 'raw'").select("node_id").distinct().collect())
+    assert bad(evidence) == bad(closure) and raw(evidence) == raw(closure) != [] and bool(bad(closure)) == (seed < 2)
+    assert seed or ("None", "None", "missing") in bad(closure)
+    assert evidence.filter("state = 'raw'").count() == len(raw(closure)) and evidence.filter("state = 'inner'").isEmpty()
+
+
+def test_evidence_makes_no_pairs_of_what_resolves(spark, monkeypatch):
+    """A chain of 30 assets down to a raw one: 465 pairs of root and node, which the gate doesn't need."""
+    made, keep = [], catalog.materialise
+
+    def counted(df, label, replaces=None):
+        out = keep(df, label, replaces)
+        made.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(catalog, "materialise", counted)
+    ids = spark.range(30).withColumnRenamed("id", "asset_id")
+    edges = spark.range(1, 30).select(F.col("id").alias("asset_id"), (F.col("id") - 1).alias("depends_on"))
+    assets = ids.select("asset_id", *[F.lit("x").alias(c) for c in ("source", "version", "path", "checksum")], F.lit(3).cast("long").alias("size_bytes"))
+    assert failed(gates.gate_provenance(assets, catalog.lineage_evidence(edges, ids, ids.filter("asset_id = 0"), ids), 3)) == set()
+    assert max(rows for _, rows in made) == 30
+
+
 def test_soil_layers(spark):
     cube = (["clay", "sand"], ["0-5cm", "5-15cm"], ["mean"])
     rows = [(0, r, c, p, d, "mean", not (p == "sand" and d == "5-15cm" and c < 5)) for r in range(10) for c in range(10) for p, d in (("clay", "0-5cm"), ("sand", "0-5cm"), ("sand", "5-15cm"), ("odd", "0-5cm"))]

@@ -133,21 +133,49 @@ def lineage_closure(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: D
     Edges (asset_id, depends_on). A round joins the frontier with the edges; nodes seen before end a path, so cycles end.
     Rounds go on until the frontier is empty; more than ``depth`` levels are an error. Each round is written to the shared folder.
     """
-    edges = materialise(edges.select("asset_id", "depends_on").filter("depends_on IS NOT NULL").distinct(), "lineage-edges")
+    edges = _edges(edges)
     seen = _reached(edges, roots, depth)
+    nodes = materialise(seen.select("node_id").distinct(), "nodes")
+    return seen.join(_states(edges, nodes, raw, known, depth), "node_id", "left").select("root_id", "node_id", F.coalesce("state", F.lit("missing")).alias("state"))  # a null id is missing
+
+
+def lineage_evidence(edges: DataFrame, roots: DataFrame, raw: DataFrame, known: DataFrame, depth: int = 10_000) -> DataFrame:
+    """The rows of ``lineage_closure`` that ``gate_provenance`` judges: all that are neither raw nor inner, and each raw node below any root once, without a root.
+
+    States are those of nodes, so nodes are reached once for all roots; pairs are followed upwards, from the nodes that don't resolve only.
+    """
+    edges = _edges(edges)
+    nodes = materialise(_reached(edges, roots, depth, one=True).select("node_id"), "nodes")
+    states = materialise(_states(edges, nodes, raw, known, depth), "states")
+    open_nodes = states.filter("state NOT IN ('raw', 'inner')")
+    inside = edges.join(nodes.withColumnRenamed("node_id", "asset_id"), "asset_id", "left_semi")
+    upward = materialise(inside.select(F.col("depends_on").alias("asset_id"), F.col("asset_id").alias("depends_on")), "upward")
+    above = _reached(upward, open_nodes.select(F.col("node_id").alias("asset_id")), depth).select(F.col("node_id").alias("root_id"), F.col("root_id").alias("node_id"))
+    rooted = above.join(roots.select(F.col("asset_id").alias("root")), F.col("root_id").eqNullSafe(F.col("root")), "left_semi")
+    pairs = rooted.join(open_nodes.withColumnRenamed("node_id", "node"), F.col("node_id").eqNullSafe(F.col("node"))).select("root_id", "node_id", "state")
+    return pairs.unionByName(states.filter("state = 'raw'").select(F.lit(None).cast(pairs.schema["root_id"].dataType).alias("root_id"), "node_id", "state"))
+
+
+def _edges(edges: DataFrame) -> DataFrame:
+    return materialise(edges.select("asset_id", "depends_on").filter("depends_on IS NOT NULL").distinct(), "lineage-edges")
+
+
+def _states(edges: DataFrame, nodes: DataFrame, raw: DataFrame, known: DataFrame, depth: int) -> DataFrame:
+    """(node_id, state) of ``nodes``, which hold all that they depend on."""
     flag = lambda df, key, name: df.select(F.col(key).alias("node_id")).distinct().withColumn(name, F.lit(True))
-    out = seen.join(flag(known, "asset_id", "known"), "node_id", "left").join(flag(raw, "asset_id", "raw"), "node_id", "left").join(flag(edges, "asset_id", "parent"), "node_id", "left")
-    out = out.join(flag(cyclic(edges.join(seen.select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi"), depth), "asset_id", "cyclic"), "node_id", "left")
+    out = nodes.join(flag(known, "asset_id", "known"), "node_id", "left").join(flag(raw, "asset_id", "raw"), "node_id", "left").join(flag(edges, "asset_id", "parent"), "node_id", "left")
+    out = out.join(flag(cyclic(edges.join(nodes.select(F.col("node_id").alias("asset_id")), "asset_id", "left_semi"), depth), "asset_id", "cyclic"), "node_id", "left")
     state = F.when(F.col("known").isNull(), "missing").when(F.col("cyclic"), "cyclic").when(F.col("raw").isNotNull(), "raw").when(F.col("parent").isNull(), "childless").otherwise("inner")
-    return out.select("root_id", "node_id", state.alias("state"))
+    return out.select("node_id", state.alias("state"))
 
 
-def _reached(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """(root_id, node_id): each root and all nodes below it."""
-    front = seen = materialise(roots.select(F.col("asset_id").alias("root_id"), F.col("asset_id").alias("node_id")).distinct(), "lineage")
+def _reached(edges: DataFrame, roots: DataFrame, depth: int, one: bool = False) -> DataFrame:
+    """(root_id, node_id): each root and all nodes below it; with ``one`` all roots count as one, the null."""
+    front = seen = materialise(roots.select((F.lit(None).cast(roots.schema["asset_id"].dataType) if one else F.col("asset_id")).alias("root_id"), F.col("asset_id").alias("node_id")).distinct(), "lineage")
+    same = ["node_id"] if one else ["root_id", "node_id"]
     for level in range(depth + 1):
         step = front.join(edges.withColumnRenamed("asset_id", "node_id"), "node_id").select("root_id", F.col("depends_on").alias("node_id")).distinct()
-        front = materialise(step.join(seen, ["root_id", "node_id"], "left_anti"), "front")
+        front = materialise(step.join(seen, same, "left_anti"), "front")
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front)

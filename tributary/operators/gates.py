@@ -182,7 +182,10 @@ def gate_events(events: DataFrame, expected: int) -> DataFrame:
 
 
 def gate_provenance(assets: DataFrame, closure: DataFrame, cap: int, fields: tuple[str, ...] = ("source", "version", "checksum", "path")) -> DataFrame:
-    """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw (if there is that column) with all ``fields``, and their bytes, known and each content once, within the cap."""
+    """Lineage resolved; of the raw assets that it uses: one at least, each of kind raw (if there is that column) with all ``fields``, and their bytes, known and each content once, within the cap.
+
+    ``closure`` is ``lineage_closure`` or, as far less work, ``lineage_evidence``.
+    """
     closure = materialise(closure, "closure")
     named = [c for c in assets.columns if c in {"asset_id", "kind", "checksum", "size_bytes", *fields}]
     used = assets.select(*named).join(closure.filter("state = 'raw'").select(F.col("node_id").alias("asset_id")).distinct(), "asset_id", "left_semi")
