@@ -150,7 +150,7 @@ def lineage_evidence(edges: DataFrame, roots: DataFrame, raw: DataFrame, known:
     open_nodes = states.filter("state NOT IN ('raw', 'inner')")
     inside = edges.join(nodes.withColumnRenamed("node_id", "asset_id"), "asset_id", "left_semi")
     upward = materialise(inside.select(F.col("depends_on").alias("asset_id"), F.col("asset_id").alias("depends_on")), "upward")
-    above = _reached(upward, open_nodes.select(F.col("node_id").alias("asset_id")), depth).select(F.col("node_id").alias("root_id"), F.col("root_id").alias("node_id"))
+    above = materialise(_reached(upward, open_nodes.select(F.col("node_id").alias("asset_id")), depth).select(F.col("node_id").alias("root_id"), F.col("root_id").alias("node_id")), "above")  # else roots are joined to each round's table
     rooted = above.join(roots.select(F.col("asset_id").alias("root")), F.col("root_id").eqNullSafe(F.col("root")), "left_semi")
     pairs = rooted.join(open_nodes.withColumnRenamed("node_id", "node"), F.col("node_id").eqNullSafe(F.col("node"))).select("root_id", "node_id", "state")
     return pairs.unionByName(states.filter("state = 'raw'").select(F.lit(None).cast(pairs.schema["root_id"].dataType).alias("root_id"), "node_id", "state"))
